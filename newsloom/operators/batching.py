@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.operators.positions import global_positions, group_positions
+from newsloom.operators.positions import group_positions, positions_joined
 from newsloom.session import store
 
 # Rows per request file, and tokens per embedding call.
@@ -22,8 +22,11 @@ PIECE = ["__from", "__to", "__slope", "__opens"]
 def assign_batches(
     df: DataFrame, order_by: Sequence[str], keys: Sequence[str] = (), size: int = BATCH_ROWS
 ) -> DataFrame:
-    """Add `pos` and `batch_no` = pos // size, over the whole table or per group."""
-    placed = group_positions(df, keys, order_by) if keys else global_positions(df, order_by)
+    """Add `pos` and `batch_no` = pos // size, over the whole table or per group.
+
+    `order_by` (with `keys`) must identify a row.
+    """
+    placed = positions_joined(df, order_by, keys)
     return placed.withColumn("batch_no", F.floor(F.col("pos") / size).cast("bigint"))
 
 
@@ -78,14 +81,14 @@ def token_chunks(
             starts[k] = pdf[k].iloc[0]
         return starts
 
-    def number(pdf: pd.DataFrame) -> pd.DataFrame:
+    def number(pdf: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__pos")
         fresh = count_opener and pdf["__block"].iloc[0] == 0
         chunk = number_block(
-            pdf["__tokens"].to_numpy(), budget, count_opener, int(pdf["__running"].iloc[0]), fresh
+            pdf["__tokens"].to_numpy(), budget, count_opener, int(start["__running"].iloc[0]), fresh
         )
         out = pdf[[*slim_keys, "__pos"]].copy()
-        out["chunk_no"] = chunk + int(pdf["__opened"].iloc[0])
+        out["chunk_no"] = chunk + int(start["__opened"].iloc[0])
         return out
 
     per_block = slim.groupBy(*slim_keys, "__block").applyInPandas(
@@ -95,14 +98,9 @@ def token_chunks(
     starts = per_block.groupBy(*slim_keys).applyInPandas(
         chain, f"{key_ddl}__block bigint, __running bigint, __opened bigint"
     )
-    on_block = F.col("b.__block") == F.col("s.__block")
-    for k in slim_keys:
-        on_block = on_block & F.col(f"b.{k}").eqNullSafe(F.col(f"s.{k}"))
     numbered = (
-        slim.alias("b")
-        .join(starts.alias("s"), on_block)
-        .select("b.*", "s.__running", "s.__opened")
-        .groupBy(*slim_keys, "__block")
+        slim.groupBy(*slim_keys, "__block")
+        .cogroup(starts.groupBy(*slim_keys, "__block"))
         .applyInPandas(number, f"{key_ddl}__pos bigint, chunk_no bigint")
     )
     on_row = F.col("__pos") == F.col("__p")

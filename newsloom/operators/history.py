@@ -29,16 +29,30 @@ def new_articles(
     history: DataFrame,
     keys: Sequence[str] = ARTICLE_KEYS,
     run: str = "run_id",
+    prune_history: bool = False,
 ) -> DataFrame:
     """Rows of `current` whose key no other run of `history` holds.
 
     Nulls match nulls. Copies inside a run stay, and the run's own rows in the history do
     not count. `current` may hold many runs; each is checked against all the others.
+
+    With `prune_history`, for a `current` that is a small part of the whole, the history is
+    first cut to the keys that occur in it. The planner does that by broadcast or by a
+    runtime filter at the scan, so that the rest of the history is never exchanged.
     """
+    if prune_history:
+        history = keys_within(history, current, keys)
     clash = (F.col("__lo") != F.col(run)) | (F.col("__hi") != F.col(run))
     return drop_known(current, history_keys(history, keys, run), keys, clash)
 
 
+def keys_within(history: DataFrame, current: DataFrame, keys: Sequence[str] = ARTICLE_KEYS) -> DataFrame:
+    """Rows of `history` whose key occurs in `current`; nulls match nulls."""
+    wanted = current.select(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"__c{i}")) for i, k in enumerate(keys)]
+    return history.join(wanted, same, "left_semi")
+
+
 def drop_known(current: DataFrame, known: DataFrame, keys: Sequence[str], clash: Column) -> DataFrame:
     """Rows of `current` without a row of `known` (from `history_keys`) that has the same key
     and meets `clash`."""
@@ -64,8 +78,12 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def later_copies(df: DataFrame, key: str, ord_col: str) -> DataFrame:
-    """Each row whose key occurred before it."""
-    first = df.groupBy(F.col(key).alias("__key")).agg(F.min(ord_col).alias("__first"))
+    """Each row whose key occurred before it. Only keys with copies enter the join."""
+    first = (
+        df.groupBy(F.col(key).alias("__key"))
+        .agg(F.min(ord_col).alias("__first"), F.count("*").alias("__n"))
+        .where(F.col("__n") > 1)
+    )
     return df.join(
         first, F.col(key).eqNullSafe(F.col("__key")) & (F.col(ord_col) > F.col("__first")), "left_semi"
     )

@@ -49,7 +49,8 @@ def fold_hits(hits: DataFrame, ord_col: str = "ord", part_size: int = MAX_LIST)
         F.min_by(c, F.when(F.col(c).isNotNull(), F.col(ord_col))).alias(c) for c in HEAD
     ]
     lists = ["persona", "query"]
-    if biggest_group(hits, ["url"]) <= part_size:
+    biggest = biggest_group(hits, ["url"])
+    if biggest <= part_size:
         items = F.sort_array(F.collect_list(F.struct(ord_col, *lists)))
         folded = hits.groupBy("url").agg(*firsts, items.alias("items"))
         return folded.select(
@@ -58,7 +59,7 @@ def fold_hits(hits: DataFrame, ord_col: str = "ord", part_size: int = MAX_LIST)
         )
     heads = hits.groupBy("url").agg(*firsts)
     placed = group_positions(
-        hits.select("url", ord_col, *lists), ["url"], [ord_col], max_group=part_size
+        hits.select("url", ord_col, *lists), ["url"], [ord_col], biggest=biggest
     )
     return heads.join(list_parts(placed, ["url"], "pos", lists, part_size), "url").select(
         "url", *HEAD, "list_part", *lists

@@ -73,51 +73,62 @@ def nearest(
     )
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _matrix(column) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1)
 
 
-def _best_rows(ids: np.ndarray, distances: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k least distances; all that tie with the last compete by id."""
-    if len(distances) > k:
-        limit = np.partition(distances, k - 1)[k - 1]
-        rows = np.flatnonzero(distances <= limit)
-    else:
-        rows = np.arange(len(distances))
-    return rows[np.lexsort((ids[rows], distances[rows]))][:k]
+def _ranked(ids: list, distances: np.ndarray, k: int) -> list:
+    """The k best (distance, id) pairs; the lower id first where distances are equal."""
+    return sorted(zip(distances.tolist(), ids))[:k]
+
+
+def _closest(ids, vectors: np.ndarray, queries: np.ndarray, k: int) -> list[list]:
+    """For each query its k best rows of one block, as (distance, id).
+
+    A matrix product ranks all pairs up to rounding. The rows that may be among the k best
+    then get their distance by the sum of squares, so the product decides nothing.
+    """
+    best = []
+    norms = np.einsum("ij,ij->i", vectors, vectors)
+    slack = 1e-9 * (1.0 + norms.max())
+    # Products of at most some 64 MB at a time.
+    step = max(1, (8 << 20) // len(vectors))
+    for start in range(0, len(queries), step):
+        part = queries[start:start + step]
+        rough = norms[:, None] - 2.0 * (vectors @ part.T)
+        kth = min(k, len(vectors)) - 1
+        limits = np.partition(rough, kth, axis=0)[kth]
+        margins = slack + 1e-9 * np.einsum("ij,ij->i", part, part)
+        for i, query in enumerate(part):
+            rows = np.flatnonzero(rough[:, i] <= limits[i] + margins[i])
+            gaps = vectors[rows] - query
+            found = ids.take(pa.array(rows)).to_pylist()
+            best.append(_ranked(found, np.einsum("ij,ij->i", gaps, gaps), k))
+    return best
 
 
 def _scan(query_ids: list, query_vectors: list, k: int, schema: T.StructType):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        if not query_ids:
+            return
+        queries = np.asarray(query_vectors, dtype=np.float64)
+        best: list[list] = [[] for _ in query_ids]
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = np.array(batch.column(0).to_pylist())
-            vectors = _matrix(batch.column(1))
-            for i, query in enumerate(query_vectors):
-                gaps = vectors - np.asarray(query)
-                distances = np.einsum("ij,ij->i", gaps, gaps)
-                near = _best_rows(ids, distances, k)
-                found = ids[near], distances[near]
-                if i in best:
-                    merged = [np.concatenate(pair) for pair in zip(best[i], found)]
-                    near = _best_rows(*merged, k)
-                    found = merged[0][near], merged[1][near]
-                best[i] = found
-        if best:
-            yield _candidates([(query_ids[i], *found) for i, found in best.items()], schema)
+            if batch.num_rows:
+                found = _closest(batch.column(0), _matrix(batch.column(1)), queries, k)
+                best = [sorted(old + new)[:k] for old, new in zip(best, found)]
+        yield _candidates(zip(query_ids, best), schema)
 
     return scan
 
 
-def _candidates(found: list, schema: T.StructType) -> pa.RecordBatch:
+def _candidates(found, schema: T.StructType) -> pa.RecordBatch:
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    rows = [(q, i, d) for q, ids, distances in found for i, d in zip(ids.tolist(), distances.tolist())]
+    rows = [(query, row, distance) for query, pairs in found for distance, row in pairs]
     columns = list(zip(*rows)) or [(), (), ()]
     arrow = to_arrow_schema(schema)
     return pa.RecordBatch.from_arrays(
@@ -142,15 +153,9 @@ def _nearest_by_block(corpus: DataFrame, queries: DataFrame, k: int, schema: T.S
     def compare(q: pa.Table, c: pa.Table) -> pa.Table:
         if not q.num_rows or not c.num_rows:
             return pa.Table.from_batches([_candidates([], schema)])
-        ids = np.array(c["__id"].to_pylist())
-        vectors = _matrix(c["__v"])
-        found = []
-        for query_id, query in zip(q["__qid"].to_pylist(), _matrix(q["__q"])):
-            gaps = vectors - query
-            distances = np.einsum("ij,ij->i", gaps, gaps)
-            near = _best_rows(ids, distances, k)
-            found.append((query_id, ids[near], distances[near]))
-        return pa.Table.from_batches([_candidates(found, schema)])
+        ids = c["__id"].combine_chunks()
+        found = _closest(ids, _matrix(c["__v"]), _matrix(q["__q"]), k)
+        return pa.Table.from_batches([_candidates(zip(q["__qid"].to_pylist(), found), schema)])
 
     return (
         left.groupBy("__qb", "__cb")

@@ -36,19 +36,43 @@ def group_positions(
     order_by: Sequence[str],
     pos: str = "pos",
     max_group: int = MAX_GROUP,
+    biggest: int | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row inside its group.
 
     A window does it while every group is known to fit a task. Otherwise groups are cut
-    over range partitions and the pieces are offset against each other.
+    over range partitions and the pieces are offset against each other. `biggest` is the
+    size of the largest group, if the caller has counted already.
     """
     keys, order_by = list(keys), list(order_by)
-    if biggest_group(df, keys) <= max_group:
+    if (biggest_group(df, keys) if biggest is None else biggest) <= max_group:
         window = Window.partitionBy(*keys).orderBy(*order_by)
         return df.withColumn(pos, (F.row_number().over(window) - 1).cast("bigint"))
     return _ranged_positions(df, keys, order_by, pos)
 
 
+def positions_joined(
+    df: DataFrame, order_by: Sequence[str], keys: Sequence[str] = (), pos: str = "pos"
+) -> DataFrame:
+    """Add positions, over the table or per group, to rows with many or large columns.
+
+    `order_by` (with `keys`) must identify a row. Only these columns are sorted and stored;
+    the positions are joined back on them, so that wide rows are read and exchanged once.
+    A row without its own key fails the job instead of getting a wrong position.
+    """
+    key = [*keys, *order_by]
+    slim = df.select(*key)
+    placed = group_positions(slim, keys, order_by, pos) if keys else global_positions(slim, order_by, pos)
+    if set(df.columns) == set(key):
+        return placed.select(*df.columns, pos)
+    # Grouped as the join needs it, so that counting the rows of a key costs no exchange.
+    one = placed.groupBy(*key).agg(F.min(pos).alias("__pos"), F.count("*").alias("__n"))
+    checked = F.when(F.col("__n") == 1, F.col("__pos")).otherwise(
+        F.raise_error(F.lit(f"{key} do not identify a row")).cast("bigint")
+    )
+    return df.join(one, key, "left").select(*df.columns, checked.alias(pos))
+
+
 def _ranged_positions(
     df: DataFrame, keys: list[str], order_by: list[str], pos: str
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.scores import RELEVANT
 from newsloom.functions.text import dedent, strip
+from newsloom.session import store
 
 # Examples and articles drawn per persona.
 EXAMPLES = 5
@@ -86,10 +87,12 @@ def post_prompts(
     if n_articles is not None:
         pairs = seeded_sample(pairs, ["perfil"], "article_id", n_articles, seed)
     bios = personas.select(F.col("name").alias("perfil"), "linkedin_bio")
-    # Both sides have one row per persona; the planner broadcasts them while they are small.
-    joined = pairs.join(bios, "perfil").join(
-        example_posts(past, past_id, n_examples, seed), "perfil", "left"
+    # One row per persona. Stored, so that the planner knows its size: a few personas are
+    # broadcast and their many articles stay where they are.
+    voices = store(
+        bios.join(example_posts(past, past_id, n_examples, seed), "perfil", "left"), "voices"
     )
+    joined = pairs.join(voices, "perfil")
     task = F.concat(
         F.lit("\n- ".join(("Your task:", *INSTRUCTIONS))),
         F.when(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.text import number_suffix
 from newsloom.functions.web import url_origin
 from newsloom.operators.positions import MAX_LIST, group_positions, list_parts
+from newsloom.session import store
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -48,7 +49,8 @@ def distinct_values(
     Pairs are made distinct map-side first. A key with more values gives several rows,
     numbered by `list_part`.
     """
-    pairs = df.select(key, value).where(F.col(value).isNotNull()).distinct()
+    # Stored, since sizes are checked before the pairs are placed.
+    pairs = store(df.select(key, value).where(F.col(value).isNotNull()).distinct(), "pairs")
     placed = group_positions(pairs, [key], [value])
     return list_parts(placed, [key], "pos", [value], part_size)
 

@@ -96,7 +96,7 @@ def combine_and_dedupe(searched: DataFrame, crawled: DataFrame, history: DataFra
         searched.withColumn("crawling_source", F.lit(SEARCHED)),
         crawled.withColumn("crawling_source", F.lit(CRAWLED)),
     )
-    return new_articles(both, history)
+    return new_articles(both, history, prune_history=True)
 
 
 def score_articles(

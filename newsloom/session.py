@@ -19,12 +19,25 @@ DEFAULTS = {
 _local_scratch: dict[str, str] = {}
 
 
-def build_session(app_name: str = "newsloom", master: str | None = None, **conf) -> SparkSession:
-    """A session with the settings the jobs are tuned for; `conf` overrides them."""
+# Bytes that one task of an exchange should hold.
+TASK_BYTES = 128 << 20
+
+
+def build_session(
+    app_name: str = "newsloom", master: str | None = None, data_bytes: int | None = None, **conf
+) -> SparkSession:
+    """A session with the settings the jobs are tuned for; `conf` overrides them.
+
+    `data_bytes` is the size of the largest table that is shuffled. Exchanges get as many
+    partitions as it needs; adaptive execution joins small ones up again.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    settings = dict(DEFAULTS)
+    if data_bytes:
+        settings["spark.sql.shuffle.partitions"] = str(max(8, -(-data_bytes // TASK_BYTES)))
+    for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

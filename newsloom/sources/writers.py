@@ -60,13 +60,13 @@ def append_ledger(
 def write_request_files(requests: DataFrame, path: str, line: Column) -> None:
     """One JSONL file per batch, under run_id=/task_name=/batch_no=.
 
-    `requests` holds run_id, task_name, batch_no and pos. Rows are ranged by batch, so
-    that each batch is written by one task, in order.
+    `requests` holds run_id, task_name, batch_no and pos. Rows are exchanged by batch, so
+    that each batch is written by one task, in order, and a task writes many batches.
     """
     keys = ["run_id", "task_name", "batch_no"]
     (
         requests.select(*keys, "pos", line.alias("value"))
-        .repartitionByRange(*keys)
+        .repartition(*keys)
         .sortWithinPartitions(*keys, "pos")
         .drop("pos")
         .write.mode("overwrite")

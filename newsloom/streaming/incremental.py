@@ -43,9 +43,14 @@ def dedupe_landing(
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh.schema.fields)
         seen = batch.sparkSession.read.schema(f"{ddl}, epoch bigint").parquet(f"{output}/_keys")
         now, past = F.col("epoch") == epoch, F.col("epoch") < epoch
+        # Of the history only the keys of this batch are aggregated; the batch's key table
+        # was just written, so the planner knows whether to broadcast it.
+        hashes = [c for c in fresh.columns if c.startswith("__h") and c != "__hi"]
+        mine = seen.where(now).select(*hashes)
         known = (
             seen.where(F.col("epoch") <= epoch)
-            .groupBy(*[c for c in fresh.columns if c.startswith("__h") and c != "__hi"])
+            .join(mine, hashes, "left_semi")
+            .groupBy(*hashes)
             .agg(
                 F.min(F.when(past, F.col("__lo"))).alias("__lo"),
                 F.max(F.when(past, F.col("__hi"))).alias("__hi"),
