@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from newsloom.catalog.registry import query, table
 from newsloom.functions.text import SENTENCE, token_count
 from newsloom.functions.web import (
-    ARTICLE,
     BLOCK_END,
     ENTITIES,
     FURNITURE,
@@ -89,7 +88,8 @@ def crawled_articles(spark, sf):
     )
 
 
-_BODY_SQL = f"coalesce(nullif(regexp_extract(html, {_quoted(ARTICLE)}, 1), ''), html)"
+_ARTICLE = r"(?is)<article[^>]*>(.*)</article>"
+_BODY_SQL = f"coalesce(nullif(regexp_extract(html, {_quoted(_ARTICLE)}, 1), ''), html)"
 _TEXT_SQL = _squeezed_sql(
     _decoded_sql(
         _replaced_sql(

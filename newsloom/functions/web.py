@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 HTML_LINK = r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'
 MARKDOWN_LINK = r"\[([^\[\]]+)\]\((https?://[^\s()]+)[^()]*\)"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-ARTICLE = r"(?is)<article[^>]*>(.*)</article>"
+# A page with its article element, whose content is the group; other pages do not match.
+ARTICLE_PAGE = r"(?is)^.*?<article[^>]*>(.*)</article>.*$"
 # Parts of a page that hold no article text.
 FURNITURE = (
-    r"(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>|<nav.*?</nav>"
-    r"|<footer.*?</footer>|<aside.*?</aside>|<head.*?</head>"
+    r"(?is)<(?:!--.*?-->|script.*?</script>|style.*?</style>|nav.*?</nav>"
+    r"|footer.*?</footer>|aside.*?</aside>|head\b.*?</head>)"
 )
-BLOCK_END = r"(?i)</p>|</h[1-6]>|</li>|</div>|<br\s*/?>"
+BLOCK_END = r"(?i)<(?:/(?:p|h[1-6]|li|div)|br\s*/?)>"
 TAG = r"<[^>]*>"
 PUBLISHED = (
     r'(?is)<meta[^>]*published_time[^>]*content="(\d{4}-\d{2}-\d{2})'
@@ -53,9 +54,10 @@ def decode_entities(text: Column) -> Column:
 
 def squeeze(text: Column) -> Column:
     """One space for each run of blanks, none around line feeds or at the ends."""
-    text = F.regexp_replace(text, r"[ \t\r]+", " ")
-    text = F.regexp_replace(text, r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(text, r"^[ \n]+|[ \n]+$", "")
+    # The patterns skip what is in order already, which most of a text is.
+    text = F.regexp_replace(text, r"[ \t\r]{2,}|[\t\r]", " ")
+    text = F.regexp_replace(text, r" \n[ \n]*|\n[ \n]+", "\n")
+    return F.btrim(text, F.lit(" \n"))
 
 
 def html_title(html: Column) -> Column:
@@ -64,8 +66,7 @@ def html_title(html: Column) -> Column:
 
 def html_text(html: Column) -> Column:
     """Text of the article element, or of the whole page where there is none."""
-    body = F.regexp_extract(html, ARTICLE, 1)
-    body = F.when(body == "", html).otherwise(body)
+    body = F.regexp_replace(html, ARTICLE_PAGE, "$1")
     body = F.regexp_replace(body, FURNITURE, " ")
     body = F.regexp_replace(body, BLOCK_END, "\n")
     return squeeze(decode_entities(F.regexp_replace(body, TAG, " ")))

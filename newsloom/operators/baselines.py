@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newsloom.functions.scores import LANGUAGE_KEY, LANGUAGES
-from newsloom.functions.text import sentences
+from newsloom.functions.text import SENTENCE, sentences
 from newsloom.functions.web import page_links
 from newsloom.operators.tasks import Predictor, expression_predictor
 
@@ -61,7 +61,7 @@ def is_article(text: Column) -> Column:
     for phrase in NOTICES:
         notice = notice | F.contains(lowered, F.lit(phrase))
     return (
-        (F.length(text) >= MIN_CHARS) & (F.size(sentences(text)) >= MIN_SENTENCES) & ~notice
+        (F.length(text) >= MIN_CHARS) & (F.regexp_count(text, F.lit(SENTENCE)) >= MIN_SENTENCES) & ~notice
     )
 
 

@@ -18,6 +18,7 @@ from newsloom.functions.scores import (
 )
 from newsloom.functions.text import composite_key, escape_newlines, split_key
 from newsloom.operators.validation import REASON
+from newsloom.session import store
 
 RESPONSE = "custom_id string, model string, content string, error string"
 
@@ -167,8 +168,8 @@ def python_predictor(factory: Callable[[], Callable[[list[dict]], Iterable[str |
 
     `factory` runs once per task on the executors and returns a function from a list of
     requests to as many answers. If it fails on a list, each of its requests is tried
-    alone; one that still fails gives a row with the error. Store the result before using
-    it twice: a task that is run again asks the model again.
+    alone; one that still fails gives a row with the error. The parse functions store what
+    they read; elsewhere store the answers before using them twice.
     """
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,6 +230,12 @@ def flatten_envelope(lines: DataFrame) -> DataFrame:
 
 
 def _parse(responses: DataFrame, parsed: Column, problem: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows with their `key` and `answer`, rejected rows).
+
+    Parsed rows are stored once and read from both sides. So the model that `responses` may
+    come from answers once, and no filter is moved below the parsing, which would repeat it
+    for every field the filter looks at.
+    """
     rows = (
         responses.withColumn("key", split_key(F.col("custom_id")))
         .withColumn("answer", parsed)
@@ -239,10 +246,17 @@ def _parse(responses: DataFrame, parsed: Column, problem: Column) -> tuple[DataF
             .otherwise(problem),
         )
     )
-    rejected = rows.where(F.col(REASON).isNotNull()).select(
+    parsed_rows = store(
+        rows.select(
+            "custom_id", "model", "key", "answer", REASON,
+            F.when(F.col(REASON).isNotNull(), F.col("content")).alias("content"),
+        ),
+        "parsed",
+    )
+    rejected = parsed_rows.where(F.col(REASON).isNotNull()).select(
         "custom_id", "model", "content", REASON
     )
-    return rows.where(F.col(REASON).isNull()), rejected
+    return parsed_rows.where(F.col(REASON).isNull()), rejected
 
 
 def parse_links(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -321,7 +335,7 @@ def parse_summaries(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     return (
         good.select(
             "model",
-            F.col("content").alias("summary"),
+            F.col("answer").alias("summary"),
             F.col("key.item_id").alias("article_id"),
             "key.run_id",
             "key.task_name",

@@ -34,7 +34,6 @@ from newsloom.operators.tasks import (
 from newsloom.operators.topics import assign_topics, project
 from newsloom.operators.validation import has_payload, validate
 from newsloom.schemas import CRAWLED, SEARCHED
-from newsloom.session import store
 
 # Fixed value: what the validity task sees of an article.
 VALIDITY_CHARS = 2000
@@ -62,17 +61,12 @@ def landed_pages(pages: DataFrame) -> Outcome:
     return Outcome(*validate(named, "source_raw_content"))
 
 
-def _answers(requests: DataFrame, predictor: Predictor) -> DataFrame:
-    # Parsed more than once below; the model must answer only once.
-    return store(predictor(requests), "responses")
-
-
 def extract_articles(
     pages: DataFrame, run_id: str, crawled_at: str, task: Task, predictor: Predictor
 ) -> Outcome:
     """Articles linked from the crawled pages."""
     requests = build_requests(pages, task, F.lit(run_id), F.col("name"), F.col("raw_content"))
-    links, rejected = parse_links(_answers(requests, predictor))
+    links, rejected = parse_links(predictor(requests))
     articles = links.withColumn("crawled_at", F.lit(crawled_at)).withColumn(
         "article_id",
         surrogate_id(
@@ -113,7 +107,7 @@ def score_articles(
     requests = build_requests(
         described, task, F.lit(run_id), F.col("article_id"), row_json("*")
     )
-    outputs, rejected = parse_relevance(_answers(requests, predictor), personas)
+    outputs, rejected = parse_relevance(predictor(requests), personas)
     return Outcome(relevant_articles(outputs, raw), rejected)
 
 
@@ -141,13 +135,13 @@ def keep_valid(content: DataFrame, run_id: str, task: Task, predictor: Predictor
     requests = build_requests(
         content, task, F.lit(run_id), F.col("article_id"), F.substring("content", 1, VALIDITY_CHARS)
     )
-    verdicts, rejected = parse_validity(_answers(requests, predictor))
+    verdicts, rejected = parse_validity(predictor(requests))
     return Outcome(drop_invalid(content, verdicts), rejected)
 
 
 def summarize(content: DataFrame, run_id: str, task: Task, predictor: Predictor) -> Outcome:
     requests = build_requests(content, task, F.lit(run_id), F.col("article_id"), F.col("content"))
-    return Outcome(*parse_summaries(_answers(requests, predictor)))
+    return Outcome(*parse_summaries(predictor(requests)))
 
 
 def embedding_calls(
