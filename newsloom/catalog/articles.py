@@ -373,6 +373,17 @@ def profiles_with_repeats(spark, sf):
     return jobs.profile_past_posts(posts)["profiles_with_repeats"]
 
 
+@query(
+    f"""SELECT ord, image FROM {HITS_SQL}
+       WHERE persona = 'en' AND regexp_matches(image, 'spam.farm') AND contains(image, 'example.org')"""
+)
+def matching_links(spark, sf):
+    """A regular expression, whose dot matches any character, and a literal."""
+    return hits(spark, sf).where(
+        (F.col("persona") == "en") & F.col("image").rlike("spam.farm") & F.contains("image", F.lit("example.org"))
+    ).select("ord", "image")
+
+
 @query("SELECT event_type, count(*) AS count FROM events WHERE event_type IS NOT NULL GROUP BY ALL")
 def value_counts(spark, sf):
     return profile.value_counts(table(spark, sf, "events"), "event_type")

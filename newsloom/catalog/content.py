@@ -201,6 +201,48 @@ def summarize(spark, sf):
     ).table
 
 
+_CHUNKS_SQL = r"""WITH RECURSIVE c AS MATERIALIZED (
+         SELECT doc_id, text, 'RUNID_1' AS run_id, row_number() OVER (ORDER BY lpad(doc_id::VARCHAR, 12, '0')) AS n,
+           len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')) AS token_count
+         FROM documents),
+       f AS (
+         SELECT doc_id, text, n, token_count, CAST(token_count > 8000 AS BIGINT) AS chunk_no,
+           CASE WHEN token_count > 8000 THEN 0 ELSE token_count END AS running FROM c WHERE n = 1
+         UNION ALL
+         SELECT c.doc_id, c.text, c.n, c.token_count,
+           f.chunk_no + CAST(f.running + c.token_count > 8000 AS BIGINT),
+           CASE WHEN f.running + c.token_count > 8000 THEN 0 ELSE f.running + c.token_count END
+         FROM f JOIN c ON c.n = f.n + 1)"""
+
+
+def _length_embedder():
+    return lambda texts: [[float(len(t)), float(len(texts))] for t in texts]
+
+
+@query(
+    f"""{_CHUNKS_SQL}
+       SELECT lpad(doc_id::VARCHAR, 12, '0') AS article_id, CAST(length(text) AS DOUBLE) AS n_chars,
+         CAST(count(*) OVER (PARTITION BY chunk_no) AS DOUBLE) AS n_in_call, chunk_no
+       FROM f"""
+)
+def embedding_calls(spark, sf):
+    """Calls of a stand-in embedder that returns a text's length and the texts in its call."""
+    summaries = table(spark, sf, "documents").select(
+        F.lit("RUNID_1").alias("run_id"),
+        F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("article_id"),
+        F.col("text").alias("summary"),
+    )
+    chunks = jobs.embedding_calls(summaries)
+    cut = summaries.join(chunks.drop("run_id", "token_count"), "article_id")
+    vectors = tasks.embed_calls(cut, _length_embedder, "lengths")
+    return vectors.join(chunks.select("article_id", "chunk_no"), "article_id").select(
+        "article_id",
+        F.get("summary_embedding", F.lit(0)).cast("double").alias("n_chars"),
+        F.get("summary_embedding", F.lit(1)).cast("double").alias("n_in_call"),
+        "chunk_no",
+    )
+
+
 @query(
     r"""SELECT doc_id, len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')) AS token_count
        FROM documents"""

@@ -278,6 +278,10 @@ def _length_model():
     return answer
 
 
+def _counting_model():
+    return lambda requests: [f" {len(r['user_content'])} characters\n" for r in requests]
+
+
 @query(
     """SELECT 'RUNID_1--article_summarization_v0--' || doc_id AS custom_id, 'm1' AS model,
          CASE WHEN NOT starts_with(text, 'L') THEN CAST(length(text) AS VARCHAR) END AS content,
@@ -391,6 +395,33 @@ def post_messages(spark, sf):
     return prompts.select("article_id", "perfil", "user_content", "article_language", "article_url")
 
 
+@query(
+    """SELECT p.perfil, length(trim('Article ' || d.doc_id || chr(10) || d.text)) || ' characters' AS copy,
+         'Article ' || d.doc_id AS article_title, d.lang AS article_language, d.text AS summary,
+         d.source AS article_url
+       FROM documents d JOIN (SELECT doc_id, 'QUALITY' AS perfil, quality AS hit FROM labels
+                              UNION ALL SELECT doc_id, 'TOXICITY', toxic FROM labels) p
+         ON p.doc_id = d.doc_id AND p.hit = 1"""
+)
+def generated_posts(spark, sf):
+    """Posts of a stand-in model for every relevant article of every persona."""
+    prompts = posts.post_prompts(
+        _article_summaries(spark, sf), _people(spark, sf), _past(spark, sf), "post_id", n_articles=None
+    )
+    return posts.generate_posts(prompts, tasks.python_predictor(_counting_model), "m1")[0]
+
+
+@query(
+    """SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)),
+         lambda x, i: 'Example ' || i || ':' || chr(10) || x), chr(10) || chr(10)) AS examples
+       FROM documents"""
+)
+def numbered_examples(spark, sf):
+    return table(spark, sf, "documents").select(
+        "doc_id", posts.numbered_examples(F.split("text", "\n")).alias("examples")
+    )
+
+
 @query()
 def sampled_examples(spark, sf):
     return posts.seeded_sample(_past(spark, sf), ["perfil"], "post_id", 5, seed=7)

@@ -122,6 +122,16 @@ def project(spark, sf):
     return topics.project(table(spark, sf, "embeddings")).select("vec_id", "label", "x", "y", "z")
 
 
+@query()
+def search_texts(spark, sf):
+    """The documents nearest to each benchmark text, both embedded alike."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    embed = topics.text_embedder(docs, "text")
+    corpus = embed(docs, "text", "embedding").select("doc_id", "embedding")
+    queries = embed(table(spark, sf, "benchmark"), "text", "query").select("item_id", "query")
+    return neighbours.nearest(corpus, queries, "doc_id", "item_id", query_vector="query")
+
+
 @query()
 def embed_texts(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")

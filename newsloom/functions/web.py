@@ -13,7 +13,7 @@ FURNITURE = (
     r"(?is)<(?:!--.*?-->|script.*?</script>|style.*?</style>|nav.*?</nav>"
     r"|footer.*?</footer>|aside.*?</aside>|head\b.*?</head>)"
 )
-BLOCK_END = r"(?i)<(?:/(?:p|h[1-6]|li|div)|br\s*/?)>"
+BLOCK_END = r"(?i)<(?:/(?:p|h[1-6]|li|div|tr|header|section|blockquote)|br\s*/?)>"
 TAG = r"<[^>]*>"
 PUBLISHED = (
     r'(?is)<meta[^>]*published_time[^>]*content="(\d{4}-\d{2}-\d{2})'
@@ -94,4 +94,5 @@ def page_links(page: Column) -> Column:
             link["url"].alias("url"),
         ),
     )
-    return F.when(F.coalesce(page.rlike(ERROR_BODY), F.lit(True)), F.filter(found, lambda x: F.lit(False))).otherwise(found)
+    none = F.array().cast("array<struct<title: string, url: string>>")
+    return F.when(page.rlike(ERROR_BODY), none).otherwise(F.coalesce(found, none))

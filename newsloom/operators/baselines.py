@@ -67,7 +67,7 @@ def is_article(text: Column) -> Column:
 
 def lead_summary(text: Column, n: int = 3) -> Column:
     """The first `n` sentences; fewer only if the text has fewer."""
-    return F.array_join(F.transform(F.slice(sentences(text), 1, n), F.trim), " ")
+    return F.array_join(F.transform(F.slice(sentences(text), 1, n), lambda s: F.trim(s)), " ")
 
 
 def links_predictor() -> Predictor:

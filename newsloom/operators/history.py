@@ -9,21 +9,20 @@ ARTICLE_KEYS = ("article_title", "source_name")
 
 
 def history_keys(history: DataFrame, keys: Sequence[str] = ARTICLE_KEYS, run: str = "run_id") -> DataFrame:
-    """One row per key: the lowest and highest run that holds it.
+    """One row per key (__h0, __h1, ...): the lowest and highest run that holds it.
 
-    A key of any frequency shrinks to one row per task before the exchange. Each key is
-    held as a text and a null flag, which makes the later null-safe match a plain equi
-    join on the same columns, so that it needs no second exchange of this table.
+    A key of any frequency shrinks to one row per task before the exchange.
     """
-    parts = {}
-    for i, k in enumerate(keys):
-        parts[f"__h{i}"] = F.coalesce(F.col(k).cast("string"), F.lit(""))
-        parts[f"__hn{i}"] = F.col(k).isNull()
-    return history.groupBy(*[c.alias(n) for n, c in parts.items()]).agg(
+    return history.groupBy(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)]).agg(
         F.min(run).alias("__lo"), F.max(run).alias("__hi")
     )
 
 
+def same_key(keys: Sequence[str], prefix: str) -> list[Column]:
+    """Null-safe equality of `keys` with the columns `prefix`0, `prefix`1, ..."""
+    return [F.col(k).eqNullSafe(F.col(f"{prefix}{i}")) for i, k in enumerate(keys)]
+
+
 def new_articles(
     current: DataFrame,
     history: DataFrame,
@@ -48,22 +47,19 @@ def new_articles(
 
 def keys_within(history: DataFrame, current: DataFrame, keys: Sequence[str] = ARTICLE_KEYS) -> DataFrame:
     """Rows of `history` whose key occurs in `current`; nulls match nulls."""
-    wanted = current.select(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)])
-    same = [F.col(k).eqNullSafe(F.col(f"__c{i}")) for i, k in enumerate(keys)]
-    return history.join(wanted, same, "left_semi")
+    wanted = current.select(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)]).distinct()
+    return history.join(wanted, same_key(keys, "__c"), "left_semi")
 
 
 def drop_known(current: DataFrame, known: DataFrame, keys: Sequence[str], clash: Column) -> DataFrame:
     """Rows of `current` without a row of `known` (from `history_keys`) that has the same key
-    and meets `clash`."""
-    match = clash
-    for i, k in enumerate(keys):
-        match = (
-            match
-            & (F.coalesce(F.col(k).cast("string"), F.lit("")) == F.col(f"__h{i}"))
-            & (F.col(k).isNull() == F.col(f"__hn{i}"))
-        )
-    return current.join(known, match, "left_anti")
+    and meets `clash`.
+
+    The join exchanges both sides anew, also where `known` was just grouped. That is small
+    beside the articles, and only so can adaptive execution split a key that very many
+    articles share.
+    """
+    return current.join(known, [*same_key(keys, "__h"), clash], "left_anti")
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], ord_col: str) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.scores import RELEVANT
 from newsloom.functions.text import dedent, strip
+from newsloom.operators.tasks import Predictor
+from newsloom.operators.validation import REASON
 from newsloom.session import store
 
 # Examples and articles drawn per persona.
@@ -123,6 +125,28 @@ def post_prompts(
     )
 
 
+def generate_posts(
+    prompts: DataFrame, predictor: Predictor, model: str
+) -> tuple[DataFrame, DataFrame]:
+    """(generated posts, prompts that gave none with the reason), from `post_prompts`."""
+    keep = ["perfil", "article_id", "article_title", "article_language", "summary", "article_url"]
+    requests = prompts.withColumns(
+        {
+            "custom_id": F.concat_ws("--", "perfil", F.lit("post"), "article_id"),
+            "model": F.lit(model),
+        }
+    )
+    # Read from both sides; the model must answer only once.
+    answers = store(predictor(requests, keep), "posts")
+    good = answers.where(F.col("content").isNotNull()).select(
+        "perfil", strip(F.col("content")).alias("copy"),
+        "article_title", "article_language", "summary", "article_url",
+    )
+    reason = F.coalesce(F.concat(F.lit("model error: "), "error"), F.lit("no content"))
+    rejected = answers.where(F.col("content").isNull()).select("perfil", "article_id", reason.alias(REASON))
+    return good, rejected
+
+
 def article_user_message(*columns: str) -> Column:
     """The article as JSON, for a prompt about a single article."""
     return F.concat(

@@ -3,6 +3,7 @@
 import json
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,9 +23,17 @@ from newsloom.session import store
 
 RESPONSE = "custom_id string, model string, content string, error string"
 
-# A predictor turns request rows (custom_id, model, system_content, user_content) into
-# RESPONSE rows, one each.
-Predictor = Callable[[DataFrame], DataFrame]
+# Texts that one embedding call may hold.
+MAX_CALL_TEXTS = 2048
+
+REQUEST = ["custom_id", "model", "system_content", "user_content"]
+
+
+class Predictor(Protocol):
+    """Turns request rows (the REQUEST columns) into RESPONSE rows, one each. Columns named
+    in `keep` stay in the row, so that nothing has to be joined back."""
+
+    def __call__(self, requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame: ...
 
 
 @dataclass(frozen=True)
@@ -163,7 +172,9 @@ def request_json(task: Task) -> Column:
     )
 
 
-def python_predictor(factory: Callable[[], Callable[[list[dict]], Iterable[str | None]]]) -> Predictor:
+def python_predictor(
+    factory: Callable[[], Callable[[list[dict]], Iterable[str | None]]]
+) -> Predictor:
     """A predictor from Python code, such as a client of a hosted model.
 
     `factory` runs once per task on the executors and returns a function from a list of
@@ -175,49 +186,101 @@ def python_predictor(factory: Callable[[], Callable[[list[dict]], Iterable[str |
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         answer = factory()
         for pdf in batches:
-            requests = pdf.to_dict("records")
-            try:
-                rows = [(content, None) for content in answer(requests)]
-                if len(rows) != len(requests):
-                    raise ValueError(f"{len(rows)} answers to {len(requests)} requests")
-            except Exception:
-                rows = []
-                for request in requests:
-                    try:
-                        rows.append((list(answer([request]))[0], None))
-                    except Exception as e:
-                        rows.append((None, f"{type(e).__name__}: {e}"))
-            contents, errors = zip(*rows) if rows else ((), ())
-            yield pd.DataFrame(
-                {
-                    "custom_id": pdf["custom_id"],
-                    "model": pdf["model"],
-                    "content": pd.Series(contents, index=pdf.index, dtype=object),
-                    "error": pd.Series(errors, index=pdf.index, dtype=object),
-                }
-            )
-
-    def run(requests: DataFrame) -> DataFrame:
-        columns = ["custom_id", "model", "system_content", "user_content"]
-        return requests.select(*columns).mapInPandas(predict, RESPONSE)
+            requests = pdf[REQUEST].to_dict("records")
+            answers = _answers(answer, requests)
+            out = pdf.drop(columns=["system_content", "user_content"])
+            out["content"] = pd.Series([a for a, _ in answers], index=pdf.index, dtype=object)
+            out["error"] = pd.Series([e for _, e in answers], index=pdf.index, dtype=object)
+            yield out
+
+    def run(requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in requests.select(*keep).schema)
+        return requests.select(*REQUEST, *keep).mapInPandas(predict, RESPONSE + kept)
 
     return run
 
 
+def _answers(answer: Callable[[list], Iterable], requests: list) -> list[tuple]:
+    """(answer, None) or (None, error) for each request."""
+    try:
+        found = list(answer(requests))
+        if len(found) != len(requests):
+            raise ValueError(f"{len(found)} answers to {len(requests)} requests")
+        return [(content, None) for content in found]
+    except Exception as e:
+        if len(requests) == 1:
+            return [(None, f"{type(e).__name__}: {e}")]
+        return [pair for request in requests for pair in _answers(answer, [request])]
+
+
 def expression_predictor(content: Callable[[Column], Column], model: str) -> Predictor:
     """A predictor from a column expression on the user message; it stays inside the JVM."""
 
-    def run(requests: DataFrame) -> DataFrame:
+    def run(requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         return requests.select(
             "custom_id",
             F.lit(model).alias("model"),
             content(F.col("user_content")).alias("content"),
             F.lit(None).cast("string").alias("error"),
+            *keep,
         )
 
     return run
 
 
+def embed_calls(
+    texts: DataFrame,
+    factory: Callable[[], Callable[[list[str]], Iterable[list[float]]]],
+    model: str,
+    text: str = "summary",
+    keys: Sequence[str] = ("run_id",),
+    id_col: str = "article_id",
+) -> DataFrame:
+    """One call per `chunk_no` of each group, with all its texts; ids stay with their text.
+
+    `texts` is cut by `batching.token_chunks`, so a call's texts are few. `factory` runs
+    once per task. Returns the keys, the id, summary_embedding, embedding_model and error.
+    """
+    call = [*keys, "chunk_no"]
+    rows = (
+        texts.select(*call, id_col, text)
+        .repartition(*call)
+        .sortWithinPartitions(*call, id_col)
+    )
+
+    def embed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        embedder = factory()
+
+        def done(pdf: pd.DataFrame) -> pd.DataFrame:
+            answers = _answers(embedder, pdf[text].tolist())
+            out = pdf[[*keys, id_col]].copy()
+            out["summary_embedding"] = [a for a, _ in answers]
+            out["embedding_model"] = model
+            out["error"] = [e for _, e in answers]
+            return out
+
+        # A call's rows follow on one another, but a batch may end inside a call.
+        rest = None
+        for pdf in batches:
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            number = (pdf[call] != pdf[call].shift()).any(axis=1).cumsum()
+            for n, group in pdf.groupby(number, sort=True):
+                if n < number.iloc[-1]:
+                    yield done(group)
+            rest = pdf[number == number.iloc[-1]]
+            # Texts without tokens do not end a call; very many of them go out in several.
+            while len(rest) > MAX_CALL_TEXTS:
+                yield done(rest.iloc[:MAX_CALL_TEXTS])
+                rest = rest.iloc[MAX_CALL_TEXTS:]
+        if rest is not None and len(rest):
+            yield done(rest)
+
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys, id_col).schema)
+    return rows.mapInPandas(
+        embed, f"{kept}, summary_embedding array<float>, embedding_model string, error string"
+    )
+
+
 def flatten_envelope(lines: DataFrame) -> DataFrame:
     """Stored response lines (TASK_RESPONSE) as RESPONSE rows."""
     body = F.col("response.body")

@@ -51,9 +51,7 @@ def delete_invalid(stored: DataFrame, verdicts: DataFrame, path: str) -> None:
     write_run(store(drop_invalid(stored, verdicts), "valid"), path)
 
 
-def append_ledger(
-    df: DataFrame, path: str
-) -> None:
+def append_ledger(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
@@ -101,7 +99,8 @@ def write_selection(selected: DataFrame, path: str) -> None:
 
 
 def write_posts(posts: DataFrame, path: str, order_by: Sequence[str] = ("article_title",)) -> None:
-    """Text records per persona, under perfil=; a persona's files follow on one another in order."""
+    """Text records per persona, under perfil=; a persona's files follow on one another in
+    order. `posts` should be a stored table, since ranges are sampled before it is written."""
     text = post_text(F.col("copy"), F.col("article_title"), F.col("article_url"))
     (
         posts.withColumn("value", text)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import number_suffix
-from newsloom.operators.history import ARTICLE_KEYS, drop_known, history_keys
+from newsloom.operators.history import ARTICLE_KEYS, drop_known, history_keys, keys_within
 
 
 def dedupe_landing(
@@ -45,11 +45,9 @@ def dedupe_landing(
         now, past = F.col("epoch") == epoch, F.col("epoch") < epoch
         # Of the history only the keys of this batch are aggregated; the batch's key table
         # was just written, so the planner knows whether to broadcast it.
-        hashes = [c for c in fresh.columns if c.startswith("__h") and c != "__hi"]
-        mine = seen.where(now).select(*hashes)
+        hashes = [f"__h{i}" for i in range(len(keys))]
         known = (
-            seen.where(F.col("epoch") <= epoch)
-            .join(mine, hashes, "left_semi")
+            keys_within(seen.where(F.col("epoch") <= epoch), seen.where(now), hashes)
             .groupBy(*hashes)
             .agg(
                 F.min(F.when(past, F.col("__lo"))).alias("__lo"),
