@@ -98,10 +98,7 @@ _TEXT_SQL = _squeezed_sql(
     )
 )
 _TITLE_SQL = _squeezed_sql(_decoded_sql(f"regexp_extract(html, {_quoted(TITLE)}, 1)"))
-_DAY_SQL = (
-    f"nullif(regexp_extract(html, {_quoted(PUBLISHED)}, 1) || "
-    f"regexp_extract(html, {_quoted(PUBLISHED)}, 2), '')"
-)
+_DAY_SQL = f"nullif(regexp_extract(html, {_quoted(PUBLISHED)}, 1), '')"
 
 
 @query(

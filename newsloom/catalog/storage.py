@@ -131,18 +131,6 @@ def response_files(spark, sf):
     )
 
 
-@query("SELECT n_name AS name, n_regionkey AS region FROM nation")
-def json_array_with_mark(spark, sf):
-    """A JSON array that begins with a byte-order mark."""
-    path = scratch_path(spark, "mark")
-    nation = table(spark, sf, "nation").select(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))
-    item = F.to_json(F.struct("name", "region"))
-    # One file of 25 rows, whatever the scale.
-    array = nation.agg(F.concat(F.lit("﻿["), F.array_join(F.collect_list(item), ","), F.lit("]")).alias("value"))
-    array.write.text(path)
-    return readers.read_json_array(spark, path, "name string, region int")
-
-
 @query("SELECT url AS line FROM pages")
 def text_lines(spark, sf):
     path = scratch_path(spark, "lines")
@@ -216,24 +204,27 @@ def run_ledger(spark, sf):
 
 
 @query(
-    """SELECT 'output' AS kind, user_id AS batch_id, count(*) AS n FROM events WHERE value > 5 GROUP BY ALL
+    """SELECT 'output' AS kind, user_id AS batch_id, 'c' || event_id AS line FROM events WHERE value > 5
        UNION ALL
-       SELECT 'error', user_id, count(*) FROM events WHERE event_type = 'error' GROUP BY ALL"""
+       SELECT 'error', user_id, 'failed ' || part FROM events, (VALUES (1), (2)) p (part)
+       WHERE event_type = 'error'"""
 )
 def saved_bodies(spark, sf):
+    """Outputs read back as responses, errors of two lines each as they are."""
+    line = F.to_json(F.struct(F.concat(F.lit("c"), F.col("event_id").cast("string")).alias("custom_id")))
     batches = table(spark, sf, "events").select(
         F.col("user_id").alias("batch_id"),
         F.lit("completed").alias("status"),
-        F.when(F.col("value") > 5, F.col("props")).otherwise(" ").alias("output"),
-        F.when(F.col("event_type") == "error", F.col("props")).alias("error"),
+        F.when(F.col("value") > 5, F.concat(line, F.lit("\n"))).otherwise(" ").alias("output"),
+        F.when(F.col("event_type") == "error", "failed 1\nfailed 2").alias("error"),
     )
     path = scratch_path(spark, "bodies")
     writers.write_saved_bodies(*tasks.split_saved(batches), path)
-    read = spark.read.schema("value string, kind string, batch_id bigint")
-    both = [
-        read.text(f"{path}/{kind}").withColumn("kind", F.lit(kind)) for kind in ("output", "error")
-    ]
-    return both[0].unionByName(both[1]).groupBy("kind", "batch_id").agg(F.count("*").alias("n"))
+    outputs = readers.read_saved_responses(spark, path, "bigint").select(
+        F.lit("output").alias("kind"), "batch_id", F.col("custom_id").alias("line")
+    )
+    errors = spark.read.schema("batch_id bigint, line string").parquet(f"{path}/error")
+    return outputs.unionByName(errors.withColumn("kind", F.lit("error")))
 
 
 @query(

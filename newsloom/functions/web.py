@@ -16,8 +16,7 @@ FURNITURE = (
 BLOCK_END = r"(?i)<(?:/(?:p|h[1-6]|li|div|tr|header|section|blockquote)|br\s*/?)>"
 TAG = r"<[^>]*>"
 PUBLISHED = (
-    r'(?is)<meta[^>]*published_time[^>]*content="(\d{4}-\d{2}-\d{2})'
-    r'|<time[^>]*datetime="(\d{4}-\d{2}-\d{2})'
+    r'(?is)<(?:meta[^>]*published_time[^>]*content|time[^>]*datetime)="(\d{4}-\d{2}-\d{2})'
 )
 # An error body in place of a page.
 ERROR_BODY = r'(?s)^\s*\{.*"code"\s*:\s*\d+'
@@ -74,8 +73,7 @@ def html_text(html: Column) -> Column:
 
 def html_published(html: Column) -> Column:
     """Publish day as text, null where the page states none."""
-    found = F.concat(F.regexp_extract(html, PUBLISHED, 1), F.regexp_extract(html, PUBLISHED, 2))
-    return F.when(found != "", found)
+    return F.nullif(F.regexp_extract(html, PUBLISHED, 1), F.lit(""))
 
 
 def page_links(page: Column) -> Column:

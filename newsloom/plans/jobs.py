@@ -34,6 +34,7 @@ from newsloom.operators.tasks import (
 from newsloom.operators.topics import assign_topics, project
 from newsloom.operators.validation import has_payload, validate
 from newsloom.schemas import CRAWLED, SEARCHED
+from newsloom.session import compute_once
 
 # Fixed value: what the validity task sees of an article.
 VALIDITY_CHARS = 2000
@@ -116,17 +117,17 @@ def read_content(relevant: DataFrame, pages: DataFrame, url: str = "url", html:
     joined = relevant.select("run_id", "article_id", "article_title", "article_url").join(
         pages.select(F.col(url).alias("article_url"), F.col(html).alias("html")), "article_url", "left"
     )
-    read = joined.select(
+    read = compute_once(joined, content=F.nullif(html_text(F.col("html")), F.lit(""))).select(
         "run_id",
         "article_id",
-        html_text(F.col("html")).alias("content"),
+        "content",
         F.col("article_title").alias("title"),
         html_published(F.col("html")).alias("publish_date"),
     )
-    rejected = read.where(~F.coalesce(has_payload("content"), F.lit(False))).select(
+    rejected = read.where(F.col("content").isNull()).select(
         "run_id", "article_id", F.lit("no content").alias("reject_reason")
     )
-    return Outcome(read.where(has_payload("content")), rejected)
+    return Outcome(read.where(F.col("content").isNotNull()), rejected)
 
 
 def keep_valid(content: DataFrame, run_id: str, task: Task, predictor: Predictor) -> Outcome:

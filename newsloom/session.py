@@ -3,7 +3,8 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -64,6 +65,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns that rows are filtered by afterwards.
+
+    A filter on a plain column expression is moved below it and evaluates it again, for
+    each mention. It stays above a generator, here one that gives one row per row.
+    """
+    fields = [column.alias(name) for name, column in columns.items()]
+    return df.select("*", F.inline(F.array(F.struct(*fields))))
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to a scratch table and read it back.
 

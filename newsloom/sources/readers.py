@@ -85,6 +85,12 @@ def read_responses(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     return good, lines.where(F.col(CORRUPT).isNotNull() & F.col("custom_id").isNull()).select(CORRUPT)
 
 
+def read_saved_responses(spark: SparkSession, path: str, batch_type: str = "string") -> DataFrame:
+    """Response lines of all saved batches, from the table of outputs."""
+    lines = spark.read.schema(f"batch_id {batch_type}, line string").parquet(f"{path}/output")
+    return lines.select("batch_id", F.from_json("line", TASK_RESPONSE).alias("r")).select("batch_id", "r.*")
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 

@@ -75,15 +75,13 @@ def write_request_files(requests: DataFrame, path: str, line: Column) -> None:
 
 
 def write_saved_bodies(outputs: DataFrame, errors: DataFrame, path: str) -> None:
-    """Outputs and errors of batches go to separate files, named by batch."""
+    """Lines of the outputs and of the errors of batches, in tables of their own.
+
+    The batch is a column, so that many small batches do not make as many files.
+    """
     for kind, bodies in (("output", outputs), ("error", errors)):
-        (
-            bodies.select("batch_id", F.col("body").alias("value"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .text(f"{path}/{kind}")
-        )
+        lines = bodies.select("batch_id", F.explode(F.split("body", "\n")).alias("line"))
+        lines.write.mode("overwrite").parquet(f"{path}/{kind}")
 
 
 def selection(frame: DataFrame, personas: Sequence[str], names: Mapping[str, str] = EXPORT_NAMES) -> DataFrame:
