@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from newsloom.catalog.registry import query, table
 from newsloom.functions.vectors import squared_l2
 from newsloom.operators import neighbours, topics
+from newsloom.session import store
 
 _CENTROID_SQL = """SELECT list(m ORDER BY i) AS q FROM (
     SELECT i, avg(CAST(v AS DOUBLE)) AS m
@@ -24,13 +25,15 @@ def _rounded(df):
 
 def _label_centroids(df):
     """One query vector per label: the mean of its vectors."""
-    return (
+    means = (
         df.select("label", F.posexplode("embedding").alias("i", "v"))
         .groupBy("label", "i")
         .agg(F.avg(F.col("v").cast("double")).alias("m"))
         .groupBy("label")
         .agg(F.sort_array(F.collect_list(F.struct("i", "m")))["m"].alias("q"))
     )
+    # Stored, so that the planner knows how few they are.
+    return store(means, "centroids")
 
 
 @query(

@@ -1,7 +1,7 @@
 """Built-in stand-ins for the models, as column expressions. A hosted model replaces them
 through `tasks.python_predictor`; answers keep the same form."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,6 +30,11 @@ MIN_CHARS = 200
 MIN_SENTENCES = 3
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)`, with `value` computed once however often it is used."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def words_only(text: Column) -> Column:
     """Lower-case words with one space before and after each."""
     return F.concat(
@@ -92,19 +97,22 @@ def relevance_predictor(
 ) -> Predictor:
     """Scores the texts of the article inside the request; the language is a constant."""
 
-    def content(request: Column) -> Column:
-        article = F.from_json(
-            request, "article_title string, article_info string, article_language string"
-        )
-        words = words_only(F.concat_ws(" ", article["article_title"], article["article_info"]))
+    def answer(article: Column) -> Column:
         known = F.when(article["article_language"].isin(*LANGUAGES), article["article_language"])
-        return F.to_json(
-            F.struct(
-                *[keyword_score(words, k).alias(p) for p, k in persona_keywords.items()],
-                F.coalesce(known, F.lit(language)).alias(LANGUAGE_KEY),
-            )
+        return bind(
+            words_only(F.concat_ws(" ", article["article_title"], article["article_info"])),
+            lambda words: F.to_json(
+                F.struct(
+                    *[keyword_score(words, k).alias(p) for p, k in persona_keywords.items()],
+                    F.coalesce(known, F.lit(language)).alias(LANGUAGE_KEY),
+                )
+            ),
         )
 
+    def content(request: Column) -> Column:
+        schema = "article_title string, article_info string, article_language string"
+        return bind(F.from_json(request, schema), answer)
+
     return expression_predictor(content, NAME)
 
 

@@ -173,10 +173,13 @@ def request_json(task: Task) -> Column:
 
 
 def python_predictor(
-    factory: Callable[[], Callable[[list[dict]], Iterable[str | None]]]
+    factory: Callable[[], Callable[[list[dict]], Iterable[str | None]]], concurrency: int | None = None
 ) -> Predictor:
     """A predictor from Python code, such as a client of a hosted model.
 
+    `concurrency` spreads the requests over that many tasks: more than the input has splits
+    where the model is slow and the table small, or fewer to spare the model.
+
     `factory` runs once per task on the executors and returns a function from a list of
     requests to as many answers. If it fails on a list, each of its requests is tried
     alone; one that still fails gives a row with the error. The parse functions store what
@@ -195,7 +198,10 @@ def python_predictor(
 
     def run(requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in requests.select(*keep).schema)
-        return requests.select(*REQUEST, *keep).mapInPandas(predict, RESPONSE + kept)
+        rows = requests.select(*REQUEST, *keep)
+        if concurrency:
+            rows = rows.repartition(concurrency, "custom_id")
+        return rows.mapInPandas(predict, RESPONSE + kept)
 
     return run
 

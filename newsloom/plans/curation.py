@@ -15,7 +15,7 @@ from newsloom.operators.batching import assign_batches
 from newsloom.operators.tasks import Predictor, Task, build_requests, request_json
 from newsloom.operators.topics import text_embedder
 from newsloom.plans import jobs
-from newsloom.session import store
+from newsloom.session import scratch_scope, store
 from newsloom.sources.readers import read_table
 from newsloom.sources.writers import append_ledger, write_request_files, write_run
 
@@ -101,7 +101,8 @@ def run_curation(
     start, failed, error = time.time(), None, None
     for name in names[names.index(resume) if resume else 0:]:
         try:
-            steps[name]()
+            with scratch_scope(ws.spark):
+                steps[name]()
         except Exception as e:
             failed, error = name, str(e)
             break

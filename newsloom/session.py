@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ DEFAULTS = {
 }
 
 _local_scratch: dict[str, str] = {}
+# Folders of the `scratch_scope`s that are open, the innermost last.
+_scopes: list[str] = []
 
 
 # Bytes that one task of an exchange should hold.
@@ -62,7 +66,21 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the scratch folder that nothing has used before."""
-    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    base = _scopes[-1] if _scopes else scratch_dir(spark)
+    return f"{base}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables stored inside are deleted at the end; their frames end with it."""
+    path = scratch_path(spark, "scope")
+    _scopes.append(path)
+    try:
+        yield
+    finally:
+        _scopes.remove(path)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
