@@ -98,12 +98,12 @@ def _closest(ids, vectors: np.ndarray, queries: np.ndarray, k: int) -> list[list
     step = max(1, (8 << 20) // len(vectors))
     for start in range(0, len(queries), step):
         part = queries[start:start + step]
-        rough = norms[:, None] - 2.0 * (vectors @ part.T)
+        rough = norms - 2.0 * (part @ vectors.T)
         kth = min(k, len(vectors)) - 1
-        limits = np.partition(rough, kth, axis=0)[kth]
+        limits = np.partition(rough, kth, axis=1)[:, kth]
         margins = slack + 1e-9 * np.einsum("ij,ij->i", part, part)
         for i, query in enumerate(part):
-            rows = np.flatnonzero(rough[:, i] <= limits[i] + margins[i])
+            rows = np.flatnonzero(rough[i] <= limits[i] + margins[i])
             gaps = vectors[rows] - query
             found = ids.take(pa.array(rows)).to_pylist()
             best.append(_ranked(found, np.einsum("ij,ij->i", gaps, gaps), k))
