@@ -127,7 +127,7 @@ def response_files(spark, sf):
     good, rejected = readers.read_responses(spark, path)
     none = F.lit(None).cast("string")
     return tasks.flatten_envelope(good).select("custom_id", "model", "content").unionByName(
-        rejected.select(none.alias("custom_id"), none.alias("model"), F.col(readers.CORRUPT).alias("content"))
+        rejected.select(none.alias("custom_id"), none.alias("model"), F.col("line").alias("content"))
     )
 
 

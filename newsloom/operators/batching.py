@@ -15,6 +15,8 @@ BATCH_ROWS = 200
 TOKEN_BUDGET = 8000
 # Rows that one task folds over.
 BLOCK_ROWS = 100_000
+# Blocks that one task chains.
+CHAIN_BLOCKS = 1_000
 
 PIECE = ["__from", "__to", "__slope", "__opens"]
 
@@ -38,6 +40,7 @@ def token_chunks(
     budget: int = TOKEN_BUDGET,
     count_opener: bool = False,
     block_rows: int = BLOCK_ROWS,
+    chain_blocks: int = CHAIN_BLOCKS,
 ) -> DataFrame:
     """Add `chunk_no`: rows of a group are taken in order, and a row that lifts the running
     token count over `budget` opens the next chunk.
@@ -48,8 +51,9 @@ def token_chunks(
 
     The fold is sequential, yet no task folds over a whole group. What a block of rows does
     to the running count is a function that falls into few pieces, since counts that pass
-    the budget at the same row go on alike. Blocks find their pieces in parallel, the
-    pieces are chained per group, and blocks number their rows in parallel.
+    the budget at the same row go on alike. Blocks find their pieces in parallel, stretches
+    of blocks join theirs to one function in parallel, the few stretches of a group are
+    chained, then the blocks of each stretch, and blocks number their rows in parallel.
     """
     keys = list(keys)
     placed = group_positions(df, keys, order_by, pos="__pos").withColumn(
@@ -71,15 +75,24 @@ def token_chunks(
         fresh = count_opener and pdf["__block"].iloc[0] == 0
         table = block_pieces(pdf["__tokens"].to_numpy(), budget, count_opener, fresh)
         table["__block"] = pdf["__block"].iloc[0]
+        return with_keys(table, pdf)
+
+    def with_keys(table: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
         for k in slim_keys:
             table[k] = pdf[k].iloc[0]
         return table
 
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        starts = chain_blocks(pdf)
-        for k in slim_keys:
-            starts[k] = pdf[k].iloc[0]
-        return starts
+    def join_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        table = join_pieces(pdf, "__block")
+        table["__stretch"] = pdf["__stretch"].iloc[0]
+        return with_keys(table, pdf)
+
+    def chain_stretches(pdf: pd.DataFrame) -> pd.DataFrame:
+        return with_keys(chain(pdf, "__stretch", 0, 0), pdf)
+
+    def chain_within(pdf: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        running, opened = int(start["__running"].iloc[0]), int(start["__opened"].iloc[0])
+        return with_keys(chain(pdf, "__block", running, opened), pdf)
 
     def number(pdf: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__pos")
@@ -95,8 +108,21 @@ def token_chunks(
         pieces, f"{key_ddl}__block bigint, __from bigint, __to bigint, __slope bigint, __opens bigint"
     )
     # One row per piece: a few dozen for each block of `block_rows` rows.
-    starts = per_block.groupBy(*slim_keys).applyInPandas(
-        chain, f"{key_ddl}__block bigint, __running bigint, __opened bigint"
+    per_block = store(
+        per_block.withColumn("__stretch", F.floor(F.col("__block") / chain_blocks).cast("bigint")),
+        "pieces",
+    )
+    stretch = [*slim_keys, "__stretch"]
+    joined = per_block.groupBy(*stretch).applyInPandas(
+        join_up, f"{key_ddl}__stretch bigint, __from bigint, __to bigint, __slope bigint, __opens bigint"
+    )
+    stretch_starts = joined.groupBy(*slim_keys).applyInPandas(
+        chain_stretches, f"{key_ddl}__stretch bigint, __running bigint, __opened bigint"
+    )
+    starts = (
+        per_block.groupBy(*stretch)
+        .cogroup(stretch_starts.groupBy(*stretch))
+        .applyInPandas(chain_within, f"{key_ddl}__block bigint, __running bigint, __opened bigint")
     )
     numbered = (
         slim.groupBy(*slim_keys, "__block")
@@ -174,16 +200,44 @@ def block_pieces(
     return pd.DataFrame(out, columns=PIECE)
 
 
-def chain_blocks(pieces: pd.DataFrame) -> pd.DataFrame:
-    """Running count and chunks opened before each block, from the blocks' pieces."""
-    running, opened, out = 0, 0, []
-    for block, table in pieces.sort_values(["__block", "__from"]).groupby("__block", sort=True):
-        out.append((block, running, opened))
-        at = int(np.searchsorted(table["__from"].to_numpy(), running, side="right")) - 1
-        piece = table.iloc[at]
-        running = int(piece["__to"]) + (running if piece["__slope"] else 0)
-        opened += int(piece["__opens"])
-    return pd.DataFrame(out, columns=["__block", "__running", "__opened"])
+def apply_piece(table: pd.DataFrame, running: int) -> tuple[int, int]:
+    """(running count after, chunks opened) of the function `table`, sorted by `__from`."""
+    at = int(np.searchsorted(table["__from"].to_numpy(), running, side="right")) - 1
+    _, to, slope, opens = (int(v) for v in table[PIECE].iloc[at])
+    return to + running * slope, opens
+
+
+def join_pieces(pieces: pd.DataFrame, part: str) -> pd.DataFrame:
+    """The pieces of all `part`s, one after the other, as one function."""
+    whole = [(0, 0, 1, 0)]
+    for _, table in pieces.sort_values([part, "__from"]).groupby(part, sort=True):
+        froms = table["__from"].to_numpy()
+        after = []
+        for n, (low, to, slope, opens) in enumerate(whole):
+            if not slope:
+                end, more = apply_piece(table, to)
+                after.append((low, end, 0, opens + more))
+                continue
+            # The start count passes on, shifted by `to`, and may meet several pieces.
+            high = whole[n + 1][0] + to if n + 1 < len(whole) else None
+            for i, (f, t, s, o) in enumerate(table[PIECE].to_numpy().tolist()):
+                following = froms[i + 1] if i + 1 < len(froms) else None
+                if (high is not None and f >= high) or (following is not None and following <= low + to):
+                    continue
+                after.append((max(low, f - to), t + (to if s else 0), s, opens + o))
+        # Neighbours that have come to the same result are one piece.
+        whole = [p for n, p in enumerate(after) if n == 0 or p[1:] != after[n - 1][1:]]
+    return pd.DataFrame(whole, columns=PIECE)
+
+
+def chain(pieces: pd.DataFrame, part: str, running: int, opened: int) -> pd.DataFrame:
+    """Running count and chunks opened before each `part`, from those before the first."""
+    out = []
+    for number, table in pieces.sort_values([part, "__from"]).groupby(part, sort=True):
+        out.append((number, running, opened))
+        running, opens = apply_piece(table, running)
+        opened += opens
+    return pd.DataFrame(out, columns=[part, "__running", "__opened"])
 
 
 def number_block(

@@ -23,6 +23,12 @@ from newsloom.session import store
 
 RESPONSE = "custom_id string, model string, content string, error string"
 
+# The names of the tasks, and of the forms their answers take.
+LINKS, LINKS_FORM = "source_parsing_v0", "ArticleLinksList"
+RELEVANCE, RELEVANCE_FORM = "relevance_check_v0", "ArticleRelevanceCheck"
+VALIDITY, VALIDITY_FORM = "content_validation_v0", "ArticleContentValidity"
+SUMMARY = "article_summarization_v0"
+
 # Texts that one embedding call may hold.
 MAX_CALL_TEXTS = 2048
 
@@ -79,7 +85,7 @@ def link_task(model: str) -> Task:
         {"title": text, "url": text, "keywords": {"type": "array", "items": text}, "language": text}
     )
     return Task(
-        "source_parsing_v0",
+        LINKS,
         model,
         "List the articles this page links to, each with title, url, keywords and language. "
         "Use only what the page says. If it links to none, as an error page does, return an empty list.",
@@ -87,7 +93,7 @@ def link_task(model: str) -> Task:
             {"article_links_list": {"type": "array", "items": {"$ref": "#/$defs/article_link"}}},
             **{"$defs": {"article_link": link}},
         ),
-        "ArticleLinksList",
+        LINKS_FORM,
         escape=True,
     )
 
@@ -101,32 +107,32 @@ def relevance_task(model: str, personas: Sequence[tuple[str, str]]) -> Task:
     }
     properties[LANGUAGE_KEY] = {"type": "string", "enum": list(LANGUAGES)}
     return Task(
-        "relevance_check_v0",
+        RELEVANCE,
         model,
         "Score how useful the article is to each of these people: 0 for not at all or only of "
         "local interest elsewhere, 1 for somewhat, 2 for highly and of national or wider scope.\n"
         f"{reference}\nAnswer with one score per person and the language of the article.",
         _closed_object(properties),
-        "ArticleRelevanceCheck",
+        RELEVANCE_FORM,
         escape=True,
     )
 
 
 def validity_task(model: str) -> Task:
     return Task(
-        "content_validation_v0",
+        VALIDITY,
         model,
         "Say whether the text is the body of an article, whole or in part (true), or something "
         "else, such as a paywall or login notice, an error message or boilerplate (false).",
         _closed_object({"validity": {"type": "boolean"}}),
-        "ArticleContentValidity",
+        VALIDITY_FORM,
         temperature=0.0,
     )
 
 
 def summary_task(model: str) -> Task:
     return Task(
-        "article_summarization_v0",
+        SUMMARY,
         model,
         "Summarise the article in 3 to 8 sentences of plain, neutral English, whatever its "
         "language: the main idea, the key finding, and why it matters to people in business.",

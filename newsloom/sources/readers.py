@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from newsloom.functions.scores import any_relevant
 from newsloom.schemas import TASK_RESPONSE
+from newsloom.session import compute_once
 
 CORRUPT = "_corrupt_record"
 
@@ -74,15 +75,19 @@ def read_json_runs(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_responses(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(response lines, lines that are not JSON) of all JSONL files of a task.
-
-    The first is a plain JSON scan; bad lines come out of it as rows without custom_id.
-    """
-    lines = spark.read.schema(f"{TASK_RESPONSE}, {CORRUPT} string").json(
-        path, columnNameOfCorruptRecord=CORRUPT
+    """(response lines, lines that are no such JSON) of all JSONL files of a task."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed = compute_once(
+        lines,
+        r=F.from_json(
+            "value", f"{TASK_RESPONSE}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}
+        ),
+    )
+    bad = F.col(f"r.{CORRUPT}").isNotNull()
+    return (
+        parsed.where(~bad).select("r.custom_id", "r.response"),
+        parsed.where(bad).select(F.col("value").alias("line")),
     )
-    good = spark.read.schema(TASK_RESPONSE).json(path, mode="DROPMALFORMED")
-    return good, lines.where(F.col(CORRUPT).isNotNull() & F.col("custom_id").isNull()).select(CORRUPT)
 
 
 def read_saved_responses(spark: SparkSession, path: str, batch_type: str = "string") -> DataFrame:

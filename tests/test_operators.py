@@ -81,9 +81,10 @@ def test_fold_by_hand():
     st.lists(st.integers(0, 60), min_size=1, max_size=60),
     st.sampled_from([1, 10, 50]),
     st.integers(1, 15),
+    st.integers(1, 4),
     st.booleans(),
 )
-def test_blocks_chain_like_the_fold(tokens, budget, block, count_opener):
+def test_blocks_chain_like_the_fold(tokens, budget, block, stretch, count_opener):
     import pandas as pd
 
     blocks = [np.array(tokens[k:k + block]) for k in range(0, len(tokens), block)]
@@ -91,7 +92,19 @@ def test_blocks_chain_like_the_fold(tokens, budget, block, count_opener):
     for n, part in enumerate(blocks):
         table = batching.block_pieces(part, budget, count_opener, count_opener and n == 0)
         pieces.append(table.assign(__block=n))
-    starts = batching.chain_blocks(pd.concat(pieces))
+    pieces = pd.concat(pieces)
+    starts = batching.chain(pieces, "__block", 0, 0)
+    # The same by stretches of blocks.
+    pieces["__stretch"] = pieces["__block"] // stretch
+    joined = [
+        batching.join_pieces(p, "__block").assign(__stretch=n) for n, p in pieces.groupby("__stretch")
+    ]
+    before = batching.chain(pd.concat(joined), "__stretch", 0, 0)
+    by_stretch = [
+        batching.chain(p, "__block", before["__running"].iloc[n], before["__opened"].iloc[n])
+        for n, p in pieces.groupby("__stretch")
+    ]
+    assert pd.concat(by_stretch).values.tolist() == starts.values.tolist()
     found = []
     for n, part in enumerate(blocks):
         opened = starts["__opened"].iloc[n]
@@ -110,7 +123,7 @@ def test_token_chunks(spark, count_opener):
     for run in ("hot", "b", None):
         group = [r for r in data if r[0] == run]
         want |= {(*r, c) for r, c in zip(group, fold([r[2] for r in group], 8000, count_opener))}
-    found = batching.token_chunks(df, ["run"], ["i"], count_opener=count_opener, block_rows=37)
+    found = batching.token_chunks(df, ["run"], ["i"], count_opener=count_opener, block_rows=37, chain_blocks=3)
     assert {tuple(r) for r in found.collect()} == want
 
 

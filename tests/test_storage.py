@@ -63,11 +63,13 @@ def test_writes_replace_their_run_only(spark, tmp_path):
 
 def test_bad_response_lines_are_set_aside(spark, tmp_path):
     line = {"custom_id": "R--t--a", "response": {"body": {"model": "m", "choices": [{"message": {"content": "x"}}]}}}
-    write(tmp_path / "R--t_OUTPUT_0.jsonl", json.dumps(line) + "\n{broken\n")
+    write(tmp_path / "R--t_OUTPUT_0.jsonl", json.dumps(line) + "\n{broken\n\n")
     write(tmp_path / "R--t_OUTPUT_1.jsonl", json.dumps({**line, "custom_id": "R--t--b", "more": 1}) + "\n")
+    other = json.dumps({"custom_id": "R--t--c", "response": "text"})
+    write(tmp_path / "R--t_OUTPUT_2.jsonl", other + "\n")
     good, bad = readers.read_responses(spark, str(tmp_path))
     assert [r[0] for r in rows(good.select("custom_id"))] == ["R--t--a", "R--t--b"]
-    assert rows(bad) == [("{broken",)]
+    assert rows(bad) == sorted([("{broken",), (other,)], key=repr)
 
 
 def test_both_forms_of_relevance(spark, tmp_path):
