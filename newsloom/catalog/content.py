@@ -7,6 +7,7 @@ from newsloom.functions.text import SENTENCE, token_count
 from newsloom.functions.web import (
     BLOCK_END,
     ENTITIES,
+    ERROR_BODY,
     FURNITURE,
     HTML_LINK,
     MARKDOWN_LINK,
@@ -144,7 +145,7 @@ def _valid_sql(text):
     notices = " OR ".join(f"contains(lower({text}), '{n}')" for n in baselines.NOTICES)
     return (
         f"(length({text}) >= 200 AND len(regexp_extract_all({text}, {_quoted(SENTENCE)})) >= 3 "
-        f"AND NOT ({notices}))"
+        f"AND NOT ({notices}) AND NOT regexp_matches({text}, {_quoted(ERROR_BODY)}))"
     )
 
 

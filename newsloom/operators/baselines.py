@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.scores import LANGUAGE_KEY, LANGUAGES
 from newsloom.functions.text import SENTENCE, sentences
-from newsloom.functions.web import page_links
+from newsloom.functions.web import ERROR_BODY, page_links
 from newsloom.operators.tasks import Predictor, expression_predictor
 
 NAME = "baseline"
@@ -60,13 +60,14 @@ def keyword_scores(text: Column, persona_keywords: Mapping[str, Sequence[str]])
 
 
 def is_article(text: Column) -> Column:
-    """Long enough, of several sentences, and not a notice."""
+    """Long enough, of several sentences, and neither an error body nor a notice."""
     lowered = F.lower(text)
     notice = F.lit(False)
     for phrase in NOTICES:
         notice = notice | F.contains(lowered, F.lit(phrase))
     return (
         (F.length(text) >= MIN_CHARS) & (F.regexp_count(text, F.lit(SENTENCE)) >= MIN_SENTENCES) & ~notice
+        & ~text.rlike(ERROR_BODY)
     )
 
 

@@ -34,7 +34,7 @@ from newsloom.operators.tasks import (
 from newsloom.operators.topics import assign_topics, project
 from newsloom.operators.validation import has_payload, validate
 from newsloom.schemas import CRAWLED, SEARCHED
-from newsloom.session import compute_once
+from newsloom.session import compute_once, store
 
 # Fixed value: what the validity task sees of an article.
 VALIDITY_CHARS = 2000
@@ -113,21 +113,28 @@ def score_articles(
 
 
 def read_content(relevant: DataFrame, pages: DataFrame, url: str = "url", html: str = "html") -> Outcome:
-    """Text and publish day of the relevant articles, from their downloaded pages."""
-    joined = relevant.select("run_id", "article_id", "article_title", "article_url").join(
-        pages.select(F.col(url).alias("article_url"), F.col(html).alias("html")), "article_url", "left"
+    """Text and publish day of the relevant articles, from their downloaded pages.
+
+    The few articles go to the many pages: the planner broadcasts them while they are small,
+    and no page without an article is exchanged or parsed.
+    """
+    wanted = relevant.select("run_id", "article_id", "article_title", "article_url")
+    found = pages.select(F.col(url).alias("article_url"), F.col(html).alias("html")).join(
+        wanted, "article_url"
     )
-    read = compute_once(joined, content=F.nullif(html_text(F.col("html")), F.lit(""))).select(
+    read = compute_once(found, content=F.nullif(html_text(F.col("html")), F.lit(""))).select(
         "run_id",
         "article_id",
         "content",
         F.col("article_title").alias("title"),
         html_published(F.col("html")).alias("publish_date"),
     )
-    rejected = read.where(F.col("content").isNull()).select(
+    # Read from both sides; pages are parsed once.
+    content = store(read.where(F.col("content").isNotNull()), "content")
+    rejected = wanted.join(content, ["run_id", "article_id"], "left_anti").select(
         "run_id", "article_id", F.lit("no content").alias("reject_reason")
     )
-    return Outcome(read.where(F.col("content").isNotNull()), rejected)
+    return Outcome(content, rejected)
 
 
 def keep_valid(content: DataFrame, run_id: str, task: Task, predictor: Predictor) -> Outcome:

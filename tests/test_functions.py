@@ -155,9 +155,10 @@ def test_keyword_scores(spark):
 
 def test_validity_rules(spark):
     sentence = "This is a sentence of an article that goes on for a while. "
-    texts = [sentence * 5, sentence, "a" * 300, sentence * 5 + "Subscribe to continue reading.", None, ""]
+    error = '{"data": null, "code": 451, "message": "' + sentence * 5 + '"}'
+    texts = [error, sentence * 5, sentence, "a" * 300, sentence * 5 + "Subscribe to continue reading.", None, ""]
     found = each(spark, baselines.is_article(F.col("x")), texts)
-    assert found == [True, False, False, False, None, False]
+    assert found == [False, True, False, False, False, None, False]
 
 
 def test_lead_summary(spark):

@@ -412,3 +412,13 @@ def test_prompts(spark):
 def test_call_to_action_is_in_about_half(spark):
     chosen = spark.range(2000).where(posts.coin(F.col("id"), 3)).count()
     assert 850 < chosen < 1150
+
+
+def test_article_message_is_json(spark):
+    import json
+
+    df = spark.createDataFrame([("s", 'T "1"', None)], "source_name string, article_title string, summary string")
+    message = df.select(posts.article_user_message(*df.columns).alias("m")).first()["m"]
+    head, _, body = message.partition("\n\n")
+    assert head == "The article:"
+    assert json.loads(body) == {"source_name": "s", "article_title": 'T "1"', "summary": None}
