@@ -2,9 +2,11 @@
 
 usage: python -m newsloom --workspace DIR --personas personas.json --keywords keywords.json
                           [--runid RUNID_7] [--resume_step STEP] [--run_location NAME]
+                          [--pages pages.json] [--hits hits.json]
 
 Without --runid it names the last run and its status. personas.json is a list of objects with
-name and role; keywords.json maps a name to a list of keywords.
+name and role; keywords.json maps a name to a list of keywords. --pages and --hits take in the
+run's crawled pages and search hits, each a JSON array.
 """
 
 import argparse
@@ -28,6 +30,8 @@ def main() -> int:
     parser.add_argument("--runid")
     parser.add_argument("--resume_step")
     parser.add_argument("--run_location", default="local")
+    parser.add_argument("--pages")
+    parser.add_argument("--hits")
     args = parser.parse_args()
 
     spark = build_session()
@@ -46,6 +50,10 @@ def main() -> int:
     ]
     with open(args.keywords, encoding="utf-8-sig") as f:
         keywords = json.load(f)
+    if args.pages:
+        ws.ingest("source_raw_content", args.pages, schemas.SOURCE_RAW_CONTENT, args.runid)
+    if args.hits:
+        ws.ingest("search_hits", args.hits, schemas.SEARCH_HITS, args.runid)
     status = curation.run_curation(
         ws,
         args.runid,

@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 
 # Bytes of query vectors that may be sent to every task.
 MAX_QUERY_BYTES = 64 << 20
-# Query and corpus rows compared in one task beyond that.
-QUERY_BLOCK = 2_000
-CORPUS_BLOCK = 200_000
+# Bytes of query and of corpus vectors that meet in one task beyond that.
+QUERY_BLOCK_BYTES = 64 << 20
+CORPUS_BLOCK_BYTES = 128 << 20
 
 
 def centroid(df: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -51,12 +51,12 @@ def nearest(
     query_vector = query_vector or vector
     queries = queries.select(
         F.col(query_id).alias("__qid"), F.col(query_vector).cast("array<double>").alias("__q")
-    )
+    ).where(F.col("__q").isNotNull())
     corpus = corpus.select(F.col(id_col).alias("__id"), F.col(vector).alias("__v")).where(
         F.col("__v").isNotNull()
     )
     # Counts first, so that no more than the allowed bytes ever reach the driver.
-    size = queries.agg(F.sum(F.size("__q") * 8).alias("bytes")).first()["bytes"] or 0
+    size = _vector_bytes(queries, "__q")
     schema = T.StructType(
         [queries.schema["__qid"], corpus.schema["__id"], T.StructField("distance", T.DoubleType())]
     )
@@ -73,6 +73,11 @@ def nearest(
     )
 
 
+def _vector_bytes(df: DataFrame, vector: str) -> int:
+    """Bytes of all vectors in double precision."""
+    return df.agg(F.sum(F.size(vector).cast("bigint") * 8).alias("bytes")).first()["bytes"] or 0
+
+
 def _matrix(column) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -137,12 +142,14 @@ def _candidates(found, schema: T.StructType) -> pa.RecordBatch:
 
 
 def _nearest_by_block(corpus: DataFrame, queries: DataFrame, k: int, schema: T.StructType) -> DataFrame:
-    """Compare each block of queries with each block of the corpus in a task of its own."""
+    """Compare each block of queries with each block of the corpus in a task of its own.
 
-    def blocks(df: DataFrame, rows: int) -> int:
-        return max(1, -(-df.count() // rows))
+    Every vector is exchanged once for each block of the other side, so blocks are as large
+    as a task can hold.
+    """
 
-    n_q, n_c = blocks(queries, QUERY_BLOCK), blocks(corpus, CORPUS_BLOCK)
+    n_q = max(1, -(-_vector_bytes(queries, "__q") // QUERY_BLOCK_BYTES))
+    n_c = max(1, -(-_vector_bytes(corpus, "__v") // CORPUS_BLOCK_BYTES))
     left = queries.withColumn("__qb", F.pmod(F.xxhash64("__qid"), F.lit(n_q))).withColumn(
         "__cb", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1)))
     )

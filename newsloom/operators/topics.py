@@ -19,6 +19,11 @@ def assign_topics(
     df: DataFrame, vector: str = "embedding", k: int = TOPICS, seed: int = SEED, topic: str = "topic"
 ) -> DataFrame:
     """Add the k-means cluster of each row's vector. Labels are arbitrary numbers below k."""
+    digest = F.xxhash64(vector)
+    ends = df.agg(F.min(digest).alias("low"), F.max(digest).alias("high")).first()
+    if ends["low"] == ends["high"]:
+        # MLlib does not cluster rows that are all the same, or none.
+        return df.withColumn(topic, F.lit(0))
     features = df.withColumn("__features", array_to_vector(F.col(vector)))
     model = KMeans(k=k, seed=seed, featuresCol="__features", predictionCol=topic).fit(
         features.select("__features")

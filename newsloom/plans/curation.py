@@ -16,7 +16,7 @@ from newsloom.operators.tasks import Predictor, Task, build_requests, request_js
 from newsloom.operators.topics import text_embedder
 from newsloom.plans import jobs
 from newsloom.session import scratch_scope, store
-from newsloom.sources.readers import read_table
+from newsloom.sources.readers import read_json_array, read_table
 from newsloom.sources.writers import append_ledger, write_request_files, write_run
 
 RUN = ", run_id string"
@@ -30,6 +30,9 @@ class Models:
     relevance: tuple[Task, Predictor]
     validity: tuple[Task, Predictor]
     summary: tuple[Task, Predictor]
+    # Name and factory of a hosted embedder, as `tasks.embed_calls` takes it; without one,
+    # summaries become hashed word counts of `dimensions`.
+    embedder: tuple[str, Callable] | None = None
     dimensions: int = 256
 
 
@@ -59,6 +62,11 @@ class Workspace:
     def write(self, table: str, df: DataFrame) -> None:
         write_run(df, self.location(table))
 
+    def ingest(self, table: str, path: str, schema: str, run_id: str) -> None:
+        """Take in a run's JSON array; `ord` keeps the order of its records."""
+        rows = read_json_array(self.spark, path, schema, ordinal=True)
+        self.write(table, rows.withColumn("run_id", F.lit(run_id)))
+
     def write_outcome(self, table: str, outcome: jobs.Outcome, run_id: str) -> None:
         self.write(table, outcome.table.withColumn("run_id", F.lit(run_id)))
         rejected = outcome.rejected
@@ -179,5 +187,21 @@ def _summaries(ws: Workspace, run_id: str, models: Models) -> None:
 
 def _embeddings(ws: Workspace, run_id: str, models: Models) -> None:
     summaries = ws.read("summaries", schemas.SUMMARIES, run_id)
+    if models.embedder:
+        name, factory = models.embedder
+        calls = jobs.embedding_calls(summaries).drop("token_count")
+        # Read from both sides; the model must answer only once.
+        answers = store(
+            tasks.embed_calls(
+                summaries.join(calls, ["run_id", "article_id"]), factory, name
+            ),
+            "embeddings",
+        )
+        failed = answers.where(F.col("error").isNotNull()).select(
+            "article_id", F.concat(F.lit("model error: "), "error").alias("reject_reason")
+        )
+        done = answers.where(F.col("error").isNull()).drop("error")
+        ws.write_outcome("embeddings", jobs.Outcome(done, failed), run_id)
+        return
     embed = text_embedder(dimensions=models.dimensions)
     ws.write("embeddings", jobs.embed_summaries(summaries, embed, f"hashed-{models.dimensions}"))

@@ -1,5 +1,7 @@
 """A run over a workspace, from landed pages to embeddings."""
 
+import json
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -105,11 +107,32 @@ def test_two_runs(spark, ws):
     assert frame.count() == 3
     assert {(r["ANA"], r["LUC"]) for r in frame.collect()} == {(2, 0), (0, 2), (1, 2)}
     assert jobs.central_articles(frame, 2).count() == 2
+    assert {"topic", "x", "y", "z"} <= set(jobs.topics_and_map(frame).columns)
     queries = frame.select(F.col("article_id").alias("query_id"), F.col("summary_embedding").alias("query"))
     nearest = jobs.search(frame, queries, 1).collect()
     assert all(r["distance"] == 0 for r in nearest)
 
 
+def test_ingest_and_hosted_embedder(spark, ws, tmp_path):
+    hits = [
+        {"persona": p, "query": "datos", "date": "2025-01-01", "title": t, "body": "marca publicidad",
+         "url": "https://b.com/1", "image": "i", "source": "B"}
+        for p, t in (("LUC", None), ("ANA", "Uno"), ("LUC", "Dos"))
+    ]
+    (tmp_path / "hits.json").write_text(json.dumps(hits), encoding="utf-8")
+    (tmp_path / "pages.json").write_text("[]", encoding="utf-8")
+    ws.ingest("search_hits", str(tmp_path / "hits.json"), schemas.SEARCH_HITS, "RUNID_3")
+    land(ws, "RUNID_3", [("site", page([("Datos e inteligencia", "https://a.com/1")]))])
+    models = curation.baseline_models(PERSONAS, KEYWORDS)
+    models.embedder = ("lengths", lambda: lambda texts: [[float(len(t)), 1.0] for t in texts])
+    assert curation.run_curation(ws, "RUNID_3", NAMES, models) == "success"
+    article = ws.read("raw_articles_searched", schemas.RAW_ARTICLES_SEARCHED, "RUNID_3").first()
+    assert (article["article_title"], article["query_original_personas"]) == ("Uno", ["LUC", "ANA", "LUC"])
+    found = ws.read("embeddings", schemas.EMBEDDINGS, "RUNID_3").collect()
+    assert len(found) == 2 and {r["embedding_model"] for r in found} == {"lengths"}
+    assert all(r["summary_embedding"][1] == 1.0 for r in found)
+
+
 def test_a_failed_step_is_recorded(spark, ws):
     assert run(ws, "RUNID_5", resume="relevance") == "failed"
     row = spark.read.schema(schemas.RUNS_METADATA).parquet(ws.location("runs_metadata")).first()

@@ -328,8 +328,8 @@ def nearest_by_hand(corpus, queries, k):
 @pytest.mark.parametrize("limit", [0, 64 << 20])
 def test_nearest(spark, limit, monkeypatch):
     """Copies of one vector make many ties; the lower ids win."""
-    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 3)
-    monkeypatch.setattr(neighbours, "CORPUS_BLOCK", 50)
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK_BYTES", 3 * 8 * 8)
+    monkeypatch.setattr(neighbours, "CORPUS_BLOCK_BYTES", 50 * 8 * 8)
     rnd = np.random.default_rng(0)
     base = rnd.integers(-3, 4, (60, 8)).astype(np.float32)
     corpus = [(f"a{i:03d}", base[i % 60 if i % 3 else 0]) for i in range(180)]
@@ -356,6 +356,15 @@ def test_topics(spark):
     assert len({(r["id"] % 4, r["topic"]) for r in found}) == 4
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 3])
+def test_topics_of_few_different_rows(spark, n):
+    df = spark.createDataFrame(
+        [(i, [float(i % n), 1.0]) for i in range(6 if n else 0)], "id int, embedding array<float>"
+    )
+    found = topics.assign_topics(df).collect()
+    assert len({(r["id"] % n, r["topic"]) for r in found}) == n
+
+
 def test_projection(spark):
     rnd = np.random.default_rng(2)
     points = rnd.normal(5, 1, (100, 6)) * np.array([9, 5, 3, 1, 0.5, 0.1])
