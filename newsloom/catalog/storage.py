@@ -234,11 +234,11 @@ def saved_bodies(spark, sf):
            AND a.source_name IS NOT DISTINCT FROM b.source_name AND b.run_id < a.run_id)"""
 )
 def incremental_dedupe(spark, sf):
-    """All runs land as files and go through the stream, in several batches."""
+    """All runs land as files, two at a time, and go through the stream."""
     landing, output = scratch_path(spark, "landing"), scratch_path(spark, "stream")
     rows = articles(spark, sf).select("doc_id", "run_id", "article_title", "source_name")
-    for run in ("RUNID_0", "RUNID_1", "RUNID_2", "RUNID_3"):
-        rows.where(F.col("run_id") == run).write.mode("append").parquet(landing)
+    for runs in (("RUNID_0", "RUNID_1"), ("RUNID_2", "RUNID_3")):
+        rows.where(F.col("run_id").isin(*runs)).write.mode("append").parquet(landing)
         dedupe_landing(
             spark, landing, "doc_id bigint, run_id string, article_title string, source_name string",
             output, f"{output}/_progress",

@@ -1,13 +1,13 @@
 """Built-in stand-ins for the models, as column expressions. A hosted model replaces them
 through `tasks.python_predictor`; answers keep the same form."""
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newsloom.functions.scores import LANGUAGE_KEY, LANGUAGES
-from newsloom.functions.text import SENTENCE, sentences
+from newsloom.functions.text import SENTENCE, bind, sentences
 from newsloom.functions.web import ERROR_BODY, page_links
 from newsloom.operators.tasks import Predictor, expression_predictor
 
@@ -30,11 +30,6 @@ MIN_CHARS = 200
 MIN_SENTENCES = 3
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use(value)`, with `value` computed once however often it is used."""
-    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
-
-
 def words_only(text: Column) -> Column:
     """Lower-case words with one space before and after each."""
     return F.concat(

@@ -17,7 +17,7 @@ from newsloom.functions.scores import (
     contract_error,
     without_language,
 )
-from newsloom.functions.text import composite_key, escape_newlines, split_key
+from newsloom.functions.text import bind, composite_key, escape_newlines, split_key
 from newsloom.operators.validation import REASON
 from newsloom.session import store
 
@@ -367,12 +367,18 @@ def parse_links(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def parse_relevance(responses: DataFrame, personas: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(outputs with the `relevance` map, answers that break the contract)."""
-    answer = F.col("answer")
+    answer = bind(
+        F.from_json("content", "map<string,string>"),
+        lambda found: F.struct(
+            without_language(found).alias("scores"), answer_language(found).alias("language")
+        ),
+    )
+    scores, language = F.col("answer.scores"), F.col("answer.language")
     good, rejected = _parse(
         responses,
-        F.from_json("content", "map<string,string>"),
-        F.when(F.col("answer").isNull(), "content is not JSON").otherwise(
-            contract_error(without_language(answer), answer_language(answer), personas)
+        answer,
+        F.when(scores.isNull(), "content is not JSON").otherwise(
+            contract_error(scores, language, personas)
         ),
     )
     return (
@@ -381,8 +387,8 @@ def parse_relevance(responses: DataFrame, personas: Sequence[str]) -> tuple[Data
             "key.run_id",
             "key.task_name",
             F.col("key.item_id").alias("article_id"),
-            without_language(answer).alias("relevance"),
-            answer_language(answer).alias("article_language"),
+            scores.alias("relevance"),
+            language.alias("article_language"),
         ),
         rejected,
     )
