@@ -73,7 +73,8 @@ def deleted_content(spark, sf):
         F.col("doc_id").alias("article_id"),
         (F.col("quality") == 1).alias("validity"),
     )
-    writers.delete_invalid(stored, verdicts, path)
+    for run in ("RUNID_0", "RUNID_1", "RUNID_2", "RUNID_3"):
+        writers.delete_invalid(stored, verdicts, path, run)
     return readers.read_table(spark, path, schema)
 
 

@@ -17,7 +17,7 @@ from newsloom.operators.topics import text_embedder
 from newsloom.plans import jobs
 from newsloom.session import scratch_scope, store
 from newsloom.sources.readers import read_json_array, read_table
-from newsloom.sources.writers import append_ledger, write_request_files, write_run
+from newsloom.sources.writers import append_ledger, replace_run, write_request_files, write_run
 
 RUN = ", run_id string"
 
@@ -59,21 +59,21 @@ class Workspace:
     def read(self, table: str, schema: str, run_id: str | None = None, required: bool = True) -> DataFrame:
         return read_table(self.spark, self.location(table), schema, run_id, required)
 
-    def write(self, table: str, df: DataFrame) -> None:
-        write_run(df, self.location(table))
+    def write(self, table: str, df: DataFrame, run_id: str) -> None:
+        """Replace the run's rows."""
+        replace_run(df, self.location(table), run_id)
 
     def ingest(self, table: str, path: str, schema: str, run_id: str) -> None:
         """Take in a run's JSON array; `ord` keeps the order of its records."""
         rows = read_json_array(self.spark, path, schema, ordinal=True)
-        self.write(table, rows.withColumn("run_id", F.lit(run_id)))
+        self.write(table, rows, run_id)
 
     def write_outcome(self, table: str, outcome: jobs.Outcome, run_id: str) -> None:
-        self.write(table, outcome.table.withColumn("run_id", F.lit(run_id)))
+        self.write(table, outcome.table, run_id)
         rejected = outcome.rejected
         context = F.to_json(F.struct(*[c for c in rejected.columns if c != "reject_reason"]))
         self.write(
-            f"{table}_rejected",
-            rejected.select("reject_reason", context.alias("record"), F.lit(run_id).alias("run_id")),
+            f"{table}_rejected", rejected.select("reject_reason", context.alias("record")), run_id
         )
 
 
@@ -159,8 +159,9 @@ def _dedupe(ws: Workspace, run_id: str) -> None:
     crawled = ws.read("raw_articles_crawled", schemas.RAW_ARTICLES_CRAWLED, run_id)
     history = ws.read("raw_articles", schemas.RAW_ARTICLES, required=False)
     fresh = jobs.combine_and_dedupe(searched, crawled, history)
-    # The table that is read as history is also the one written.
-    ws.write("raw_articles", store(fresh, "fresh"))
+    # The table that is read as history is also the one written. Without new articles the
+    # run keeps what it had.
+    write_run(store(fresh, "fresh"), ws.location("raw_articles"))
 
 
 def _relevance(ws: Workspace, run_id: str, models: Models, personas: Sequence[str]) -> None:
@@ -204,4 +205,5 @@ def _embeddings(ws: Workspace, run_id: str, models: Models) -> None:
         ws.write_outcome("embeddings", jobs.Outcome(done, failed), run_id)
         return
     embed = text_embedder(dimensions=models.dimensions)
-    ws.write("embeddings", jobs.embed_summaries(summaries, embed, f"hashed-{models.dimensions}"))
+    embedded = jobs.embed_summaries(summaries, embed, f"hashed-{models.dimensions}")
+    ws.write("embeddings", embedded, run_id)

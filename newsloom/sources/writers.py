@@ -1,5 +1,6 @@
 """Sinks. All writes of a run can be repeated and give the same table."""
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,13 @@ EXPORT_NAMES = {
 }
 
 
+def replace_run(df: DataFrame, path: str, run_id: str) -> None:
+    """Overwrite one run with `df`, also if that is empty, and leave the others."""
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"run id {run_id!r} cannot name a folder")
+    df.drop("run_id").write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+
+
 def write_run(df: DataFrame, path: str) -> None:
     """Overwrite the runs that `df` holds and leave the others. An empty `df` changes nothing."""
     (
@@ -46,9 +54,10 @@ def upsert_run(
     write_run(store(kept.unionByName(fresh.select(*kept.columns)), "upsert"), path)
 
 
-def delete_invalid(stored: DataFrame, verdicts: DataFrame, path: str) -> None:
-    """Remove the content of one run that was judged false."""
-    write_run(store(drop_invalid(stored, verdicts), "valid"), path)
+def delete_invalid(stored: DataFrame, verdicts: DataFrame, path: str, run_id: str) -> None:
+    """Remove the content of one run that was judged false; `stored` is read from `path`."""
+    run = stored.where(F.col("run_id") == run_id)
+    replace_run(store(drop_invalid(run, verdicts), "valid"), path, run_id)
 
 
 def append_ledger(df: DataFrame, path: str) -> None:

@@ -97,8 +97,15 @@ def test_two_runs(spark, ws):
     assert run(ws, "RUNID_1", resume="dedupe") == "success"
     assert rows(ws.read("raw_articles", schemas.RAW_ARTICLES, "RUNID_1").select("article_id")) == ids
 
+    # Scores that make nothing relevant leave nothing of the run behind.
+    none = curation.baseline_models(PERSONAS, {"ANA": [], "LUC": []})
+    assert curation.run_curation(ws, "RUNID_2", NAMES, none, resume="relevance") == "success"
+    assert titles(ws, "relevant_articles", schemas.RELEVANT_ARTICLES, "RUNID_2") == []
+    assert ws.read("embeddings", schemas.EMBEDDINGS, "RUNID_2").count() == 0
+    assert run(ws, "RUNID_2", resume="relevance") == "success"
+
     ledger = spark.read.schema(schemas.RUNS_METADATA).parquet(ws.location("runs_metadata"))
-    assert rows(ledger.select("RUNID", "status")) == [("RUNID_1", "success"), ("RUNID_1", "success"), ("RUNID_2", "success")]
+    assert rows(ledger.select("RUNID", "status")) == [("RUNID_1", "success")] * 2 + [("RUNID_2", "success")] * 3
 
     frame = jobs.analyse(
         ws.read("embeddings", schemas.EMBEDDINGS), ws.read("relevant_articles", schemas.RELEVANT_ARTICLES),

@@ -61,6 +61,19 @@ def test_writes_replace_their_run_only(spark, tmp_path):
     assert rows(readers.read_table(spark, path, "id string")) == [("b", "R2"), ("c", "R1")]
 
 
+def test_a_run_can_become_empty(spark, tmp_path):
+    path, rows_ = str(tmp_path / "t"), "article_id string, run_id string"
+    writers.write_run(spark.createDataFrame([("a", "R1"), ("b", "R1"), ("b", "R2")], rows_), path)
+    stored = readers.read_table(spark, path, "article_id string")
+    verdicts = spark.createDataFrame(
+        [("R1", "a", False), ("R1", "b", False)], "run_id string, article_id string, validity boolean"
+    )
+    writers.delete_invalid(stored, verdicts, path, "R1")
+    assert rows(readers.read_table(spark, path, "article_id string")) == [("b", "R2")]
+    with pytest.raises(ValueError):
+        writers.replace_run(stored, path, "R/1")
+
+
 def test_bad_response_lines_are_set_aside(spark, tmp_path):
     line = {"custom_id": "R--t--a", "response": {"body": {"model": "m", "choices": [{"message": {"content": "x"}}]}}}
     write(tmp_path / "R--t_OUTPUT_0.jsonl", json.dumps(line) + "\n{broken\n\n")
