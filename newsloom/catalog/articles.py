@@ -13,9 +13,9 @@ from newsloom.functions.text import (
     surrogate_id,
     token_count,
 )
-from newsloom.functions.web import url_host, url_origin
+from newsloom.functions.web import url_origin
 from newsloom.operators import batching, history, joins, profile
-from newsloom.operators.hits import fold_hits, hits_to_articles, tag_hits
+from newsloom.operators.hits import fold_hits, tag_hits
 from newsloom.operators.validation import REASON, has_payload, split_valid
 from newsloom.plans import jobs
 
@@ -478,7 +478,7 @@ def files_by_number(spark, sf):
     """SELECT user_id, n_running, n_completed, n_error,
          CASE WHEN n_running > 0 THEN 'WAIT' WHEN n_error = n_completed + n_error THEN 'ALL_ERROR_END'
               ELSE 'ALL_COMPLETED_CONTINUE' END AS status,
-         CASE WHEN n_running > 0 THEN 120 * n_running END AS wait_time
+         120 * n_running AS wait_time
        FROM (SELECT user_id,
                count(*) FILTER (WHERE event_type = 'click' AND value > 30) AS n_running,
                count(*) FILTER (WHERE NOT (event_type = 'click' AND value > 30) AND value > 5) AS n_completed,
@@ -494,7 +494,9 @@ def batch_status(spark, sf):
         F.when(F.col("value") > 5, F.col("props")).otherwise(" \n").alias("output"),
         F.when(F.col("event_type") == "error", F.col("props")).alias("error"),
     )
-    return profile.batch_status(batches, ["user_id"])
+    return profile.batch_status(batches, ["user_id"]).withColumn(
+        "wait_time", F.coalesce("wait_time", F.lit(0))
+    )
 
 
 @query(

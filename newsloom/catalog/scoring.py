@@ -208,7 +208,7 @@ _EVENT_KEY = (
 
 @query(
     f"""SELECT {_EVENT_KEY} AS custom_id,
-         CASE WHEN event_type NOT IN ('purchase', 'view') THEN k % 2 = 0 END AS validity,
+         CASE WHEN event_type NOT IN ('purchase', 'view') THEN CAST(k % 2 = 0 AS VARCHAR) END AS validity,
          CASE WHEN event_type = 'purchase' THEN 'bad custom_id' WHEN event_type = 'view' THEN 'no verdict' END
            AS reject_reason
        FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)"""
@@ -219,11 +219,11 @@ def validity_answers(spark, sf):
     verdicts, rejected = tasks.parse_validity(tasks.flatten_envelope(_envelopes(spark, sf, content)))
     good = verdicts.select(
         F.concat_ws("--", "run_id", F.lit("task_v0"), "article_id").alias("custom_id"),
-        "validity",
+        F.col("validity").cast("string").alias("validity"),
         F.lit(None).cast("string").alias(REASON),
     )
     return good.unionByName(
-        rejected.select("custom_id", F.lit(None).cast("boolean").alias("validity"), REASON)
+        rejected.select("custom_id", F.lit(None).cast("string").alias("validity"), REASON)
     )
 
 
@@ -233,7 +233,7 @@ def validity_answers(spark, sf):
               WHEN event_type = 'view' THEN 'content is not JSON'
               WHEN k % 4 = 3 THEN 'score out of range'
               WHEN k % 5 = 4 THEN 'unknown language' END AS reject_reason,
-         CASE WHEN event_type NOT IN ('purchase', 'view') AND k % 4 <> 3 AND k % 5 <> 4 THEN k % 4 END AS score_a
+         CASE WHEN event_type NOT IN ('purchase', 'view') AND k % 4 <> 3 AND k % 5 <> 4 THEN CAST(k % 4 AS VARCHAR) END AS score_a
        FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)"""
 )
 def relevance_answers(spark, sf):
@@ -248,10 +248,10 @@ def relevance_answers(spark, sf):
     good = outputs.select(
         F.concat_ws("--", "run_id", "task_name", "article_id").alias("custom_id"),
         F.lit(None).cast("string").alias(REASON),
-        F.col("relevance")["A"].cast("bigint").alias("score_a"),
+        F.col("relevance")["A"].cast("string").alias("score_a"),
     )
     return good.unionByName(
-        rejected.select("custom_id", REASON, F.lit(None).cast("bigint").alias("score_a"))
+        rejected.select("custom_id", REASON, F.lit(None).cast("string").alias("score_a"))
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from newsloom import schemas
 from newsloom.operators import baselines, tasks
 from newsloom.operators.batching import assign_batches
-from newsloom.operators.tasks import Predictor, Task, build_requests, request_json
+from newsloom.operators.tasks import Predictor, Task, request_json
 from newsloom.operators.topics import text_embedder
 from newsloom.plans import jobs
 from newsloom.session import scratch_scope, store

@@ -4,7 +4,6 @@ import os
 import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
 from newsloom import schemas
 from newsloom.sources import readers, writers
