@@ -11,6 +11,7 @@ run's crawled pages and search hits, each a JSON array.
 
 import argparse
 import json
+import logging
 import sys
 
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ def main() -> int:
     parser.add_argument("--hits")
     args = parser.parse_args()
 
+    logging.basicConfig(level=logging.WARNING)
+    logging.getLogger("newsloom").setLevel(logging.INFO)
     spark = build_session()
     ws = curation.Workspace(spark, args.workspace)
     if args.runid is None:

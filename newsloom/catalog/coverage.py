@@ -71,7 +71,7 @@ OPERATORS = {
     "A3": ["count_present"],
     "A4": ["source_profile"],
     "A5": ["distinct_sources"],
-    "A6": ["row_counts"],
+    "A6": ["row_counts", "test_two_runs"],
     "A7": ["centroid"],
     "A8": ["batch_status"],
     "A9": ["last_wins", "upserted_run"],

@@ -1,12 +1,13 @@
 """A run over a workspace of tables. Steps pass data through stored tables only, so that a
 run can be taken up again at any step."""
 
+import logging
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom import schemas
@@ -21,6 +22,8 @@ from newsloom.sources.writers import append_ledger, replace_run, write_request_f
 
 RUN = ", run_id string"
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class Models:
@@ -52,6 +55,8 @@ class Workspace:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        # Rows last written per table and run.
+        self.counts: dict[tuple[str, str], int] = {}
 
     def location(self, table: str) -> str:
         return f"{self.path}/{table}"
@@ -60,8 +65,12 @@ class Workspace:
         return read_table(self.spark, self.location(table), schema, run_id, required)
 
     def write(self, table: str, df: DataFrame, run_id: str) -> None:
-        """Replace the run's rows."""
-        replace_run(df, self.location(table), run_id)
+        """Replace the run's rows. They are counted as they are written."""
+        rows = Observation()
+        counted = df.observe(rows, F.count(F.lit(1)).alias("n"))
+        replace_run(counted, self.location(table), run_id)
+        self.counts[table, run_id] = rows.get["n"]
+        log.info("%s of %s: %d rows", table, run_id, rows.get["n"])
 
     def ingest(self, table: str, path: str, schema: str, run_id: str) -> None:
         """Take in a run's JSON array; `ord` keeps the order of its records."""
@@ -112,6 +121,7 @@ def run_curation(
             with scratch_scope(ws.spark):
                 steps[name]()
         except Exception as e:
+            log.exception("step %s of %s failed", name, run_id)
             failed, error = name, str(e)
             break
     status = "failed" if failed else "success"

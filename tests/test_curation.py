@@ -72,6 +72,8 @@ def test_two_runs(spark, ws):
     assert {r["source_name"] for r in raw.collect()} == {"my_site", "the_b"}
     searched = raw.where("crawling_source = 'ddgs'").first()
     assert (searched["query_original_personas"], searched["ddgs_search_query"]) == (["ANA", "LUC"], ["datos", "marca"])
+    assert ws.counts["raw_articles_crawled", "RUNID_1"] == 3
+    assert ws.counts["raw_articles_searched_rejected", "RUNID_1"] == 1
     # The hit without a date is no valid article.
     assert ws.read("raw_articles_searched_rejected", "reject_reason string").first()["reject_reason"] == "article_date"
 
