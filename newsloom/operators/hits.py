@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.text import normalize_source, surrogate_id
 from newsloom.functions.web import url_origin
-from newsloom.operators.positions import MAX_LIST, biggest_group, group_positions, list_parts
+from newsloom.operators.positions import MAX_LIST, group_positions, list_parts, split_hot
 from newsloom.schemas import RAW_ARTICLES_SEARCHED
 
 HEAD = ["date", "title", "body", "image", "source"]
@@ -49,20 +49,18 @@ def fold_hits(hits: DataFrame, ord_col: str = "ord", part_size: int = MAX_LIST)
         F.min_by(c, F.when(F.col(c).isNotNull(), F.col(ord_col))).alias(c) for c in HEAD
     ]
     lists = ["persona", "query"]
-    biggest = biggest_group(hits, ["url"])
-    if biggest <= part_size:
-        items = F.sort_array(F.collect_list(F.struct(ord_col, *lists)))
-        folded = hits.groupBy("url").agg(*firsts, items.alias("items"))
-        return folded.select(
-            "url", *HEAD, F.lit(0).cast("bigint").alias("list_part"),
-            *[F.col("items")[c].alias(c) for c in lists],
-        )
-    heads = hits.groupBy("url").agg(*firsts)
-    placed = group_positions(
-        hits.select("url", ord_col, *lists), ["url"], [ord_col], biggest=biggest
+    cold, hot = split_hot(hits, ["url"], part_size)
+    items = F.sort_array(F.collect_list(F.struct(ord_col, *lists)))
+    folded = cold.groupBy("url").agg(*firsts, items.alias("items")).select(
+        "url", *HEAD, F.lit(0).cast("bigint").alias("list_part"),
+        *[F.col("items")[c].alias(c) for c in lists],
     )
-    return heads.join(list_parts(placed, ["url"], "pos", lists, part_size), "url").select(
-        "url", *HEAD, "list_part", *lists
+    if hot is None:
+        return folded
+    placed = group_positions(hot.select("url", ord_col, *lists), ["url"], [ord_col])
+    parts = list_parts(placed, ["url"], "pos", lists, part_size)
+    return folded.unionByName(
+        hot.groupBy("url").agg(*firsts).join(parts, "url").select("url", *HEAD, "list_part", *lists)
     )
 
 

@@ -13,10 +13,18 @@ MAX_GROUP = 1_000_000
 MAX_LIST = 10_000
 
 
-def biggest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group; reads the keys only and counts map-side first."""
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("n")).first()
-    return row["n"] or 0
+def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of groups with at most `limit` rows, rows of larger groups or None).
+
+    Counts the keys only, map-side first. The larger groups are few, one for each `limit`
+    rows at most; their keys are stored, so that the planner knows whether to broadcast them.
+    """
+    counts = df.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > limit)
+    hot = store(counts.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(keys)]), "hot")
+    if hot.isEmpty():
+        return df, None
+    same = [F.col(k).eqNullSafe(F.col(f"__hot{i}")) for i, k in enumerate(keys)]
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
 
 def global_positions(df: DataFrame, order_by: Sequence[str], pos: str = "pos") -> DataFrame:
@@ -36,19 +44,17 @@ def group_positions(
     order_by: Sequence[str],
     pos: str = "pos",
     max_group: int = MAX_GROUP,
-    biggest: int | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row inside its group.
 
-    A window does it while every group is known to fit a task. Otherwise groups are cut
-    over range partitions and the pieces are offset against each other. `biggest` is the
-    size of the largest group, if the caller has counted already.
+    A window does it for groups that fit a task. Larger ones are cut over range partitions
+    and the pieces are offset against each other.
     """
     keys, order_by = list(keys), list(order_by)
-    if (biggest_group(df, keys) if biggest is None else biggest) <= max_group:
-        window = Window.partitionBy(*keys).orderBy(*order_by)
-        return df.withColumn(pos, (F.row_number().over(window) - 1).cast("bigint"))
-    return _ranged_positions(df, keys, order_by, pos)
+    cold, hot = split_hot(df, keys, max_group)
+    window = Window.partitionBy(*keys).orderBy(*order_by)
+    placed = cold.withColumn(pos, (F.row_number().over(window) - 1).cast("bigint"))
+    return placed if hot is None else placed.unionByName(_ranged_positions(hot, keys, order_by, pos))
 
 
 def positions_joined(
