@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsloom.functions.text import strip
+
 HTML_LINK = r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'
 MARKDOWN_LINK = r"\[([^\[\]]+)\]\((https?://[^\s()]+)[^()]*\)"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
@@ -42,7 +44,7 @@ def url_origin(url: Column) -> Column:
 def url_host(line: Column) -> Column:
     """Host named after the first https://, without any `www.`; null if there is none."""
     rest = F.get(F.split(line, "https://"), F.lit(1))
-    return F.replace(F.trim(F.substring_index(rest, "/", 1)), F.lit("www."), F.lit(""))
+    return F.replace(strip(F.substring_index(rest, "/", 1)), F.lit("www."), F.lit(""))
 
 
 def decode_entities(text: Column) -> Column:

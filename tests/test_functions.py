@@ -24,9 +24,10 @@ def test_hosts(spark):
     lines = [
         "https://www.site.es/tech", "  https://a.www.b.org", "http://", "http://plain.com/x",
         'https://x.com/p"', "see https://y.net/1 and https://z.net/2", None,
+        "https://tab.org\t",
     ]
     assert each(spark, web.url_host(F.col("x")), lines) == [
-        "site.es", "a.b.org", None, None, "x.com", "y.net", None,
+        "site.es", "a.b.org", None, None, "x.com", "y.net", None, "tab.org",
     ]
 
 

@@ -135,3 +135,19 @@ def test_runs_as_they_land(spark, tmp_path, per_batch):
     assert [d for d in found if d != 10] == [1, 2, 3, 6, 7, 9]
     dedupe_landing(spark, landing, SEEN, out, f"{out}/_progress", files_per_batch=per_batch)
     assert kept(spark, out) == found
+
+
+def test_a_batch_can_be_run_again(spark, tmp_path):
+    """As after a failure between the batch's writes and its commit."""
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    progress = f"{out}/_progress"
+    land(spark, landing, [(1, "RUNID_1", "a", "s"), (2, "RUNID_1", None, None)])
+    dedupe_landing(spark, landing, SEEN, out, progress)
+    land(spark, landing, [(3, "RUNID_2", "a", "s"), (4, "RUNID_2", "b", "s"), (5, "RUNID_2", None, None)])
+    dedupe_landing(spark, landing, SEEN, out, progress)
+    assert kept(spark, out) == [1, 2, 4]
+    for name in ("1", ".1.crc"):
+        os.remove(os.path.join(progress, "commits", name))
+    dedupe_landing(spark, landing, SEEN, out, progress)
+    assert os.path.exists(os.path.join(progress, "commits", "1"))
+    assert kept(spark, out) == [1, 2, 4]
