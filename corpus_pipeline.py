@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import quality_rules, simhash
+from newsloom.llm import mixing, packing, pii, quality_rules, simhash
 from newsloom.session import store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,7 +20,29 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_duplicates(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality), ("SimHash near-dedup", near_dedup)]
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without personal data and the terms that disclose it."""
+    return pii.sanitise(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the weights of their sources ask for."""
+    return mixing.mix(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences: their length, the documents in them and the text."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality),
+    ("SimHash near-dedup", near_dedup),
+    ("PII", personal_data),
+    ("mixing sources to target weights", mix),
+    ("best-fit packing", pack),
+]
+# Patterns, fingerprints and packing have no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

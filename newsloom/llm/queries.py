@@ -1,12 +1,22 @@
 """The operators of this subpackage as queries over the test tables, and their SQL."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import quality_rules, simhash
+from newsloom.llm import mixing, packing, pii, quality_rules, simhash
 from newsloom.llm.common import table
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return mixing.mixed_words(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -15,6 +25,27 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it in every document."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    n_base = len(pii.KINDS) - 1
+
+    def joined(spans: str) -> Column:
+        kinds = ", ".join(f"'{kind}'" for kind in pii.KINDS)
+        named = f"transform({spans}, x -> concat_ws(':', array({kinds})[x.kind], x.start, x.end))"
+        return F.array_join(F.expr(named), ",")
+
+    return found.select(
+        "doc_id",
+        *[
+            F.size(F.expr(f"filter(spans, x -> x.kind = {k})")).cast("bigint").alias(f"n_{pii.KINDS[k]}")
+            for k in range(n_base)
+        ],
+        F.sha2(joined(f"filter(spans, x -> x.kind < {n_base})"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the rules count in every document, and whether it is kept."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -25,11 +56,47 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_source_mixing": op4_source_mixing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op9_personal_data": op9_personal_data,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES = {
+    "op4_source_mixing": r"""
+WITH sized AS (
+  SELECT doc_id, source, md5(concat_ws(':', doc_id::VARCHAR, '7')) AS key,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+  FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+rated AS (
+  SELECT source, source_size, 3 * source_size AS cap,
+         [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM sources),
+levels AS (
+  SELECT *, row_number() OVER (ORDER BY cap / weight, source NULLS LAST) AS k,
+         sum(source_size) OVER () - coalesce(sum(cap) OVER (
+           ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+         sum(weight) OVER (
+           ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+  FROM rated),
+level AS (SELECT rest, weights FROM levels WHERE cap * weights >= rest * weight ORDER BY k LIMIT 1),
+targets AS (
+  SELECT source, source_size,
+         CASE WHEN cap * level.weights < level.rest * weight THEN cap::DOUBLE
+              ELSE level.rest::DOUBLE * weight / level.weights::DOUBLE END AS target
+  FROM rated, level),
+placed AS (
+  SELECT doc_id, size, source_size, target,
+         sum(size) OVER (PARTITION BY sized.source ORDER BY key) - size AS before,
+         least(floor(target + 0.5)::BIGINT, 3 * source_size) AS budget
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN source_size = 0 THEN 0
+            ELSE (budget // source_size * size + greatest(0, least(size, budget % source_size - before)))::BIGINT
+       END AS taken
+FROM placed""",
     "op10_quality_rules": r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
