@@ -3,15 +3,29 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import mixing, packing, pii, quality_rules, simhash
+from newsloom.llm import html_text, mixing, packing, pii, quality_rules, simhash, url_filters, warc
 from newsloom.llm.common import table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    text = html_text.extract_text(table(spark, sf_dir, "pages"))
+    return text.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back from them."""
+    index = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_records(index).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     return mixing.mixed_words(table(spark, sf_dir, "documents"))
@@ -25,6 +39,11 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on the url of every page."""
+    return url_filters.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and the terms that disclose it in every document."""
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
@@ -56,9 +75,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_warc_index": op3_warc_index,
     "op4_source_mixing": op4_source_mixing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op7_url_filters": op7_url_filters,
     "op9_personal_data": op9_personal_data,
     "op10_quality_rules": op10_quality_rules,
 }
