@@ -3,7 +3,18 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import html_text, mixing, packing, pii, quality_rules, simhash, url_filters, warc
+from newsloom.llm import (
+    embedding_dedup,
+    html_text,
+    mixing,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    url_filters,
+    warc,
+)
 from newsloom.llm.common import table
 
 
@@ -39,11 +50,23 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from labels."""
+    return quality_classifier.score_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on the url of every page."""
     return url_filters.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and the terms that disclose it in every document."""
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
@@ -80,7 +103,9 @@ QUERIES = {
     "op3_warc_index": op3_warc_index,
     "op4_source_mixing": op4_source_mixing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_url_filters": op7_url_filters,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_personal_data": op9_personal_data,
     "op10_quality_rules": op10_quality_rules,
 }
