@@ -78,6 +78,10 @@ class _Page(HTMLParser):
         self.owner = self.root
         # (text, innermost element)
         self.blocks: list[tuple[str, _Element]] = []
+        # A tag that the page ends in is no text.
+        at = html.rfind("<")
+        if at >= 0 and html.find(">", at) < 0 and (html[at + 1 : at + 2].isalpha() or html[at + 1 : at + 2] in tuple("/!?")):
+            html = html[:at]
         self.feed(html)
         self.close()
         self.flush()

@@ -1,0 +1,37 @@
+import glob
+import os
+import sys
+
+import duckdb
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def documents(spark):
+    """Makes a documents table of (doc_id, text) or (doc_id, text, source) rows."""
+
+    def make(*rows):
+        full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", None if r[1] is None else len(r[1])) for r in rows]
+        return spark.createDataFrame(full, DOCUMENTS)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def sample(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def db():
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for path in glob.glob(f"{SF}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return con
