@@ -15,7 +15,7 @@ from newsloom.functions.text import (
 )
 from newsloom.functions.web import url_origin
 from newsloom.operators import batching, history, joins, profile
-from newsloom.operators.hits import fold_hits, tag_hits
+from newsloom.operators.hits import fold_hits, hit_searches, tag_hits
 from newsloom.operators.validation import REASON, has_payload, split_valid
 from newsloom.plans import jobs
 
@@ -165,6 +165,20 @@ def dedupe_history(spark, sf):
     return history.new_articles(rows, rows).select("doc_id", "run_id", "article_language")
 
 
+@query(
+    f"""SELECT a.doc_id, CASE WHEN a.doc_id % 8 = 0 THEN 'ddgs' ELSE 'jina' END AS crawling_source FROM {ARTICLES_SQL} a
+       WHERE a.run_id = 'RUNID_0' AND NOT EXISTS (SELECT 1 FROM {ARTICLES_SQL} b
+         WHERE a.article_title IS NOT DISTINCT FROM b.article_title
+           AND a.source_name IS NOT DISTINCT FROM b.source_name AND b.run_id <> 'RUNID_0')"""
+)
+def combined_run(spark, sf):
+    """The dedupe job of one run: both crawls together, against the pruned history."""
+    rows = articles(spark, sf)
+    current = rows.where("run_id = 'RUNID_0'")
+    searched, crawled = current.where("doc_id % 8 = 0"), current.where("doc_id % 8 <> 0")
+    return jobs.combine_and_dedupe(searched, crawled, rows).select("doc_id", "crawling_source")
+
+
 @query(
     f"""SELECT a.doc_id FROM {ARTICLES_SQL} a
        WHERE NOT EXISTS (SELECT 1 FROM {ARTICLES_SQL} b
@@ -298,27 +312,35 @@ _FIRSTS = ", ".join(
 
 
 @query(
-    f"""SELECT url, {_FIRSTS}, CAST(0 AS BIGINT) AS list_part,
-         string_agg(persona, '|' ORDER BY ord) AS persona, string_agg(query, '|' ORDER BY ord) AS query
-       FROM {HITS_SQL} GROUP BY url"""
+    f"SELECT url, {_FIRSTS} FROM {HITS_SQL} GROUP BY url"
 )
 def consolidate_hits(spark, sf):
-    folded = fold_hits(hits(spark, sf))
-    return folded.withColumns({c: F.array_join(c, "|") for c in ("persona", "query")})
+    return fold_hits(hits(spark, sf))
 
 
 @query(
-    f"""SELECT url, h.date, h.title, h.body, h.image, h.source, p.list_part, p.persona, p.query
+    f"""SELECT url, h.date, h.title, h.body, h.image, h.source, p.ord, p.persona, p.query
        FROM (SELECT url, {_FIRSTS} FROM {HITS_SQL} GROUP BY url) h
-       JOIN (SELECT url, list_part, string_agg(persona, '|' ORDER BY ord) AS persona,
-               string_agg(query, '|' ORDER BY ord) AS query
-             FROM (SELECT *, (row_number() OVER (PARTITION BY url ORDER BY ord) - 1) // 2 AS list_part
-                   FROM {HITS_SQL}) GROUP BY url, list_part) p USING (url)"""
+       JOIN (SELECT url, ord, persona, query FROM {HITS_SQL}) p USING (url)"""
 )
 def consolidate_hits_in_parts(spark, sf):
-    """As for URLs of very many hits, with parts so short that several are needed here."""
-    folded = fold_hits(hits(spark, sf), part_size=2)
-    return folded.withColumns({c: F.array_join(c, "|") for c in ("persona", "query")})
+    """The two tables that hits are folded into, joined again."""
+    found = hits(spark, sf)
+    return fold_hits(found).join(hit_searches(found), "url")
+
+
+@query(
+    f"""SELECT 'RUNID_1' AS run_id,
+         replace(lower(source), ' ', '_') || '_' || sha256('RUNID_1' || chr(1) || url) AS article_id,
+         ord, persona AS query_original_personas, query AS ddgs_search_query
+       FROM {HITS_SQL} JOIN (SELECT url, {_FIRSTS} FROM {HITS_SQL} GROUP BY url) f USING (url)
+       WHERE f.date IS NOT NULL AND f.title IS NOT NULL AND f.body IS NOT NULL""".replace("lower(source)", "lower(f.source)")
+)
+def article_searches(spark, sf):
+    """Who found each valid article, by what query."""
+    found = hits(spark, sf)
+    articles = jobs.consolidate_hits(found, "RUNID_1", "2025-01-01 00:00:00").table
+    return jobs.searches_of(found, articles)
 
 
 @query(
@@ -335,9 +357,8 @@ def consolidate_hits_in_parts(spark, sf):
 def searched_articles(spark, sf):
     outcome = jobs.consolidate_hits(hits(spark, sf), "RUNID_1", "2025-01-01 00:00:00")
     rows = outcome.table.withColumn(REASON, F.lit(None).cast("string")).unionByName(outcome.rejected)
-    return rows.withColumn(
-        "n_personas", F.size("query_original_personas").cast("bigint")
-    ).drop("ddgs_search_query", "query_original_personas", "list_part")
+    searches = jobs.searches_of(hits(spark, sf), rows).groupBy("article_id").agg(F.count("*").alias("n_personas"))
+    return rows.join(searches, "article_id")
 
 
 @query(
@@ -345,8 +366,8 @@ def searched_articles(spark, sf):
        JOIN (SELECT ord, persona AS query FROM {HITS_SQL}) h ON h.query = k.lang"""
 )
 def keyword_fanout(spark, sf):
-    keywords = profile.distinct_values(table(spark, sf, "documents"), "source", "lang").select(
-        F.col("source").alias("persona"), F.col("lang").alias("keywords")
+    keywords = table(spark, sf, "documents").groupBy(F.col("source").alias("persona")).agg(
+        F.collect_set("lang").alias("keywords")
     )
     found = hits(spark, sf).select("ord", F.col("persona").alias("query"))
     return tag_hits(found, keywords)
@@ -396,14 +417,13 @@ def count_present(spark, sf):
 
 
 @query(
-    f"""SELECT persona AS perfil, CAST(0 AS BIGINT) AS list_part,
-         string_agg(DISTINCT url, '|' ORDER BY url) AS article_source
-       FROM {HITS_SQL} GROUP BY persona"""
+    f"""SELECT persona AS perfil, row_number() OVER (PARTITION BY persona ORDER BY url) - 1 AS pos,
+         url AS article_source
+       FROM (SELECT DISTINCT persona, url FROM {HITS_SQL})"""
 )
 def distinct_sources(spark, sf):
     posts = hits(spark, sf).select(F.col("persona").alias("perfil"), F.col("url").alias("article_source"))
-    lists = profile.distinct_values(posts, "perfil", "article_source")
-    return lists.withColumn("article_source", F.array_join("article_source", "|"))
+    return profile.distinct_values(posts, "perfil", "article_source")
 
 
 @query("SELECT DISTINCT source FROM documents")

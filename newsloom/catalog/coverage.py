@@ -2,7 +2,7 @@
 SQL cannot state, or that need files of a given name, have tests instead (named test_...)."""
 
 OPERATORS = {
-    "S1": ["run_table", "one_run", "test_json_array_in_order"],
+    "S1": ["json_arrays", "run_table", "one_run", "test_json_array_in_order"],
     "S2": ["run_table"],
     "S3": ["test_json_runs_carry_the_run_of_their_name", "dedupe_history"],
     "S4": ["one_run", "test_a_run_is_not_a_prefix"],
@@ -10,11 +10,11 @@ OPERATORS = {
     "S6": ["response_files", "saved_bodies"],
     "S7": ["text_lines"],
     "S8": ["one_run", "test_missing_tables"],
-    "S9": ["test_json_array_in_order"],
+    "S9": ["test_json_array_in_order", "json_arrays"],
     "S10": ["keyword_fanout"],
     "S11": ["crawled_articles"],
     "K1": ["run_table"],
-    "K2": ["request_files"],
+    "K2": ["request_files", "rewritten_requests"],
     "K3": ["upserted_run"],
     "K4": ["run_table"],
     "K5": ["run_ledger"],
@@ -22,7 +22,7 @@ OPERATORS = {
     "K7": ["post_files"],
     "K8": ["post_log"],
     "K9": ["deleted_content"],
-    "K10": ["saved_bodies"],
+    "K10": ["saved_bodies", "polled_bodies"],
     "P1": ["validate_records", "searched_articles"],
     "P2": ["validity_answers", "response_files"],
     "P3": ["validity_answers", "relevance_answers"],
@@ -45,7 +45,7 @@ OPERATORS = {
     "P20": ["request_lines", "request_files", "test_request_lines"],
     "P21": ["truncate_escape", "request_lines"],
     "F1": ["score_columns_per_persona", "relevant_articles"],
-    "F2": ["scalar_relevance", "test_both_forms_of_relevance"],
+    "F2": ["scalar_relevance", "test_both_forms_of_relevance", "relevant_by_either_form"],
     "F3": ["relevant_pairs"],
     "F4": ["drop_empty", "consolidate_hits"],
     "F5": ["drop_empty", "read_content"],
@@ -62,11 +62,11 @@ OPERATORS = {
     "J3": ["relevant_articles", "unmatched_outputs"],
     "J4": ["four_way_join", "joined_counts"],
     "J5": ["valid_content", "deleted_content"],
-    "J6": ["nearest_to_queries", "nearest_of_all"],
+    "J6": ["nearest_to_queries", "nearest_of_all", "nearest_among_faulty"],
     "J7": ["embedding_calls"],
     "J8": ["relevant_pairs", "post_messages", "post_prompts"],
     "J9": ["keyword_fanout"],
-    "A1": ["consolidate_hits", "consolidate_hits_in_parts"],
+    "A1": ["consolidate_hits", "consolidate_hits_in_parts", "article_searches"],
     "A2": ["value_counts"],
     "A3": ["count_present"],
     "A4": ["source_profile"],
@@ -109,7 +109,7 @@ OPERATORS = {
     "M2": ["apply_predictor"],
     "M3": ["validity_answers", "relevance_answers"],
     "M4": ["extract_links", "crawled_articles"],
-    "M5": ["page_text", "read_content"],
+    "M5": ["page_text", "read_content", "read_content_of_copies"],
     "M6": ["keyword_relevance", "score_articles"],
     "M7": ["validity_rules", "keep_valid"],
     "M8": ["lead_summary", "summarize"],
@@ -124,7 +124,7 @@ OPERATORS = {
     "Q1": ["register_sources", "repeated_source_names"],
     "Q2": ["crawled_articles"],
     "Q3": ["searched_articles"],
-    "Q4": ["dedupe_history", "union_sources", "test_two_runs"],
+    "Q4": ["dedupe_history", "union_sources", "test_two_runs", "combined_run"],
     "Q5": ["score_articles"],
     "Q6": ["read_content", "keep_valid"],
     "Q7": ["summarize", "embedding_calls"],

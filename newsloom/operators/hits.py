@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.text import normalize_source, surrogate_id
 from newsloom.functions.web import url_origin
-from newsloom.operators.positions import MAX_LIST, group_positions, list_parts, split_hot
 from newsloom.schemas import RAW_ARTICLES_SEARCHED
 
 HEAD = ["date", "title", "body", "image", "source"]
@@ -17,10 +16,9 @@ ARTICLE_NAMES = {
     "body": "article_body",
     "image": "article_image_url",
     "source": "source_name",
-    "query": "ddgs_search_query",
-    "persona": "query_original_personas",
     "date": "article_date",
 }
+SEARCH_NAMES = {"query": "ddgs_search_query", "persona": "query_original_personas"}
 
 
 def keyword_table(persona_keywords: DataFrame) -> DataFrame:
@@ -37,30 +35,30 @@ def tag_hits(hits: DataFrame, persona_keywords: DataFrame) -> DataFrame:
     return hits.join(keyword_table(persona_keywords), "query")
 
 
-def fold_hits(hits: DataFrame, ord_col: str = "ord", part_size: int = MAX_LIST) -> DataFrame:
-    """One row per URL: of each column the first value that is not null, and the aligned
-    lists of personas and queries with all repeats. Hits without URL are dropped.
+def fold_hits(hits: DataFrame, ord_col: str = "ord") -> DataFrame:
+    """One row per URL: of each column the first value that is not null. Hits without URL are
+    dropped. Columns may come from different hits.
 
-    Columns may come from different hits. A URL with more than `part_size` hits has its
-    lists cut over several rows, numbered by `list_part`, all with the same other columns.
+    The searches that found a URL are a table of their own (`hit_searches`), since a URL may
+    have any number of them.
     """
-    hits = hits.where(F.col("url").isNotNull())
-    firsts = [
-        F.min_by(c, F.when(F.col(c).isNotNull(), F.col(ord_col))).alias(c) for c in HEAD
-    ]
-    lists = ["persona", "query"]
-    cold, hot = split_hot(hits, ["url"], part_size)
-    items = F.sort_array(F.collect_list(F.struct(ord_col, *lists)))
-    folded = cold.groupBy("url").agg(*firsts, items.alias("items")).select(
-        "url", *HEAD, F.lit(0).cast("bigint").alias("list_part"),
-        *[F.col("items")[c].alias(c) for c in lists],
-    )
-    if hot is None:
-        return folded
-    placed = group_positions(hot.select("url", ord_col, *lists), ["url"], [ord_col])
-    parts = list_parts(placed, ["url"], "pos", lists, part_size)
-    return folded.unionByName(
-        hot.groupBy("url").agg(*firsts).join(parts, "url").select("url", *HEAD, "list_part", *lists)
+    firsts = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col(ord_col))).alias(c) for c in HEAD]
+    return hits.where(F.col("url").isNotNull()).groupBy("url").agg(*firsts)
+
+
+def hit_searches(hits: DataFrame, ord_col: str = "ord") -> DataFrame:
+    """(url, ord, persona, query) of all hits with a URL: who found it by what, with repeats."""
+    return hits.where(F.col("url").isNotNull()).select("url", F.col(ord_col).alias("ord"), "persona", "query")
+
+
+def article_searches(hits: DataFrame, articles: DataFrame) -> DataFrame:
+    """`hit_searches` by the article of the URL, for the articles of one run."""
+    known = articles.select("run_id", "article_id", "article_url")
+    return (
+        hit_searches(hits)
+        .join(known, F.col("url") == F.col("article_url"))
+        .select("run_id", "article_id", "ord", "persona", "query")
+        .withColumnsRenamed(SEARCH_NAMES)
     )
 
 

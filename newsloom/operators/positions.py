@@ -1,31 +1,12 @@
-"""Row positions, and lists in parts, without ever holding a whole group in one task."""
+"""Row positions, without ever holding a whole group in one task."""
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.session import store
 
-# Largest group that may be ordered inside one task.
-MAX_GROUP = 1_000_000
-# Longest list in one output row.
-MAX_LIST = 10_000
-
-
-def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of groups with at most `limit` rows, rows of larger groups or None).
-
-    Counts the keys only, map-side first. The larger groups are few, one for each `limit`
-    rows at most; their keys are stored, so that the planner knows whether to broadcast them.
-    """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > limit)
-    hot = store(counts.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(keys)]), "hot")
-    if hot.isEmpty():
-        return df, None
-    same = [F.col(k).eqNullSafe(F.col(f"__hot{i}")) for i, k in enumerate(keys)]
-    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
-
 
 def global_positions(df: DataFrame, order_by: Sequence[str], pos: str = "pos") -> DataFrame:
     """Add the 0-based position of each row in the order of `order_by`.
@@ -39,22 +20,14 @@ def global_positions(df: DataFrame, order_by: Sequence[str], pos: str = "pos") -
 
 
 def group_positions(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    pos: str = "pos",
-    max_group: int = MAX_GROUP,
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], pos: str = "pos"
 ) -> DataFrame:
     """Add the 0-based position of each row inside its group.
 
-    A window does it for groups that fit a task. Larger ones are cut over range partitions
-    and the pieces are offset against each other.
+    Groups of any size are cut over range partitions and the pieces are offset against each
+    other, so that no task holds a group. `order_by` should be unique inside a group.
     """
-    keys, order_by = list(keys), list(order_by)
-    cold, hot = split_hot(df, keys, max_group)
-    window = Window.partitionBy(*keys).orderBy(*order_by)
-    placed = cold.withColumn(pos, (F.row_number().over(window) - 1).cast("bigint"))
-    return placed if hot is None else placed.unionByName(_ranged_positions(hot, keys, order_by, pos))
+    return _ranged_positions(df, list(keys), list(order_by), pos)
 
 
 def positions_joined(
@@ -107,30 +80,8 @@ def _ranged_positions(
     same = F.col("__task") == F.col("__t")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    # Without keys there is one start per task, so the small side is bounded.
-    joined = rows.join(starts if keys else F.broadcast(starts), same)
+    # Stored, so that the planner knows whether to broadcast one start per task and group.
+    joined = rows.join(store(starts, "starts"), same)
     return joined.select(
         *df.columns, (F.col("__before") + F.col("__local") - F.col("__first")).alias(pos)
     )
-
-
-def list_parts(
-    df: DataFrame,
-    keys: Sequence[str],
-    pos: str,
-    values: Sequence[str],
-    part_size: int = MAX_LIST,
-) -> DataFrame:
-    """Collect `values` per group into aligned lists, `part_size` positions per row.
-
-    A group within `part_size` gives one row, with list_part = 0. A longer one gives
-    several, each list following on the one before; nothing is left out.
-    """
-    items = F.sort_array(F.collect_list(F.struct(pos, *values)))
-    lists: list[Column] = [F.col("__items")[v].alias(v) for v in values]
-    return (
-        df.withColumn("list_part", F.floor(F.col(pos) / part_size).cast("bigint"))
-        .groupBy(*keys, "list_part")
-        .agg(items.alias("__items"))
-        .select(*keys, "list_part", *lists)
-    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.text import number_suffix
 from newsloom.functions.web import url_origin
-from newsloom.operators.positions import MAX_LIST, group_positions, list_parts
+from newsloom.operators.positions import group_positions
 from newsloom.session import store
 
 
@@ -41,18 +41,13 @@ def repeated_sources(counts: DataFrame) -> DataFrame:
     return counts.where(F.col("count") > 1)
 
 
-def distinct_values(
-    df: DataFrame, key: str, value: str, part_size: int = MAX_LIST
-) -> DataFrame:
-    """Per key the sorted list of distinct values, `part_size` values per row at most.
+def distinct_values(df: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, pos, value): per key the distinct values in order, from position 0.
 
-    Pairs are made distinct map-side first. A key with more values gives several rows,
-    numbered by `list_part`.
+    Pairs are made distinct map-side first.
     """
-    # Stored, since sizes are checked before the pairs are placed.
     pairs = store(df.select(key, value).where(F.col(value).isNotNull()).distinct(), "pairs")
-    placed = group_positions(pairs, [key], [value])
-    return list_parts(placed, [key], "pos", [value], part_size)
+    return group_positions(pairs, [key], [value]).select(key, "pos", value)
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

@@ -160,6 +160,8 @@ def _crawl(ws: Workspace, run_id: str, models: Models, crawled_at: str) -> None:
 def _search(ws: Workspace, run_id: str, crawled_at: str) -> None:
     hits = ws.read("search_hits", schemas.SEARCH_HITS + ", ord bigint" + RUN, run_id, required=False)
     ws.write_outcome("raw_articles_searched", jobs.consolidate_hits(hits, run_id, crawled_at), run_id)
+    found = ws.read("raw_articles_searched", schemas.RAW_ARTICLES_SEARCHED, run_id)
+    ws.write("article_searches", jobs.searches_of(hits, found), run_id)
 
 
 def _dedupe(ws: Workspace, run_id: str) -> None:

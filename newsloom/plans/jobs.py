@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.scores import score_columns
@@ -18,8 +18,8 @@ from newsloom.functions.text import (
 from newsloom.functions.web import html_published, html_text, url_host
 from newsloom.operators import profile
 from newsloom.operators.batching import TOKEN_BUDGET, token_chunks
-from newsloom.operators.history import duplicate_keys, new_articles
-from newsloom.operators.hits import fold_hits, hits_to_articles
+from newsloom.operators.history import duplicate_keys, last_per_key, new_articles
+from newsloom.operators.hits import article_searches, fold_hits, hits_to_articles
 from newsloom.operators.joins import analysis_frame, drop_invalid, relevant_articles, unite
 from newsloom.operators.neighbours import nearest, nearest_to_centroid
 from newsloom.operators.tasks import (
@@ -36,10 +36,6 @@ from newsloom.operators.validation import has_payload, validate
 from newsloom.schemas import CRAWLED, SEARCHED
 from newsloom.session import compute_once, store
 
-# Fixed value: what the validity task sees of an article.
-VALIDITY_CHARS = 2000
-
-
 @dataclass
 class Outcome:
     """A job's table and the rows it set aside, with their reason."""
@@ -85,6 +81,16 @@ def consolidate_hits(hits: DataFrame, run_id: str, crawled_at: str) -> Outcome:
     return Outcome(*validate(articles, "raw_articles_searched"))
 
 
+def searches_of(hits: DataFrame, articles: DataFrame) -> DataFrame:
+    """Personas and queries that found the searched articles, a row per hit."""
+    return article_searches(hits, articles)
+
+
+def one_row(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+    """The row of each key that is greatest by `order`."""
+    return last_per_key(df.withColumn("__order", order), keys, "__order").drop("__order")
+
+
 def combine_and_dedupe(searched: DataFrame, crawled: DataFrame, history: DataFrame) -> DataFrame:
     """This run's articles from both crawls that no other run has brought."""
     both = unite(
@@ -97,14 +103,14 @@ def combine_and_dedupe(searched: DataFrame, crawled: DataFrame, history: DataFra
 def score_articles(
     raw: DataFrame, run_id: str, task: Task, predictor: Predictor, personas: Sequence[str]
 ) -> Outcome:
-    """Relevant articles of the run, with the scores of every persona."""
+    """Relevant articles of the run, with the scores of every persona. Of several rows of an
+    article the one crawled last counts."""
+    when = [F.col("crawled_at")] if "crawled_at" in raw.columns else []
+    raw = one_row(raw, ["article_id"], F.struct(*when, F.xxhash64(*raw.columns)))
     described = raw.withColumn(
         "article_info",
         article_info(F.col("crawling_source"), F.col("article_keywords"), F.col("article_body")),
     )
-    if "list_part" in raw.columns:
-        # An article is asked about once, however many rows its lists take.
-        described = described.where(F.coalesce("list_part", F.lit(0)) == 0)
     requests = build_requests(
         described, task, F.lit(run_id), F.col("article_id"), row_json("*")
     )
@@ -116,7 +122,8 @@ def read_content(relevant: DataFrame, pages: DataFrame, url: str = "url", html:
     """Text and publish day of the relevant articles, from their downloaded pages.
 
     The few articles go to the many pages: the planner broadcasts them while they are small,
-    and no page without an article is exchanged or parsed.
+    and no page without an article is exchanged or parsed. Of several copies of a page one
+    is read: that with content, of these that with the greatest digest.
     """
     wanted = relevant.select("run_id", "article_id", "article_title", "article_url")
     found = pages.select(F.col(url).alias("article_url"), F.col(html).alias("html")).join(
@@ -129,20 +136,23 @@ def read_content(relevant: DataFrame, pages: DataFrame, url: str = "url", html:
         F.col("article_title").alias("title"),
         html_published(F.col("html")).alias("publish_date"),
     )
+    copies = read.where(F.col("content").isNotNull())
+    one = one_row(copies, ["run_id", "article_id"], F.sha2(F.concat_ws("\u0001", "publish_date", "content"), 256))
     # Read from both sides; pages are parsed once.
-    content = store(read.where(F.col("content").isNotNull()), "content")
+    content = store(one, "content")
     rejected = wanted.join(content, ["run_id", "article_id"], "left_anti").select(
         "run_id", "article_id", F.lit("no content").alias("reject_reason")
     )
     return Outcome(content, rejected)
 
 
-def keep_valid(content: DataFrame, run_id: str, task: Task, predictor: Predictor) -> Outcome:
-    """Content without what the model calls no article. As agreed for this task, it judges by
-    the first 2000 characters; the stored content stays whole."""
-    requests = build_requests(
-        content, task, F.lit(run_id), F.col("article_id"), F.substring("content", 1, VALIDITY_CHARS)
-    )
+def keep_valid(
+    content: DataFrame, run_id: str, task: Task, predictor: Predictor, chars: int | None = None
+) -> Outcome:
+    """Content without what the model calls no article. With `chars` the model is shown only
+    so many characters of each; the stored content stays whole."""
+    seen = F.col("content") if chars is None else F.substring("content", 1, chars)
+    requests = build_requests(content, task, F.lit(run_id), F.col("article_id"), seen)
     verdicts, rejected = parse_validity(predictor(requests))
     return Outcome(drop_invalid(content, verdicts), rejected)
 
@@ -155,8 +165,9 @@ def summarize(content: DataFrame, run_id: str, task: Task, predictor: Predictor)
 def embedding_calls(
     summaries: DataFrame, counter=token_count, budget: int = TOKEN_BUDGET, count_opener: bool = False
 ) -> DataFrame:
-    """(run_id, article_id, token_count, chunk_no): the call that each summary goes out with."""
-    counted = summaries.select(
+    """(run_id, article_id, token_count, chunk_no): the call that each summary goes out with;
+    a null summary goes out with none."""
+    counted = summaries.where(F.col("summary").isNotNull()).select(
         "run_id", "article_id", counter(F.col("summary")).alias("token_count")
     )
     return token_chunks(

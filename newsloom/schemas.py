@@ -15,20 +15,23 @@ SEARCH_HITS = (
     "image string, source string"
 )
 
-# A URL found by very many searches spreads its lists over rows numbered by `list_part`.
 RAW_ARTICLES_SEARCHED = (
     "run_id string, source_name string, source_url string, article_id string, article_date string, "
     "article_title string, article_url string, article_body string, article_image_url string, "
-    "article_language string, crawled_at string, ddgs_search_query array<string>, "
-    "query_original_personas array<string>, list_part bigint"
+    "article_language string, crawled_at string"
+)
+
+# Who found a searched article, by what query; any number of rows per article.
+ARTICLE_SEARCHES = (
+    "run_id string, article_id string, ord bigint, query_original_personas string, "
+    "ddgs_search_query string"
 )
 
 RAW_ARTICLES = (
     "model string, run_id string, task_name string, source_name string, source_url string, "
     "article_id string, article_date string, article_title string, article_url string, "
     "article_body string, article_image_url string, article_keywords array<string>, "
-    "article_language string, crawled_at string, ddgs_search_query array<string>, "
-    "query_original_personas array<string>, list_part bigint, crawling_source string"
+    "article_language string, crawled_at string, crawling_source string"
 )
 
 # `relevance` once was one number per article; both forms are kept as typed columns.
@@ -77,7 +80,7 @@ REQUIRED = {
     "raw_articles_searched": (
         ["run_id", "source_name", "source_url", "article_id", "article_date", "article_title",
          "article_url", "article_body", "article_image_url", "article_language", "crawled_at"],
-        ["ddgs_search_query", "query_original_personas"],
+        [],
     ),
 }
 

@@ -4,7 +4,7 @@ import glob
 import os
 import re
 
-import __spark_entry__ as entry
+from newsloom.catalog import QUERIES
 from newsloom.catalog.coverage import OPERATORS
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -23,5 +23,5 @@ def test_the_named_queries_and_tests_exist():
         with open(path, encoding="utf-8") as f:
             tests |= set(re.findall(r"^def (test_\w+)", f.read(), re.M))
     named = {name for names in OPERATORS.values() for name in names}
-    assert named <= tests | set(entry.queries())
-    assert set(entry.queries()) <= named
+    assert named <= tests | set(QUERIES)
+    assert set(QUERIES) <= named

@@ -70,8 +70,11 @@ def test_two_runs(spark, ws):
         "Datos e inteligencia", "Deporte", "Inteligencia y datos", "Marca y publicidad",
     ]
     assert {r["source_name"] for r in raw.collect()} == {"my_site", "the_b"}
-    searched = raw.where("crawling_source = 'ddgs'").first()
-    assert (searched["query_original_personas"], searched["ddgs_search_query"]) == (["ANA", "LUC"], ["datos", "marca"])
+    searched = raw.where("crawling_source = 'ddgs'").first()["article_id"]
+    found = ws.read("article_searches", schemas.ARTICLE_SEARCHES, "RUNID_1").orderBy("ord").collect()
+    assert [(r["article_id"], r["query_original_personas"], r["ddgs_search_query"]) for r in found] == [
+        (searched, "ANA", "datos"), (searched, "LUC", "marca"),
+    ]
     assert ws.counts["raw_articles_crawled", "RUNID_1"] == 3
     assert ws.counts["raw_articles_searched_rejected", "RUNID_1"] == 1
     # The hit without a date is no valid article.
@@ -136,7 +139,9 @@ def test_ingest_and_hosted_embedder(spark, ws, tmp_path):
     models.embedder = ("lengths", lambda: lambda texts: [[float(len(t)), 1.0] for t in texts])
     assert curation.run_curation(ws, "RUNID_3", NAMES, models) == "success"
     article = ws.read("raw_articles_searched", schemas.RAW_ARTICLES_SEARCHED, "RUNID_3").first()
-    assert (article["article_title"], article["query_original_personas"]) == ("Uno", ["LUC", "ANA", "LUC"])
+    assert article["article_title"] == "Uno"
+    searches = ws.read("article_searches", schemas.ARTICLE_SEARCHES, "RUNID_3").orderBy("ord").collect()
+    assert [r["query_original_personas"] for r in searches] == ["LUC", "ANA", "LUC"]
     found = ws.read("embeddings", schemas.EMBEDDINGS, "RUNID_3").collect()
     assert len(found) == 2 and {r["embedding_model"] for r in found} == {"lengths"}
     assert all(r["summary_embedding"][1] == 1.0 for r in found)
@@ -168,4 +173,4 @@ def test_past_posts(spark):
     found = jobs.profile_past_posts(posts)
     assert rows(found["repeated"]) == [("ANA", "https://a.com", 2)]
     assert rows(found["posts"]) == [("ANA", 2), ("LUC", 1)]
-    assert found["source_lists"].first()["article_source"] == ["https://a.com"]
+    assert rows(found["source_lists"]) == [("ANA", 0, "https://a.com")]

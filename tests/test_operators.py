@@ -25,9 +25,8 @@ def test_validation(spark):
 # positions and batches
 
 
-@pytest.mark.parametrize("max_group", [1, 1_000_000])
-def test_positions_in_groups(spark, max_group):
-    """A third of all rows in one group, some keys null; by windows and by ranges."""
+def test_positions_in_groups(spark):
+    """A third of all rows in one group, some keys null."""
     rnd = random.Random(1)
     data = [(rnd.choice(["hot", f"k{i % 40}", None]), i) for i in range(3000)]
     rnd.shuffle(data)
@@ -36,7 +35,7 @@ def test_positions_in_groups(spark, max_group):
     for k, i in sorted(data, key=lambda r: r[1]):
         want.add((k, i, seen[k]))
         seen[k] += 1
-    placed = positions.group_positions(df, ["k"], ["i"], max_group=max_group)
+    placed = positions.group_positions(df, ["k"], ["i"])
     assert {tuple(r) for r in placed.collect()} == want
 
 
@@ -55,12 +54,6 @@ def test_positions_need_a_key_per_row(spark):
         positions.positions_joined(df, ["i"]).collect()
 
 
-def test_list_parts(spark):
-    df = spark.range(25).select(F.lit("k").alias("k"), F.col("id").alias("pos"), (-F.col("id")).alias("v"))
-    parts = {r["list_part"]: r["v"] for r in positions.list_parts(df, ["k"], "pos", ["v"], 10).collect()}
-    assert parts == {0: [-i for i in range(10)], 1: [-i for i in range(10, 20)], 2: [-i for i in range(20, 25)]}
-
-
 def fold(tokens, budget, count_opener):
     chunks, chunk, running = [], 0, 0
     for i, t in enumerate(tokens):
@@ -198,23 +191,31 @@ HITS = [
 ]
 
 
-@pytest.mark.parametrize("part_size", [2, 10_000])
-def test_fold_hits(spark, part_size):
+def test_fold_hits(spark):
     df = spark.createDataFrame(HITS, "persona string, query string, title string, url string, source string, ord int")
     df = df.withColumns({c: F.lit(None).cast("string") for c in ("date", "body", "image")})
-    folded = hits.fold_hits(df, part_size=part_size)
-    found = defaultdict(lambda: ([], []))
-    for r in folded.orderBy("url", "list_part").collect():
-        found[r["url"]][0].extend(r["persona"])
-        found[r["url"]][1].extend(r["query"])
-        if r["url"] == "https://s.com/1":
-            assert (r["title"], r["source"]) == ("Title", "Site A")
-    assert dict(found) == {
-        "https://s.com/1": (["ana", "luc", "ana"], ["q1", "q2", "q1"]),
-        "https://t.com/x/y": (["eva"], ["q4"]),
-    }
+    folded = hits.fold_hits(df)
+    assert rows(folded.select("url", "title", "source")) == [
+        ("https://s.com/1", "Title", "Site A"), ("https://t.com/x/y", "T", None),
+    ]
+    assert rows(hits.hit_searches(df)) == [
+        ("https://s.com/1", 0, "ana", "q1"), ("https://s.com/1", 1, "luc", "q2"),
+        ("https://s.com/1", 2, "ana", "q1"), ("https://t.com/x/y", 4, "eva", "q4"),
+    ]
     articles = hits.hits_to_articles(folded, "RUNID_1", "now")
     assert {r["source_url"] for r in articles.collect()} == {"https://s.com"}
+    assert [r["query_original_personas"] for r in hits.article_searches(df, articles).orderBy("ord").collect()] == ["ana", "luc", "ana"]
+
+
+def test_a_url_of_very_many_hits_is_one_article(spark):
+    df = spark.range(30_000).select(
+        F.col("id").alias("ord"), F.lit("https://s.com/1").alias("url"), F.lit("p").alias("persona"),
+        F.col("id").cast("string").alias("query"), F.lit("t").alias("title"), F.lit("s").alias("source"),
+        *[F.lit("x").alias(c) for c in ("date", "body", "image")],
+    )
+    articles = hits.hits_to_articles(hits.fold_hits(df), "RUNID_1", "now")
+    assert articles.count() == 1
+    assert hits.article_searches(df, articles).count() == 30_000
 
 
 # joins
@@ -272,11 +273,10 @@ def test_profile(spark):
     assert rows(profile.value_counts(posts_, "link")) == [("https://a.com/1", 1), ("https://a.com/2", 1)]
 
 
-def test_distinct_values_in_parts(spark):
+def test_distinct_values(spark):
     df = spark.range(50).select(F.lit("k").alias("k"), F.format_string("v%02d", F.col("id") % 25).alias("v"))
-    parts = profile.distinct_values(df, "k", "v", part_size=10).orderBy("list_part").collect()
-    assert [len(r["v"]) for r in parts] == [10, 10, 5]
-    assert sum((r["v"] for r in parts), []) == [f"v{i:02d}" for i in range(25)]
+    found = rows(profile.distinct_values(df, "k", "v"))
+    assert found == sorted([("k", i, f"v{i:02d}") for i in range(25)], key=repr)
 
 
 BATCHES = "batch_id string, status string, output string, error string"
@@ -431,3 +431,27 @@ def test_article_message_is_json(spark):
     head, _, body = message.partition("\n\n")
     assert head == "The article:"
     assert json.loads(body) == {"source_name": "s", "article_title": 'T "1"', "summary": None}
+
+
+def test_pairs_of_unlisted_personas_are_reported(spark):
+    articles = spark.createDataFrame([("a", {"P": 2, "Q": 2, "R": 1})], "article_id string, relevance map<string,int>")
+    people = spark.createDataFrame([("P",)], "name string")
+    assert rows(posts.unlisted_pairs(articles, people)) == [("a", "Q", "persona is not listed")]
+
+
+def test_faulty_vectors_do_not_hide_others(spark):
+    nan = float("nan")
+    corpus = spark.createDataFrame(
+        [(1, [0.0, 1.0]), (2, [nan, 0.0]), (3, [1.0]), (4, [0.0, 0.0, 0.0]), (5, None), (6, [5.0, 5.0]), (7, [None, 1.0])],
+        "id int, embedding array<double>",
+    ).coalesce(1)
+    queries = spark.createDataFrame([(0, [0.0, 0.0]), (1, [nan, 0.0])], "q int, embedding array<double>")
+    for most in (1 << 20, 0):
+        found = neighbours.nearest(corpus, queries, "id", "q", k=5, max_query_bytes=most)
+        assert rows(found.select("q", "id", "distance")) == [(0, 1, 1.0), (0, 6, 50.0)]
+    assert rows(neighbours.unusable(corpus, "id", length=2)) == [
+        (2, "not finite"), (3, "other length"), (4, "other length"), (5, "no vector"), (7, "not finite"),
+    ]
+    mixed = spark.createDataFrame([(0, [0.0, 0.0]), (1, [0.0])], "q int, embedding array<double>")
+    with pytest.raises(ValueError):
+        neighbours.nearest(corpus, mixed, "id", "q")

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from newsloom.catalog import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,20 +29,25 @@ def canonical(columns, data):
     )
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_agrees_with_sql(spark, db, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     found = [tuple(r) for r in df.collect()]
-    cursor = db.execute(entry.oracle_sql()[name])
+    cursor = db.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(df.columns) == sorted(columns)
     assert canonical(df.columns, found) == canonical(columns, cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, name):
-    assert entry.queries()[name](spark, SF).count() > 0
+    assert QUERIES[name](spark, SF).count() > 0
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_the_entry_has_all_queries():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
