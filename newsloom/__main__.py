@@ -40,7 +40,7 @@ def main() -> int:
     spark = build_session()
     ws = curation.Workspace(spark, args.workspace)
     if args.runid is None:
-        ledger = spark.read.schema(schemas.RUNS_METADATA).parquet(ws.location("runs_metadata"))
+        ledger = ws.read("runs_metadata", schemas.RUNS_METADATA, required=False)
         last = latest_run(ledger.withColumn("ord", F.col("pipeline_finish_time")), "ord").first()
         print("no runs yet" if last is None else f"last run: {last['RUNID']}, {last['status']}")
         return 2

@@ -78,6 +78,72 @@ def deleted_content(spark, sf):
     return readers.read_table(spark, path, schema)
 
 
+@query(
+    """SELECT doc_id, text, lang, doc_id // 50 AS file_no,
+         row_number() OVER (PARTITION BY doc_id // 50 ORDER BY doc_id) - 1 AS place FROM documents"""
+)
+def json_arrays(spark, sf):
+    """Files of one JSON array each, read back in the order of their records."""
+    path = scratch_path(spark, "arrays")
+    records = F.sort_array(F.collect_list(F.struct("doc_id", "text", "lang")))
+    files = table(spark, sf, "documents").groupBy((F.col("doc_id") / 50).cast("bigint")).agg(F.to_json(records).alias("value"))
+    files.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    rows = readers.read_json_array(spark, path, "doc_id bigint, text string, lang string", ordinal=True)
+    rows = rows.withColumn("file_no", (F.col("doc_id") / 50).cast("bigint"))
+    first = rows.groupBy("file_no").agg(F.min("ord").alias("first"))
+    return rows.join(first, "file_no").select("doc_id", "text", "lang", "file_no", (F.col("ord") - F.col("first")).alias("place"))
+
+
+@query(
+    """SELECT doc_id AS article_id, quality FROM labels WHERE quality = 1 OR (quality = 0 AND toxic = 1)"""
+)
+def relevant_by_either_form(spark, sf):
+    """Stored relevance as the map of today, and as the single number of old runs."""
+    path = scratch_path(spark, "relevant")
+    labels = table(spark, sf, "labels")
+    map_form = labels.where("quality = 0").select(
+        "doc_id", "quality", F.create_map(F.lit("TOXICITY"), F.col("toxic") * 2).alias("relevance"),
+        F.lit(None).cast("int").alias("relevance_scalar"),
+    )
+    old_form = labels.where("quality = 1").select(
+        "doc_id", "quality", F.lit(None).cast("map<string,int>").alias("relevance"),
+        (F.col("quality") * 2).alias("relevance_scalar"),
+    )
+    both = map_form.unionByName(old_form).withColumnRenamed("doc_id", "article_id")
+    writers.write_run(both.withColumn("run_id", F.lit("RUNID_1")), path)
+    schema = "article_id bigint, quality int, relevance map<string,int>, relevance_scalar int"
+    return readers.read_relevant(spark, path, schema, "RUNID_1").select("article_id", "quality")
+
+
+@query(
+    """SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 200 AS batch_no, doc_id FROM documents
+       WHERE lang <> 'en'"""
+)
+def rewritten_requests(spark, sf):
+    """A run's requests written again with fewer batches; none of the first write stays."""
+    path = scratch_path(spark, "requests")
+    for documents in (table(spark, sf, "documents"), table(spark, sf, "documents").where("lang <> 'en'")):
+        rows = batching.assign_batches(documents.select("doc_id"), ["doc_id"])
+        rows = rows.withColumns({"run_id": F.lit("RUNID_1"), "task_name": F.lit("t")})
+        writers.write_request_files(rows, path, F.to_json(F.struct("doc_id")))
+    return spark.read.schema("doc_id bigint, batch_no bigint").json(f"{path}/run_id=RUNID_1/task_name=t")
+
+
+@query(
+    """SELECT user_id AS batch_id, event_id || CASE WHEN user_id % 2 = 0 THEN ' again' ELSE ' first' END AS line
+       FROM events"""
+)
+def polled_bodies(spark, sf):
+    """Two polls, the second with half of the batches: it replaces these and leaves the others."""
+    path = scratch_path(spark, "polls")
+    events = table(spark, sf, "events").withColumnRenamed("user_id", "batch_id")
+    none = events.where("event_id < 0").select("batch_id", F.lit("").alias("body"))
+    for poll, batches in (("first", events), ("again", events.where("batch_id % 2 = 0"))):
+        bodies = batches.select("batch_id", F.concat_ws(" ", "event_id", F.lit(poll)).alias("body"))
+        writers.write_saved_bodies(bodies, none, path)
+    return spark.read.schema("batch_id bigint, line string").parquet(f"{path}/output")
+
+
 @query(
     """SELECT 'RUNID_1' AS run_id, 'content_validation_v0' AS task_name,
          (row_number() OVER (ORDER BY doc_id) - 1) // 200 AS batch_no,

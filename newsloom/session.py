@@ -1,5 +1,6 @@
 """Session settings and the shared scratch folder."""
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -50,13 +51,13 @@ def build_session(
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the cluster's checkpoint folder.
 
-    A temporary folder stands in only on a local master, where driver and tasks
-    share one disk. On a cluster the setting is required.
+    Where the setting is missing, a temporary folder stands in only if driver and tasks are
+    one process. On a cluster, a simulated one too, the setting is required.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/newsloom"
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.conf.get("spark.app.id", "app")
     if app not in _local_scratch:

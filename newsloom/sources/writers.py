@@ -1,4 +1,5 @@
-"""Sinks. All writes of a run can be repeated and give the same table."""
+"""Sinks. Writes of a run can be repeated and give the same table; the two logs (`append_ledger`,
+`append_post_log`) grow with each call."""
 
 import re
 from collections.abc import Mapping, Sequence
@@ -45,11 +46,12 @@ def upsert_run(
 ) -> None:
     """Replace rows of one run by key and keep its others; of equal keys the last counts.
 
-    `stored` is the run as read from `path`. The merged run is staged first, since a
-    partition cannot be read while it is overwritten.
+    `stored` is read from `path`; runs that `fresh` does not hold are neither read nor written.
+    The merged run is staged first, since a partition cannot be read while it is overwritten.
     """
     if ord_col:
         fresh = last_per_key(fresh, keys, ord_col).drop(ord_col)
+    stored = stored.join(fresh.select("run_id").distinct(), "run_id", "left_semi").select(*stored.columns)
     kept = stored.join(fresh.select(*keys), list(keys), "left_anti")
     write_run(store(kept.unionByName(fresh.select(*kept.columns)), "upsert"), path)
 
@@ -68,29 +70,38 @@ def write_request_files(requests: DataFrame, path: str, line: Column) -> None:
     """One JSONL file per batch, under run_id=/task_name=/batch_no=.
 
     `requests` holds run_id, task_name, batch_no and pos. Rows are exchanged by batch, so
-    that each batch is written by one task, in order, and a task writes many batches.
+    that each batch is written by one task, in order, and a task writes many batches. The
+    folder of a run's task is replaced as a whole, so that no batch of an earlier, longer
+    write stays; there is one write for each such folder.
     """
-    keys = ["run_id", "task_name", "batch_no"]
-    (
-        requests.select(*keys, "pos", line.alias("value"))
-        .repartition(*keys)
-        .sortWithinPartitions(*keys, "pos")
-        .drop("pos")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .text(path)
-    )
+    lines = store(requests.select("run_id", "task_name", "batch_no", "pos", line.alias("value")), "requests")
+    for folder in lines.select("run_id", "task_name").distinct().collect():
+        own = lines.where((F.col("run_id") == folder["run_id"]) & (F.col("task_name") == folder["task_name"]))
+        (
+            own.select("batch_no", "pos", "value")
+            .repartition("batch_no")
+            .sortWithinPartitions("batch_no", "pos")
+            .drop("pos")
+            .write.mode("overwrite")
+            .partitionBy("batch_no")
+            .text(f"{path}/run_id={folder['run_id']}/task_name={folder['task_name']}")
+        )
 
 
 def write_saved_bodies(outputs: DataFrame, errors: DataFrame, path: str) -> None:
     """Lines of the outputs and of the errors of batches, in tables of their own.
 
-    The batch is a column, so that many small batches do not make as many files.
+    Each batch has a folder, which a later poll replaces; batches that it does not bring stay.
     """
     for kind, bodies in (("output", outputs), ("error", errors)):
         lines = bodies.select("batch_id", F.explode(F.split("body", "\n")).alias("line"))
-        lines.write.mode("overwrite").parquet(f"{path}/{kind}")
+        (
+            lines.repartition("batch_id")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(f"{path}/{kind}")
+        )
 
 
 def selection(frame: DataFrame, personas: Sequence[str], names: Mapping[str, str] = EXPORT_NAMES) -> DataFrame:

@@ -20,7 +20,8 @@ def dedupe_landing(
 ) -> None:
     """Process all landed files and stop; call again when more have landed.
 
-    `landing` is a Parquet folder of rows with a `run_id` such as RUNID_7. A row is dropped
+    `landing` is a Parquet folder of rows with a `run_id` such as RUNID_7; one without a number
+    ends the stream. A row is dropped
     if a batch before holds its key in another run, or its own batch in an earlier run: the
     result of deduping the runs one by one as they come. Copies inside a run stay, also if
     the run's files fall into several batches.
@@ -37,7 +38,8 @@ def dedupe_landing(
 
     def step(batch: DataFrame, epoch: int) -> None:
         # Runs order by number.
-        rows = batch.withColumn("__run", number_suffix(F.col("run_id")))
+        unnumbered = F.raise_error(F.concat(F.lit("a run id without a number: "), "run_id")).cast("bigint")
+        rows = batch.withColumn("__run", F.coalesce(number_suffix(F.col("run_id")), unnumbered))
         fresh = history_keys(rows, keys, "__run")
         fresh.write.mode("overwrite").parquet(f"{output}/_keys/epoch={epoch}")
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh.schema.fields)

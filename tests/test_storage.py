@@ -151,3 +151,43 @@ def test_a_batch_can_be_run_again(spark, tmp_path):
     dedupe_landing(spark, landing, SEEN, out, progress)
     assert os.path.exists(os.path.join(progress, "commits", "1"))
     assert kept(spark, out) == [1, 2, 4]
+
+
+def test_a_damaged_array_fails(spark, tmp_path):
+    write(tmp_path / "a.json", '[{"x": "a", "n": 1}, {"x": "b", "n"')
+    for ordinal in (False, True):
+        with pytest.raises(Exception, match="no JSON array"):
+            readers.read_json_array(spark, str(tmp_path / "a.json"), "x string, n int", ordinal).collect()
+
+
+def test_records_of_several_files_are_numbered_in_order(spark, tmp_path):
+    for name, start in (("b", 3), ("a", 0)):
+        write(tmp_path / f"{name}.json", json.dumps([{"n": start + i} for i in range(3)]))
+    write(tmp_path / "c.json", '{"n": 6}')
+    write(tmp_path / "d.json", "[]")
+    found = readers.read_json_array(spark, str(tmp_path), "n int", ordinal=True)
+    assert rows(found.select("ord", "n")) == [(i, i) for i in range(7)]
+
+
+def test_a_later_poll_leaves_other_batches(spark, tmp_path):
+    bodies = "batch_id string, body string"
+    for body in ([("b1", '{"custom_id": "x"}')], [("b2", '{"custom_id": "y"}'), ("b3", '{"custom_id": "z"}')], [("b2", '{"custom_id": "w"}')]):
+        writers.write_saved_bodies(spark.createDataFrame(body, bodies), spark.createDataFrame([], bodies), str(tmp_path))
+    found = readers.read_saved_responses(spark, str(tmp_path)).select("batch_id", "custom_id")
+    assert rows(found) == [("b1", "x"), ("b2", "w"), ("b3", "z")]
+
+
+def test_upsert_touches_only_its_runs(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "id string, run_id string"
+    writers.write_run(spark.createDataFrame([("a", "R1"), ("b", "R2")], schema), path)
+    before = sorted(os.listdir(f"{path}/run_id=R2"))
+    writers.upsert_run(readers.read_table(spark, path, schema), spark.createDataFrame([("c", "R1")], schema), path, ["id"])
+    assert rows(readers.read_table(spark, path, schema)) == [("a", "R1"), ("b", "R2"), ("c", "R1")]
+    assert sorted(os.listdir(f"{path}/run_id=R2")) == before
+
+
+def test_a_run_without_number_ends_the_stream(spark, tmp_path):
+    schema = "run_id string, article_title string, source_name string"
+    spark.createDataFrame([("first", "t", "s")], schema).write.parquet(str(tmp_path / "in"))
+    with pytest.raises(Exception, match="without a number"):
+        dedupe_landing(spark, str(tmp_path / "in"), schema, str(tmp_path / "out"), str(tmp_path / "progress"))
