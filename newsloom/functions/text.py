@@ -63,6 +63,15 @@ def composite_key(run: Column, task: Column, item: Column) -> Column:
     return F.concat(run, sep, task, sep, item)
 
 
+def readable_key(run: Column, task: Column, item: Column) -> Column:
+    """`composite_key` that fails where `split_key` would not give the parts back, as with a
+    part that holds the separator."""
+    key = composite_key(run, task, item)
+    same = split_key(key).eqNullSafe(F.struct(run.alias("run_id"), task.alias("task_name"), item.alias("item_id")))
+    unreadable = F.raise_error(F.concat(F.lit("no part of a key may hold --: "), key)).cast("string")
+    return F.when(key.isNull() | same, key).otherwise(unreadable)
+
+
 def split_key(key: Column) -> Column:
     """struct(run_id, task_name, item_id), or null unless the key has exactly three parts."""
     parts = F.split(key, KEY_SEPARATOR)

@@ -1,13 +1,21 @@
 """Column expressions on URLs, pages and links."""
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import strip
 
-HTML_LINK = r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'
+# The address with either quotes or none: each reading starts behind its quote.
+HTML_LINK = (
+    r"""(?is)<a\s[^>]*?href\s*=\s*["']?((?<=")[^"]*|(?<=')[^']*|(?<!["'])[^\s"'>]+)[^>]*>(.*?)</a>"""
+)
 MARKDOWN_LINK = r"\[([^\[\]]+)\]\((https?://[^\s()]+)[^()]*\)"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
+# Ways to write an ampersand.
+AMPERSANDS = ("&amp;", "&AMP;", "&#38;", "&#x26;", "&#X26;")
 # A page with its article element, whose content is the group; other pages do not match.
 ARTICLE_PAGE = r"(?is)^.*?<article[^>]*>(.*)</article>.*$"
 # Parts of a page that hold no article text.
@@ -17,23 +25,16 @@ FURNITURE = (
 )
 BLOCK_END = r"(?i)<(?:/(?:p|h[1-6]|li|div|tr|header|section|blockquote)|br\s*/?)>"
 TAG = r"<[^>]*>"
+# The attributes of the element may come in either order.
 PUBLISHED = (
-    r'(?is)<(?:meta[^>]*published_time[^>]*content|time[^>]*datetime)="(\d{4}-\d{2}-\d{2})'
+    r"""(?is)<(?:meta(?=[^>]*published_time)[^>]*?\bcontent|time\b[^>]*?\bdatetime)\s*=\s*["']?(\d{4}-\d{2}-\d{2})"""
 )
 # An error body in place of a page.
 ERROR_BODY = r'(?s)^\s*\{.*"code"\s*:\s*\d+'
 
-# Character references decoded in page text; the ampersand comes last.
-ENTITIES = [
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+# Character references by name, as HTML 5 has them; a hard space is a space in page text.
+NAMED = {f"&{name}": char for name, char in html5.items() if name.endswith(";")} | {"&nbsp;": " "}
 
 
 def url_origin(url: Column) -> Column:
@@ -48,9 +49,28 @@ def url_host(line: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Character references as their characters, by name or number; others stay.
+
+    A text's different references are replaced one by one, the ampersand last, so that what
+    it makes is not read again.
+    """
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)))
+    amps = F.array(*[F.lit(x) for x in AMPERSANDS])
+    order = F.concat(F.array_except(found, amps), F.array_intersect(found, amps))
+    names = F.from_json(F.lit(json.dumps(NAMED)), "map<string,string>")
+
+    def character(ref: Column) -> Column:
+        digits = F.when(
+            ref.rlike("^&#[xX]"), F.conv(F.regexp_extract(ref, "^&#[xX]([0-9a-fA-F]+)", 1), 16, 10)
+        ).otherwise(F.regexp_extract(ref, "^&#([0-9]+)", 1))
+        code = digits.try_cast("int")
+        known = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        wide = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(ref.startswith("&#"), F.when(known, wide)).otherwise(F.try_element_at(names, ref))
+
+    replaced = F.aggregate(order, text, lambda done, ref: F.replace(done, ref, F.coalesce(character(ref), ref)))
+    # Most texts have none.
+    return F.when(F.contains(text, F.lit("&")), replaced).otherwise(text)
 
 
 def squeeze(text: Column) -> Column:

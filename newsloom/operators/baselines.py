@@ -39,9 +39,8 @@ def words_only(text: Column) -> Column:
 
 def keyword_score(words: Column, keywords: Sequence[str]) -> Column:
     """2 for two or more of the keywords, 1 for one, 0 for none; `words` from `words_only`."""
-    hits = [
-        F.contains(words, F.lit(f" {keyword.lower()} ")).cast("int") for keyword in keywords
-    ]
+    # Keywords are cleaned like the text, so that those with marks in them match.
+    hits = [F.contains(words, words_only(F.lit(keyword))).cast("int") for keyword in keywords]
     return F.least(sum(hits, F.lit(0)), F.lit(2))
 
 

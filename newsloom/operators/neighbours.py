@@ -6,10 +6,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsloom.operators.validation import REASON
+from newsloom.session import store
+
 # Bytes of query vectors that may be sent to every task.
 MAX_QUERY_BYTES = 64 << 20
 # Bytes of query and of corpus vectors that meet in one task beyond that.
@@ -18,12 +21,26 @@ CORPUS_BLOCK_BYTES = 128 << 20
 
 
 def centroid(df: DataFrame, vector: str = "embedding") -> DataFrame:
-    """One row: the mean of all vectors, reduced map-side."""
-    return df.select(
+    """One row: the mean of all vectors that are finite, reduced map-side."""
+    return df.where(vector_fault(F.col(vector)).isNull()).select(
         vector_to_array(Summarizer.mean(array_to_vector(F.col(vector)))).alias("centroid")
     )
 
 
+def vector_fault(vector: Column, length: int | None = None) -> Column:
+    """Why a vector cannot be compared, or null: it is null, has another length, or holds
+    components that are null or not finite."""
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    other = F.lit(False) if length is None else F.size(vector) != length
+    return F.when(vector.isNull(), "no vector").when(other, "other length").when(bad, "not finite")
+
+
+def unusable(df: DataFrame, id_col: str, vector: str = "embedding", length: int | None = None) -> DataFrame:
+    """(id, reject_reason) of the rows that `nearest` and `centroid` leave out."""
+    reason = vector_fault(F.col(vector), length)
+    return df.select(id_col, reason.alias(REASON)).where(F.col(REASON).isNotNull())
+
+
 def nearest_to_centroid(df: DataFrame, id_col: str, vector: str = "embedding", k: int = 5) -> DataFrame:
     """The k rows nearest to the mean of all vectors: (id, distance, rank)."""
     query = centroid(df, vector).select(F.lit(0).alias("query_id"), "centroid")
@@ -42,18 +59,25 @@ def nearest(
 ) -> DataFrame:
     """The k nearest corpus rows of each query by squared Euclidean distance, exact.
 
-    Returns (query_id, id, distance, rank); the lower id wins a tie.
+    Returns (query_id, id, distance, rank); the lower id wins a tie. Vectors that are null, not
+    finite, or not of the queries' length are left out; `unusable` reports them.
 
     The corpus is read once where it lies. Each task keeps its k best per query and only
     those are exchanged, never the pairs. The queries go to every task while they are
     known to fit `max_query_bytes`; more of them are compared block by block.
     """
     query_vector = query_vector or vector
-    queries = queries.select(
-        F.col(query_id).alias("__qid"), F.col(query_vector).cast("array<double>").alias("__q")
-    ).where(F.col("__q").isNotNull())
+    # Stored: the queries may come of a scan of the corpus, and are read more than once.
+    queries = store(
+        queries.select(F.col(query_id).alias("__qid"), F.col(query_vector).cast("array<double>").alias("__q"))
+        .where(vector_fault(F.col("__q")).isNull()),
+        "queries",
+    )
+    lengths = [r[0] for r in queries.select(F.size("__q")).distinct().limit(2).collect()]
+    if len(lengths) > 1:
+        raise ValueError("query vectors differ in length")
     corpus = corpus.select(F.col(id_col).alias("__id"), F.col(vector).alias("__v")).where(
-        F.col("__v").isNotNull()
+        vector_fault(F.col("__v"), lengths[0] if lengths else None).isNull()
     )
     # Counts first, so that no more than the allowed bytes ever reach the driver.
     size = _vector_bytes(queries, "__q")

@@ -67,6 +67,15 @@ def relevant_pairs(articles: DataFrame) -> DataFrame:
     )
 
 
+def unlisted_pairs(articles: DataFrame, personas: DataFrame) -> DataFrame:
+    """(article_id, perfil, reject_reason) of relevant pairs whose persona is not in `personas`."""
+    pairs = relevant_pairs(articles.select("article_id", "relevance"))
+    listed = personas.select(F.col("name").alias("perfil"))
+    return pairs.join(listed, "perfil", "left_anti").select(
+        "article_id", "perfil", F.lit("persona is not listed").alias(REASON)
+    )
+
+
 def post_prompts(
     articles: DataFrame,
     personas: DataFrame,
@@ -79,7 +88,8 @@ def post_prompts(
     """One (system, user) prompt per persona and drawn article.
 
     `n_articles` = None keeps every relevant article. The prompt of an article stands
-    alone and holds nothing of the prompts before it. Personas must be in `personas`.
+    alone and holds nothing of the prompts before it. Personas must be in `personas`: the
+    pairs of others are in `unlisted_pairs`, for a reject table.
     """
     pairs = relevant_pairs(
         articles.select(

@@ -17,7 +17,7 @@ from newsloom.functions.scores import (
     contract_error,
     without_language,
 )
-from newsloom.functions.text import bind, composite_key, escape_newlines, split_key
+from newsloom.functions.text import bind, escape_newlines, readable_key, split_key
 from newsloom.operators.validation import REASON
 from newsloom.session import store
 
@@ -29,9 +29,6 @@ RELEVANCE, RELEVANCE_FORM = "relevance_check_v0", "ArticleRelevanceCheck"
 VALIDITY, VALIDITY_FORM = "content_validation_v0", "ArticleContentValidity"
 SUMMARY = "article_summarization_v0"
 
-# Texts that one embedding call may hold.
-MAX_CALL_TEXTS = 2048
-
 REQUEST = ["custom_id", "model", "system_content", "user_content"]
 
 
@@ -149,7 +146,7 @@ def build_requests(
     prompt = F.lit(task.system_prompt)
     return items.select(
         *keep,
-        composite_key(run, F.lit(task.name), item_id).alias("custom_id"),
+        readable_key(run, F.lit(task.name), item_id).alias("custom_id"),
         F.lit(task.model).alias("model"),
         (escape_newlines(prompt) if task.escape else prompt).alias("system_content"),
         (escape_newlines(content) if task.escape else content).alias("user_content"),
@@ -179,7 +176,9 @@ def request_json(task: Task) -> Column:
 
 
 def python_predictor(
-    factory: Callable[[], Callable[[list[dict]], Iterable[str | None]]], concurrency: int | None = None
+    factory: Callable[[], Callable[[list[dict]], Iterable[str | None]]],
+    concurrency: int | None = None,
+    call_size: int = 1000,
 ) -> Predictor:
     """A predictor from Python code, such as a client of a hosted model.
 
@@ -187,16 +186,19 @@ def python_predictor(
     where the model is slow and the table small, or fewer to spare the model.
 
     `factory` runs once per task on the executors and returns a function from a list of
-    requests to as many answers. If it fails on a list, each of its requests is tried
-    alone; one that still fails gives a row with the error. The parse functions store what
-    they read; elsewhere store the answers before using them twice.
+    requests to as many answers. It gets `call_size` requests at a time. If it fails on a
+    list, the halves are tried, down to the request that fails, which gives a row with the
+    error. The parse functions store what they read; elsewhere store the answers before
+    using them twice.
     """
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         answer = factory()
         for pdf in batches:
             requests = pdf[REQUEST].to_dict("records")
-            answers = _answers(answer, requests)
+            answers = []
+            for i in range(0, len(requests), call_size):
+                answers += _answers(answer, requests[i : i + call_size])
             out = pdf.drop(columns=["system_content", "user_content"])
             out["content"] = pd.Series([a for a, _ in answers], index=pdf.index, dtype=object)
             out["error"] = pd.Series([e for _, e in answers], index=pdf.index, dtype=object)
@@ -222,7 +224,8 @@ def _answers(answer: Callable[[list], Iterable], requests: list) -> list[tuple]:
     except Exception as e:
         if len(requests) == 1:
             return [(None, f"{type(e).__name__}: {e}")]
-        return [pair for request in requests for pair in _answers(answer, [request])]
+        half = len(requests) // 2
+        return _answers(answer, requests[:half]) + _answers(answer, requests[half:])
 
 
 def expression_predictor(content: Callable[[Column], Column], model: str) -> Predictor:
@@ -280,10 +283,6 @@ def embed_calls(
                 if n < number.iloc[-1]:
                     yield done(group)
             rest = pdf[number == number.iloc[-1]]
-            # Texts without tokens do not end a call; very many of them go out in several.
-            while len(rest) > MAX_CALL_TEXTS:
-                yield done(rest.iloc[:MAX_CALL_TEXTS])
-                rest = rest.iloc[MAX_CALL_TEXTS:]
         if rest is not None and len(rest):
             yield done(rest)
 

@@ -166,3 +166,53 @@ def test_lead_summary(spark):
     assert one(spark, baselines.lead_summary(F.col("x")), x="One. Two! Three? Four.") == "One. Two! Three?"
     assert one(spark, baselines.lead_summary(F.col("x")), x="no end") == "no end"
     assert one(spark, baselines.lead_summary(F.col("x")), x="At 1.252. 0") == "At 1. 252. 0"
+
+
+@pytest.mark.parametrize(
+    "page, links",
+    [
+        ("<a href='https://a.com/1'>A</a>", [("A", "https://a.com/1")]),
+        ("<a class=x href=https://a.com/2 id=y>B &ntilde;</a>", [("B ñ", "https://a.com/2")]),
+        ('<a href = "https://a.com/it\'s">C &#233;&#x1F600;&amp;lt;</a>', [("C é😀&lt;", "https://a.com/it's")]),
+        ("<a href=''>D</a><a name=z>E</a>", [("D", "")]),
+    ],
+)
+def test_links_of_all_forms(spark, page, links):
+    found = spark.createDataFrame([(page,)], "p string").select(web.page_links(F.col("p")).alias("l")).first()["l"]
+    assert [(x["title"], x["url"]) for x in found] == links
+
+
+@pytest.mark.parametrize(
+    "page, day",
+    [
+        ('<meta property="article:published_time" content="2025-01-02T03:04">', "2025-01-02"),
+        ("<meta content='2025-01-02' property='article:published_time'>", "2025-01-02"),
+        ("<time class=x datetime=2025-03-04>", "2025-03-04"),
+        ('<meta property="other" content="2025-01-02">', None),
+    ],
+)
+def test_publish_day_in_either_order(spark, page, day):
+    assert spark.createDataFrame([(page,)], "p string").select(web.html_published(F.col("p"))).first()[0] == day
+
+
+def test_references(spark):
+    text = "&ntilde;&rsquo;&nbsp;&#233;&#xE9;&unknown;&#0;&#xD800;&#1114112;&amp;eacute;&lt;&copy"
+    assert spark.createDataFrame([(text,)], "p string").select(web.decode_entities(F.col("p"))).first()[0] == (
+        "ñ’ éé&unknown;&#0;&#xD800;&#1114112;&eacute;<&copy"
+    )
+
+
+def test_keywords_with_marks_match(spark):
+    scores = baselines.keyword_scores(F.col("t"), {"p": ["e-commerce", "C++ code"], "q": ["com"]})
+    found = spark.createDataFrame([("About E-Commerce and c code",)], "t string").select(scores.alias("s")).first()["s"]
+    assert found == {"p": 2, "q": 0}
+
+
+def test_keys_that_cannot_be_read_back_fail(spark):
+    df = spark.createDataFrame([("a-b",), ("x--y",), ("-z",)], "i string")
+    key = text.readable_key(F.lit("R1"), F.lit("t"), F.col("i"))
+    for good in ("a-b", "-z"):
+        made = df.where(F.col("i") == good).select(key.alias("k"))
+        assert made.select(text.split_key(F.col("k"))["item_id"]).first()[0] == good
+    with pytest.raises(Exception, match="may hold --"):
+        df.where("i = 'x--y'").select(key).collect()
