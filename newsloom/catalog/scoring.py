@@ -297,6 +297,10 @@ def apply_predictor(spark, sf):
     return tasks.python_predictor(_length_model)(requests)
 
 
+def _quoted(text):
+    return "'" + text.replace("'", "''") + "'"
+
+
 def _keyword_sql(words):
     hits = " + ".join(f"CAST(contains(w, ' {word} ') AS INT)" for word in words)
     return f"least({hits}, 2)"
@@ -374,9 +378,47 @@ def _article_summaries(spark, sf):
     )
 
 
-@query()
+_PAST_SQL = f"""SELECT conv_id || '_' || turn AS post_id, text AS copy,
+    CASE WHEN role = 'user' THEN '{PERSONAS[0]}' ELSE '{PERSONAS[1]}' END AS perfil FROM conversations"""
+
+
+def _sampled_sql(rows, row_id, n, seed):
+    return f"""SELECT * FROM ({rows}) QUALIFY
+        row_number() OVER (PARTITION BY perfil ORDER BY md5({row_id} || ':{seed}'), {row_id}) <= {n}"""
+
+
+_DRAWN_PAIRS_SQL = _sampled_sql(
+    f"""SELECT d.doc_id AS article_id, p.perfil, d.lang, d.source, d.text FROM documents d
+        JOIN (SELECT doc_id, '{PERSONAS[0]}' AS perfil, quality AS hit FROM labels
+              UNION ALL SELECT doc_id, '{PERSONAS[1]}', toxic FROM labels) p
+          ON p.doc_id = d.doc_id AND p.hit = 1""",
+    "article_id", 5, 0,
+)
+
+
+@query(
+    f"""WITH numbered AS (
+         SELECT perfil, post_id, 'Example ' || row_number() OVER (PARTITION BY perfil ORDER BY post_id)
+           || ':' || chr(10) || copy AS example
+         FROM ({_sampled_sql(_PAST_SQL, "post_id", 5, 0)})),
+       voices AS (SELECT perfil, string_agg(example, chr(10) || chr(10) ORDER BY post_id) AS examples
+                  FROM numbered GROUP BY perfil),
+       people AS (SELECT r_name, CASE r_regionkey WHEN 0 THEN '{PERSONAS[0]}' WHEN 1 THEN '{PERSONAS[1]}'
+                    ELSE r_name END AS perfil FROM region)
+       SELECT perfil, article_id, 'Article ' || article_id AS article_title, lang AS article_language,
+         text AS summary, source AS article_url,
+         concat_ws(chr(10) || chr(10),
+           concat_ws(' ', {_quoted(posts.BRIEF)},
+             CASE WHEN substr(md5(perfil || chr(1) || article_id || ':0'), 1, 1)
+                    IN ('0', '2', '4', '6', '8', 'a', 'c', 'e') THEN {_quoted(posts.CLOSING)} END),
+           'The executive:' || chr(10) || r_name,
+           'Their earlier posts:' || chr(10) || chr(10) || examples,
+           'Language of the post: ' || lang) AS system_content,
+         trim('Article ' || article_id || chr(10) || text) AS user_content
+       FROM ({_DRAWN_PAIRS_SQL}) JOIN people USING (perfil) LEFT JOIN voices USING (perfil)"""
+)
 def post_prompts(spark, sf):
-    """Prompts with sampled articles and examples; the hash that samples is not in SQL."""
+    """Both sides of the prompts, with sampled articles and examples."""
     return posts.post_prompts(
         _article_summaries(spark, sf), _people(spark, sf), _past(spark, sf), "post_id"
     )
@@ -424,11 +466,14 @@ def numbered_examples(spark, sf):
     )
 
 
-@query()
+@query(_sampled_sql(_PAST_SQL, "post_id", 5, 7))
 def sampled_examples(spark, sf):
     return posts.seeded_sample(_past(spark, sf), ["perfil"], "post_id", 5, seed=7)
 
 
-@query()
+@query(
+    """SELECT doc_id, substr(md5(doc_id || ':0'), 1, 1) IN ('0', '2', '4', '6', '8', 'a', 'c', 'e') AS chosen
+       FROM documents"""
+)
 def call_to_action(spark, sf):
     return table(spark, sf, "documents").select("doc_id", posts.coin(F.col("doc_id")).alias("chosen"))

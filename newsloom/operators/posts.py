@@ -15,29 +15,34 @@ from newsloom.session import store
 EXAMPLES = 5
 ARTICLES = 5
 
-INSTRUCTIONS = (
-    "Write a short LinkedIn post (at most 50 words) from the article summary",
-    "Be clear and considered",
-    "Bring out the main insight and add a short view of the person's own",
-    "Leave out buzzwords; stay concrete",
+# What a post should be, where the caller does not say.
+BRIEF = (
+    "Tell the executive's network what the article reports and what it changes for people in their "
+    "line of work, as they themselves would say it."
 )
-CALL_TO_ACTION = "Where it fits, end with a question or an invitation to respond"
+# What about half of the prompts ask for besides.
+CLOSING = "Invite readers to add what they have seen."
+
+
+def _draw(row_id: Column, seed: int) -> Column:
+    """A number in hexadecimal digits that depends on the id and the seed only."""
+    return F.md5(F.concat_ws(":", row_id.cast("string"), F.lit(str(seed))))
 
 
 def seeded_sample(
     df: DataFrame, keys: Sequence[str], id_col: str, n: int, seed: int = 0
 ) -> DataFrame:
-    """min(n, size) rows of each group, chosen by a seeded hash: the same on every run.
+    """min(n, size) rows of each group, those first by the MD5 of id and seed: the same on every run.
 
     Only n rows per group and task are exchanged.
     """
-    window = Window.partitionBy(*keys).orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col)
+    window = Window.partitionBy(*keys).orderBy(_draw(F.col(id_col), seed), id_col)
     return df.withColumn("__rn", F.row_number().over(window)).where(F.col("__rn") <= n).drop("__rn")
 
 
 def coin(id_col: Column, seed: int = 0) -> Column:
-    """True for about half of the ids."""
-    return F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(2)) == 0
+    """True for about half of the ids: the first digit of the MD5 of id and seed is even."""
+    return F.substring(_draw(id_col, seed), 1, 1).isin(*"02468ace")
 
 
 def numbered_examples(examples: Column) -> Column:
@@ -84,10 +89,13 @@ def post_prompts(
     n_articles: int | None = ARTICLES,
     n_examples: int = EXAMPLES,
     seed: int = 0,
+    brief: str = BRIEF,
+    closing: str = CLOSING,
 ) -> DataFrame:
     """One (system, user) prompt per persona and drawn article.
 
-    `n_articles` = None keeps every relevant article. The prompt of an article stands
+    `n_articles` = None keeps every relevant article. `brief` says what to write, `closing` what
+    a prompt adds to it when its coin says so. The prompt of an article stands
     alone and holds nothing of the prompts before it. Personas must be in `personas`: the
     pairs of others are in `unlisted_pairs`, for a reject table.
     """
@@ -105,22 +113,17 @@ def post_prompts(
         bios.join(example_posts(past, past_id, n_examples, seed), "perfil", "left"), "voices"
     )
     joined = pairs.join(voices, "perfil")
-    task = F.concat(
-        F.lit("\n- ".join(("Your task:", *INSTRUCTIONS))),
-        F.when(
-            coin(F.concat_ws("\u0001", "perfil", "article_id"), seed), F.lit(f"\n- {CALL_TO_ACTION}")
-        ).otherwise(F.lit("")),
-    )
+    tossed = coin(F.concat_ws("\u0001", "perfil", "article_id"), seed)
+    task = F.concat_ws(" ", F.lit(brief), F.when(tossed, F.lit(closing)))
     system = F.concat_ws(
         "\n\n",
-        F.lit("You write LinkedIn posts for a business executive from summaries of articles."),
-        F.concat(F.lit("About the executive:\n"), F.coalesce("linkedin_bio", F.lit(""))),
         task,
+        F.concat(F.lit("The executive:\n"), F.coalesce("linkedin_bio", F.lit(""))),
         F.when(
             F.col("examples").isNotNull(),
-            F.concat(F.lit("Earlier posts, for style and tone:\n\n"), numbered_examples(F.col("examples"))),
+            F.concat(F.lit("Their earlier posts:\n\n"), numbered_examples(F.col("examples"))),
         ),
-        F.concat(F.lit("Write in this language: "), F.coalesce("article_language", F.lit("en"))),
+        F.concat(F.lit("Language of the post: "), F.coalesce("article_language", F.lit("en"))),
     )
     user = strip(dedent(F.concat_ws("\n", "article_title", "summary")))
     return joined.select(

@@ -413,7 +413,7 @@ def test_prompts(spark):
     assert one["user_content"] == "T1\nS1"
     assert "Runs data." in one["system_content"]
     assert "Example 1:\np1\n\nExample 2:\np2" in one["system_content"]
-    assert one["system_content"].endswith("language: es")
+    assert one["system_content"].endswith("Language of the post: es")
     assert "T2" not in one["system_content"]
     assert "Earlier posts" not in found["LUC", "2"]["system_content"]
 
