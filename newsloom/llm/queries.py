@@ -111,6 +111,32 @@ QUERIES = {
 }
 
 ORACLES = {
+    # For pages of the form of the test tables: one article of titles and paragraphs, in which
+    # no subtree can be a template.
+    "op1_html_extraction": r"""
+WITH blocks AS (
+  SELECT page_id, url, string_split_regex(replace(regexp_replace(
+           regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?b>', '', 'g'), '<br>', ' '),
+         '</?(?:p|h1)>') AS b
+  FROM pages),
+texts AS (
+  SELECT page_id, url, coalesce(array_to_string(list_filter(list_transform(b, lambda x: trim(regexp_replace(
+           replace(replace(replace(x, '&quot;', '"'), '&amp;', '&'), '&amp', '&'), '\s+', ' ', 'g'))),
+         lambda x: x <> ''), chr(10) || chr(10)), '') AS text
+  FROM blocks)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM texts""",
+    "op3_warc_index": r"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+found AS (
+  SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first
+  FROM payloads)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (((('0x' || substr(x, (i // 4 * 5 + 1)::BIGINT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1)::BIGINT, 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM found""",
     "op4_source_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, md5(concat_ws(':', doc_id::VARCHAR, '7')) AS key,

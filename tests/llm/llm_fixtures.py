@@ -1,12 +1,11 @@
+"""Fixtures; test modules import those they use."""
+
 import glob
 import os
-import sys
 
 import duckdb
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 SF = "/root/testdata/sf0.001"
 

@@ -3,6 +3,7 @@ from collections import Counter
 import brute
 import pytest
 from newsloom.llm import mixing
+from llm_fixtures import documents, sample  # noqa: F401
 
 ROWS = [
     (1, "a b c", "x"), (2, "d e", "x"), (3, None, "x"), (4, "", "y"), (5, " \n ", "y"), (6, "f " * 50, None), (6, "f " * 50, None),

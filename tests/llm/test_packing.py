@@ -4,6 +4,7 @@ from collections import Counter
 import brute
 import pytest
 from newsloom.llm import packing
+from llm_fixtures import documents, sample  # noqa: F401
 
 EDGES = [(1, None), (2, ""), (3, " \n"), (4, "a b c"), (4, "a b c"), (None, "d e"), (5, "x " * 30_000), (6, "y" * 300_000), (7, "z " * 4096), (8, "é  ü\n\nö")]
 

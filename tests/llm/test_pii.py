@@ -4,6 +4,7 @@ import random
 import brute
 from newsloom.llm import pii
 from newsloom.llm.queries import op9_personal_data
+from llm_fixtures import documents, sample  # noqa: F401
 
 EDGES = [
     "", "a@b", "a@b.c", "a..b@@c.d.e a@b.c@d.e", "..%+-@x-.y", "1.2.3.4.5.6.7.8", "256.1.1.1 1.1.1.1", "0001.02.3.255",

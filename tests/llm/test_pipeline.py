@@ -4,6 +4,7 @@ import __spark_entry__ as entry
 import brute
 import corpus_pipeline
 import pytest
+from llm_fixtures import db  # noqa: F401
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 

@@ -2,6 +2,7 @@ import brute
 import numpy as np
 import pytest
 from newsloom.llm import quality_classifier as q
+from llm_fixtures import documents  # noqa: F401
 
 LABELS = "doc_id long, quality int, toxic int"
 

@@ -1,6 +1,7 @@
 import brute
 import pytest
 from newsloom.llm import quality_rules as q
+from llm_fixtures import documents, sample  # noqa: F401
 
 PROSE = "It was a fine day and the old harbour lay still under the sun while boats went out"
 EDGES = [

@@ -4,6 +4,7 @@ import brute
 import pytest
 from newsloom.llm import simhash as s
 from newsloom.llm.components import components
+from llm_fixtures import documents, sample  # noqa: F401
 
 
 def test_fingerprints(sample):
