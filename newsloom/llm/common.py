@@ -4,12 +4,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from newsloom.session import scratch_path, store
 
-__all__ = ["added_columns", "drop_table", "sorted_groups", "store", "stored_at", "table", "texts_of", "unused_names"]
+__all__ = [
+    "added_columns", "drop_table", "one_per_key", "row_keys", "sorted_groups", "store", "stored_at", "table",
+    "texts_of", "unused_names",
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +44,18 @@ def stored_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def row_keys(*columns: Column) -> tuple[Column, Column]:
+    """128 bits that tell rows apart by the values of `columns`, nulls among them, never null."""
+    return F.xxhash64(*columns), F.xxhash64(F.lit(1), *reversed(columns))
+
+
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Any one row of each key. Tasks keep one row of a key before these are exchanged."""
+    (nth,) = unused_names(df, "nth")
+    window = Window.partitionBy(*keys).orderBy(keys[0])
+    return df.withColumn(nth, F.row_number().over(window)).where(F.col(nth) == 1).drop(nth)
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
     """Delete a table that `stored_at` wrote."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,7 +8,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import store, unused_names
+from newsloom.llm.common import one_per_key, row_keys, store, unused_names
 from newsloom.operators.positions import global_positions
 
 WEIGHTS = (5, 2, 1)
@@ -90,7 +90,7 @@ def _running_sums(rows: DataFrame) -> DataFrame:
 def take(
     rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS
 ) -> DataFrame:
-    """The rows (id, source, size, key, tie), with source_size, target and taken.
+    """The rows (source, size, key, tie and others), with source_size, target and taken.
 
     A target is met by as many whole epochs of its source as it holds, and by the documents
     that come first by key, up to the exact word: the last one may be taken in part. Rows are
@@ -120,10 +120,10 @@ def take(
     return joined.select(*rows.columns, "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"))
 
 
-def _sized(documents: DataFrame, id_column: Column, text: str, source: str, doc_id: str, seed: int) -> DataFrame:
+def _sized(documents: DataFrame, ids: dict[str, Column], text: str, source: str, doc_id: str, seed: int) -> DataFrame:
     body = F.col(text).cast("string")
     return documents.select(
-        id_column.alias("id"),
+        *[column.alias(name) for name, column in ids.items()],
         F.col(source).cast("string").alias("source"),
         n_words(body).alias("size"),
         F.md5(F.concat_ws(":", F.col(doc_id).cast("string"), F.lit(str(seed)))).alias("key"),
@@ -147,9 +147,8 @@ def mixed_words(
     doc_id go by their text, and repeated rows in any order. A null text has size 0, a null
     source is a source like any other. No rows give no rows.
     """
-    rows = _sized(documents, F.col(doc_id).cast("bigint"), text, source, doc_id, seed)
-    taken = take(rows, weights, max_epochs)
-    return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    rows = _sized(documents, {"doc_id": F.col(doc_id).cast("bigint")}, text, source, doc_id, seed)
+    return take(rows, weights, max_epochs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mix(
@@ -165,14 +164,17 @@ def mix(
 
     Of a document that is taken in part, that row has the text up to the last word taken;
     other columns stay as they are. Rows of which nothing is taken, empty texts among them,
-    do not come.
+    do not come. Rows that agree in doc_id, source and text are one, taken as often as all
+    of them. Amounts are found on narrow rows; texts are exchanged once, by the key that they
+    are then joined on. What is taken grows with the input, so that it is never broadcast.
     """
-    uid, copy, taken, size = unused_names(documents, "uid", "copy", "taken", "size")
-    numbered = store(documents.withColumn(uid, F.monotonically_increasing_id()), "numbered")
-    rows = _sized(numbered, F.col(uid), text, source, doc_id, seed)
-    used = take(rows, weights, max_epochs).where("taken > 0")
-    used = store(used.select(F.col("id").alias("__id"), F.col("size").alias(size), F.col("taken").alias(taken)), "taken")
-    joined = numbered.join(used, F.col(uid) == F.col("__id"))
+    k1, k2, copy, taken, size = unused_names(documents, "k1", "k2", "copy", "taken", "size")
+    identity = row_keys(F.col(doc_id), F.col(source), F.col(text))
+    keyed = documents.withColumns({k1: identity[0], k2: identity[1]})
+    rows = _sized(documents, {"k1": identity[0], "k2": identity[1]}, text, source, doc_id, seed)
+    used = take(rows, weights, max_epochs).where("taken > 0").groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2))
+    used = store(used.agg(F.max("size").alias(size), F.sum("taken").alias(taken)), "taken")
+    joined = one_per_key(keyed, [k1, k2]).join(used.hint("merge"), [k1, k2])
     copies = joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.ceil(F.col(taken) / F.col(size)).cast("int"))))
     rest = (F.col(taken) - (F.col(copy) - 1) * F.col(size)).cast("int")
     # Each piece is a word and the white space before it.

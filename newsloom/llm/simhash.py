@@ -8,7 +8,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import added_columns, sorted_groups, store, stored_at, texts_of, unused_names
+from newsloom.llm.common import (
+    added_columns,
+    one_per_key,
+    row_keys,
+    sorted_groups,
+    store,
+    texts_of,
+    unused_names,
+)
 from newsloom.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -249,23 +257,26 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One row of each component of `near_duplicates`, with all columns of `documents`.
 
-    That with the smallest doc_id stays (null comes last; of repeated rows, any one). Rows
-    are numbered in a stored copy, so that the choice is made on narrow rows.
+    That with the smallest doc_id stays; null comes last. Rows that agree in doc_id and text
+    are one, and any of them stays. The choice is made on narrow rows; texts are exchanged
+    once, by the key that they are then joined on. What stays grows with the input, so that
+    it is never broadcast.
     """
-    fp, uid = unused_names(documents, "fp", "uid")
-    numbered, _ = stored_at(
-        add_fingerprint(documents, fp, text, shingle_words).withColumn(uid, F.monotonically_increasing_id()),
-        "numbered",
+    k1, k2 = keys = unused_names(documents, "k1", "k2")
+    keyed = documents.withColumns(dict(zip(keys, row_keys(F.col(doc_id), F.col(text)), strict=True)))
+    slim = keyed.select(
+        F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col(doc_id).cast("bigint").alias("id"),
+        F.col(text).cast("string").alias("text"),
     )
-    rows = numbered.select(F.col(fp).alias("fp"), F.col(uid).alias("uid"), F.col(doc_id).cast("bigint").alias("id"))
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("first")
+    rows = store(add_fingerprint(slim, "fp", "text", shingle_words).drop("text"), "prints")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")).alias("first")
     nodes = store(rows.groupBy("fp").agg(first), "nodes")
     linked = store(link_fingerprints(nodes.select("fp"), max_bits, block), "linked")
     kept = (
         nodes.join(linked, F.col("fp") == F.col("node"), "left")
         .groupBy(F.coalesce("root", "fp"))
-        .agg(F.min("first.uid").alias("any"), F.min("first").alias("first"))
-        .select(F.col("first.uid").alias("kept_uid"))
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.k1").alias(k1), F.col("first.k2").alias(k2))
     )
     kept = store(kept, "kept")
-    return numbered.join(kept, F.col(uid) == F.col("kept_uid"), "left_semi").select(*documents.columns)
+    return one_per_key(keyed, keys).join(kept.hint("merge"), keys, "left_semi").select(*documents.columns)
