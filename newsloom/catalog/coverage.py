@@ -106,7 +106,7 @@ OPERATORS = {
     "V2": ["assign_topics", "test_topics"],
     "V3": ["project", "test_projection"],
     "M1": ["request_lines", "request_files"],
-    "M2": ["apply_predictor"],
+    "M2": ["apply_predictor", "stored_answers"],
     "M3": ["validity_answers", "relevance_answers"],
     "M4": ["extract_links", "crawled_articles"],
     "M5": ["page_text", "read_content", "read_content_of_copies"],
@@ -128,7 +128,7 @@ OPERATORS = {
     "Q5": ["score_articles"],
     "Q6": ["read_content", "keep_valid"],
     "Q7": ["summarize", "embedding_calls"],
-    "Q8": ["four_way_join", "select_rename", "latest_article", "test_two_runs"],
+    "Q8": ["four_way_join", "select_rename", "latest_article", "test_two_runs", "analysed_articles"],
     "Q9": ["assign_topics", "project", "search_texts", "nearest_to_centroid"],
     "Q10": ["post_prompts", "generated_posts", "post_files"],
     "Q11": ["source_profile", "profiles_with_repeats", "distinct_sources", "test_past_posts"],

@@ -349,6 +349,45 @@ def score_articles(spark, sf):
     )
 
 
+@query(
+    f"""SELECT e.vec_id AS article_id, l.quality * 2 AS "{PERSONAS[0]}", l.toxic * 2 AS "{PERSONAS[1]}",
+         d.text AS summary, d.lang AS title
+       FROM embeddings e JOIN labels l ON l.doc_id = e.vec_id JOIN documents d ON d.doc_id = e.vec_id
+       WHERE d.doc_id % 4 = 1"""
+)
+def analysed_articles(spark, sf):
+    """The analysis job over one run: four tables side by side, a score column per persona."""
+    docs = table(spark, sf, "documents")
+    run = F.concat(F.lit("RUNID_"), (F.col("article_id") % 4).cast("string")).alias("run_id")
+    embeddings = table(spark, sf, "embeddings").withColumnRenamed("vec_id", "article_id").select("article_id", run)
+    relevant = table(spark, sf, "labels").select(
+        F.col("doc_id").alias("article_id"), _score_map().alias("relevance")
+    ).select("*", run)
+    summaries = docs.select(F.col("doc_id").alias("article_id"), F.col("text").alias("summary")).select("*", run)
+    content = docs.select(
+        F.col("doc_id").alias("article_id"), F.col("lang").alias("title"), F.col("text").alias("content")
+    ).select("*", run)
+    frame = jobs.analyse(embeddings, relevant, summaries, content, PERSONAS, runs=["RUNID_1"])
+    return frame.select("article_id", *PERSONAS, "summary", "title")
+
+
+@query(
+    """SELECT 'RUNID_1--t--' || event_id AS custom_id, CASE WHEN event_id % 3 > 0 THEN props END AS content,
+         CASE WHEN event_id % 3 = 0 THEN 'no stored answer' END AS error
+       FROM events"""
+)
+def stored_answers(spark, sf):
+    """Answers looked up among stored response lines; a third of the requests have none."""
+    events = table(spark, sf, "events")
+    key = F.concat(F.lit("RUNID_1--t--"), F.col("event_id").cast("string")).alias("custom_id")
+    choice = F.array(F.struct(F.struct(F.col("props").alias("content")).alias("message")))
+    body = F.struct(F.lit("m1").alias("model"), choice.alias("choices"))
+    lines = events.where("event_id % 3 > 0").select(key, F.struct(body.alias("body")).alias("response"))
+    empty = F.lit("").alias("system_content"), F.lit("").alias("user_content")
+    requests = events.select(key, F.lit("m1").alias("model"), *empty)
+    return tasks.stored_predictor(lines.unionByName(lines))(requests).select("custom_id", "content", "error")
+
+
 def _people(spark, sf):
     return table(spark, sf, "region").select(
         F.coalesce(F.get(F.array(*[F.lit(p) for p in PERSONAS]), "r_regionkey"), F.col("r_name")).alias("name"),

@@ -243,6 +243,30 @@ def expression_predictor(content: Callable[[Column], Column], model: str) -> Pre
     return run
 
 
+def stored_predictor(lines: DataFrame) -> Predictor:
+    """A predictor that looks answers up among stored response lines, as from `read_responses`.
+
+    Of several answers to a request the greatest counts; a request without any gives a row
+    with the error.
+    """
+    found = flatten_envelope(lines).groupBy(F.col("custom_id").alias("__id")).agg(
+        F.max(F.struct("content", F.col("model").alias("by"), "error")).alias("a")
+    )
+
+    def run(requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        joined = requests.join(found, F.col("custom_id") == F.col("__id"), "left")
+        missing = F.when(F.col("__id").isNull(), "no stored answer")
+        return joined.select(
+            "custom_id",
+            F.coalesce("a.by", "model").alias("model"),
+            F.col("a.content").alias("content"),
+            F.coalesce("a.error", missing).alias("error"),
+            *keep,
+        )
+
+    return run
+
+
 def embed_calls(
     texts: DataFrame,
     factory: Callable[[], Callable[[list[str]], Iterable[list[float]]]],

@@ -11,14 +11,22 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom import schemas
-from newsloom.operators import baselines, tasks
+from newsloom.operators import baselines, posts, tasks
 from newsloom.operators.batching import assign_batches
 from newsloom.operators.tasks import Predictor, Task, request_json
 from newsloom.operators.topics import text_embedder
 from newsloom.plans import jobs
 from newsloom.session import scratch_scope, store
 from newsloom.sources.readers import read_json_array, read_table
-from newsloom.sources.writers import append_ledger, replace_run, write_request_files, write_run
+from newsloom.sources.writers import (
+    append_ledger,
+    replace_run,
+    selection,
+    write_posts,
+    write_request_files,
+    write_run,
+    write_selection,
+)
 
 RUN = ", run_id string"
 
@@ -37,6 +45,8 @@ class Models:
     # summaries become hashed word counts of `dimensions`.
     embedder: tuple[str, Callable] | None = None
     dimensions: int = 256
+    # Name and predictor of the model that writes posts; without one, a run ends before them.
+    posts: tuple[str, Predictor] | None = None
 
 
 def baseline_models(personas: Sequence[tuple[str, str]], keywords: Mapping[str, Sequence[str]]) -> Models:
@@ -98,8 +108,11 @@ def run_curation(
     """Run all steps, or those from `resume` on, and add the run to the ledger.
 
     The workspace must hold the landed pages (source_raw_content), and the article pages
-    (article_pages: url, html) once articles are known; search_hits may be missing.
-    Returns the status. A failing step ends the run and is recorded.
+    (article_pages: url, html) once articles are known; search_hits may be missing. With a
+    model for posts, it also holds `personas`, and `past_posts` if there are any: then the
+    run goes on to the analysis table, the selection file, and posts per persona.
+    Predictors may look answers up that came as files (`tasks.stored_predictor`): a run that
+    lacks them rejects the rows, and is resumed once they are there. Returns the status. A failing step ends the run and is recorded.
     """
     crawled_at = crawled_at or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     steps: dict[str, Callable[[], None]] = {
@@ -111,7 +124,10 @@ def run_curation(
         "validity": lambda: _validity(ws, run_id, models),
         "summaries": lambda: _summaries(ws, run_id, models),
         "embeddings": lambda: _embeddings(ws, run_id, models),
+        "analysis": lambda: _analysis(ws, run_id, personas),
     }
+    if models.posts:
+        steps["posts"] = lambda: _posts(ws, run_id, models)
     names = list(steps)
     if resume is not None and resume not in steps:
         raise ValueError(f"unknown step {resume!r}; steps are {names}")
@@ -219,3 +235,34 @@ def _embeddings(ws: Workspace, run_id: str, models: Models) -> None:
     embed = text_embedder(dimensions=models.dimensions)
     embedded = jobs.embed_summaries(summaries, embed, f"hashed-{models.dimensions}")
     ws.write("embeddings", embedded, run_id)
+
+
+def _analysis(ws: Workspace, run_id: str, personas: Sequence[str]) -> None:
+    """The joined table of the run's articles, and the selection that people read."""
+    frame = jobs.analyse(
+        ws.read("embeddings", schemas.EMBEDDINGS, run_id).withColumn("run_id", F.lit(run_id)),
+        ws.read("relevant_articles", schemas.RELEVANT_ARTICLES, run_id),
+        ws.read("summaries", schemas.SUMMARIES, run_id),
+        ws.read("valid_content", schemas.ARTICLE_CONTENT, run_id).withColumn("run_id", F.lit(run_id)),
+        personas,
+    )
+    # Columns that two of the tables have are kept once.
+    one = frame.withColumnsRenamed({f"{c}_x": c for c in ("run_id", "model", "task_name")})
+    ws.write("analysis", one.drop(*[c for c in one.columns if c.endswith("_y")]), run_id)
+    analysed = ws.spark.read.parquet(f"{ws.location('analysis')}/run_id={run_id}")
+    write_selection(selection(analysed, personas), f"{ws.location('selection')}/run_id={run_id}")
+
+
+def _posts(ws: Workspace, run_id: str, models: Models) -> None:
+    name, predictor = models.posts
+    relevant = ws.read("relevant_articles", schemas.RELEVANT_ARTICLES, run_id)
+    summaries = ws.read("summaries", schemas.SUMMARIES, run_id).select("article_id", "summary")
+    articles = relevant.join(summaries, "article_id")
+    personas = ws.spark.read.schema(schemas.PERSONAS).parquet(ws.location("personas"))
+    past = ws.read("past_posts", schemas.PAST_POSTS, required=False).withColumn("post_id", F.sha2("copy", 256))
+    prompts = posts.post_prompts(articles, personas, past, "post_id")
+    good, rejected = posts.generate_posts(prompts, predictor, name)
+    unlisted = posts.unlisted_pairs(articles, personas)
+    ws.write_outcome("generated_posts", jobs.Outcome(good, rejected.unionByName(unlisted)), run_id)
+    written = ws.read("generated_posts", schemas.GENERATED_POSTS, run_id)
+    write_posts(written, f"{ws.location('post_files')}/run_id={run_id}")

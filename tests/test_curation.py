@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from newsloom import schemas
 from newsloom.operators import tasks
 from newsloom.plans import curation, jobs
+from newsloom.sources.readers import read_responses
 from newsloom.sources.writers import write_run
 
 PERSONAS = [("ANA", "data"), ("LUC", "brands")]
@@ -174,3 +175,45 @@ def test_past_posts(spark):
     assert rows(found["repeated"]) == [("ANA", "https://a.com", 2)]
     assert rows(found["posts"]) == [("ANA", 2), ("LUC", 1)]
     assert rows(found["source_lists"]) == [("ANA", 0, "https://a.com")]
+
+
+def test_a_run_on_stored_answers_up_to_post_files(spark, ws, tmp_path):
+    """Answers of all steps come from files; the first run writes them, the second reads them."""
+    land(ws, "RUNID_1", [("site", page([("Datos e inteligencia", "https://a.com/1"), ("Marca y publicidad", "https://a.com/2")]))])
+    spark.createDataFrame([("ANA", "r", "Runs data.", "-")], schemas.PERSONAS).write.parquet(ws.location("personas"))
+    spark.createDataFrame([("ANA", "An old post", None)], schemas.PAST_POSTS).write.parquet(ws.location("past_posts"))
+
+    def recorded(predictor, name):
+        def run(requests, keep=()):
+            out = predictor(requests, keep)
+            choice = F.array(F.struct(F.struct("content").alias("message")))
+            body = F.struct(F.struct("model", choice.alias("choices")).alias("body"))
+            out.select(F.to_json(F.struct("custom_id", body.alias("response"))).alias("value")).write.text(str(tmp_path / name))
+            return out
+
+        return run
+
+    def models(wrap):
+        made = curation.baseline_models(PERSONAS, KEYWORDS)
+        for name in ("links", "relevance", "validity", "summary"):
+            task, predictor = getattr(made, name)
+            setattr(made, name, (task, wrap(predictor, name)))
+        made.posts = ("writer", wrap(tasks.expression_predictor(lambda c: F.concat(F.lit("Post on "), c), "writer"), "posts"))
+        return made
+
+    def results():
+        found = ws.read("generated_posts", schemas.GENERATED_POSTS, "RUNID_1")
+        return rows(found.select("perfil", "copy", "article_title")), rows(ws.read("analysis", "article_id string, ANA int", "RUNID_1").select("article_id", "ANA"))
+
+    assert curation.run_curation(ws, "RUNID_1", NAMES, models(recorded), "2025-01-01 00:00:00") == "success"
+    first = results()
+    assert [(p, t) for p, _, t in first[0]] == [("ANA", "Datos e inteligencia")] and len(first[1]) == 2
+    assert ws.read("generated_posts_rejected", "reject_reason string", "RUNID_1").first()[0] == "persona is not listed"
+    lines = [r[0] for r in spark.read.text(f"{ws.location('post_files')}/run_id=RUNID_1/perfil=ANA").collect()]
+    assert "Title: Datos e inteligencia" in lines
+    header = spark.read.option("header", True).csv(f"{ws.location('selection')}/run_id=RUNID_1")
+    assert {(r["ANA"], r["LUC"]) for r in header.collect()} == {("R", "NR"), ("NR", "R")}
+
+    stored = models(lambda _, name: tasks.stored_predictor(read_responses(spark, str(tmp_path / name))[0]))
+    assert curation.run_curation(ws, "RUNID_1", NAMES, stored, "2025-01-01 00:00:00") == "success"
+    assert results() == first
