@@ -5,24 +5,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.session import store
+
 ARTICLE_KEYS = ("article_title", "source_name")
 
 
+def key_digest(keys: Sequence[str]) -> Column:
+    """256 bits that are equal where all `keys` are, nulls among them, and never null.
+
+    What is compared may be long texts; only digests are exchanged.
+    """
+    return F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)
+
+
+def same_key(keys: Sequence[str]) -> Column:
+    """Whether the keys have the digest __key. Written null-safe, though neither is null: the
+    planner then exchanges both sides anew, also one that was just grouped by __key."""
+    return key_digest(keys).eqNullSafe(F.col("__key"))
+
+
 def history_keys(history: DataFrame, keys: Sequence[str] = ARTICLE_KEYS, run: str = "run_id") -> DataFrame:
-    """One row per key (__h0, __h1, ...): the lowest and highest run that holds it.
+    """One row per key, by its digest (__key): the lowest and highest run that holds it.
 
     A key of any frequency shrinks to one row per task before the exchange.
     """
-    return history.groupBy(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)]).agg(
+    return history.groupBy(key_digest(keys).alias("__key")).agg(
         F.min(run).alias("__lo"), F.max(run).alias("__hi")
     )
 
 
-def same_key(keys: Sequence[str], prefix: str) -> list[Column]:
-    """Null-safe equality of `keys` with the columns `prefix`0, `prefix`1, ..."""
-    return [F.col(k).eqNullSafe(F.col(f"{prefix}{i}")) for i, k in enumerate(keys)]
-
-
 def new_articles(
     current: DataFrame,
     history: DataFrame,
@@ -47,8 +58,8 @@ def new_articles(
 
 def keys_within(history: DataFrame, current: DataFrame, keys: Sequence[str] = ARTICLE_KEYS) -> DataFrame:
     """Rows of `history` whose key occurs in `current`; nulls match nulls."""
-    wanted = current.select(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)]).distinct()
-    return history.join(wanted, same_key(keys, "__c"), "left_semi")
+    wanted = current.select(key_digest(keys).alias("__wanted")).distinct()
+    return history.join(wanted, key_digest(keys) == F.col("__wanted"), "left_semi")
 
 
 def drop_known(current: DataFrame, known: DataFrame, keys: Sequence[str], clash: Column) -> DataFrame:
@@ -59,7 +70,7 @@ def drop_known(current: DataFrame, known: DataFrame, keys: Sequence[str], clash:
     beside the articles, and only so can adaptive execution split a key that very many
     articles share.
     """
-    return current.join(known, [*same_key(keys, "__h"), clash], "left_anti")
+    return current.join(known, same_key(keys) & clash, "left_anti")
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], ord_col: str) -> DataFrame:
@@ -69,17 +80,24 @@ def last_per_key(df: DataFrame, keys: Sequence[str], ord_col: str) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their count; a report, nothing is removed."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
+    """Keys that occur more than once, with their count; a report, nothing is removed.
+
+    Digests are counted; the keys themselves are read only where they repeat.
+    """
+    digest = key_digest(keys)
+    counts = df.groupBy(digest.alias("__key")).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
+    named = df.select(*keys).join(store(counts, "repeated"), digest == F.col("__key"))
+    firsts = [F.first(k).alias(k) for k in keys]
+    return named.groupBy("__key").agg(*firsts, F.first("n_rows").alias("n_rows")).drop("__key")
 
 
 def later_copies(df: DataFrame, key: str, ord_col: str) -> DataFrame:
-    """Each row whose key occurred before it. Only keys with copies enter the join."""
+    """Each row whose key occurred before it. Only digests of keys with copies enter the join."""
     first = (
-        df.groupBy(F.col(key).alias("__key"))
+        df.groupBy(key_digest([key]).alias("__key"))
         .agg(F.min(ord_col).alias("__first"), F.count("*").alias("__n"))
         .where(F.col("__n") > 1)
     )
     return df.join(
-        first, F.col(key).eqNullSafe(F.col("__key")) & (F.col(ord_col) > F.col("__first")), "left_semi"
+        first, same_key([key]) & (F.col(ord_col) > F.col("__first")), "left_semi"
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import number_suffix
-from newsloom.operators.history import ARTICLE_KEYS, drop_known, history_keys, keys_within
+from newsloom.operators.history import ARTICLE_KEYS, drop_known, history_keys
 
 
 def dedupe_landing(
@@ -47,10 +47,10 @@ def dedupe_landing(
         now, past = F.col("epoch") == epoch, F.col("epoch") < epoch
         # Of the history only the keys of this batch are aggregated; the batch's key table
         # was just written, so the planner knows whether to broadcast it.
-        hashes = [f"__h{i}" for i in range(len(keys))]
         known = (
-            keys_within(seen.where(F.col("epoch") <= epoch), seen.where(now), hashes)
-            .groupBy(*hashes)
+            seen.where(F.col("epoch") <= epoch)
+            .join(seen.where(now).select("__key").distinct(), "__key", "left_semi")
+            .groupBy("__key")
             .agg(
                 F.min(F.when(past, F.col("__lo"))).alias("__lo"),
                 F.max(F.when(past, F.col("__hi"))).alias("__hi"),
