@@ -16,7 +16,7 @@ from newsloom.llm.url_filters import url_host
 # A subtree belongs to the template of a host if as many of its different pages have it, and this
 # share of them.
 MIN_PAGES = 3
-MIN_SHARE = 0.2
+MIN_SHARE = 0.5
 # A page that would lose more than this share of its text has no template of that size: it is
 # much like other pages, and stays whole.
 MOST_LOST = 0.9
@@ -47,24 +47,33 @@ _SIBLINGS = {
 }
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 _NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|breadcrumbs?|comments?|disqus\w*|"
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|breadcrumbs?|"
+    r"comments?(?:list|section|area|form|box|thread)?|disqus\w*|"
     r"respond|replies|cookies?\w*|consent|gdpr|notices?|alert|popup|modal|overlay|navbar|nav|navigation|menu|"
     r"sidebar|side-?bar|rail|footer|masthead|topbar|toolbar|widgets?|newsletter|subscribe|signup|login|"
-    r"share|sharing|social|related|recommended|pagination|pager|skip-?link|site-?header|page-?header)(?:$|[\s_-])",
+    r"share|sharing|social|related|recommended|pagination|pager|skip-?link)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+_HEADERS = re.compile(r"(?:^|\s)(?:(?:site|page|top|main|global|blog)[_-]?)?header(?:$|\s)", re.IGNORECASE)
+# Links in a list or box, and their share of its text, from which it is a menu.
+MENU_LINKS = 3
+MENU_SHARE = 0.8
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
 class _Element:
-    __slots__ = ("dropped", "hash", "in_main", "inner", "size", "tag", "trail")
+    __slots__ = ("dropped", "hash", "in_main", "inner", "linked", "links", "size", "tag", "trail")
 
     def __init__(self, tag: str, dropped: bool, in_main: bool, trail: tuple):
         self.tag, self.dropped, self.in_main, self.trail = tag, dropped, in_main, trail
         self.inner: list[bytes] = []
-        self.size = 0
+        # Characters of text, those in links, and links.
+        self.size = self.linked = self.links = 0
         self.hash = 0
 
+    def is_menu(self) -> bool:
+        return self.links >= MENU_LINKS and self.linked >= MENU_SHARE * self.size
+
 
 class _Page(HTMLParser):
     """Blocks of text in page order, each with the subtrees that it lies in."""
@@ -104,6 +113,8 @@ class _Page(HTMLParser):
         body = element.tag.encode("utf-8", "surrogatepass") + b"\0" + b"\0".join(element.inner)
         element.hash = xxhash.xxh64_intdigest(body, 1) >> 1
         parent = self.stack[-1]
+        parent.linked += element.linked
+        parent.links += element.links
         if element.size:
             parent.inner.append(element.hash.to_bytes(8, "little"))
             parent.size += element.size
@@ -142,13 +153,16 @@ class _Page(HTMLParser):
             values = dict(attrs)
             dropped = (
                 "hidden" in values
+                or values.get("aria-hidden") == "true"
                 or (values.get("role") or "").lower() in _ROLES
                 or bool(_HIDDEN.search(values.get("style") or ""))
                 or any(_NAMES.search(values.get(k) or "") for k in ("class", "id"))
+                or (not parent.in_main and any(_HEADERS.search(values.get(k) or "") for k in ("class", "id")))
             )
         in_main = parent.in_main or (tag in _MAIN and not dropped)
         element = _Element(tag, dropped, in_main, ())
         element.trail = (*parent.trail, element) if block and not dropped else parent.trail
+        element.links = int(tag == "a")
         self.stack.append(element)
         self.open[tag] += 1
         self.owner = element
@@ -177,6 +191,8 @@ class _Page(HTMLParser):
         if not element.dropped:
             self.owner = element
             self.parts.append(data)
+            if self.open["a"] > 0:
+                element.linked += len(data.strip())
 
     def unknown_decl(self, data: str) -> None:
         """A CDATA section, which HTML takes for a comment."""
@@ -193,6 +209,8 @@ def _candidates(page: _Page) -> list[tuple[str, list[_Element]]]:
             trail = [e for e in element.trail if e.in_main and e.tag in _CONTAINERS]
         else:
             trail = [e for e in element.trail if e.tag not in ("html", "body")]
+            if any(e.is_menu() for e in trail):
+                continue
         found.append((text, trail))
     return found
 
@@ -256,7 +274,7 @@ def extract_text(
 
     Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and hidden
     parts go by tag, role and name; where a page has an article or main element, only that
-    counts. Element subtrees that recur over the pages of a host go too, whatever their
+    counts, elsewhere boxes of links go too. Element subtrees that recur over the pages of a host go too, whatever their
     name. Character references are decoded, white space in a block becomes one space, blocks
     are joined by an empty line. Null html and pages without text give an empty text; pages
     without a host have no template. Rows come out as often as they come in.

@@ -13,6 +13,9 @@ CASES = {
     "<script>var a='<p>no</p>'</script><style>p{}</style><!-- <p>no</p> --><p>yes</p><noscript>n</noscript>": "yes",
     "<article><ul><li>one<li>two</ul><table><tr><td>1<td>2<tr><td>3</table><pre> a\n b </pre></article>": "one\n\ntwo\n\n1\n\n2\n\n3\n\na b",
     "<div role='navigation'>m</div><div hidden>h</div><div style='display: none'>h</div><p>t</p></div></p></b>": "t",
+    "<div id='header'>h</div><ul><li><a>one</a><li><a>two</a><li><a>three</a></ul><div><p>A text with <a>a link</a></p></div>": "A text with a link",
+    "<div class='post'><div class='post-header'><h1>T</h1></div><p aria-hidden='true'>x</p><div class='commentList'><p>no</p></div>y</div>": "T\n\ny",
+    "<article><ul><li><a>one</a><li><a>two</a><li><a>three</a></ul></article>": "one\n\ntwo\n\nthree",
     "plain": "plain", "": "", "<": "<", "<p>cut of <b": "cut of", "&am &unknown; &copy": "&am &unknown; ©",
     "<p class='headline additional'>kept</p>": "kept", "<p>a</p>b<p>c": "a\n\nb\n\nc",
 }
