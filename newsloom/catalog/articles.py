@@ -18,6 +18,7 @@ from newsloom.operators import batching, history, joins, profile
 from newsloom.operators.hits import fold_hits, hit_searches, tag_hits
 from newsloom.operators.validation import REASON, has_payload, split_valid
 from newsloom.plans import jobs
+from newsloom.session import store
 
 
 @query(
@@ -31,7 +32,8 @@ def validate_records(spark, sf):
     records = table(spark, sf, "documents").select("doc_id", "source").join(
         table(spark, sf, "labels"), "doc_id", "left"
     )
-    valid, rejected = split_valid(records, ["source", "quality", "toxic"])
+    # Read from both sides; the join runs once.
+    valid, rejected = split_valid(store(records, "records"), ["source", "quality", "toxic"])
     return valid.select("doc_id", F.lit(None).cast("string").alias(REASON)).unionByName(
         rejected.select("doc_id", REASON)
     )

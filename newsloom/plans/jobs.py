@@ -77,7 +77,8 @@ def extract_articles(
 
 def consolidate_hits(hits: DataFrame, run_id: str, crawled_at: str) -> Outcome:
     """One searched article per URL."""
-    articles = hits_to_articles(fold_hits(hits), run_id, crawled_at)
+    # Read from both sides; hits are folded once.
+    articles = store(hits_to_articles(fold_hits(hits), run_id, crawled_at), "searched")
     return Outcome(*validate(articles, "raw_articles_searched"))
 
 

@@ -32,9 +32,13 @@ def replace_run(df: DataFrame, path: str, run_id: str) -> None:
 
 
 def write_run(df: DataFrame, path: str) -> None:
-    """Overwrite the runs that `df` holds and leave the others. An empty `df` changes nothing."""
+    """Overwrite the runs that `df` holds and leave the others. An empty `df` changes nothing.
+
+    Rows are dealt out by run, a large run to several tasks, so that few files are written.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", "run_id")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id")
         .parquet(path)
@@ -96,7 +100,7 @@ def write_saved_bodies(outputs: DataFrame, errors: DataFrame, path: str) -> None
     for kind, bodies in (("output", outputs), ("error", errors)):
         lines = bodies.select("batch_id", F.explode(F.split("body", "\n")).alias("line"))
         (
-            lines.repartition("batch_id")
+            lines.hint("rebalance", "batch_id")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
