@@ -2,11 +2,12 @@
 
 usage: python -m newsloom --workspace DIR --personas personas.json --keywords keywords.json
                           [--runid RUNID_7] [--resume_step STEP] [--run_location NAME]
-                          [--pages pages.json] [--hits hits.json]
+                          [--sources urls.txt] [--pages pages.json] [--hits hits.json]
 
 Without --runid it names the last run and its status. personas.json is a list of objects with
-name and role; keywords.json maps a name to a list of keywords. --pages and --hits take in the
-run's crawled pages and search hits, each a JSON array.
+name and role; keywords.json maps a name to a list of keywords. --sources
+registers the URLs of a text file, --pages and --hits take in the run's crawled pages and search
+hits, each a JSON array.
 """
 
 import argparse
@@ -31,6 +32,7 @@ def main() -> int:
     parser.add_argument("--runid")
     parser.add_argument("--resume_step")
     parser.add_argument("--run_location", default="local")
+    parser.add_argument("--sources")
     parser.add_argument("--pages")
     parser.add_argument("--hits")
     args = parser.parse_args()
@@ -39,6 +41,8 @@ def main() -> int:
     logging.getLogger("newsloom").setLevel(logging.INFO)
     spark = build_session()
     ws = curation.Workspace(spark, args.workspace)
+    if args.sources:
+        curation.register_sources(ws, args.sources)
     if args.runid is None:
         ledger = ws.read("runs_metadata", schemas.RUNS_METADATA, required=False)
         last = latest_run(ledger.withColumn("ord", F.col("pipeline_finish_time")), "ord").first()

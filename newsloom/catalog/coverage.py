@@ -103,8 +103,8 @@ OPERATORS = {
     "X9": ["token_counts"],
     "X10": ["call_to_action", "test_call_to_action_is_in_about_half"],
     "V1": ["distance_to_label"],
-    "V2": ["assign_topics", "test_topics"],
-    "V3": ["project", "test_projection"],
+    "V2": ["assign_topics", "test_topics", "topic_properties"],
+    "V3": ["project", "test_projection", "projection_properties"],
     "M1": ["request_lines", "request_files"],
     "M2": ["apply_predictor", "stored_answers"],
     "M3": ["validity_answers", "relevance_answers"],

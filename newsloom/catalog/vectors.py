@@ -163,3 +163,41 @@ def nearest_among_faulty(spark, sf):
     return found.unionByName(
         left_out.select("vec_id", F.lit(None).cast("double").alias("distance"), F.lit(-1).cast("bigint").alias("rank"))
     )
+
+
+@query("SELECT vec_id, true AS at_nearest_centre, 10 AS topics_used FROM embeddings")
+def topic_properties(spark, sf):
+    """Each vector is in the cluster whose centre is nearest, and all clusters are used."""
+    df = store(topics.assign_topics(table(spark, sf, "embeddings"), centre="centre"), "topics")
+    centres = store(df.select("topic", "centre").distinct(), "centres")
+    found = neighbours.nearest(centres, df, "topic", "vec_id", "centre", "embedding", k=1)
+    used = centres.agg(F.count("*").alias("topics_used"))
+    return (
+        df.select("vec_id", F.col("topic").alias("own"))
+        .join(found, "vec_id")
+        .select("vec_id", (F.col("own") == F.col("topic")).alias("at_nearest_centre"))
+        .withColumn("topics_used", F.lit(used.first()["topics_used"]))
+    )
+
+
+@query("SELECT count(*) AS n, true AS centred, true AS falling, true AS uncorrelated FROM embeddings")
+def projection_properties(spark, sf):
+    """Components have mean 0, falling variances, and do not correlate."""
+    placed = topics.project(table(spark, sf, "embeddings"))
+    pairs = (("x", "y"), ("x", "z"), ("y", "z"))
+    summed = placed.agg(
+        F.count("*").alias("n"),
+        *[F.avg(c).alias(f"mean_{c}") for c in "xyz"],
+        *[F.var_pop(c).alias(f"var_{c}") for c in "xyz"],
+        *[F.corr(a, b).alias(f"corr_{a}{b}") for a, b in pairs],
+    )
+
+    def small(column):
+        return F.abs(column) < 1e-6
+
+    return summed.select(
+        "n",
+        (small(F.col("mean_x")) & small(F.col("mean_y")) & small(F.col("mean_z"))).alias("centred"),
+        ((F.col("var_x") >= F.col("var_y")) & (F.col("var_y") >= F.col("var_z"))).alias("falling"),
+        (small(F.col("corr_xy")) & small(F.col("corr_xz")) & small(F.col("corr_yz"))).alias("uncorrelated"),
+    )

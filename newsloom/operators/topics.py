@@ -16,19 +16,32 @@ COMPONENTS = 3
 
 
 def assign_topics(
-    df: DataFrame, vector: str = "embedding", k: int = TOPICS, seed: int = SEED, topic: str = "topic"
+    df: DataFrame,
+    vector: str = "embedding",
+    k: int = TOPICS,
+    seed: int = SEED,
+    topic: str = "topic",
+    centre: str | None = None,
 ) -> DataFrame:
-    """Add the k-means cluster of each row's vector. Labels are arbitrary numbers below k."""
+    """Add the k-means cluster of each row's vector. Labels are arbitrary numbers below k.
+
+    With `centre` a column of that name holds the centre of the row's cluster.
+    """
     digest = F.xxhash64(vector)
     ends = df.agg(F.min(digest).alias("low"), F.max(digest).alias("high")).first()
     if ends["low"] == ends["high"]:
         # MLlib does not cluster rows that are all the same, or none.
-        return df.withColumn(topic, F.lit(0))
+        alone = df.withColumn(topic, F.lit(0))
+        return alone.withColumn(centre, F.col(vector).cast("array<double>")) if centre else alone
     features = df.withColumn("__features", array_to_vector(F.col(vector)))
     model = KMeans(k=k, seed=seed, featuresCol="__features", predictionCol=topic).fit(
         features.select("__features")
     )
-    return model.transform(features).drop("__features")
+    placed = model.transform(features).drop("__features")
+    if centre is None:
+        return placed
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    return placed.withColumn(centre, F.get(centres, F.col(topic)))
 
 
 def project(df: DataFrame, vector: str = "embedding", k: int = COMPONENTS) -> DataFrame:

@@ -15,9 +15,10 @@ from newsloom.operators import baselines, posts, tasks
 from newsloom.operators.batching import assign_batches
 from newsloom.operators.tasks import Predictor, Task, request_json
 from newsloom.operators.topics import text_embedder
+from newsloom.operators.validation import validate
 from newsloom.plans import jobs
 from newsloom.session import scratch_scope, store
-from newsloom.sources.readers import read_json_array, read_table
+from newsloom.sources.readers import read_json_array, read_lines, read_table
 from newsloom.sources.writers import (
     append_ledger,
     replace_run,
@@ -96,6 +97,15 @@ class Workspace:
         )
 
 
+def register_sources(ws: Workspace, path: str) -> None:
+    """Take in a list of source URLs: tables `sources`, `sources_rejected` and, as a report, the
+    names that repeat, `sources_repeated`."""
+    sources, repeated = jobs.register_sources(read_lines(ws.spark, path))
+    valid, rejected = validate(sources, "sources")
+    for name, rows in (("sources", valid), ("sources_rejected", rejected), ("sources_repeated", repeated)):
+        rows.write.mode("overwrite").parquet(ws.location(name))
+
+
 def run_curation(
     ws: Workspace,
     run_id: str,

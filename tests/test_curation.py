@@ -217,3 +217,16 @@ def test_a_run_on_stored_answers_up_to_post_files(spark, ws, tmp_path):
     stored = models(lambda _, name: tasks.stored_predictor(read_responses(spark, str(tmp_path / name))[0]))
     assert curation.run_curation(ws, "RUNID_1", NAMES, stored, "2025-01-01 00:00:00") == "success"
     assert results() == first
+
+
+def test_sources_are_registered_and_checked(spark, ws, tmp_path):
+    lines = ["https://www.a.com/x", "  https://b.com ", "http://c.com", "https://a.com", "", "https://"]
+    (tmp_path / "sources.txt").write_text("\n".join(lines), encoding="utf-8")
+    for _ in range(2):
+        curation.register_sources(ws, str(tmp_path / "sources.txt"))
+    found = spark.read.schema(schemas.SOURCES).parquet(ws.location("sources"))
+    assert rows(found.where("source_name <> ''")) == [
+        ("a.com", "https://a.com"), ("a.com", "https://www.a.com/x"), ("b.com", "https://b.com"),
+    ]
+    repeated = spark.read.schema("source_name string, n_rows bigint").parquet(ws.location("sources_repeated"))
+    assert rows(repeated) == [("a.com", 2)]
