@@ -52,7 +52,7 @@ def test_labels_of_one_kind(spark, small, rows, score):
 def test_context_vectors_count_neighbours(documents):
     table = q.context_vectors(documents((1, "aa bb cc"), (2, None), (3, "aa")).repartition(2))
     places, signs = q.index_vectors()
-    a, b, c = (int(q.Words().number(w) // q.BUCKETS) for w in (b"aa", b"bb", b"cc"))
+    a, b, c = (int(q.Words()[w] // q.BUCKETS) for w in (b"aa", b"bb", b"cc"))
 
     def index(k):
         row = np.zeros(q.DIMS)
