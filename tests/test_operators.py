@@ -1,8 +1,9 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from conftest import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -455,3 +456,43 @@ def test_faulty_vectors_do_not_hide_others(spark):
     mixed = spark.createDataFrame([(0, [0.0, 0.0]), (1, [0.0])], "q int, embedding array<double>")
     with pytest.raises(ValueError):
         neighbours.nearest(corpus, mixed, "id", "q")
+
+
+def test_text_vectors_and_search_agree_with_brute_force(spark):
+    """Hashed words weighted by rarity at unit length, and the documents nearest to each query."""
+    import math
+    from pyspark.ml.feature import HashingTF
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{sf}/benchmark.parquet")
+    hashing, places = HashingTF(numFeatures=64), {}
+
+    def counts(value):
+        found = Counter()
+        for word in regex.split(r"[^\p{L}\p{N}]+", value.lower()):
+            if word:
+                if word not in places:
+                    places[word] = hashing.indexOf(word)
+                found[places[word]] += 1
+        return found
+
+    tf = {r.doc_id: counts(r.text) for r in docs.collect()}
+    holds = Counter(p for c in tf.values() for p in c)
+    idf = np.array([math.log((len(tf) + 1) / (holds[p] + 1)) for p in range(64)])
+
+    def vector(count):
+        v = np.array([count[p] for p in range(64)]) * idf
+        return v / (np.linalg.norm(v) or 1)
+
+    embed = topics.text_embedder(docs, "text", 64)
+    found = {r.doc_id: np.array(r.v) for r in embed(docs, "text", "v").select("doc_id", "v").collect()}
+    want = {i: vector(c) for i, c in tf.items()}
+    assert all(np.allclose(found[i], want[i], atol=1e-6) for i in want)
+    queries = embed(items, "text", "query").select("item_id", "query")
+    nearest = neighbours.nearest(embed(docs, "text", "v"), queries, "doc_id", "item_id", "v", "query", k=3)
+    got = {(r.item_id, r["rank"]): r.distance for r in nearest.collect()}
+    for item in items.collect():
+        own = vector(counts(item.text))
+        best = sorted(float(((own - v) ** 2).sum()) for v in want.values())[:3]
+        assert np.allclose([got[item.item_id, k + 1] for k in range(3)], best, atol=1e-5)
