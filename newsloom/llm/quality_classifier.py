@@ -13,7 +13,7 @@ from newsloom.llm.common import added_columns, store, texts_of, unused_names
 
 # Words share this many context vectors by hash, so that the table of them has a fixed size.
 BUCKETS = 1 << 14
-DIMS = 64
+DIMS = 32
 # Entries of an index vector that are not zero, half of them 1, half -1.
 NONZERO = 2
 # Words on each side that make up the context of a word.
@@ -25,38 +25,32 @@ CALIBRATE_EVERY = 5
 HIDDEN = 32
 EPOCHS = 40
 _HELD_WORDS = 1 << 18
-_KNOWN_WORDS = 400_000
-_NO_LETTERS = re.compile(r"[^\w]+|_+")
-_SHAPES = ((re.compile(r"[^\W\d_a-zß-öø-ÿ]+"), "A"), (re.compile(r"[^\W\d_A]+"), "a"), (re.compile(r"\d+"), "9"))
+_KNOWN_WORDS = 200_000
+# Signs that are no part of the letters of a word, and what stands for a byte in its shape.
+_SIGNS = bytes(c for c in range(128) if not chr(c).isalnum())
+_SHAPE = bytes(
+    ord("A") if chr(c).isupper() else ord("9") if chr(c).isdigit() else ord("a") if chr(c).isalpha() else c for c in range(128)
+) + b"a" * 128
+_RUN = re.compile(rb"(.)\1+", re.DOTALL)
 
 
-class Words:
+class Words(dict):
     """Word and shape numbers of words, kept for those that come again."""
 
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def number(self, word: bytes) -> int:
-        """Bucket of the letters of a word, times BUCKETS, plus that of its shape: runs of
-        capitals, small letters and digits are one sign each, other signs stay."""
-        text = word.decode("utf-8", "replace")
-        letters = _NO_LETTERS.sub("", text).lower()
-        shape = text
-        for run, sign in _SHAPES:
-            shape = run.sub(sign, shape)
-        found = zlib.crc32(letters.encode()) % BUCKETS * BUCKETS + zlib.crc32(b"\0" + shape.encode()) % BUCKETS
-        if len(self.known) >= _KNOWN_WORDS:
-            self.known.clear()
-        self.known[word] = found
+    def __missing__(self, word: bytes) -> int:
+        """Bucket of the letters of a word, times BUCKETS, plus that of its shape: a sign for
+        each run of capitals, small letters (all beyond ASCII among them) or digits, and for
+        each run of another sign that sign."""
+        letters = word.translate(None, _SIGNS).lower()
+        shape = _RUN.sub(rb"\1", word.translate(_SHAPE))
+        found = zlib.crc32(letters) % BUCKETS * BUCKETS + zlib.crc32(shape, 1) % BUCKETS
+        if len(self) < _KNOWN_WORDS:
+            self[word] = found
         return found
 
     def numbers(self, text: bytes) -> np.ndarray:
         words = text.split()
-        get, make = self.known.get, self.number
-        both = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        for i in np.flatnonzero(both < 0):
-            both[i] = make(words[i])
-        return both
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
 def index_vectors(seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -108,13 +102,13 @@ def context_vectors(documents: DataFrame, text: str = "text") -> np.ndarray:
         for i in range(0, len(used), 4096):
             some = used[i : i + 4096]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(some), *(pa.array(rows[some, d]) for d in range(DIMS))],
+                [pa.array(some), *(pa.array(rows[some, d].astype(np.float32)) for d in range(DIMS))],
                 ["bucket", *(f"d{d}" for d in range(DIMS))],
             )
 
     columns = [f"d{d}" for d in range(DIMS)]
     parts = documents.select(F.col(text).cast("string").alias("text")).mapInArrow(
-        run, "bucket bigint, " + ", ".join(f"{c} double" for c in columns)
+        run, "bucket bigint, " + ", ".join(f"{c} float" for c in columns)
     )
     found = parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in columns]).toArrow()
     table = np.zeros((BUCKETS, DIMS))
@@ -123,8 +117,9 @@ def context_vectors(documents: DataFrame, text: str = "text") -> np.ndarray:
     return (table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
-# Mean and spread of the word vectors, mean of the shapes' index vectors, and two figures.
-FEATURES = 3 * DIMS + 2
+# Mean and spread of the word vectors, mean of the shapes' index vectors, and three figures: how
+# alike neighbouring words are by their context vectors and by their index vectors, and length.
+FEATURES = 3 * DIMS + 3
 
 
 def pool(numbers: np.ndarray, table: np.ndarray, places: np.ndarray, signs: np.ndarray) -> np.ndarray:
@@ -149,7 +144,9 @@ def pool(numbers: np.ndarray, table: np.ndarray, places: np.ndarray, signs: np.n
     for k in range(NONZERO):
         out[2 * DIMS : 3 * DIMS] += np.bincount(places[shapes, k], signs[shapes, k], minlength=DIMS) / n
     out[3 * DIMS] = alike / max(n - 1, 1)
-    out[3 * DIMS + 1] = np.log1p(n)
+    # Index vectors of different words are close to orthogonal.
+    out[3 * DIMS + 1] = (ids[1:] == ids[:-1]).sum() / max(n - 1, 1)
+    out[3 * DIMS + 2] = np.log1p(n)
     return out
 
 
@@ -183,7 +180,7 @@ class Network:
         if not self.fitted:
             return
         self.middle, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-        x = (x - self.middle) / self.scale
+        x = self._scaled(x)
         n = x.shape[1]
         self.weights = [rng.standard_normal((n, HIDDEN)) / np.sqrt(n), np.zeros(HIDDEN), rng.standard_normal(HIDDEN) / np.sqrt(HIDDEN), np.zeros(1)]
         self._train(x[~held], y[~held].astype(float), rng)
@@ -192,6 +189,11 @@ class Network:
         losses = [np.mean(np.logaddexp(0, out / t) - truth * out / t) for t in grid]
         self.temperature = float(grid[int(np.argmin(losses))])
 
+    def _scaled(self, x: np.ndarray) -> np.ndarray:
+        """In units of the spread, where far out no farther than 5: odd texts may be odd in a
+        few features only."""
+        return np.clip((x - self.middle) / self.scale, -5, 5)
+
     def _out(self, x: np.ndarray) -> np.ndarray:
         w1, b1, w2, b2 = self.weights
         return np.maximum(x @ w1 + b1, 0) @ w2 + b2[0]
@@ -220,7 +222,7 @@ class Network:
     def scores(self, x: np.ndarray) -> np.ndarray:
         if not self.fitted:
             return np.full(len(x), self.rate)
-        out = self._out((x - self.middle) / self.scale) / self.temperature
+        out = self._out(self._scaled(x)) / self.temperature
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
@@ -249,9 +251,12 @@ def score_quality(
     (vector,) = unused_names(slim, "vector")
     vectors = store(pooled(slim, table, vector), "vectors")
     fold = F.crc32(F.col("doc_id").cast("string")) % folds
-    marked = labels.select(F.col(doc_id).cast("bigint").alias("labelled"), F.col(label).cast("int").alias("y")).where("y IN (0, 1)")
-    train = vectors.where(fold != 0).join(marked, F.col("doc_id") == F.col("labelled"))
-    drawn = train.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(train_rows).select(vector, "y").toArrow()
+    marked = labels.select(F.col(doc_id).cast("bigint").alias("labelled"), F.col(label).cast("int").alias("y"))
+    learned = F.crc32(F.col("labelled").cast("string")) % folds != 0
+    drawn = marked.where(learned & F.col("y").isin(0, 1)).orderBy(F.xxhash64("labelled"), "labelled", "y").limit(train_rows)
+    # At most `train_rows` pairs of numbers go to every task.
+    train = vectors.join(F.broadcast(store(drawn, "drawn")), F.col("doc_id") == F.col("labelled"))
+    drawn = train.orderBy("doc_id", "y", vector).select(vector, "y").toArrow()
     x = np.frombuffer(b"".join(drawn.column(0).to_pylist()), np.float32).reshape(-1, FEATURES)
     network = Network(x.astype(np.float64), drawn.column(1).to_numpy())
 
