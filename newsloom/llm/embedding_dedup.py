@@ -190,12 +190,34 @@ class _Piece:
         self.part = piece.column("part").to_numpy()
         self.mixed = piece.column("x").to_numpy() != piece.column("y").to_numpy()
         self.vectors = _Lists(piece.column("embedding").combine_chunks())
-        filters = _Lists(piece.column("filters").combine_chunks())
-        self.lists = np.full((len(self.node), filters.sizes.max()), -1, np.int64)
-        self.lists[np.arange(self.lists.shape[1]) < filters.sizes[:, None]] = filters.flat
+        self.earlier = self._earlier(_Lists(piece.column("filters").combine_chunks()))
         self.left: list[np.ndarray] = []
         self.right: list[np.ndarray] = []
 
+    def _earlier(self, lists: _Lists) -> np.ndarray:
+        """A row of bits per member: which of the filters before its own it is in. Bits are
+        numbered within a group of members, over the filters that two or more of them share."""
+        row = np.repeat(np.arange(len(self.node)), lists.sizes)
+        before = lists.flat < self.filter[row]
+        row, name = row[before], lists.flat[before]
+        group = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))[row]
+        order = np.lexsort((name, group))
+        row, name, group = row[order], name[order], group[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (name[1:] != name[:-1]) | (group[1:] != group[:-1])
+        number = np.cumsum(new) - 1
+        often = np.bincount(number, minlength=1) > 1
+        shared = often[number]
+        # Place of a shared filter among those of its group.
+        rank = (np.cumsum(often) - often)[number[shared]]
+        row, group = row[shared], group[shared]
+        first = np.full(len(self.bounds), len(often), np.int64)
+        np.minimum.at(first, group, rank)
+        bit = rank - first[group]
+        words = np.zeros((len(self.node), int(bit.max(initial=0)) // 64 + 1), np.uint64)
+        np.bitwise_or.at(words, (row, bit // 64), np.uint64(1) << (bit % 64).astype(np.uint64))
+        return words
+
     def keep(self, a: np.ndarray, b: np.ndarray) -> None:
         """Pairs that are near; of two blocks, only those across."""
         across = ~self.mixed[a] | (self.part[a] != self.part[b])
@@ -237,10 +259,8 @@ class _Piece:
     def first_shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether the filter that a pair was found in is the first of those it shares."""
         out = np.ones(len(a), bool)
-        for k in range(0, len(a), 4096):
-            x, y = self.lists[a[k : k + 4096]], self.lists[b[k : k + 4096]]
-            earlier = (x >= 0) & (x < self.filter[a[k : k + 4096], None])
-            out[k : k + 4096] = ~((x[:, :, None] == y[:, None, :]) & earlier[:, :, None]).any(axis=(1, 2))
+        for k in range(0, len(a), _PAIRS):
+            out[k : k + _PAIRS] = ~(self.earlier[a[k : k + _PAIRS]] & self.earlier[b[k : k + _PAIRS]]).any(axis=1)
         return out
 
 
