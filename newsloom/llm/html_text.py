@@ -3,7 +3,7 @@
 import re
 from collections import Counter
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 import xxhash
@@ -61,11 +61,23 @@ MENU_SHARE = 0.8
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
+# One tag: its name, and the rest with its attributes. Nothing in it is tried twice.
+_TAG = re.compile(r"""<([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))*+)>""")
+_ATTRIBUTE = re.compile(r"""([^\s/=]++)\s*+(?:=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+""")
+# Elements whose content is text up to their end tag.
+_RAW = {
+    tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE)
+    for tag in ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes")
+}
+# Deeper elements are part of the element at this depth.
+_MOST_DEPTH = 512
+
+
 class _Element:
-    __slots__ = ("dropped", "hash", "in_main", "inner", "linked", "links", "size", "tag", "trail")
+    __slots__ = ("dropped", "hash", "in_main", "inner", "linked", "links", "parent", "size", "tag")
 
-    def __init__(self, tag: str, dropped: bool, in_main: bool, trail: tuple):
-        self.tag, self.dropped, self.in_main, self.trail = tag, dropped, in_main, trail
+    def __init__(self, tag: str, dropped: bool, in_main: bool, parent: "_Element | None"):
+        self.tag, self.dropped, self.in_main, self.parent = tag, dropped, in_main, parent
         self.inner: list[bytes] = []
         # Characters of text, those in links, and links.
         self.size = self.linked = self.links = 0
@@ -74,28 +86,77 @@ class _Element:
     def is_menu(self) -> bool:
         return self.links >= MENU_LINKS and self.linked >= MENU_SHARE * self.size
 
+    def trail(self) -> list["_Element"]:
+        """The blocks that it lies in, itself included, from the inside out."""
+        found, element = [], self
+        while element.parent is not None:
+            if element.tag in _BLOCKS:
+                found.append(element)
+            element = element.parent
+        return found
+
 
-class _Page(HTMLParser):
-    """Blocks of text in page order, each with the subtrees that it lies in."""
+class _Page:
+    """Blocks of text in page order, each with its innermost element. Takes time in proportion to
+    the page, whatever is in it."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        self.root = _Element("", False, False, ())
-        self.stack = [self.root]
+        root = _Element("", False, False, None)
+        self.stack = [root]
         self.open: Counter[str] = Counter()
+        self.too_deep: Counter[str] = Counter()
         self.parts: list[str] = []
-        self.owner = self.root
-        # (text, innermost element)
+        self.owner = root
         self.blocks: list[tuple[str, _Element]] = []
-        # A tag that the page ends in is no text.
-        at = html.rfind("<")
-        if at >= 0 and html.find(">", at) < 0 and (html[at + 1 : at + 2].isalpha() or html[at + 1 : at + 2] in tuple("/!?")):
-            html = html[:at]
-        self.feed(html)
-        self.close()
-        self.flush()
-        while len(self.stack) > 1:
-            self.pop()
+        self.read(html)
+        self.close_to(1)
+
+    def read(self, html: str) -> None:
+        at, end = 0, len(html)
+        while at < end:
+            sign = html.find("<", at)
+            if sign != at:
+                self.text(html[at : sign if sign >= 0 else end])
+            if sign < 0:
+                return
+            after = html[sign + 1 : sign + 2]
+            if after.isascii() and after.isalpha():
+                tag = _TAG.match(html, sign)
+                if tag is None:
+                    # The page ends inside the tag.
+                    return
+                name, at = tag[1].lower(), tag.end()
+                self.start(name, tag[2])
+                if name == "plaintext":
+                    return
+                if name in _RAW:
+                    close = _RAW[name].search(html, at)
+                    # Nothing but the end tag is read there; all of these are dropped.
+                    at = close.start() if close else end
+            elif after in ("!", "?", "/"):
+                if html.startswith("<!--", sign):
+                    close = -1 if html.startswith(("<!-->", "<!--->"), sign) else html.find("-->", sign + 4)
+                    at = close + 3 if close >= 0 else html.find(">", sign) + 1 if html.startswith(("<!-->", "<!--->"), sign) else end
+                    continue
+                close = html.find(">", sign)
+                if close < 0:
+                    return
+                name = html[sign + 2 : sign + 3]
+                if after == "/" and name.isascii() and name.isalpha():
+                    self.finish(re.split(r"[\s/>]", html[sign + 2 : min(close, sign + 100)], maxsplit=1)[0].lower())
+                at = close + 1
+            else:
+                self.text("<")
+                at = sign + 1
+
+    def text(self, data: str) -> None:
+        element = self.stack[-1]
+        if not element.dropped:
+            self.owner = element
+            data = unescape(data) if "&" in data else data
+            self.parts.append(data)
+            if self.open["a"] > 0:
+                element.linked += len(data.strip())
 
     def flush(self) -> None:
         if not self.parts:
@@ -134,12 +195,11 @@ class _Page(HTMLParser):
                 if self.stack[depth].tag in within:
                     return
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def start(self, tag: str, attributes: str) -> None:
         if tag == "br":
             self.parts.append(" ")
             return
-        block = tag in _BLOCKS
-        if block:
+        if tag in _BLOCKS:
             self.flush()
         if tag in _CLOSES_P:
             self.close_sibling({"p"}, _BLOCKS - {"p"})
@@ -147,55 +207,52 @@ class _Page(HTMLParser):
             self.close_sibling(*_SIBLINGS[tag])
         if tag in _VOID:
             return
+        if len(self.stack) > _MOST_DEPTH:
+            self.too_deep[tag] += 1
+            return
         parent = self.stack[-1]
         dropped = parent.dropped or tag in _DROPPED or (tag == "header" and not parent.in_main)
-        if not dropped and attrs and tag not in ("html", "body"):
-            values = dict(attrs)
-            dropped = (
-                "hidden" in values
-                or values.get("aria-hidden") == "true"
-                or (values.get("role") or "").lower() in _ROLES
-                or bool(_HIDDEN.search(values.get("style") or ""))
-                or any(_NAMES.search(values.get(k) or "") for k in ("class", "id"))
-                or (not parent.in_main and any(_HEADERS.search(values.get(k) or "") for k in ("class", "id")))
-            )
-        in_main = parent.in_main or (tag in _MAIN and not dropped)
-        element = _Element(tag, dropped, in_main, ())
-        element.trail = (*parent.trail, element) if block and not dropped else parent.trail
+        if not dropped and attributes and tag not in ("html", "body"):
+            dropped = _is_dropped(attributes, parent.in_main)
+        element = _Element(tag, dropped, parent.in_main or (tag in _MAIN and not dropped), parent)
         element.links = int(tag == "a")
         self.stack.append(element)
         self.open[tag] += 1
         self.owner = element
 
-    def handle_endtag(self, tag: str) -> None:
+    def finish(self, tag: str) -> None:
         if tag in _BLOCKS:
             self.flush()
-        if self.open[tag] > 0:
+        if self.too_deep[tag] > 0:
+            self.too_deep[tag] -= 1
+        elif self.open[tag] > 0:
             for depth in range(len(self.stack) - 1, 0, -1):
                 if self.stack[depth].tag == tag:
                     if tag in _BLOCKS:
                         self.close_to(depth)
                     else:
-                        self.close_inline(depth)
+                        while len(self.stack) > depth:
+                            self.pop()
+                        self.owner = self.stack[-1]
                     return
                 if tag not in _BLOCKS and self.stack[depth].tag in _BLOCKS:
                     return
 
-    def close_inline(self, depth: int) -> None:
-        while len(self.stack) > depth:
-            self.pop()
-        self.owner = self.stack[-1]
-
-    def handle_data(self, data: str) -> None:
-        element = self.stack[-1]
-        if not element.dropped:
-            self.owner = element
-            self.parts.append(data)
-            if self.open["a"] > 0:
-                element.linked += len(data.strip())
 
-    def unknown_decl(self, data: str) -> None:
-        """A CDATA section, which HTML takes for a comment."""
+def _is_dropped(attributes: str, in_main: bool) -> bool:
+    """Whether an element's attributes say that it is no part of the text."""
+    values: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes):
+        values.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
+    names = [values[k] for k in ("class", "id") if k in values]
+    return (
+        "hidden" in values
+        or values.get("aria-hidden") == "true"
+        or values.get("role", "").lower() in _ROLES
+        or bool(_HIDDEN.search(values.get("style", "")))
+        or any(_NAMES.search(n) for n in names)
+        or (not in_main and any(_HEADERS.search(n) for n in names))
+    )
 
 
 def _candidates(page: _Page) -> list[tuple[str, list[_Element]]]:
@@ -206,9 +263,9 @@ def _candidates(page: _Page) -> list[tuple[str, list[_Element]]]:
         if has_main and not element.in_main:
             continue
         if has_main:
-            trail = [e for e in element.trail if e.in_main and e.tag in _CONTAINERS]
+            trail = [e for e in element.trail() if e.in_main and e.tag in _CONTAINERS]
         else:
-            trail = [e for e in element.trail if e.tag not in ("html", "body")]
+            trail = [e for e in element.trail() if e.tag not in ("html", "body")]
             if any(e.is_menu() for e in trail):
                 continue
         found.append((text, trail))

@@ -1,5 +1,7 @@
 import html as references
+import random
 import re
+import time
 
 import pytest
 from newsloom.llm import html_text as h
@@ -26,6 +28,21 @@ def test_main_text(page):
     assert h.main_text(page) == CASES[page]
 
 
+@pytest.mark.parametrize("piece", ["<", "<!--", "<a ", "&", "<![CDATA[", "</", "<div><", "<a href='", '<a b="c', "<table><tr><td>", "<ul><li>", "<title>", "x <", "<textarea>x"])
+def test_time_grows_with_the_page(piece):
+    start = time.perf_counter()
+    h.main_text(piece * 20_000)
+    assert time.perf_counter() - start < 15
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_any_text_is_a_page(seed):
+    draw = random.Random(seed)
+    pieces = ["<p>", "</p>", "<div class='", "'>", '">', "<!--", "-->", "<![", "<![CDATA[", "]]>", "<!", "<?", "<script>", "</script>", "<", "&", "&#x", "&#xD800;", "x ", "\x00", "</", "<a href=", "<title>", "<article>", "</article>", "<br/>", "<li>", "<plaintext>", "="]
+    for _ in range(3000):
+        h.main_text("".join(draw.choice(pieces) for _ in range(draw.randrange(15))))
+
+
 def test_long_and_deep_pages():
     assert h.main_text("<p>" + "word " * 300_000) == " ".join(["word"] * 300_000)
     assert h.main_text("<div>" * 20_000 + "x") == "x"
