@@ -146,8 +146,8 @@ def truncate_escape(spark, sf):
     return table(spark, sf, "documents").select(
         "doc_id",
         escape_newlines(F.col("text")).alias("escaped"),
-        # What the validity task is shown of an article.
-        F.substring("text", 1, jobs.VALIDITY_CHARS).alias("shown"),
+        # What `keep_valid` shows of an article where it is told to cut.
+        F.substring("text", 1, 2000).alias("shown"),
     )
 
 
