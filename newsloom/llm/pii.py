@@ -246,11 +246,11 @@ def sanitise(
     from `remove_at` on. Of spans that overlap the first decides. Null stays null.
     """
     _, flagged = _analyse(documents, text, doc_id, window, min_texts, generalise_at)
-    key, terms = unused_names(documents, "digest", "terms")
+    key, terms, found_key = unused_names(documents, "digest", "terms", "found_digest")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     marked = documents.withColumn(key, F.sha2(body, 256)).join(
-        flagged.select(F.col("digest").alias("__digest"), F.col("terms").alias(terms)),
-        F.col(key) == F.col("__digest"),
+        flagged.select(F.col("digest").alias(found_key), F.col("terms").alias(terms)),
+        F.col(key) == F.col(found_key),
         "left",
     ).select(*documents.columns, terms)
     at = documents.columns.index(text)

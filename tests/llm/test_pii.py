@@ -57,7 +57,7 @@ def test_sanitise_takes_out_what_discloses(documents):
     assert texts[3] == "word3 common  writes from [EMAIL] today note3"
     assert texts[20] == "plain20 common today writes from nobody20"
     assert texts[60] is None and texts[61] == ""
-    table = documents(*_corpus()).selectExpr("*", "'x' AS digest", "'y' AS terms")
+    table = documents(*_corpus()).selectExpr("*", "'x' AS digest", "'y' AS terms", "'z' AS found_digest", "'w' AS __digest")
     assert pii.sanitise(table).schema == table.schema
     assert {(r.digest, r.terms) for r in pii.sanitise(table).collect()} == {("x", "y")}
 
