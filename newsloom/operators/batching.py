@@ -43,7 +43,8 @@ def token_chunks(
     chain_blocks: int = CHAIN_BLOCKS,
 ) -> DataFrame:
     """Add `chunk_no`: rows of a group are taken in order, and a row that lifts the running
-    token count over `budget` opens the next chunk.
+    token count over `budget` opens the next chunk. A null count is none. All columns go through
+    the fold: hand in keys, order and counts, and join texts to the result.
 
     The count then starts at 0, without the row that opened the chunk; that is how the
     calls have always been cut. With `count_opener` it starts at that row's tokens, no
@@ -55,19 +56,20 @@ def token_chunks(
     of blocks join theirs to one function in parallel, the few stretches of a group are
     chained, then the blocks of each stretch, and blocks number their rows in parallel.
     """
-    keys = list(keys)
-    placed = group_positions(df, keys, order_by, pos="__pos").withColumn(
+    keys, names = list(keys), df.columns
+    # Sampled before it is sorted by range; the tokens should be counted once.
+    placed = group_positions(store(df, "counted"), keys, order_by, pos="__pos").withColumn(
         "__block", F.floor(F.col("__pos") / block_rows).cast("bigint")
     )
-    # `df` is read three times below; its positions should be computed once.
-    placed = store(placed, "placed")
-    slim = placed.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        "__block",
-        "__pos",
-        F.col(tokens).cast("bigint").alias("__tokens"),
-    )
     slim_keys = [f"__k{i}" for i in range(len(keys))]
+    placed = placed.select(
+        "*",
+        *[F.col(k).alias(name) for k, name in zip(keys, slim_keys)],
+        F.coalesce(F.col(tokens).cast("bigint"), F.lit(0)).alias("__tokens"),
+    )
+    # Read twice below; its positions should be computed once.
+    placed = store(placed, "placed")
+    slim = placed.select(*slim_keys, "__block", "__pos", "__tokens")
     key_ddl = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in slim.schema if f.name in slim_keys)
 
     def pieces(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -100,7 +102,7 @@ def token_chunks(
         chunk = number_block(
             pdf["__tokens"].to_numpy(), budget, count_opener, int(start["__running"].iloc[0]), fresh
         )
-        out = pdf[[*slim_keys, "__pos"]].copy()
+        out = pdf[names].copy()
         out["chunk_no"] = chunk + int(start["__opened"].iloc[0])
         return out
 
@@ -124,16 +126,11 @@ def token_chunks(
         .cogroup(stretch_starts.groupBy(*stretch))
         .applyInPandas(chain_within, f"{key_ddl}__block bigint, __running bigint, __opened bigint")
     )
-    numbered = (
-        slim.groupBy(*slim_keys, "__block")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return (
+        placed.groupBy(*slim_keys, "__block")
         .cogroup(starts.groupBy(*slim_keys, "__block"))
-        .applyInPandas(number, f"{key_ddl}__pos bigint, chunk_no bigint")
-    )
-    on_row = F.col("__pos") == F.col("__p")
-    for k, name in zip(slim_keys, keys):
-        on_row = on_row & F.col(name).eqNullSafe(F.col(k))
-    return placed.join(numbered.withColumnRenamed("__pos", "__p"), on_row).select(
-        *df.columns, "chunk_no"
+        .applyInPandas(number, f"{columns}, chunk_no bigint")
     )
 
 
