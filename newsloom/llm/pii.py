@@ -1,10 +1,12 @@
 """Personal data: what patterns find, and the terms that give it away."""
 
 import re
+import zlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +26,7 @@ _NOT_DIGITS = re.compile(r"[^0-9]+")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"[^\W_]{3,}")
 
-# Words on each side of a protected entity that are taken to occur with it.
+# Words on each side of a protected entity that are counted as met with it.
 WINDOW = 8
 # Different texts in which term and entity must meet before they say anything.
 MIN_TEXTS = 3
@@ -33,6 +35,9 @@ GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
 # Terms that a task counts before it hands its counts on.
 _HELD_TERMS = 300_000
+# Marks, by hash, of the terms that disclose; a task looks up the words of its texts in them.
+_MARKS = 1 << 22
+_KNOWN_WORDS = 200_000
 
 Span = tuple[int, int, int]
 
@@ -83,36 +88,40 @@ def _entity(text: str, span: Span) -> str:
     return f"{KINDS[kind]}:{value.lower() if kind < 2 else _NOT_DIGITS.sub('', value)}"
 
 
-def contexts(text: str, spans: list[Span], window: int = WINDOW) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the words around each span that are part of none."""
+def free_words(text: str, spans: list[Span]) -> list[tuple[int, int]]:
+    """(start, end) of the words that are part of no span."""
     words, at = [], 0
     for m in _WORD.finditer(text):
         while at < len(spans) and spans[at][2] <= m.start():
             at += 1
         if not any(s < m.end() and m.start() < e for s, _, e in spans[at : at + len(KINDS)]):
             words.append((m.start(), m.end()))
-    found = []
+    return words
+
+
+def contexts(text: str, spans: list[Span], window: int = WINDOW) -> set[tuple[str, str]]:
+    """(entity, term) of the words around each span that are part of none."""
+    words = free_words(text, spans)
+    found = set()
     for span in spans:
         entity, place = _entity(text, span), bisect_left(words, (span[0], 0))
         for start, end in words[max(0, place - window) : place + window]:
-            found.append((entity, text[start:end].lower(), start, end))
+            found.add((entity, text[start:end].lower()))
     return found
 
 
 _SPANS = "array<struct<start: int, kind: int, end: int>>"
 _FOUND = (
     f"term string, n bigint, doc_id bigint, digest string, spans {_SPANS}, "
-    "near array<struct<entity: string, term: string, start: int, end: int>>"
+    "near array<struct<entity: string, term: string>>"
 )
 
 
 def _find(documents: DataFrame, window: int) -> DataFrame:
-    """Two kinds of rows from one reading: per document its digest, base spans and the words
-    near them (term null), and how many documents of a task hold a term (term not null)."""
+    """Two kinds of rows from one reading: per document its digest, base spans and the terms
+    near them, each once (term null), and how many documents of a task hold a term (term not null)."""
     spans_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-    near_type = pa.list_(
-        pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-    )
+    near_type = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())]))
 
     def rows(terms, n, ids, digests, spans, near) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -141,8 +150,8 @@ def _find(documents: DataFrame, window: int) -> DataFrame:
                 text = value.as_py() or ""
                 spans = base_spans(text)
                 all_spans.append([dict(zip(("start", "kind", "end"), s, strict=True)) for s in spans])
-                near = contexts(text, spans, window) if spans else []
-                all_near.append([dict(zip(("entity", "term", "start", "end"), x, strict=True)) for x in near])
+                near = contexts(text, spans, window) if spans else ()
+                all_near.append([{"entity": e, "term": t} for e, t in sorted(near)])
                 held.update(set(_WORD.findall(text.lower())))
                 if len(held) > _HELD_TERMS:
                     yield from counted()
@@ -153,17 +162,15 @@ def _find(documents: DataFrame, window: int) -> DataFrame:
     return documents.mapInArrow(run, _FOUND)
 
 
-def _flagged(
-    found: DataFrame, min_texts: int, generalise_at: float, window: int
-) -> DataFrame:
-    """(digest, terms: array<struct<start, kind, end, share>>) of texts with terms that disclose.
+def _strong(found: DataFrame, min_texts: int, generalise_at: float) -> DataFrame:
+    """(term, share) of the terms that disclose an entity, with the greatest of their shares.
 
     share is the pointwise mutual information of term and entity, log2 P(e|t) / P(e), over the
     information of the entity, -log2 P(e): 1 where the term occurs only near that entity.
     """
     docs = found.where("term IS NULL")
     total = docs.count()
-    near = docs.where("size(near) > 0").select("digest", F.explode(F.array_distinct(F.expr("transform(near, x -> struct(x.entity, x.term))"))).alias("x")).select("digest", "x.*")
+    near = docs.where("size(near) > 0").select("digest", F.explode("near").alias("x")).select("digest", "x.*")
     pairs = near.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.countDistinct("digest").alias("texts"))
     pairs = store(pairs.where(F.col("texts") >= min_texts), "pairs")
     entities = docs.where("size(near) > 0").select(F.explode(F.array_distinct(F.expr("transform(near, x -> x.entity)"))).alias("entity"))
@@ -176,12 +183,56 @@ def _flagged(
     )
     # An entity of all documents has no information to disclose.
     strong = pairs.join(n_entity, "entity").join(n_term, "term").where(F.col("n_entity") < total)
-    strong = store(strong.select("entity", "term", share.alias("share")).where(F.col("share") >= generalise_at), "strong")
-    texts = docs.where("size(near) > 0").groupBy("digest").agg(F.first("near").alias("near"))
-    places = texts.select("digest", F.explode("near").alias("x")).select("digest", "x.*").join(strong, ["entity", "term"])
-    one = places.groupBy("digest", "start", "end").agg(F.max("share").alias("share"))
+    strong = strong.select("term", share.alias("share")).where(F.col("share") >= generalise_at)
+    return store(strong.groupBy("term").agg(F.max("share").alias("share")), "strong")
+
+
+_PLACES = "digest string, term string, start int, end int"
+
+
+def _places(documents: DataFrame, marks: np.ndarray) -> DataFrame:
+    """Where the texts hold words whose hash is in `marks`, other than in base spans."""
+    shared = documents.sparkSession.sparkContext.broadcast(marks)  # _MARKS bytes, whatever the corpus
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, known = shared.value, {}
+
+        def marked(word: str) -> bool:
+            found = known.get(word)
+            if found is None:
+                found = bool(marks[zlib.crc32(word.lower().encode()) % _MARKS])
+                if len(known) < _KNOWN_WORDS:
+                    known[word] = found
+            return found
+
+        for batch in batches:
+            out = []
+            for digest, value in zip(batch.column(1).to_pylist(), batch.column(0), strict=True):
+                text = value.as_py() or ""
+                some = {w for w in set(_WORD.findall(text)) if marked(w)}
+                if some:
+                    for start, end in free_words(text, base_spans(text)):
+                        if text[start:end] in some:
+                            out.append((digest, text[start:end].lower(), start, end))
+            digests, terms, starts, ends = zip(*out, strict=True) if out else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digests, pa.string()), pa.array(terms, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())],
+                ["digest", "term", "start", "end"],
+            )
+
+    return documents.select("text", "digest").mapInArrow(run, _PLACES)
+
+
+def _flagged(documents: DataFrame, strong: DataFrame) -> DataFrame:
+    """(digest, terms: array<struct<start, kind, end, share>>) of texts with terms that disclose,
+    at all places, near an entity or not."""
+    marks = np.zeros(_MARKS, bool)
+    marks[strong.select((F.crc32(F.col("term").cast("binary")) % _MARKS).alias("mark")).distinct().toArrow().column(0).to_numpy()] = True
+    # Without marks no text is read again.
+    again = documents if marks.any() else documents.limit(0)
+    # Other terms may share a mark; the join leaves these out.
+    one = _places(again, marks).distinct().join(strong, "term")
     span = F.struct(F.col("start"), F.lit(len(KINDS) - 1).alias("kind"), F.col("end"), F.col("share"))
-    # A text has at most 2 * window of these per span.
     return store(one.groupBy("digest").agg(F.sort_array(F.collect_list(span)).alias("terms")), "flagged")
 
 
@@ -192,8 +243,9 @@ def _with_digest(documents: DataFrame, text: str) -> DataFrame:
 
 def _analyse(documents, text, doc_id, window, min_texts, generalise_at) -> tuple[DataFrame, DataFrame]:
     slim = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    found = store(_find(_with_digest(slim, "text"), window), "found")
-    return found.where("term IS NULL"), _flagged(found, min_texts, generalise_at, window)
+    slim = _with_digest(slim, "text")
+    found = store(_find(slim, window), "found")
+    return found.where("term IS NULL"), _flagged(slim, _strong(found, min_texts, generalise_at))
 
 
 def find_personal_data(
@@ -209,7 +261,8 @@ def find_personal_data(
 
     Base spans come from patterns. Corpus co-occurrence adds terms: words within `window`
     words of a protected entity in at least `min_texts` different texts, that disclose at
-    least the share `generalise_at` of its information. Documents count with their copies in
+    least the share `generalise_at` of its information. The window is for the estimate only:
+    such a term is a span wherever it stands outside base spans, in every document. Documents count with their copies in
     all probabilities, but copies are one text. A null text is empty and has no spans; a row
     comes out as often as it comes in; no rows give no rows.
     """

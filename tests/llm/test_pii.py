@@ -62,6 +62,20 @@ def test_sanitise_takes_out_what_discloses(documents):
     assert {(r.digest, r.terms) for r in pii.sanitise(table).collect()} == {("x", "y")}
 
 
+def test_terms_go_wherever_they_stand(documents):
+    """Beyond the window, in texts without the entity, in copies and in capitals; not in base spans."""
+    far = "zorblat writes from jane.doe@mail.example.org " + " ".join(f"far{k}" for k in range(20)) + " Zorblat again"
+    rows = [*_corpus(), (70, far), (70, far), (71, "a ZORBLAT alone, zorblatt and zorblat@x.org")]
+    table = documents(*rows).selectExpr("*", "1 AS digest", "2 AS terms", "3 AS term")
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find_personal_data(table).collect()}
+    at = far.index("Zorblat")
+    assert spans[70] == [(0, 4, 7), (20, 0, 45), (at, 4, at + 7)]
+    assert spans[71] == [(2, 4, 9), (30, 0, 43)]
+    clean = [(r.doc_id, r.text) for r in pii.sanitise(table).collect() if r.doc_id in (70, 71)]
+    assert len(clean) == 3
+    assert not any("zorblat " in text.lower() for _, text in clean)
+
+
 def test_empty_table(documents):
     none = documents(*_corpus()).limit(0)
     assert pii.find_personal_data(none).count() == 0
