@@ -31,9 +31,11 @@ _MAIN = frozenset(("article", "main"))
 # What may be part of a template inside an article; single paragraphs there are text.
 _CONTAINERS = frozenset("details div dl fieldset figure hgroup menu ol section table ul".split())
 _DROPPED = frozenset(
-    "head script style noscript template nav footer aside form button select textarea iframe object svg canvas "
-    "audio video dialog menu fieldset math applet map".split()
+    "head script style noscript template nav footer aside button select textarea iframe object svg canvas "
+    "audio video dialog menu math applet map".split()
 )
+# These go like elements with a name of _NAMES: unless they hold the main part of the page.
+_FORMS = frozenset(("form", "fieldset"))
 _CLOSES_P = _BLOCKS - {"caption", "tbody", "td", "tfoot", "th", "thead", "tr", "html", "body", "option", "optgroup"}
 # Start tags that end an open element of the same group, up to the element that holds the group.
 _SIBLINGS = {
@@ -46,13 +48,22 @@ _SIBLINGS = {
     "th": ({"td", "th"}, {"tr", "table"}),
 }
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|breadcrumbs?|"
+# Whole names of a class or id: each part between hyphens is one of these or says where or what
+# kind of box it is, and one at least is of these.
+_NAME = (
+    r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|breadcrumbs?|"
     r"comments?(?:list|section|area|form|box|thread)?|disqus\w*|"
     r"respond|replies|cookies?\w*|consent|gdpr|notices?|alert|popup|modal|overlay|navbar|nav|navigation|menu|"
-    r"sidebar|side-?bar|rail|footer|masthead|topbar|toolbar|widgets?|newsletter|subscribe|signup|login|"
-    r"share|sharing|social|related|recommended|pagination|pager|skip-?link)(?:$|[\s_-])",
-    re.IGNORECASE,
+    r"sidebar|side[_-]?bar|rail|footer|masthead|topbar|toolbar|widgets?|newsletter|subscribe|signup|login|"
+    r"share|sharing|social|related|recommended|pagination|pager|skip[_-]?link)"
+)
+_BESIDE = (
+    r"(?:left|right|top|bottom|upper|lower|site|page|global|primary|secondary|main|post|posts|articles?|stories|"
+    r"items?|links?|buttons?|icons?|media|slots?|units?|box|bar|block|list|area|section|wrap|wrapper|container|"
+    r"inner|outer|panel|row|form|sticky|floating|mobile|desktop|[0-9]+)"
+)
+_NAMES = re.compile(
+    rf"(?:^|\s)(?:{_BESIDE}[_-]+)*+{_NAME}(?:[_-]+(?:{_NAME}|{_BESIDE}))*+(?:$|\s)", re.IGNORECASE
 )
 _HEADERS = re.compile(r"(?:^|\s)(?:(?:site|page|top|main|global|blog)[_-]?)?header(?:$|\s)", re.IGNORECASE)
 # Links in a list or box, and their share of its text, from which it is a menu.
@@ -74,10 +85,18 @@ _MOST_DEPTH = 512
 
 
 class _Element:
-    __slots__ = ("dropped", "hash", "in_main", "inner", "linked", "links", "parent", "size", "tag")
+    __slots__ = (
+        "dropped", "gone", "hash", "held", "holds_main", "in_main", "inner", "linked", "links", "number", "parent",
+        "size", "tag",
+    )
 
-    def __init__(self, tag: str, dropped: bool, in_main: bool, parent: "_Element | None"):
+    def __init__(self, tag: str, dropped: bool, in_main: bool, parent: "_Element | None", gone: bool = False, number: int = 0):
         self.tag, self.dropped, self.in_main, self.parent = tag, dropped, in_main, parent
+        # Dropped whatever it holds; and the place among all start tags.
+        self.gone, self.number = gone, number
+        # Characters that are not in links, in what is dropped by name too.
+        self.held = 0
+        self.holds_main = tag == "main" and not gone
         self.inner: list[bytes] = []
         # Characters of text, those in links, and links.
         self.size = self.linked = self.links = 0
@@ -98,9 +117,13 @@ class _Element:
 
 class _Page:
     """Blocks of text in page order, each with its innermost element. Takes time in proportion to
-    the page, whatever is in it."""
+    the page, whatever is in it. Elements of the numbers in `spared` are not dropped by name."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, spared: frozenset[int] = frozenset()):
+        self.spared, self.started = spared, 0
+        self.named: list[_Element] = []
+        self.largest: _Element | None = None
+        self.main_held = 0
         root = _Element("", False, False, None)
         self.stack = [root]
         self.open: Counter[str] = Counter()
@@ -149,8 +172,24 @@ class _Page:
                 self.text("<")
                 at = sign + 1
 
+    def wrongly_named(self) -> frozenset[int]:
+        """The elements dropped by name that hold a main element or the largest article, or, where
+        neither has text elsewhere, most of the text that is not in links."""
+        inside, element = set(), self.largest
+        while element is not None:
+            inside.add(element.number)
+            element = element.parent
+        total = self.stack[0].held
+        elsewhere = self.main_held > 0 or (self.largest is not None and self.largest.held > 0)
+        return frozenset(
+            e.number for e in self.named
+            if e.holds_main or e.number in inside or (not elsewhere and 2 * e.held > total)
+        )
+
     def text(self, data: str) -> None:
         element = self.stack[-1]
+        if not element.gone and self.open["a"] <= 0:
+            element.held += sum(map(len, data.split()))
         if not element.dropped:
             self.owner = element
             data = unescape(data) if "&" in data else data
@@ -174,6 +213,12 @@ class _Page:
         body = element.tag.encode("utf-8", "surrogatepass") + b"\0" + b"\0".join(element.inner)
         element.hash = xxhash.xxh64_intdigest(body, 1) >> 1
         parent = self.stack[-1]
+        parent.held += element.held
+        parent.holds_main |= element.holds_main
+        if element.tag == "article" and not element.gone and (self.largest is None or element.held > self.largest.held):
+            self.largest = element
+        if element.tag == "main" and not element.gone:
+            self.main_held = max(self.main_held, element.held)
         parent.linked += element.linked
         parent.links += element.links
         if element.size:
@@ -211,10 +256,17 @@ class _Page:
             self.too_deep[tag] += 1
             return
         parent = self.stack[-1]
-        dropped = parent.dropped or tag in _DROPPED or (tag == "header" and not parent.in_main)
-        if not dropped and attributes and tag not in ("html", "body"):
-            dropped = _is_dropped(attributes, parent.in_main)
-        element = _Element(tag, dropped, parent.in_main or (tag in _MAIN and not dropped), parent)
+        self.started += 1
+        gone = parent.gone or tag in _DROPPED or (tag == "header" and not parent.in_main)
+        named = tag in _FORMS
+        if not gone and attributes and tag not in ("html", "body"):
+            gone, by_name = _is_dropped(attributes, parent.in_main)
+            named = named or by_name
+        named = named and not gone
+        dropped = gone or parent.dropped or (named and self.started not in self.spared)
+        element = _Element(tag, dropped, parent.in_main or (tag in _MAIN and not gone), parent, gone, self.started)
+        if named:
+            self.named.append(element)
         element.links = int(tag == "a")
         self.stack.append(element)
         self.open[tag] += 1
@@ -239,22 +291,29 @@ class _Page:
                     return
 
 
-def _is_dropped(attributes: str, in_main: bool) -> bool:
-    """Whether an element's attributes say that it is no part of the text."""
+def _is_dropped(attributes: str, in_main: bool) -> tuple[bool, bool]:
+    """Whether an element's attributes say that it is no part of the text: hidden, and by name."""
     values: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(attributes):
         values.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
     names = [values[k] for k in ("class", "id") if k in values]
-    return (
-        "hidden" in values
-        or values.get("aria-hidden") == "true"
-        or values.get("role", "").lower() in _ROLES
-        or bool(_HIDDEN.search(values.get("style", "")))
+    hidden = (
+        "hidden" in values or values.get("aria-hidden") == "true" or bool(_HIDDEN.search(values.get("style", "")))
+    )
+    return hidden, (
+        values.get("role", "").lower() in _ROLES
         or any(_NAMES.search(n) for n in names)
         or (not in_main and any(_HEADERS.search(n) for n in names))
     )
 
 
+def _read(html: str) -> _Page:
+    """The page, read again at most once if names would drop the main part of it."""
+    page = _Page(html)
+    spared = page.wrongly_named()
+    return _Page(html, spared) if spared else page
+
+
 def _candidates(page: _Page) -> list[tuple[str, list[_Element]]]:
     """The blocks of the main text, with the subtrees around each that may be a template."""
     has_main = any(element.in_main for _, element in page.blocks)
@@ -274,14 +333,14 @@ def _candidates(page: _Page) -> list[tuple[str, list[_Element]]]:
 
 def subtrees(html: str) -> tuple[int, set[int]]:
     """(hash of the whole page, hashes of the subtrees that may be a template)."""
-    found = _candidates(_Page(html))
+    found = _candidates(_read(html))
     whole = xxhash.xxh64_intdigest("\n".join(t for t, _ in found).encode("utf-8", "surrogatepass")) >> 1
     return whole, {e.hash for _, trail in found for e in trail}
 
 
 def main_text(html: str, template: set[int] | frozenset[int] = frozenset()) -> str:
     """The blocks of the main text, joined by empty lines, without the subtrees in `template`."""
-    found = _candidates(_Page(html))
+    found = _candidates(_read(html))
     kept = [text for text, trail in found if not any(e.hash in template for e in trail)]
     if len(kept) < len(found) and sum(map(len, kept)) < (1 - MOST_LOST) * sum(len(t) for t, _ in found):
         kept = [text for text, _ in found]
@@ -330,7 +389,8 @@ def extract_text(
     """(page_id, url, text) of every row: the main text of its html.
 
     Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and hidden
-    parts go by tag, role and name; where a page has an article or main element, only that
+    parts go by tag, role and name, but nothing goes by role, name or as a form that holds a
+    main element, the largest article or, on pages with neither, most of the text; where a page has an article or main element, only that
     counts, elsewhere boxes of links go too. Element subtrees that recur over the pages of a host go too, whatever their
     name. Character references are decoded, white space in a block becomes one space, blocks
     are joined by an empty line. Null html and pages without text give an empty text; pages

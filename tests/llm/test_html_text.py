@@ -43,6 +43,40 @@ def test_any_text_is_a_page(seed):
         h.main_text("".join(draw.choice(pieces) for _ in range(draw.randrange(15))))
 
 
+WRAPPERS = [
+    "content-sidebar-wrap", "has-sidebar", "no-sidebar", "comments-open", "post social-science", "ad-free", "sidebar", "page widget",
+]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+@pytest.mark.parametrize("tag", ["main", "article", "div"])
+def test_wrappers_of_the_article_stay(name, tag):
+    page = f"<div class='{name}'><{tag}><p>The text of the page.</p><div class='share-buttons'>Tell</div></{tag}></div><div id='main-sidebar'>Other</div>"
+    assert h.main_text(page) == "The text of the page."
+
+
+def test_forms_around_pages_stay():
+    page = "<body><form action=x><div><p>All of the page stands in a form.</p><form><p>q</p></form></div></form><div class='social'>s</div></body>"
+    assert h.main_text(page).startswith("All of the page stands in a form.")
+    assert h.main_text("<main><p>The text of the page.</p><form><fieldset>Search</fieldset></form></main>") == "The text of the page."
+
+
+def test_long_boxes_beside_an_article_go():
+    assert h.main_text("<div class='ad'>Much longer than the article of it all</div><article><h1>Title</h1></article>") == "Title"
+
+
+def test_comments_as_articles_go():
+    page = "<main><article><p>The text of the page.</p></article><div id='comments'><article><p>Nice!</p></article></div></main>"
+    assert h.main_text(page) == "The text of the page."
+
+
+def test_names_around_each_other_take_no_longer():
+    start = time.perf_counter()
+    assert h._read("<div class='sidebar'>x" * 20_000 + "<main>y").blocks
+    assert h._NAMES.search("left-" * 20_000 + "x") is None
+    assert time.perf_counter() - start < 5
+
+
 def test_long_and_deep_pages():
     assert h.main_text("<p>" + "word " * 300_000) == " ".join(["word"] * 300_000)
     assert h.main_text("<div>" * 20_000 + "x") == "x"
