@@ -131,6 +131,9 @@ class _Page:
         self.parts: list[str] = []
         self.owner = root
         self.blocks: list[tuple[str, _Element]] = []
+        # Characters of the block that is read, and of each block, that are not in links.
+        self.plain = 0
+        self.plains: list[int] = []
         self.read(html)
         self.close_to(1)
 
@@ -188,12 +191,13 @@ class _Page:
 
     def text(self, data: str) -> None:
         element = self.stack[-1]
-        if not element.gone and self.open["a"] <= 0:
-            element.held += sum(map(len, data.split()))
+        plain = sum(map(len, data.split())) if not element.gone and self.open["a"] <= 0 else 0
+        element.held += plain
         if not element.dropped:
             self.owner = element
             data = unescape(data) if "&" in data else data
             self.parts.append(data)
+            self.plain += plain
             if self.open["a"] > 0:
                 element.linked += len(data.strip())
 
@@ -201,9 +205,10 @@ class _Page:
         if not self.parts:
             return
         text = " ".join("".join(self.parts).split())
-        self.parts = []
+        self.parts, plain, self.plain = [], self.plain, 0
         if text:
             self.blocks.append((text, self.owner))
+            self.plains.append(plain)
             self.owner.size += len(text)
             self.owner.inner.append(text.encode("utf-8", "surrogatepass"))
 
@@ -314,12 +319,45 @@ def _read(html: str) -> _Page:
     return _Page(html, spared) if spared else page
 
 
+def _main_blocks(page: _Page) -> list[bool] | None:
+    """Which blocks lie in the main elements, else in the largest article, if these hold most of
+    the text that is not in links; else None."""
+    known: dict[int, tuple[bool, int]] = {0: (False, 0)}
+
+    def place(element: _Element) -> tuple[bool, int]:
+        """Whether it lies in a main element, and the number of its outermost article or 0."""
+        path = []
+        while element.number not in known:
+            path.append(element)
+            element = element.parent
+        found = known[element.number]
+        for e in reversed(path):
+            found = (found[0] or e.tag == "main", found[1] or (e.number if e.tag == "article" else 0))
+            known[e.number] = found
+        return found
+
+    outer = [place(element) for _, element in page.blocks]
+    total = sum(page.plains)
+    if any(m for m, _ in outer) and 2 * sum(n for (m, _), n in zip(outer, page.plains, strict=True) if m) >= total:
+        return [m for m, _ in outer]
+    articles: Counter[int] = Counter()
+    for (_, article), n in zip(outer, page.plains, strict=True):
+        if article:
+            articles[article] += n
+    if articles:
+        largest, n = articles.most_common(1)[0]
+        if 2 * n >= total:
+            return [article == largest for _, article in outer]
+    return None
+
+
 def _candidates(page: _Page) -> list[tuple[str, list[_Element]]]:
     """The blocks of the main text, with the subtrees around each that may be a template."""
-    has_main = any(element.in_main for _, element in page.blocks)
+    chosen = _main_blocks(page)
+    has_main = chosen is not None
     found = []
-    for text, element in page.blocks:
-        if has_main and not element.in_main:
+    for i, (text, element) in enumerate(page.blocks):
+        if has_main and not chosen[i]:
             continue
         if has_main:
             trail = [e for e in element.trail() if e.in_main and e.tag in _CONTAINERS]
@@ -390,8 +428,8 @@ def extract_text(
 
     Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and hidden
     parts go by tag, role and name, but nothing goes by role, name or as a form that holds a
-    main element, the largest article or, on pages with neither, most of the text; where a page has an article or main element, only that
-    counts, elsewhere boxes of links go too. Element subtrees that recur over the pages of a host go too, whatever their
+    main element, the largest article or, on pages with neither, most of the text; where main elements, or else the largest article,
+    hold most of the text that is not in links, only that counts, elsewhere boxes of links go too. Element subtrees that recur over the pages of a host go too, whatever their
     name. Character references are decoded, white space in a block becomes one space, blocks
     are joined by an empty line. Null html and pages without text give an empty text; pages
     without a host have no template. Rows come out as often as they come in.

@@ -70,6 +70,24 @@ def test_comments_as_articles_go():
     assert h.main_text(page) == "The text of the page."
 
 
+BODY = "<div><h1>Title</h1><p>The text of the page stands in a plain box.</p><p>It goes on for some time.</p></div>"
+TEXT = "Title\n\nThe text of the page stands in a plain box.\n\nIt goes on for some time."
+
+
+def test_teaser_articles_are_not_the_page():
+    cards = "".join(f"<article><a href=x>Read this next, number {k}, and more</a></article>" for k in range(4))
+    assert TEXT in h.main_text(f"<body>{BODY}<div>{cards}</div></body>")
+    cards = "<article><h3>Card</h3><p>A short teaser.</p></article>" * 3
+    assert TEXT in h.main_text(f"<body>{BODY}<div>{cards}</div></body>")
+    assert TEXT in h.main_text(f"<body>{BODY}<main><p>Beside.</p></main></body>")
+
+
+def test_articles_and_mains_that_hold_the_page():
+    cards = "<article><p>A short teaser.</p></article>"
+    assert h.main_text(f"<article>{BODY}</article><div>{cards}</div><p>Other</p>") == TEXT
+    assert h.main_text(f"<main><article>{BODY}</article><p>Below</p></main><p>Other</p>") == TEXT + "\n\nBelow"
+
+
 def test_names_around_each_other_take_no_longer():
     start = time.perf_counter()
     assert h._read("<div class='sidebar'>x" * 20_000 + "<main>y").blocks
