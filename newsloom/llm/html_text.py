@@ -10,15 +10,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import store
+from newsloom.llm.common import one_per_key, row_keys, store
 from newsloom.llm.url_filters import url_host
 
-# A subtree belongs to the template of a host if as many of its different pages have it, and this
-# share of them.
+# A subtree recurs on a host if so many of its different pages have it that they count as many, or
+# on small hosts this share of them and not fewer than MIN_PAGES.
 MIN_PAGES = 3
-MIN_SHARE = 0.5
-# A page that would lose more than this share of its text has no template of that size: it is
-# much like other pages, and stays whole.
+MIN_SHARE = 0.2
+MANY_PAGES = 100
+# A page that would lose more than this share of its text is much like other pages. What recurs
+# mostly on such pages is a copied article and no template.
 MOST_LOST = 0.9
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -369,51 +370,67 @@ def _candidates(page: _Page) -> list[tuple[str, list[_Element]]]:
     return found
 
 
-def subtrees(html: str) -> tuple[int, set[int]]:
-    """(hash of the whole page, hashes of the subtrees that may be a template)."""
+def subtrees(html: str) -> tuple[int, int, dict[int, int]]:
+    """Hash of the whole page, its characters, and the hashes of the subtrees that may be a
+    template, each with the characters of the blocks that have no such subtree further inside."""
     found = _candidates(_read(html))
     whole = xxhash.xxh64_intdigest("\n".join(t for t, _ in found).encode("utf-8", "surrogatepass")) >> 1
-    return whole, {e.hash for _, trail in found for e in trail}
+    trees: Counter[int] = Counter()
+    for text, trail in found:
+        for i, e in enumerate(trail):
+            trees[e.hash] += 0 if i else len(text)
+    return whole, sum(len(t) for t, _ in found), dict(trees)
 
 
 def main_text(html: str, template: set[int] | frozenset[int] = frozenset()) -> str:
     """The blocks of the main text, joined by empty lines, without the subtrees in `template`."""
-    found = _candidates(_read(html))
-    kept = [text for text, trail in found if not any(e.hash in template for e in trail)]
-    if len(kept) < len(found) and sum(map(len, kept)) < (1 - MOST_LOST) * sum(len(t) for t, _ in found):
-        kept = [text for text, _ in found]
-    return "\n\n".join(kept)
+    return "\n\n".join(text for text, trail in _candidates(_read(html)) if not any(e.hash in template for e in trail))
 
 
-def host_templates(
-    pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE
+def page_templates(
+    pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = MIN_PAGES,
+    min_share: float = MIN_SHARE, many_pages: int = MANY_PAGES,
 ) -> DataFrame:
-    """(host, template: array<bigint>): per host the hashes of subtrees that recur.
+    """(host, k1, k2, template: array<bigint>): per page, by the `row_keys` of its html, the hashes
+    of those of its subtrees that belong to the template of its host.
 
-    Pages with the same text count as one, so that copies of an article are no template.
-    Hashes are counted map-side; a host has at most elements per page / `min_share` of them.
+    Pages with the same text count as one, so that copies of an article are no template. A
+    subtree that recurs is none either if more than half of its pages would lose nearly all
+    of their text, unless it stands on many pages and on more than half of the host's.
     """
+    schema = "host string, k1 bigint, k2 bigint, whole bigint, size bigint, trees array<struct<tree: bigint, own: bigint>>"
+    trees_type = pa.list_(pa.struct([("tree", pa.int64()), ("own", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, wholes, trees = [], [], []
-            for host, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                whole, found = subtrees(body.as_py() or "")
-                hosts.append(host)
-                wholes.append(whole)
-                trees.append(list(found))
+            found = [subtrees(body.as_py() or "") for body in batch.column(3)]
+            trees = [[{"tree": t, "own": n} for t, n in trees.items()] for _, _, trees in found]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(wholes, pa.int64()), pa.array(trees, pa.list_(pa.int64()))],
-                ["host", "whole", "trees"],
+                [
+                    *batch.columns[:3], pa.array([f[0] for f in found], pa.int64()),
+                    pa.array([f[1] for f in found], pa.int64()), pa.array(trees, trees_type),
+                ],
+                ["host", "k1", "k2", "whole", "size", "trees"],
             )
 
-    slim = pages.select(url_host(F.col(url)).alias("host"), F.col(html).cast("string").alias("html")).where("host <> ''")
-    found = store(slim.mapInArrow(run, "host string, whole bigint, trees array<bigint>"), "subtrees")
+    keys = ["host", "k1", "k2"]
+    body = F.col(html).cast("string")
+    slim = pages.select(url_host(F.col(url)).alias("host"), *[k.alias(n) for k, n in zip(row_keys(body), keys[1:], strict=True)], body.alias("html")).where("host <> ''")
+    found = store(one_per_key(slim.mapInArrow(run, schema), keys), "subtrees")
     different = found.groupBy("host").agg(F.countDistinct("whole").alias("pages"))
-    trees = found.select("host", "whole", F.explode("trees").alias("tree"))
+    trees = found.select(*keys, "whole", "size", F.explode("trees").alias("x")).select(*keys, "whole", "size", "x.*")
     counted = trees.groupBy("host", "tree").agg(F.countDistinct("whole").alias("n")).where(F.col("n") >= min_pages)
-    recurring = counted.join(different, "host").where(F.col("n") >= min_share * F.col("pages"))
-    return store(recurring.groupBy("host").agg(F.collect_list("tree").alias("template")), "templates")
+    enough = F.least(F.lit(float(many_pages)), min_share * F.col("pages"))
+    recurring = store(counted.join(different, "host").where(F.col("n") >= enough), "recurring")
+    hits = store(trees.join(recurring, ["host", "tree"]), "hits")
+    lost = hits.groupBy(*keys).agg((F.sum("own") > MOST_LOST * F.first("size")).alias("lost"))
+    judged = hits.join(lost, keys).groupBy("host", "tree").agg(
+        F.countDistinct(F.when(F.col("lost"), F.col("whole"))).alias("n_lost"), F.first("n").alias("n"), F.first("pages").alias("pages")
+    )
+    everywhere = (F.col("n") >= many_pages) & (2 * F.col("n") > F.col("pages"))
+    template = judged.where((2 * F.col("n_lost") <= F.col("n")) | everywhere).select("host", "tree")
+    own = hits.select(*keys, "tree").join(template, ["host", "tree"])
+    return store(own.groupBy(*keys).agg(F.collect_list("tree").alias("template")), "templates")
 
 
 def extract_text(
@@ -423,24 +440,26 @@ def extract_text(
     html: str = "html",
     min_pages: int = MIN_PAGES,
     min_share: float = MIN_SHARE,
+    many_pages: int = MANY_PAGES,
 ) -> DataFrame:
     """(page_id, url, text) of every row: the main text of its html.
 
     Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and hidden
     parts go by tag, role and name, but nothing goes by role, name or as a form that holds a
     main element, the largest article or, on pages with neither, most of the text; where main elements, or else the largest article,
-    hold most of the text that is not in links, only that counts, elsewhere boxes of links go too. Element subtrees that recur over the pages of a host go too, whatever their
-    name. Character references are decoded, white space in a block becomes one space, blocks
+    hold most of the text that is not in links, only that counts, elsewhere boxes of links go too. Element subtrees
+    that recur over the pages of a host go too, whatever their name; see `page_templates`. Character references are decoded, white space in a block becomes one space, blocks
     are joined by an empty line. Null html and pages without text give an empty text; pages
     without a host have no template. Rows come out as often as they come in.
     """
-    templates = host_templates(pages, url, html, min_pages, min_share)
+    templates = page_templates(pages, url, html, min_pages, min_share, many_pages)
     slim = pages.select(
         F.col(page_id).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html")
     )
-    joined = slim.withColumn("on_host", url_host(F.col("url"))).join(
-        templates, F.col("on_host") == F.col("host"), "left"
-    ).select("page_id", "url", "html", "template")
+    k1, k2 = row_keys(F.col("html"))
+    keyed = slim.withColumns({"on_host": url_host(F.col("url")), "on_k1": k1, "on_k2": k2})
+    same = (F.col("on_host") == F.col("host")) & (F.col("on_k1") == F.col("k1")) & (F.col("on_k2") == F.col("k2"))
+    joined = keyed.join(templates, same, "left").select("page_id", "url", "html", "template")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

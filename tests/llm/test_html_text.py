@@ -130,6 +130,32 @@ def test_recurring_subtrees_go(spark):
     assert found[90] == found[91] == "Our site since 1990\n\nMenu of all\n\n" + article.format(0)
 
 
+def _own(k):
+    return "".join(f"<p>Own part {j} of text {k}, which is long enough to tell.</p>" for j in range(3))
+
+
+@pytest.mark.parametrize("n, boxed", [(20, 6), (600, 110)])
+def test_boxes_on_some_of_the_pages_go(spark, n, boxed):
+    box = "<div><p>Our offer of the week</p></div>"
+    rows = [(i, "http://a.org/x", f"<body><div>{_own(i)}</div>{box if i < boxed else ''}</body>") for i in range(n)]
+    found = {r.page_id: r.text for r in h.extract_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert len(found) == n
+    assert not any("offer" in t for t in found.values())
+    assert all(t.count("Own part") == 3 for t in found.values())
+
+
+def test_short_pages_lose_the_template_and_copied_articles_stay(spark):
+    terms = "<div>" + "<p>Terms and conditions of this site apply to all.</p>" * 20 + "</div>"
+    copied = "<div>" + "".join(f"<p>Sentence {j} of an article that several pages carry.</p>" for j in range(20)) + "</div>"
+    rows = [(i, "http://a.org/x", f"<body><div>{_own(i) * 8}</div>{terms}</body>") for i in range(14)]
+    rows += [(20, "http://a.org/n", f"<body><div><p>A short note.</p></div>{terms}</body>")]
+    rows += [(30 + i, "http://a.org/c", f"<body><div><p>Day {i}</p>{copied}</div>{terms}</body>") for i in range(5)]
+    found = {r.page_id: r.text for r in h.extract_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert found[20] == "A short note."
+    assert all(f"Day {i}" in found[30 + i] and found[30 + i].count("Sentence") == 20 for i in range(5))
+    assert not any("Terms" in t for t in found.values())
+
+
 def test_copies_of_a_page_are_no_template(spark):
     table = spark.createDataFrame(_site(20, same=True), PAGES)
     assert all("Text 0 part 3" in r.text for r in h.extract_text(table).collect())
