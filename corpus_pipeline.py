@@ -12,7 +12,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    return quality_rules.keep_good(docs)
+    return quality_rules.keep_good(docs, quality_rules.PIPELINE_RULES)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

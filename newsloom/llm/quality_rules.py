@@ -1,5 +1,6 @@
 """Quality rules as a cascade that stops at the first rule that rejects a text."""
 
+import re
 import time
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
@@ -18,6 +19,12 @@ _CONTINUATION = bytes(range(0x80, 0xC0))
 _SPACE = b" \t\n\v\f\r"
 _CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 _SMALL = bytes(range(ord("a"), ord("z") + 1))
+# Signs of sums and shares, which are part of prose.
+_FIGURE_SIGN = re.compile(rb"\$(?=[0-9])|(?<=[0-9])%")
+# Letters of scripts that put no spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
+_SPACELESS = re.compile(
+    "[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]"
+)
 # Words in a window that counts as repeated.
 WINDOW = 5
 
@@ -52,6 +59,20 @@ class Text:
     def n_symbols(self) -> int:
         return _count(self.text, SYMBOLS)
 
+    @cached_property
+    def odd_signs(self) -> int:
+        """Symbols other than the signs of figures and the bars of table rows."""
+        bars = sum(x.count(b"|") for x in self.lines if x.lstrip().startswith(b"|")) if b"|" in self.text else 0
+        return self.n_symbols - bars - len(_FIGURE_SIGN.findall(self.text))
+
+    @cached_property
+    def n_spaceless(self) -> int:
+        """Letters of scripts without spaces, where these are more than half of the text, else 0."""
+        if self.text.isascii():
+            return 0
+        n = len(_SPACELESS.findall(self.text.decode("utf-8", "replace")))
+        return n if 2 * n > self.word_chars else 0
+
     @cached_property
     def lines(self) -> list[bytes]:
         """The lines that hold a word."""
@@ -116,7 +137,8 @@ BASE_RULES = (
     Rule("repeated_words", lambda t: 100 * t.n_repeat_words > 20 * t.n_words),
 )
 # Beside the base: texts of symbols, of capitals, of words said twice, of lines said twice, and
-# of no words in the usual sense. All limits lie far from what ordinary prose reaches.
+# of no words in the usual sense. These are the rules of the SQL of op10; its limits for symbols
+# and the length of words reject some clean texts as well, see PIPELINE_RULES.
 RULES = BASE_RULES + (
     Rule("symbols", lambda t: 10 * t.n_symbols > t.n_words),
     Rule("capitals", lambda t: t.capitals[1] >= 20 and 10 * t.capitals[0] > 6 * t.capitals[1]),
@@ -124,6 +146,14 @@ RULES = BASE_RULES + (
     Rule("repeated_lines", lambda t: len(t.lines) >= 4 and 2 * t.n_dup_lines > len(t.lines)),
     Rule("word_length", lambda t: not 2 * t.n_words <= t.word_chars <= 25 * t.n_words),
 )
+# What the pipeline drops by: the same, but signs count by the characters of the text, where signs
+# of figures and bars of tables count for none, and scripts without spaces by their letters.
+_LOOSER = {
+    "few_words": lambda t: t.n_words < 10 and t.n_spaceless < 20,
+    "symbols": lambda t: 10 * t.odd_signs > t.word_chars,
+    "word_length": lambda t: t.word_chars < 2 * t.n_words or (t.word_chars > 25 * t.n_words and not t.n_spaceless),
+}
+PIPELINE_RULES = tuple(Rule(r.name, _LOOSER.get(r.name, r.rejects)) for r in RULES)
 # Texts that the order of the rules is estimated on, about.
 SAMPLE_ROWS = 2000
 

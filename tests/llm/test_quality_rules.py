@@ -1,4 +1,5 @@
 import brute
+import corpus_pipeline
 import pytest
 from newsloom.llm import quality_rules as q
 from llm_fixtures import documents, sample  # noqa: F401
@@ -30,6 +31,29 @@ def test_keep_good_keeps_rows_and_columns(documents):
     assert len(want) == 4
 
 
+CLEAN = [
+    "Shares of Acme rose 4% to $31 on Tuesday after quarterly profit grew 12% on strong sales in Europe.",
+    "Tea $4\nCoffee $5\nCake $6\nSoup $7\nBread $2\nButter $3\nJuice $4\nSalad $8\nPie $6",
+    "# Setting up\n\n* Install the **package** first\n* Open the file & read it\n\n| name | use |\n|------|-----|\n| a | first letter |\n| b | second letter |",
+    "def area(width, height):\n    # both in metres\n    if width < 0 or height < 0:\n        raise ValueError('below zero')\n    return width * height",
+    "今天天气很好，我们一家人去公园散步，孩子们在草地上放风筝，老人们坐在树下聊天。",
+    "昨日は天気がよかったので、友人と一緒に海辺を歩き、夕方には小さな店でゆっくり食事をした。",
+    "วันนี้อากาศดีมากเราจึงไปเดินเล่นที่สวนสาธารณะกับเพื่อนและครอบครัว",
+]
+JUNK = [
+    "Th%%% reing### ern*** whl&&& in%%% th$$$ ha&&& inn### oure$$$ er*** stb%%% the###",
+    "a | b | c | d | e | f | g | h | i | j | k | l | m", "今天", "x" * 900 + " one two three four five six seven eight nine ten",
+]
+
+
+def test_pipeline_keeps_clean_texts_and_drops_junk(spark, documents):
+    table = documents(*enumerate(CLEAN + JUNK))
+    kept = {r.text for r in corpus_pipeline.quality(spark, table, "").collect()}
+    assert kept == set(CLEAN)
+    assert not any(brute.good(text) for text in JUNK)
+    assert not brute.good(CLEAN[0])
+
+
 def test_added_columns_clash_with_none(documents):
     table = documents(*EDGES).selectExpr("*", "'mine' AS kept", "3 AS n_words")
     found = q.judge(table)
