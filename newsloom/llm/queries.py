@@ -4,18 +4,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import (
+    chat_format,
     embedding_dedup,
     html_text,
     mixing,
     packing,
+    periodic_runs,
     pii,
     quality_classifier,
     quality_rules,
     simhash,
     url_filters,
     warc,
+    whitening,
 )
-from newsloom.llm.common import table
+from newsloom.llm.common import store, table
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +100,113 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Every tenth document by hash, from some word on, repeats what stands there with a period.
+_WITH_PERIODS = r"""
+CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 10 = 0 THEN
+  array_join(flatten(transform(
+    array(struct(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+', 0) AS w,
+                 crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) div 10 AS g)),
+    x -> if(size(x.w) = 0, x.w, transform(
+      transform(array(struct(x.g % size(x.w) AS a, 1 + (size(x.w) - x.g % size(x.w)) div (3 + x.g % 8) AS p)),
+        y -> transform(sequence(0, size(x.w) - 1),
+          i -> x.w[CAST(if(i < y.a, i, y.a + (i - y.a) % y.p) AS INT)])),
+      z -> array_join(z, ' '))))), ' ')
+ELSE text END"""
+# Most periods first; of equals the first start, then the shortest period.
+_BY_PERIODS = """
+array_sort(runs, (l, r) -> CASE
+  WHEN l.length * r.period <> r.length * l.period THEN if(l.length * r.period > r.length * l.period, -1, 1)
+  WHEN l.start <> r.start THEN if(l.start < r.start, -1, 1)
+  ELSE CAST(sign(l.period - r.period) AS INT) END)"""
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs with a period in every document, and digests of them and of what is left."""
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.expr(_WITH_PERIODS).alias("text"))
+    found = periodic_runs.find_runs(texts)
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    best = F.get(F.expr(_BY_PERIODS), F.lit(0))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * length div period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first components of all of them, whitened."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding").where(
+        "size(embedding) > 0 AND forall(embedding, c -> c IS NOT NULL AND abs(c) < double('Infinity'))"
+    )
+    # Beyond 2^42 an entry counts as that, so that whole numbers hold it.
+    x = "transform(embedding, c -> floor(1024 * greatest(least(double(c), 4398046511104D), -4398046511104D)) + 100000)"
+    rows = rows.select("vec_id", F.expr(x).alias("x"))
+    fitted = whitening.fit(rows, "x")
+    whitened = store(whitening.whiten(rows, fitted, "x"), "whitened")
+    error = whitening.identity_error(whitened, fitted)
+    n, sums, explained = 0, [], []
+    if fitted:
+        n, sums = fitted.n, fitted.sums
+        explained = [e / fitted.trace if fitted.trace else None for e in fitted.values.tolist()]
+    totals = F.lit([str(s) for s in sums]).cast("array<bigint>")
+    apart = F.zip_with("x", totals, lambda c, s: F.try_subtract(F.try_multiply(F.lit(n).cast("bigint"), c), s))
+    # A deviation that no long can hold is null.
+    deviation = F.aggregate(
+        apart, F.lit(0).cast("bigint"), lambda total, c: F.try_add(total, F.try_multiply(c, c))
+    )
+    each = whitened.select(
+        "vec_id", deviation.alias("deviation"), F.posexplode("whitened").alias("at", "whitened")
+    )
+    return each.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(n).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(F.lit(explained).cast("array<double>"), F.col("at")).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as examples, and what is read back from them."""
+    own = "</s>[INST] ok [/INST]"
+    said = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(own).alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    examples = chat_format.format_examples(rows.unionByName(said))
+    reply = chat_format.trained_text(F.col("text"), F.col("loss_start"), F.col("loss_end"))
+    found = examples.groupBy("conv_id").agg(
+        F.max_by("text", "example").alias("text"),
+        F.sort_array(F.collect_list(F.struct("example", reply.alias("reply")))).alias("replies"),
+        F.sum(F.char_length("text")).alias("formatted_chars"),
+    )
+    read = found.select(
+        "conv_id",
+        chat_format.turns_of(F.col("text")).alias("turns"),
+        F.array_join("replies.reply", "").alias("trained"),
+        "formatted_chars",
+    )
+    spoken = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(spoken, ""), 256).alias("turns_sha256"),
+        F.char_length("trained").cast("bigint").alias("loss_chars"),
+        F.sha2("trained", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -108,6 +218,9 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_personal_data": op9_personal_data,
     "op10_quality_rules": op10_quality_rules,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_chat_formatting": op13_chat_formatting,
 }
 
 ORACLES = {
@@ -202,4 +315,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR (n_lines >= 4 AND 2 * n_dup_lines > n_lines)
             OR NOT (word_chars BETWEEN 2 * n_words AND 25 * n_words)) AS kept
 FROM judged""",
+    # START, MESSAGE and END of the template have 9, 11 and 7 characters; each control string has one more.
+    "op13_chat_formatting": r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+numbered AS (
+  SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n_turns,
+         sum(27 + length(role) + length(text)
+             + len(regexp_extract_all(role || ' ' || text, '[<\[]\\*(?:\||/?s>|/?INST\])'))) OVER w AS chars
+  FROM said WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
+joined AS (
+  SELECT conv_id, n_turns::BIGINT AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY k) AS spoken,
+         coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '') AS trained,
+         sum(chars) FILTER (WHERE role = 'assistant' OR k = n_turns) AS chars
+  FROM numbered GROUP BY conv_id, n_turns)
+SELECT conv_id, n_turns, sha256(spoken) AS turns_sha256, length(trained)::BIGINT AS loss_chars,
+       sha256(trained) AS loss_sha256, chars::BIGINT AS formatted_chars
+FROM joined""",
 }

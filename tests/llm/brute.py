@@ -6,8 +6,10 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 from itertools import combinations
 
+import numpy as np
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -206,3 +208,82 @@ def base32_sha1(payload):
 
 def fold(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 5
+
+
+def periodic_runs(words):
+    """(start, length, period) of every maximal stretch with its smallest period, lag by lag."""
+    n, found = len(words), []
+
+    def smallest(stretch):
+        """By the borders of all prefixes."""
+        border = [0] * len(stretch)
+        for i in range(1, len(stretch)):
+            k = border[i - 1]
+            while k and stretch[i] != stretch[k]:
+                k = border[k - 1]
+            border[i] = k + (stretch[i] == stretch[k])
+        return len(stretch) - border[-1]
+
+    for q in range(1, n // 3 + 1):
+        start = 0
+        for i in range(q, n + 1):
+            if i < n and words[i] == words[i - q]:
+                continue
+            length = i - start
+            if length >= max(24, 3 * q) and smallest(words[start:i]) == q:
+                found.append((start, length, q))
+            start = i - q + 1
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def whitened(rows):
+    """What whitening gives for (id, vector) rows, by NumPy's own eigenvectors."""
+    x = [[math.floor(1024 * c) + 100000 for c in v] for _, v in rows]
+    n, sums = len(x), [sum(c) for c in zip(*x, strict=True)]
+    centred = np.array(x, float) - np.array([float(Fraction(s, n)) for s in sums])
+    v = centred.T @ centred / n
+    values, vectors = np.linalg.eigh(v)
+    values, vectors = values[::-1][:8], vectors[:, ::-1][:, :8]
+    return {
+        "n": n, "ids": [i for i, _ in rows], "explained": values / np.trace(v),
+        "deviation": [sum((n * c - s) ** 2 for c, s in zip(row, sums, strict=True)) for row in x],
+        "whitened": centred @ vectors / np.sqrt(values),
+    }
+
+
+def chat_escape(text):
+    return re.sub(r"([<\[])(\\*)(\||s>|/s>|INST\]|/INST\])", r"\1\\\2\3", text)
+
+
+def chat_examples(rows):
+    """(conv_id, example, n_turns, text, loss_start, loss_end) for rows of (conv_id, turn, role, text)."""
+    out = []
+    for conv in {r[0] for r in rows}:
+        said = [(r[1], r[2] or "", r[3] or "") for r in rows if r[0] == conv]
+        said.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1].encode(), t[2].encode()))
+        text, example = "", 0
+        for k, (_, role, body) in enumerate(said, 1):
+            text += "<|start|>" + chat_escape(role) + "<|message|>"
+            start = len(text)
+            text += chat_escape(body)
+            end = len(text)
+            text += "<|end|>"
+            if role == "assistant":
+                out.append((conv, example, k, text, start, end))
+                example += 1
+            elif k == len(said):
+                out.append((conv, example, k, text, len(text), len(text)))
+    return out
+
+
+def chat_digests(rows):
+    out = []
+    for conv in {r[0] for r in rows}:
+        said = [(r[1], r[2] or "", r[3] or "") for r in rows if r[0] == conv]
+        said.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1].encode(), t[2].encode()))
+        spoken = "".join(f"{role}\n{text}\n" for _, role, text in said)
+        trained = "".join(text for _, role, text in said if role == "assistant")
+        chars = sum(len(e[3]) for e in chat_examples([r for r in rows if r[0] == conv]))
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (spoken, trained)]
+        out.append((conv, len(said), digests[0], len(trained), digests[1], chars))
+    return out
