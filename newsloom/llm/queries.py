@@ -159,9 +159,9 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     deviation = F.aggregate(
         apart, F.lit(0).cast("bigint"), lambda total, c: F.try_add(total, F.try_multiply(c, c))
     )
-    each = whitened.select(
-        "vec_id", deviation.alias("deviation"), F.posexplode("whitened").alias("at", "whitened")
-    )
+    # Once per vector, not per component.
+    once = whitened.select("vec_id", deviation.alias("deviation"), "whitened")
+    each = once.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
     return each.select(
         "vec_id",
         (F.col("at") + 1).alias("component"),
