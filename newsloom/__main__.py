@@ -3,11 +3,16 @@
 usage: python -m newsloom --workspace DIR --personas personas.json --keywords keywords.json
                           [--runid RUNID_7] [--resume_step STEP] [--run_location NAME]
                           [--sources urls.txt] [--pages pages.json] [--hits hits.json]
+                          [--batch_model NAME]
 
 Without --runid it names the last run and its status. personas.json is a list of objects with
 name and role; keywords.json maps a name to a list of keywords. --sources
 registers the URLs of a text file, --pages and --hits take in the run's crawled pages and search
 hits, each a JSON array.
+
+With --batch_model requests are written as files under exchange/requests of the workspace; the
+run ends as waiting, and goes on with --resume_step open once answer files lie under
+exchange/answers. The exit code then is 3.
 """
 
 import argparse
@@ -35,6 +40,7 @@ def main() -> int:
     parser.add_argument("--sources")
     parser.add_argument("--pages")
     parser.add_argument("--hits")
+    parser.add_argument("--batch_model")
     args = parser.parse_args()
 
     logging.basicConfig(level=logging.WARNING)
@@ -48,15 +54,19 @@ def main() -> int:
         last = latest_run(ledger.withColumn("ord", F.col("pipeline_finish_time")), "ord").first()
         print("no runs yet" if last is None else f"last run: {last['RUNID']}, {last['status']}")
         return 2
-    if not (args.personas and args.keywords):
-        parser.error("--personas and --keywords are needed for a run")
+    if not (args.personas and (args.keywords or args.batch_model)):
+        parser.error("--personas, and --keywords or --batch_model, are needed for a run")
     # One row per person, as many as the task can name in its instructions.
     people = [
         (p["name"], p["role"] or "")
         for p in read_json_array(spark, args.personas, schemas.PERSONAS).select("name", "role").collect()
     ]
-    with open(args.keywords, encoding="utf-8-sig") as f:
-        keywords = json.load(f)
+    if args.batch_model:
+        models = curation.batch_models(ws, args.runid, people, args.batch_model)
+    else:
+        with open(args.keywords, encoding="utf-8-sig") as f:
+            keywords = json.load(f)
+        models = curation.baseline_models(people, {name: keywords.get(name, []) for name, _ in people})
     if args.pages:
         ws.ingest("source_raw_content", args.pages, schemas.SOURCE_RAW_CONTENT, args.runid)
     if args.hits:
@@ -65,12 +75,12 @@ def main() -> int:
         ws,
         args.runid,
         [name for name, _ in people],
-        curation.baseline_models(people, {name: keywords.get(name, []) for name, _ in people}),
+        models,
         resume=args.resume_step,
         location=args.run_location,
     )
     print(f"{args.runid}: {status}")
-    return 0 if status == "success" else 1
+    return {"success": 0, "waiting": 3}.get(status, 1)
 
 
 if __name__ == "__main__":

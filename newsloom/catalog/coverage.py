@@ -14,7 +14,7 @@ OPERATORS = {
     "S10": ["keyword_fanout"],
     "S11": ["crawled_articles"],
     "K1": ["run_table"],
-    "K2": ["request_files", "rewritten_requests"],
+    "K2": ["request_files", "rewritten_requests", "answers_in_two_polls"],
     "K3": ["upserted_run"],
     "K4": ["run_table"],
     "K5": ["run_ledger"],
@@ -73,7 +73,7 @@ OPERATORS = {
     "A5": ["distinct_sources"],
     "A6": ["row_counts", "test_two_runs"],
     "A7": ["centroid"],
-    "A8": ["batch_status"],
+    "A8": ["batch_status", "open_batches"],
     "A9": ["last_wins", "upserted_run"],
     "A10": ["duplicate_report", "later_copies", "repeated_source_names"],
     "A11": ["distinct_values"],
@@ -106,7 +106,7 @@ OPERATORS = {
     "V2": ["assign_topics", "test_topics", "topic_properties"],
     "V3": ["project", "test_projection", "projection_properties"],
     "M1": ["request_lines", "request_files"],
-    "M2": ["apply_predictor", "stored_answers"],
+    "M2": ["apply_predictor", "stored_answers", "answers_in_two_polls", "test_changed_requests_go_out_again"],
     "M3": ["validity_answers", "relevance_answers"],
     "M4": ["extract_links", "crawled_articles"],
     "M5": ["page_text", "read_content", "read_content_of_copies"],
@@ -125,12 +125,12 @@ OPERATORS = {
     "Q2": ["crawled_articles"],
     "Q3": ["searched_articles"],
     "Q4": ["dedupe_history", "union_sources", "test_two_runs", "combined_run"],
-    "Q5": ["score_articles"],
-    "Q6": ["read_content", "keep_valid"],
-    "Q7": ["summarize", "embedding_calls"],
+    "Q5": ["score_articles", "test_a_run_waits_for_files"],
+    "Q6": ["read_content", "keep_valid", "resumed_run"],
+    "Q7": ["summarize", "embedding_calls", "resumed_run"],
     "Q8": ["four_way_join", "select_rename", "latest_article", "test_two_runs", "analysed_articles"],
     "Q9": ["assign_topics", "project", "search_texts", "nearest_to_centroid"],
     "Q10": ["post_prompts", "generated_posts", "post_files"],
     "Q11": ["source_profile", "profiles_with_repeats", "distinct_sources", "test_past_posts"],
-    "Q12": ["batch_status", "latest_run", "run_ledger", "saved_bodies"],
+    "Q12": ["batch_status", "latest_run", "run_ledger", "saved_bodies", "open_batches", "resumed_run"],
 }

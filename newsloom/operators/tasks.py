@@ -76,64 +76,66 @@ def _closed_object(properties: dict, **extra) -> dict:
     }
 
 
-def link_task(model: str) -> Task:
+def described(schema: dict, defs: dict | None = None) -> str:
+    """A JSON schema in plain words, for the instructions of a task."""
+    defs = schema.get("$defs", defs or {})
+    if "$ref" in schema:
+        return described(defs[schema["$ref"].rsplit("/", 1)[1]], defs)
+    if "enum" in schema:
+        return "one of " + ", ".join(str(x) for x in schema["enum"])
+    if schema["type"] == "array":
+        return f"a list, each entry {described(schema['items'], defs)}"
+    if schema["type"] == "object":
+        keys = [f"{name} ({described(inner, defs)})" for name, inner in schema["properties"].items()]
+        return f"an object with the keys {', '.join(keys)}"
+    return {"string": "text", "integer": "a whole number", "boolean": "true or false"}[schema["type"]]
+
+
+def _with_form(instructions: str, contract: dict) -> str:
+    return f"{instructions}\nReply in JSON: {described(contract)}."
+
+
+# The tasks differ between users; what a model is told beside the form of its answer is theirs to
+# pass. These lines stand in for it.
+LINK_LINE = "Which articles does this page link to?"
+RELEVANCE_LINE = "Rate this article for each of the readers below; the highest score is for what they must not miss."
+VALIDITY_LINE = "Is this the text of an article?"
+SUMMARY_LINE = "Give the gist of this text in 3 to 8 sentences."
+
+
+def link_task(model: str, instructions: str = LINK_LINE) -> Task:
     text = {"type": "string"}
     link = _closed_object(
         {"title": text, "url": text, "keywords": {"type": "array", "items": text}, "language": text}
     )
-    return Task(
-        LINKS,
-        model,
-        "Fill article_links_list with an entry for each link of the page that leads to an article. "
-        "Fields that the page leaves open stay empty, and so does the list of a page without articles.",
-        _closed_object(
-            {"article_links_list": {"type": "array", "items": {"$ref": "#/$defs/article_link"}}},
-            **{"$defs": {"article_link": link}},
-        ),
-        LINKS_FORM,
-        escape=True,
+    contract = _closed_object(
+        {"article_links_list": {"type": "array", "items": {"$ref": "#/$defs/article_link"}}},
+        **{"$defs": {"article_link": link}},
     )
+    return Task(LINKS, model, _with_form(instructions, contract), contract, LINKS_FORM, escape=True)
 
 
-def relevance_task(model: str, personas: Sequence[tuple[str, str]]) -> Task:
+def relevance_task(
+    model: str, personas: Sequence[tuple[str, str]], instructions: str = RELEVANCE_LINE
+) -> Task:
     """`personas`: (name, what the person cares about)."""
-    reference = "\n".join(f"- {name}: {focus}" for name, focus in personas)
+    readers = "".join(f"\n* {name}, {focus}" for name, focus in personas)
     properties = {
         name: {"type": "integer", "description": f"Relevance for {name}", "enum": list(SCORES)}
         for name, _ in personas
     }
     properties[LANGUAGE_KEY] = {"type": "string", "enum": list(LANGUAGES)}
-    return Task(
-        RELEVANCE,
-        model,
-        "Score how useful the article is to each of these people: 0 for not at all or only of "
-        "local interest elsewhere, 1 for somewhat, 2 for highly and of national or wider scope.\n"
-        f"{reference}\nAnswer with one score per person and the language of the article.",
-        _closed_object(properties),
-        RELEVANCE_FORM,
-        escape=True,
-    )
+    contract = _closed_object(properties)
+    return Task(RELEVANCE, model, _with_form(instructions + readers, contract), contract, RELEVANCE_FORM, escape=True)
 
 
-def validity_task(model: str) -> Task:
-    return Task(
-        VALIDITY,
-        model,
-        "Say whether the text is the body of an article, whole or in part (true), or something "
-        "else, such as a paywall or login notice, an error message or boilerplate (false).",
-        _closed_object({"validity": {"type": "boolean"}}),
-        VALIDITY_FORM,
-        temperature=0.0,
-    )
+def validity_task(model: str, instructions: str = VALIDITY_LINE) -> Task:
+    contract = _closed_object({"validity": {"type": "boolean"}})
+    return Task(VALIDITY, model, _with_form(instructions, contract), contract, VALIDITY_FORM, temperature=0.0)
 
 
-def summary_task(model: str) -> Task:
-    return Task(
-        SUMMARY,
-        model,
-        "Summarise the article in 3 to 8 sentences of plain, neutral English, whatever its "
-        "language: the main idea, the key finding, and why it matters to people in business.",
-    )
+def summary_task(model: str, instructions: str = SUMMARY_LINE) -> Task:
+    return Task(SUMMARY, model, instructions)
 
 
 def build_requests(
@@ -246,11 +248,15 @@ def expression_predictor(content: Callable[[Column], Column], model: str) -> Pre
 def stored_predictor(lines: DataFrame) -> Predictor:
     """A predictor that looks answers up among stored response lines, as from `read_responses`.
 
-    Of several answers to a request the greatest counts; a request without any gives a row
-    with the error.
+    Of several answers to a request the last one by `ord` counts, without such a column the
+    greatest; a request without any gives a row with the error.
     """
-    found = flatten_envelope(lines).groupBy(F.col("custom_id").alias("__id")).agg(
-        F.max(F.struct("content", F.col("model").alias("by"), "error")).alias("a")
+    answer = F.struct("content", F.col("model").alias("by"), "error")
+    last = F.struct("ord", answer.alias("a")) if "ord" in lines.columns else F.struct(answer.alias("a"))
+    found = (
+        flatten_envelope(lines, *[c for c in lines.columns if c == "ord"])
+        .groupBy(F.col("custom_id").alias("__id"))
+        .agg(F.max(last)["a"].alias("a"))
     )
 
     def run(requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -316,14 +322,15 @@ def embed_calls(
     )
 
 
-def flatten_envelope(lines: DataFrame) -> DataFrame:
-    """Stored response lines (TASK_RESPONSE) as RESPONSE rows."""
+def flatten_envelope(lines: DataFrame, *keep: str) -> DataFrame:
+    """Stored response lines (TASK_RESPONSE) as RESPONSE rows; lines may hold an `error`."""
     body = F.col("response.body")
     return lines.select(
         "custom_id",
         body["model"].alias("model"),
         F.get(body["choices"], F.lit(0))["message"]["content"].alias("content"),
-        F.lit(None).cast("string").alias("error"),
+        (F.col("error") if "error" in lines.columns else F.lit(None).cast("string")).alias("error"),
+        *keep,
     )
 
 

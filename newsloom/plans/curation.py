@@ -17,6 +17,7 @@ from newsloom.operators.tasks import Predictor, Task, request_json
 from newsloom.operators.topics import text_embedder
 from newsloom.operators.validation import validate
 from newsloom.plans import jobs
+from newsloom.plans.exchange import Exchange, Waiting
 from newsloom.session import scratch_scope, store
 from newsloom.sources.readers import read_json_array, read_lines, read_table
 from newsloom.sources.writers import (
@@ -30,6 +31,8 @@ from newsloom.sources.writers import (
 )
 
 RUN = ", run_id string"
+# The step to resume is the one the run last ended at.
+OPEN = "open"
 
 log = logging.getLogger(__name__)
 
@@ -60,6 +63,18 @@ def baseline_models(personas: Sequence[tuple[str, str]], keywords: Mapping[str,
     )
 
 
+def batch_models(ws: "Workspace", run_id: str, personas: Sequence[tuple[str, str]], model: str) -> Models:
+    """Models that take requests as files and answer as files, in the folder `exchange`."""
+
+    def step(task: Task) -> tuple[Task, Predictor]:
+        return task, Exchange(ws.spark, ws.location("exchange"), run_id, task)
+
+    return Models(
+        step(tasks.link_task(model)), step(tasks.relevance_task(model, personas)),
+        step(tasks.validity_task(model)), step(tasks.summary_task(model)),
+    )
+
+
 class Workspace:
     """Run-partitioned Parquet tables under one folder."""
 
@@ -121,8 +136,10 @@ def run_curation(
     (article_pages: url, html) once articles are known; search_hits may be missing. With a
     model for posts, it also holds `personas`, and `past_posts` if there are any: then the
     run goes on to the analysis table, the selection file, and posts per persona.
-    Predictors may look answers up that came as files (`tasks.stored_predictor`): a run that
-    lacks them rejects the rows, and is resumed once they are there. Returns the status. A failing step ends the run and is recorded.
+    Returns the status, which is recorded with the step that ended the run. A model that takes
+    files (`batch_models`) makes the run end as waiting once its requests are written, and
+    again until its answers have landed. `resume` is the name of a step, or OPEN: the step at
+    which the run last ended, from the ledger, or the first step of a run that is not in it.
     """
     crawled_at = crawled_at or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     steps: dict[str, Callable[[], None]] = {
@@ -139,21 +156,26 @@ def run_curation(
     if models.posts:
         steps["posts"] = lambda: _posts(ws, run_id, models)
     names = list(steps)
+    if resume == OPEN:
+        resume = open_step(ws, run_id)
     if resume is not None and resume not in steps:
         raise ValueError(f"unknown step {resume!r}; steps are {names}")
-    start, failed, error = time.time(), None, None
+    start, status, stopped, error = time.time(), "success", None, None
     for name in names[names.index(resume) if resume else 0:]:
         try:
             with scratch_scope(ws.spark):
                 steps[name]()
+        except Waiting as e:
+            log.info("step %s of %s waits: %s", name, run_id, e)
+            status, stopped, error = "waiting", name, str(e)
+            break
         except Exception as e:
             log.exception("step %s of %s failed", name, run_id)
-            failed, error = name, str(e)
+            status, stopped, error = "failed", name, str(e)
             break
-    status = "failed" if failed else "success"
     entry = (
         run_id, status, location, time.time() - start,
-        datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S"), failed, error,
+        datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S"), stopped, error,
     )
     append_ledger(
         ws.spark.createDataFrame([entry], schemas.RUNS_METADATA), ws.location("runs_metadata")
@@ -161,6 +183,14 @@ def run_curation(
     return status
 
 
+def open_step(ws: Workspace, run_id: str) -> str | None:
+    """The step at which a run last ended without success; None if it is not in the ledger or
+    has succeeded."""
+    own = ws.read("runs_metadata", schemas.RUNS_METADATA, required=False).where(F.col("RUNID") == run_id)
+    last = own.agg(F.max(F.struct("pipeline_finish_time", "failed_step"))["failed_step"].alias("step"))
+    return last.first()["step"]
+
+
 def write_requests(ws: Workspace, run_id: str, task: Task, requests: DataFrame) -> None:
     """The request files of a task, for a model that takes them as files.
 

@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,19 +85,39 @@ def read_json_runs(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
-def read_responses(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(response lines, lines that are no such JSON) of all JSONL files of a task."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
+# A line of an answer file: the response to a request, or the error it ended with; or what
+# became of a whole batch.
+ANSWER_LINE = f"{TASK_RESPONSE}, error struct<code: string, message: string>, batch_no bigint, status string"
+
+
+def line_order(meta: Column) -> Column:
+    """The place of each line of text files, by when its file landed, from the files' `_metadata`.
+    Lines are numbered as they are read: for a frame right from the read."""
+    return F.struct(
+        meta["file_modification_time"].alias("landed"), meta["file_path"].alias("file"),
+        meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("line"),
+    )
+
+
+def parse_answer_lines(lines: DataFrame) -> DataFrame:
+    """Answer lines (value, ord) with `r`, the fields of ANSWER_LINE, and `damaged`."""
     parsed = compute_once(
-        lines,
+        lines.where(F.trim("value") != ""),
         r=F.from_json(
-            "value", f"{TASK_RESPONSE}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}
+            "value", f"{ANSWER_LINE}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}
         ),
     )
-    bad = F.col(f"r.{CORRUPT}").isNotNull()
+    return parsed.withColumn("damaged", F.col(f"r.{CORRUPT}").isNotNull())
+
+
+def read_responses(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(response lines with their place `ord`, lines that are no such JSON) of all JSONL files of
+    a task."""
+    lines = spark.read.text(path).select("value", line_order(F.col("_metadata")).alias("ord"))
+    parsed = parse_answer_lines(lines)
     return (
-        parsed.where(~bad).select("r.custom_id", "r.response"),
-        parsed.where(bad).select(F.col("value").alias("line")),
+        parsed.where(~F.col("damaged")).select("r.custom_id", "r.response", "ord"),
+        parsed.where("damaged").select(F.col("value").alias("line")),
     )
 
 

@@ -2,9 +2,10 @@
 `append_post_log`) grow with each call."""
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.scores import recode
@@ -24,11 +25,48 @@ EXPORT_NAMES = {
 }
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop has them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _file_system(spark, path)
+    fs.mkdirs(folder)
+
+
+def _swap_in(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a folder that was written aside into the place of another.
+
+    The old folder goes aside by name and is deleted last, so that a driver lost in between
+    leaves the old rows or the new ones complete under the table's folder.
+    """
+    fs, new = _file_system(spark, staged)
+    old, aside = _file_system(spark, target)[1], _file_system(spark, f"{staged}_old")[1]
+    fs.mkdirs(old.getParent())
+    if fs.exists(old) and not fs.rename(old, aside):
+        raise OSError(f"cannot move {target}")
+    if not fs.rename(new, old):
+        raise OSError(f"cannot put a new folder at {target}")
+    fs.delete(aside, True)
+
+
+def _aside(path: str) -> str:
+    # Readers of the table's folder skip names that begin like this.
+    return f"{path}/_staged_{uuid.uuid4().hex}"
+
+
 def replace_run(df: DataFrame, path: str, run_id: str) -> None:
-    """Overwrite one run with `df`, also if that is empty, and leave the others."""
+    """Overwrite one run with `df`, also if that is empty, and leave the others.
+
+    The rows are written aside first; the run has its old ones until they are there.
+    """
     if not re.fullmatch(r"[\w.-]+", run_id):
         raise ValueError(f"run id {run_id!r} cannot name a folder")
-    df.drop("run_id").write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+    staged = _aside(path)
+    df.drop("run_id").write.parquet(staged)
+    _swap_in(df.sparkSession, staged, f"{path}/run_id={run_id}")
 
 
 def write_run(df: DataFrame, path: str) -> None:
@@ -70,26 +108,33 @@ def append_ledger(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_request_files(requests: DataFrame, path: str, line: Column) -> None:
+def write_request_files(requests: DataFrame, path: str, line: Column, replace: bool = True) -> None:
     """One JSONL file per batch, under run_id=/task_name=/batch_no=.
 
     `requests` holds run_id, task_name, batch_no and pos. Rows are exchanged by batch, so
-    that each batch is written by one task, in order, and a task writes many batches. The
-    folder of a run's task is replaced as a whole, so that no batch of an earlier, longer
-    write stays; there is one write for each such folder.
+    that each batch is written by one task, in order, and a task writes many batches; one
+    write for all of them. With `replace` the folder of a run's task is replaced as a
+    whole, so that no batch of an earlier, longer write stays; else only the batches that
+    `requests` holds are.
     """
-    lines = store(requests.select("run_id", "task_name", "batch_no", "pos", line.alias("value")), "requests")
-    for folder in lines.select("run_id", "task_name").distinct().collect():
-        own = lines.where((F.col("run_id") == folder["run_id"]) & (F.col("task_name") == folder["task_name"]))
-        (
-            own.select("batch_no", "pos", "value")
-            .repartition("batch_no")
-            .sortWithinPartitions("batch_no", "pos")
-            .drop("pos")
-            .write.mode("overwrite")
-            .partitionBy("batch_no")
-            .text(f"{path}/run_id={folder['run_id']}/task_name={folder['task_name']}")
-        )
+    batch = ["run_id", "task_name", "batch_no"]
+    lines = (
+        requests.select(*batch, "pos", line.alias("value"))
+        .repartition(*batch)
+        .sortWithinPartitions(*batch, "pos")
+        .drop("pos")
+        .write.partitionBy(*batch)
+    )
+    if not replace:
+        lines.mode("overwrite").option("partitionOverwriteMode", "dynamic").text(path)
+        return
+    spark, staged = requests.sparkSession, _aside(path)
+    lines.text(staged)
+    fs, top = _file_system(spark, staged)
+    for run in fs.globStatus(_file_system(spark, f"{staged}/run_id=*/task_name=*")[1]):
+        own = run.getPath()
+        _swap_in(spark, own.toString(), f"{path}/{own.getParent().getName()}/{own.getName()}")
+    fs.delete(top, True)
 
 
 def write_saved_bodies(outputs: DataFrame, errors: DataFrame, path: str) -> None:
