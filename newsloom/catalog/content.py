@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from newsloom.catalog.registry import query, table
-from newsloom.functions.text import SENTENCE, token_count
+from newsloom.functions.text import SENTENCE, sentences, token_count
 from newsloom.functions.web import ERROR_BODY, html_published, html_text, html_title, page_links
 from newsloom.operators import baselines, joins, tasks
 from newsloom.plans import jobs
@@ -210,6 +210,54 @@ def summarize(spark, sf):
     ).table
 
 
+# Scores, the penalty for what is said already, and the choice, from the contract alone.
+_SCORED_SQL = r"""WITH RECURSIVE said AS (
+         SELECT doc_id, regexp_extract_all(text, '[^.!?\s][^.!?]*[.!?]*') AS s FROM documents),
+       per AS (
+         SELECT doc_id, i, trim(s[i], ' ') AS s, list_transform(regexp_extract_all(lower(s[i]), '[\p{L}\p{N}]+'),
+           lambda w: ('0x' || substr(md5(w), 1, 4))::INT) AS b
+         FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM said)),
+       pairs AS (SELECT DISTINCT doc_id, i, unnest(b) AS b FROM per),
+       held AS (SELECT b, (SELECT count(*) FROM documents) // count(DISTINCT doc_id) AS share FROM pairs GROUP BY b),
+       weights AS (
+         SELECT doc_id, b, count(*) * (length(bin(any_value(share))) - 1) AS w
+         FROM pairs JOIN held USING (b) GROUP BY doc_id, b),
+       terms AS (SELECT doc_id, i, list({'b': b, 'w': w}) AS t FROM pairs JOIN weights USING (doc_id, b) GROUP BY doc_id, i),
+       whole AS (
+         SELECT doc_id, least(count(*), greatest(3, least(8, (count(*) + 4) // 5))) AS n,
+           list({'i': i, 's': s, 'len': len(b), 't': coalesce(t, [])} ORDER BY i) AS x
+         FROM per LEFT JOIN terms USING (doc_id, i) GROUP BY doc_id),
+       steps AS (
+         SELECT doc_id, 0 AS k, []::BIGINT[] AS taken, []::INT[] AS gone FROM whole
+         UNION ALL
+         SELECT doc_id, k + 1, list_append(taken, best), list_concat(gone, list_transform(x[best].t, lambda y: y.b))
+         FROM (
+           SELECT doc_id, k, taken, gone, x, list_position(scores, list_max(scores)) AS best
+           FROM (
+             SELECT doc_id, k, taken, gone, x, list_transform(x, lambda y: CASE WHEN list_contains(taken, y.i) THEN -1
+               ELSE coalesce(list_sum(list_transform(list_filter(y.t, lambda z: NOT list_contains(gone, z.b)),
+                                                     lambda z: z.w)), 0) * 1000 // (y.len + 10) END) AS scores
+             FROM steps JOIN whole USING (doc_id) WHERE k < n)))
+       SELECT CAST(d.doc_id AS VARCHAR) AS article_id, coalesce(array_to_string(list_transform(list_sort(taken),
+           lambda i: x[i].s), ' '), '') AS summary, least(n, len(x)) AS n_sentences
+       FROM documents d LEFT JOIN whole USING (doc_id) LEFT JOIN steps ON steps.doc_id = d.doc_id AND k = n"""
+
+
+@query(_SCORED_SQL)
+def scored_summaries(spark, sf):
+    """The summary step with the sentences that score best among all of a text."""
+    content = table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("article_id"), F.col("text").alias("content")
+    )
+    task = tasks.summary_task("m1")
+    summaries = jobs.summarize(content, "RUNID_1", task, baselines.scored_summary_predictor()).table
+    sizes = table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("article_id"), F.size(sentences(F.col("text"))).alias("m")
+    )
+    wanted = F.least("m", F.greatest(F.lit(3), F.least(F.lit(8), F.ceil(F.col("m") / 5)))).cast("bigint")
+    return summaries.join(sizes, "article_id").select("article_id", "summary", wanted.alias("n_sentences"))
+
+
 _CHUNKS_SQL = r"""WITH RECURSIVE c AS MATERIALIZED (
          SELECT doc_id, text, 'RUNID_1' AS run_id, row_number() OVER (ORDER BY lpad(doc_id::VARCHAR, 12, '0')) AS n,
            len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')) AS token_count

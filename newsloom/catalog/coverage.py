@@ -112,8 +112,8 @@ OPERATORS = {
     "M5": ["page_text", "read_content", "read_content_of_copies"],
     "M6": ["keyword_relevance", "score_articles"],
     "M7": ["validity_rules", "keep_valid"],
-    "M8": ["lead_summary", "summarize"],
-    "M9": ["embed_texts", "embedding_calls"],
+    "M8": ["scored_summaries", "lead_summary", "summarize"],
+    "M9": ["embed_texts", "term_counts", "embedding_calls"],
     "M10": ["post_prompts", "post_messages"],
     "M11": ["generated_posts"],
     "R1": ["incremental_dedupe", "test_runs_as_they_land"],

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from newsloom.catalog.registry import query, table
 from newsloom.functions.vectors import squared_l2
-from newsloom.operators import neighbours, topics
+from newsloom.operators import neighbours, terms, topics
 from newsloom.session import store
 
 _CENTROID_SQL = """SELECT list(m ORDER BY i) AS q FROM (
@@ -125,20 +125,74 @@ def project(spark, sf):
     return topics.project(table(spark, sf, "embeddings")).select("vec_id", "label", "x", "y", "z")
 
 
-@query()
+def _vectors_sql(name, id_col, table_name):
+    """Views `name` (id, dim, x): the non-zero entries of the vectors of a table's texts, with the
+    rarity of words in `documents`."""
+    return rf"""
+       {name}_words AS (
+         SELECT {id_col}, b, count(*) AS times FROM (
+           SELECT {id_col}, unnest(list_transform(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+'),
+             lambda w: ('0x' || substr(md5(w), 1, 4))::INT)) AS b FROM {table_name})
+         GROUP BY ALL),
+       {name}_sums AS (
+         SELECT {id_col}, b % 256 AS dim,
+           sum(times * ln(((SELECT count(*) FROM documents) + 1) / (coalesce(n, 0) + 1))) AS x
+         FROM {name}_words LEFT JOIN held USING (b) GROUP BY ALL),
+       {name} AS (
+         SELECT {id_col}, dim, CAST(x / sqrt(sum(x * x) OVER (PARTITION BY {id_col})) AS FLOAT) AS x
+         FROM {name}_sums)"""
+
+
+_HELD_SQL = r"""held AS (
+         SELECT b, count(*) AS n FROM (
+           SELECT DISTINCT doc_id, unnest(list_transform(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'),
+             lambda w: ('0x' || substr(md5(w), 1, 4))::INT)) AS b FROM documents)
+         GROUP BY b)"""
+_WHOLE_SQL = """(SELECT {id_col}, list_transform(range(0, 256), lambda d: coalesce(m[d], 0)::DOUBLE) AS {vector}
+         FROM (SELECT {id_col}, map(list(dim), list(x)) AS m FROM {name} GROUP BY ALL))"""
+
+
+@query(
+    f"""WITH {_HELD_SQL}, {_vectors_sql("d", "doc_id", "documents")}, {_vectors_sql("q", "item_id", "benchmark")}
+       SELECT item_id, doc_id, round({_DISTANCE_SQL}, 6) AS distance,
+         row_number() OVER (PARTITION BY item_id ORDER BY {_DISTANCE_SQL}, doc_id) AS rank
+       FROM {_WHOLE_SQL.format(id_col="doc_id", vector="embedding", name="d")} e,
+         {_WHOLE_SQL.format(id_col="item_id", vector="q", name="q")}
+       QUALIFY rank <= 5"""
+)
 def search_texts(spark, sf):
     """The documents nearest to each benchmark text, both embedded alike."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    embed = topics.text_embedder(docs, "text")
+    embed = terms.text_embedder(docs, "text")
     corpus = embed(docs, "text", "embedding").select("doc_id", "embedding")
     queries = embed(table(spark, sf, "benchmark"), "text", "query").select("item_id", "query")
-    return neighbours.nearest(corpus, queries, "doc_id", "item_id", query_vector="query")
+    return _rounded(neighbours.nearest(corpus, queries, "doc_id", "item_id", query_vector="query"))
 
 
-@query()
+@query(
+    f"""WITH {_HELD_SQL}, {_vectors_sql("d", "doc_id", "documents")}
+       SELECT doc_id, dim, round(CAST(x AS DOUBLE), 5) AS value FROM d WHERE x <> 0"""
+)
 def embed_texts(spark, sf):
+    """The non-zero entries of each document's vector."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return topics.text_embedder(docs, "text")(docs, "text", "embedding").select("doc_id", "embedding")
+    embedded = terms.text_embedder(docs, "text")(docs, "text", "embedding")
+    each = embedded.select("doc_id", F.posexplode("embedding").alias("dim", "value")).where("value <> 0")
+    return each.select("doc_id", "dim", F.round(F.col("value").cast("double"), 5).alias("value"))
+
+
+@query(
+    r"""SELECT b AS bucket, count(*) AS n_texts FROM (
+         SELECT DISTINCT doc_id, unnest(list_transform(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'),
+           lambda w: ('0x' || substr(md5(w), 1, 4))::INT)) AS b FROM documents)
+       GROUP BY b
+       UNION ALL SELECT -1, count(*) FROM documents"""
+)
+def term_counts(spark, sf):
+    """The counts of each language's texts, added up."""
+    docs = table(spark, sf, "documents")
+    english, others = docs.where("lang = 'en'"), docs.where("lang <> 'en'")
+    return terms.add_counts(terms.document_counts(english, "text"), terms.document_counts(others, "text"))
 
 
 @query(

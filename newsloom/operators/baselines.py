@@ -3,13 +3,14 @@ through `tasks.python_predictor`; answers keep the same form."""
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.scores import LANGUAGE_KEY, LANGUAGES
 from newsloom.functions.text import SENTENCE, bind, sentences
 from newsloom.functions.web import ERROR_BODY, page_links
 from newsloom.operators.tasks import Predictor, expression_predictor
+from newsloom.operators.terms import add_counts, document_counts, scored_summary
 
 NAME = "baseline"
 
@@ -119,3 +120,19 @@ def validity_predictor() -> Predictor:
 
 def summary_predictor(n: int = 3) -> Predictor:
     return expression_predictor(lambda text: lead_summary(text, n), NAME)
+
+
+def scored_summary_predictor(counts: DataFrame | None = None) -> Predictor:
+    """Summaries of the sentences that score best; see `terms.scored_summary`.
+
+    Rarity is that of the texts asked about and of the corpus behind `counts`, if given, as
+    from `terms.document_counts`. The texts are read twice.
+    """
+
+    def run(requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        own = document_counts(requests, "user_content")
+        known = own if counts is None else add_counts(own, counts)
+        predict = expression_predictor(lambda text: scored_summary(text, known), NAME)
+        return predict(requests, keep)
+
+    return run

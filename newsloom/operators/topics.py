@@ -1,10 +1,8 @@
-"""Topics, projection and text embeddings with MLlib."""
-
-from collections.abc import Callable
+"""Topics and projection with MLlib."""
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, RegexTokenizer, StandardScaler
+from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,41 +59,3 @@ def project(df: DataFrame, vector: str = "embedding", k: int = COMPONENTS) -> Da
     parts = vector_to_array("__pc")
     named = {name: parts[i] for i, name in zip(range(k), ("x", "y", "z"))}
     return placed.withColumns(named).drop("__raw", "__centred", "__pc")
-
-
-def text_embedder(
-    corpus: DataFrame | None = None, text: str | None = None, dimensions: int = 256
-) -> Callable[[DataFrame, str, str], DataFrame]:
-    """A function (df, text column, output column) that embeds texts as hashed word counts
-    at unit length; queries and articles alike.
-
-    With a corpus, words are weighted by their rarity there. Vectors of different corpora
-    then do not compare, so runs that are searched together are embedded without one.
-    """
-    stages = [
-        RegexTokenizer(
-            inputCol="__text", outputCol="__words", pattern=r"[^\p{L}\p{N}]+", toLowercase=True
-        ),
-        HashingTF(inputCol="__words", outputCol="__tf", numFeatures=dimensions),
-    ]
-    if corpus is not None:
-        stages.append(IDF(inputCol="__tf", outputCol="__tfidf"))
-    stages.append(
-        Normalizer(inputCol="__tf" if corpus is None else "__tfidf", outputCol="__unit")
-    )
-    pipeline = Pipeline(stages=stages)
-
-    def prepared(df: DataFrame, column: str) -> DataFrame:
-        return df.withColumn("__text", F.coalesce(F.col(column), F.lit("")))
-
-    def embed(df: DataFrame, column: str, output: str) -> DataFrame:
-        rows = prepared(df, column)
-        # Without a corpus no stage learns anything; fitting reads no rows.
-        model = learned or pipeline.fit(rows)
-        done = model.transform(rows)
-        return done.withColumn(output, vector_to_array("__unit", "float32")).drop(
-            "__text", "__words", "__tf", "__tfidf", "__unit"
-        )
-
-    learned = None if corpus is None else pipeline.fit(prepared(corpus, text).select("__text"))
-    return embed

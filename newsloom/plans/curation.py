@@ -14,7 +14,7 @@ from newsloom import schemas
 from newsloom.operators import baselines, posts, tasks
 from newsloom.operators.batching import assign_batches
 from newsloom.operators.tasks import Predictor, Task, request_json
-from newsloom.operators.topics import text_embedder
+from newsloom.operators.terms import add_counts, document_counts, text_embedder
 from newsloom.operators.validation import validate
 from newsloom.plans import jobs
 from newsloom.plans.exchange import Exchange, Waiting

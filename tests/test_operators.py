@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from newsloom.operators import batching, history, hits, joins, neighbours, positions, posts, profile, topics
+from newsloom.operators import batching, history, hits, joins, neighbours, positions, posts, profile, terms, topics
 from newsloom.operators.validation import split_valid
 
 
@@ -378,7 +378,7 @@ def test_projection(spark):
 
 def test_embedder_treats_queries_and_corpus_alike(spark):
     df = spark.createDataFrame([(1, "data and beer"), (2, None), (3, "Data, and BEER")], "id int, t string")
-    for embed in (topics.text_embedder(), topics.text_embedder(df, "t")):
+    for embed in (terms.text_embedder(), terms.text_embedder(df, "t")):
         found = {r["id"]: r["v"] for r in embed(df, "t", "v").collect()}
         assert found[1] == found[3]
         assert len(found[2]) == 256 and not any(found[2])
@@ -460,32 +460,27 @@ def test_faulty_vectors_do_not_hide_others(spark):
 
 def test_text_vectors_and_search_agree_with_brute_force(spark):
     """Hashed words weighted by rarity at unit length, and the documents nearest to each query."""
+    import hashlib
     import math
-    from pyspark.ml.feature import HashingTF
 
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     items = spark.read.parquet(f"{sf}/benchmark.parquet")
-    hashing, places = HashingTF(numFeatures=64), {}
 
     def counts(value):
-        found = Counter()
-        for word in regex.split(r"[^\p{L}\p{N}]+", value.lower()):
-            if word:
-                if word not in places:
-                    places[word] = hashing.indexOf(word)
-                found[places[word]] += 1
-        return found
+        words = regex.findall(r"[\p{L}\p{N}]+", value.lower())
+        return Counter(int(hashlib.md5(w.encode()).hexdigest()[:4], 16) for w in words)
 
     tf = {r.doc_id: counts(r.text) for r in docs.collect()}
-    holds = Counter(p for c in tf.values() for p in c)
-    idf = np.array([math.log((len(tf) + 1) / (holds[p] + 1)) for p in range(64)])
+    holds = Counter(b for c in tf.values() for b in c)
 
     def vector(count):
-        v = np.array([count[p] for p in range(64)]) * idf
+        v = np.zeros(64)
+        for b, n in count.items():
+            v[b % 64] += n * math.log((len(tf) + 1) / (holds[b] + 1))
         return v / (np.linalg.norm(v) or 1)
 
-    embed = topics.text_embedder(docs, "text", 64)
+    embed = terms.text_embedder(docs, "text", 64)
     found = {r.doc_id: np.array(r.v) for r in embed(docs, "text", "v").select("doc_id", "v").collect()}
     want = {i: vector(c) for i, c in tf.items()}
     assert all(np.allclose(found[i], want[i], atol=1e-6) for i in want)
@@ -496,3 +491,28 @@ def test_text_vectors_and_search_agree_with_brute_force(spark):
         own = vector(counts(item.text))
         best = sorted(float(((own - v) ** 2).sum()) for v in want.values())[:3]
         assert np.allclose([got[item.item_id, k + 1] for k in range(3)], best, atol=1e-5)
+
+
+def test_best_sentences():
+    weight = np.arange(terms.BUCKETS)
+    # One word each: the rarest, then the next rare that has not been said, in text order.
+    buckets, ends = np.array([5, 9, 9, 7, 1, 2]), np.arange(1, 7)
+    assert terms.best_sentences(buckets, ends, weight) == [0, 1, 3]
+    assert terms.best_sentences(buckets, ends, weight * 0) == [0, 1, 2]
+    assert terms.best_sentences(buckets[:2], ends[:2], weight) == [0, 1]
+    assert terms.best_sentences(np.array([], int), np.array([], int), weight) == []
+    # Eight of many, also from the end of a long text.
+    long = np.arange(2000)
+    assert terms.best_sentences(long, long + 1, weight) == list(range(1992, 2000))
+
+
+def test_scored_summary_of_edge_texts(spark):
+    texts = [(1, None), (2, ""), (3, "..."), (4, "One.  Two! "), (5, "- Odd - signs. No"), (6, "A b. " * 3 + "Rare words here. " + "A b. " * 3)]
+    df = spark.createDataFrame(texts, "id int, t string")
+    counts = terms.document_counts(df, "t")
+    found = {r.id: r.s for r in df.select("id", terms.scored_summary(F.col("t"), counts).alias("s")).collect()}
+    assert found == {1: None, 2: "", 3: "", 4: "One. Two!", 5: "- Odd - signs. No", 6: "A b. A b. Rare words here."}
+    assert terms.counts_array(counts)[0] == 6
+    empty = df.limit(0)
+    assert terms.document_counts(empty, "t").count() == 0
+    assert empty.select(terms.scored_summary(F.col("t"), terms.document_counts(empty, "t")).alias("s")).count() == 0
