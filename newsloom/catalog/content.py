@@ -7,6 +7,7 @@ from newsloom.functions.text import SENTENCE, sentences, token_count
 from newsloom.functions.web import ERROR_BODY, html_published, html_text, html_title, page_links
 from newsloom.operators import baselines, joins, tasks
 from newsloom.plans import jobs
+from newsloom.session import spread
 
 # What the SQL takes for links, titles and page furniture: the forms that the test pages have.
 HTML_LINK = r'(?is)<a href="([^"]*)">(.*?)</a>'
@@ -53,7 +54,7 @@ _LINK_TITLE_SQL = _squeezed_sql(_decoded_sql(_replaced_sql("t", TAG, "' '")))
 @query(f"SELECT page_id, link_no, {_LINK_TITLE_SQL} AS title, url FROM ({_LINKS_SQL})")
 def extract_links(spark, sf):
     return (
-        table(spark, sf, "pages")
+        spread(table(spark, sf, "pages"))
         .select("page_id", F.posexplode(page_links(F.col("html"))).alias("link_no", "link"))
         .select("page_id", F.col("link_no").cast("bigint").alias("link_no"), "link.title", "link.url")
     )
@@ -104,7 +105,7 @@ _DAY_SQL = f"nullif(regexp_extract(html, {_quoted(PUBLISHED)}, 1), '')"
 )
 def page_text(spark, sf):
     html = F.col("html")
-    return table(spark, sf, "pages").select(
+    return spread(table(spark, sf, "pages")).select(
         "page_id",
         html_title(html).alias("title"),
         html_text(html).alias("content"),
@@ -162,7 +163,7 @@ def _valid_sql(text):
 
 @query(f"SELECT doc_id, {_valid_sql('text')} AS validity FROM documents")
 def validity_rules(spark, sf):
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         "doc_id", baselines.is_article(F.col("text")).alias("validity")
     )
 
@@ -191,7 +192,7 @@ _LEAD_SQL = (
 
 @query(f"SELECT doc_id, {_LEAD_SQL} AS summary FROM documents")
 def lead_summary(spark, sf):
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         "doc_id", baselines.lead_summary(F.col("text")).alias("summary")
     )
 

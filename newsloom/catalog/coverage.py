@@ -62,7 +62,7 @@ OPERATORS = {
     "J3": ["relevant_articles", "unmatched_outputs"],
     "J4": ["four_way_join", "joined_counts"],
     "J5": ["valid_content", "deleted_content"],
-    "J6": ["nearest_to_queries", "nearest_of_all", "nearest_among_faulty"],
+    "J6": ["nearest_to_queries", "nearest_of_all", "nearest_by_cells", "nearest_among_faulty"],
     "J7": ["embedding_calls"],
     "J8": ["relevant_pairs", "post_messages", "post_prompts"],
     "J9": ["keyword_fanout"],
@@ -85,7 +85,7 @@ OPERATORS = {
     "W5": ["pick_row", "pick_per_source"],
     "T1": ["latest_article"],
     "T2": ["files_by_number"],
-    "T3": ["nearest_to_queries"],
+    "T3": ["nearest_to_queries", "nearest_by_cells", "test_cells_that_are_too_far_are_not_read"],
     "T4": ["nearest_to_centroid"],
     "T5": ["source_profile"],
     "T6": ["preview"],

@@ -9,6 +9,7 @@ from newsloom.operators import baselines, joins, posts, tasks
 from newsloom.operators.batching import assign_batches
 from newsloom.operators.validation import REASON
 from newsloom.plans import jobs
+from newsloom.session import spread
 from newsloom.sources.writers import selection
 
 PERSONAS = ("QUALITY", "TOXICITY")
@@ -313,7 +314,7 @@ def _keyword_sql(words):
 )
 def keyword_relevance(spark, sf):
     scores = baselines.keyword_scores(F.col("text"), KEYWORDS)
-    return table(spark, sf, "documents").select("doc_id", scores.alias("relevance")).select(
+    return spread(table(spark, sf, "documents")).select("doc_id", scores.alias("relevance")).select(
         "doc_id", *score_columns(F.col("relevance"), list(KEYWORDS))
     )
 

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from newsloom.catalog.registry import query, table
 from newsloom.functions.vectors import squared_l2
-from newsloom.operators import neighbours, terms, topics
-from newsloom.session import store
+from newsloom.operators import cells, neighbours, terms, topics
+from newsloom.session import scratch_path, spread, store
 
 _CENTROID_SQL = """SELECT list(m ORDER BY i) AS q FROM (
     SELECT i, avg(CAST(v AS DOUBLE)) AS m
@@ -100,6 +100,20 @@ def nearest_of_all(spark, sf):
     )
 
 
+@query(
+    f"""SELECT query_id, vec_id, round({_DISTANCE_SQL}, 6) AS distance,
+         row_number() OVER (PARTITION BY query_id ORDER BY {_DISTANCE_SQL}, vec_id) AS rank
+       FROM embeddings e, (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q FROM embeddings)
+       QUALIFY rank <= 5"""
+)
+def nearest_by_cells(spark, sf):
+    """Every vector as a query to an index by cells."""
+    df = table(spark, sf, "embeddings")
+    index = cells.build_cells(df, "vec_id", "embedding", scratch_path(spark, "cells"), cells=40)
+    queries = df.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    return _rounded(cells.nearest_in_cells(index, queries, "vec_id", "query_id", "q"))
+
+
 @query(
     """SELECT vec_id, len(embedding) AS dimensions, CAST(list_slice(embedding, 2, 3)[2] AS DOUBLE) AS third,
          CAST(embedding[1] AS DOUBLE) AS first, ceil((vec_id + 1) / 200.0) AS n_batches FROM embeddings"""
@@ -164,7 +178,7 @@ def search_texts(spark, sf):
     """The documents nearest to each benchmark text, both embedded alike."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     embed = terms.text_embedder(docs, "text")
-    corpus = embed(docs, "text", "embedding").select("doc_id", "embedding")
+    corpus = embed(spread(docs), "text", "embedding").select("doc_id", "embedding")
     queries = embed(table(spark, sf, "benchmark"), "text", "query").select("item_id", "query")
     return _rounded(neighbours.nearest(corpus, queries, "doc_id", "item_id", query_vector="query"))
 
@@ -176,7 +190,7 @@ def search_texts(spark, sf):
 def embed_texts(spark, sf):
     """The non-zero entries of each document's vector."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    embedded = terms.text_embedder(docs, "text")(docs, "text", "embedding")
+    embedded = terms.text_embedder(docs, "text")(spread(docs), "text", "embedding")
     each = embedded.select("doc_id", F.posexplode("embedding").alias("dim", "value")).where("value <> 0")
     return each.select("doc_id", "dim", F.round(F.col("value").cast("double"), 5).alias("value"))
 

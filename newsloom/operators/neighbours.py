@@ -15,6 +15,8 @@ from newsloom.session import store
 
 # Bytes of query vectors that may be sent to every task.
 MAX_QUERY_BYTES = 64 << 20
+# Beside its vector, what a query's id may take.
+ID_BYTES = 64
 # Bytes of query and of corpus vectors that meet in one task beyond that.
 QUERY_BLOCK_BYTES = 64 << 20
 CORPUS_BLOCK_BYTES = 128 << 20
@@ -73,22 +75,27 @@ def nearest(
         .where(vector_fault(F.col("__q")).isNull()),
         "queries",
     )
-    lengths = [r[0] for r in queries.select(F.size("__q")).distinct().limit(2).collect()]
-    if len(lengths) > 1:
+    found = queries.agg(
+        F.min(F.size("__q")).alias("short"), F.max(F.size("__q")).alias("long"), F.count("*").alias("n")
+    ).first()
+    if found["short"] != found["long"]:
         raise ValueError("query vectors differ in length")
-    corpus = corpus.select(F.col(id_col).alias("__id"), F.col(vector).alias("__v")).where(
-        vector_fault(F.col("__v"), lengths[0] if lengths else None).isNull()
-    )
-    # Counts first, so that no more than the allowed bytes ever reach the driver.
-    size = _vector_bytes(queries, "__q")
+    length = found["long"] or 0
+    corpus = corpus.select(F.col(id_col).alias("__id"), F.col(vector).alias("__v"))
     schema = T.StructType(
         [queries.schema["__qid"], corpus.schema["__id"], T.StructField("distance", T.DoubleType())]
     )
-    if size <= max_query_bytes:
+    # Counts first, so that no more than the allowed bytes ever reach the driver.
+    if found["n"] * (length * 8 + ID_BYTES) <= max_query_bytes:
         rows = queries.collect()
         best = corpus.mapInArrow(_scan([r[0] for r in rows], [r[1] for r in rows], k, schema), schema)
     else:
-        best = _nearest_by_block(corpus, queries, k, schema)
+        best = _nearest_by_block(corpus, queries, found["n"], length, k, schema)
+    return _top(best, k, query_id, id_col)
+
+
+def _top(best: DataFrame, k: int, query_id: str, id_col: str) -> DataFrame:
+    """The k best of the candidates of each query; tasks keep k of a query before they are exchanged."""
     window = Window.partitionBy("__qid").orderBy("distance", "__id")
     return (
         best.withColumn("rank", F.row_number().over(window).cast("bigint"))
@@ -97,9 +104,20 @@ def nearest(
     )
 
 
-def _vector_bytes(df: DataFrame, vector: str) -> int:
-    """Bytes of all vectors in double precision."""
-    return df.agg(F.sum(F.size(vector).cast("bigint") * 8).alias("bytes")).first()["bytes"] or 0
+def _usable(ids, vectors, length: int) -> tuple[pa.Array, np.ndarray]:
+    """The ids and the matrix of the vectors that `vector_fault` finds nothing wrong with."""
+    if isinstance(vectors, pa.ChunkedArray):
+        ids, vectors = ids.combine_chunks(), vectors.combine_chunks()
+    rows = np.flatnonzero(vectors.value_lengths().fill_null(-1).to_numpy() == length)
+    if len(rows) < len(vectors):
+        ids, vectors = ids.take(pa.array(rows)), vectors.take(pa.array(rows))
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    matrix = flat.reshape(len(vectors), length)
+    # Nulls are NaN here.
+    finite = np.isfinite(matrix).all(axis=1)
+    if finite.all():
+        return ids, matrix
+    return ids.take(pa.array(np.flatnonzero(finite))), matrix[finite]
 
 
 def _matrix(column) -> np.ndarray:
@@ -109,34 +127,43 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _ranked(ids: list, distances: np.ndarray, k: int) -> list:
-    """The k best (distance, id) pairs; the lower id first where distances are equal."""
-    return sorted(zip(distances.tolist(), ids))[:k]
+class _Best:
+    """The k best corpus rows of each query so far; the lower id first where distances are equal.
 
+    A matrix product ranks all pairs of a block up to rounding. Only rows that may be among
+    the k best of the block, and no worse than the k best before, get their distance by
+    the sum of squares, so the product decides nothing; queries without such rows cost nothing.
+    """
 
-def _closest(ids, vectors: np.ndarray, queries: np.ndarray, k: int) -> list[list]:
-    """For each query its k best rows of one block, as (distance, id).
+    def __init__(self, queries: np.ndarray, k: int):
+        self.queries, self.k = queries, k
+        self.norms = np.einsum("ij,ij->i", queries, queries)
+        self.pairs: list[list] = [[] for _ in queries]
+        self.bound = np.full(len(queries), np.inf)
 
-    A matrix product ranks all pairs up to rounding. The rows that may be among the k best
-    then get their distance by the sum of squares, so the product decides nothing.
-    """
-    best = []
-    norms = np.einsum("ij,ij->i", vectors, vectors)
-    slack = 1e-9 * (1.0 + norms.max())
-    # Products of at most some 64 MB at a time.
-    step = max(1, (8 << 20) // len(vectors))
-    for start in range(0, len(queries), step):
-        part = queries[start:start + step]
-        rough = norms - 2.0 * (part @ vectors.T)
-        kth = min(k, len(vectors)) - 1
-        limits = np.partition(rough, kth, axis=1)[:, kth]
-        margins = slack + 1e-9 * np.einsum("ij,ij->i", part, part)
-        for i, query in enumerate(part):
-            rows = np.flatnonzero(rough[i] <= limits[i] + margins[i])
-            gaps = vectors[rows] - query
-            found = ids.take(pa.array(rows)).to_pylist()
-            best.append(_ranked(found, np.einsum("ij,ij->i", gaps, gaps), k))
-    return best
+    def add(self, ids: pa.Array, vectors: np.ndarray) -> None:
+        if not len(vectors) or not len(self.queries):
+            return
+        norms = np.einsum("ij,ij->i", vectors, vectors)
+        slack = 1e-9 * (1.0 + norms.max())
+        kth = min(self.k, len(vectors)) - 1
+        # Products of at most some 64 MB at a time.
+        step = max(1, (8 << 20) // len(vectors))
+        for start in range(0, len(self.queries), step):
+            own = slice(start, start + step)
+            rough = norms - 2.0 * (self.queries[own] @ vectors.T)
+            limits = np.partition(rough, kth, axis=1)[:, kth]
+            limits = np.minimum(limits, self.bound[own] - self.norms[own])
+            limits += slack + 1e-9 * self.norms[own]
+            for i in np.flatnonzero(rough.min(axis=1) <= limits).tolist():
+                rows = np.flatnonzero(rough[i] <= limits[i])
+                gaps = vectors[rows] - self.queries[start + i]
+                found = ids.take(pa.array(rows)).to_pylist()
+                new = zip(np.einsum("ij,ij->i", gaps, gaps).tolist(), found, strict=True)
+                best = sorted([*self.pairs[start + i], *new])[: self.k]
+                self.pairs[start + i] = best
+                if len(best) == self.k:
+                    self.bound[start + i] = best[-1][0]
 
 
 def _scan(query_ids: list, query_vectors: list, k: int, schema: T.StructType):
@@ -144,12 +171,10 @@ def _scan(query_ids: list, query_vectors: list, k: int, schema: T.StructType):
         if not query_ids:
             return
         queries = np.asarray(query_vectors, dtype=np.float64)
-        best: list[list] = [[] for _ in query_ids]
+        best = _Best(queries, k)
         for batch in batches:
-            if batch.num_rows:
-                found = _closest(batch.column(0), _matrix(batch.column(1)), queries, k)
-                best = [sorted(old + new)[:k] for old, new in zip(best, found)]
-        yield _candidates(zip(query_ids, best), schema)
+            best.add(*_usable(batch.column(0), batch.column(1), queries.shape[1]))
+        yield _candidates(zip(query_ids, best.pairs), schema)
 
     return scan
 
@@ -165,31 +190,50 @@ def _candidates(found, schema: T.StructType) -> pa.RecordBatch:
     )
 
 
-def _nearest_by_block(corpus: DataFrame, queries: DataFrame, k: int, schema: T.StructType) -> DataFrame:
+def _nearest_by_block(
+    corpus: DataFrame, queries: DataFrame, n: int, length: int, k: int, schema: T.StructType
+) -> DataFrame:
     """Compare each block of queries with each block of the corpus in a task of its own.
 
     Every vector is exchanged once for each block of the other side, so blocks are as large
     as a task can hold.
     """
+    size = corpus.agg(F.sum(F.coalesce(F.size("__v"), F.lit(0)).cast("bigint") * 8)).first()[0] or 0
+    one = F.lit(0)
+    blocks = [(0, max(1, -(-n * length * 8 // QUERY_BLOCK_BYTES)), max(1, -(-size // CORPUS_BLOCK_BYTES)))]
+    return _compare(corpus.withColumn("cell", one), queries.withColumn("cell", one), blocks, length, k, schema)
 
-    n_q = max(1, -(-_vector_bytes(queries, "__q") // QUERY_BLOCK_BYTES))
-    n_c = max(1, -(-_vector_bytes(corpus, "__v") // CORPUS_BLOCK_BYTES))
-    left = queries.withColumn("__qb", F.pmod(F.xxhash64("__qid"), F.lit(n_q))).withColumn(
-        "__cb", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1)))
+
+def _compare(
+    corpus: DataFrame, queries: DataFrame, blocks: list[tuple[int, int, int]], length: int, k: int, schema: T.StructType
+) -> DataFrame:
+    """The k best pairs of each query with the corpus rows (__id, __v) of its cells.
+
+    `queries` has a row (__qid, __q, cell) for each cell that a query looks into. `blocks`:
+    (cell, blocks of queries, blocks of corpus rows); each pair of blocks of a cell meets
+    in a task of its own, however many rows the cell holds.
+    """
+    n_q = F.create_map(*[F.lit(x) for cell, q, _ in blocks for x in (cell, q)])
+    n_c = F.create_map(*[F.lit(x) for cell, _, c in blocks for x in (cell, c)])
+
+    def numbers(n):
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    left = queries.select(
+        "__qid", "__q", "cell", F.pmod(F.xxhash64("__qid"), n_q[F.col("cell")]).cast("int").alias("__qb"),
+        numbers(n_c[F.col("cell")]).alias("__cb"),
     )
-    right = corpus.withColumn("__cb", F.pmod(F.xxhash64("__id"), F.lit(n_c)).cast("int")).withColumn(
-        "__qb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_q - 1).cast("bigint")))
+    right = corpus.select(
+        "__id", "__v", "cell", F.pmod(F.xxhash64("__id"), n_c[F.col("cell")]).cast("int").alias("__cb"),
+        numbers(n_q[F.col("cell")]).alias("__qb"),
     )
 
     def compare(q: pa.Table, c: pa.Table) -> pa.Table:
         if not q.num_rows or not c.num_rows:
             return pa.Table.from_batches([_candidates([], schema)])
-        ids = c["__id"].combine_chunks()
-        found = _closest(ids, _matrix(c["__v"]), _matrix(q["__q"]), k)
-        return pa.Table.from_batches([_candidates(zip(q["__qid"].to_pylist(), found), schema)])
+        best = _Best(_matrix(q["__q"]), k)
+        best.add(*_usable(c["__id"], c["__v"], length))
+        return pa.Table.from_batches([_candidates(zip(q["__qid"].to_pylist(), best.pairs), schema)])
 
-    return (
-        left.groupBy("__qb", "__cb")
-        .cogroup(right.groupBy("__qb", "__cb"))
-        .applyInArrow(compare, schema)
-    )
+    key = ["cell", "__qb", "__cb"]
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(compare, schema)

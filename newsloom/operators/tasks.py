@@ -19,7 +19,7 @@ from newsloom.functions.scores import (
 )
 from newsloom.functions.text import bind, escape_newlines, readable_key, split_key
 from newsloom.operators.validation import REASON
-from newsloom.session import store
+from newsloom.session import spread, store
 
 RESPONSE = "custom_id string, model string, content string, error string"
 
@@ -342,7 +342,7 @@ def _parse(responses: DataFrame, parsed: Column, problem: Column) -> tuple[DataF
     for every field the filter looks at.
     """
     rows = (
-        responses.withColumn("key", split_key(F.col("custom_id")))
+        spread(responses).withColumn("key", split_key(F.col("custom_id")))
         .withColumn("answer", parsed)
         .withColumn(
             REASON,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.terms import BUCKETS, term_buckets
 from newsloom.functions.text import bind, sentences
+from newsloom.session import spread
 
 # The line of the counts that holds the number of texts.
 ALL_TEXTS = -1
@@ -32,7 +33,7 @@ def document_counts(texts: DataFrame, text: str) -> DataFrame:
     held = F.array_union(
         F.array_distinct(F.coalesce(term_buckets(F.col(text)), F.array().cast("array<int>"))), F.array(F.lit(ALL_TEXTS))
     )
-    return texts.select(F.explode(held).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n_texts"))
+    return spread(texts.select(text)).select(F.explode(held).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n_texts"))
 
 
 def add_counts(*counts: DataFrame) -> DataFrame:
@@ -69,6 +70,12 @@ def log_rarity(counts: DataFrame) -> np.ndarray:
     return np.log((total + 1) / (held + 1))
 
 
+def _once(function: Callable, kind: str) -> Callable:
+    """An Arrow function that the planner does not repeat: what is said to be deterministic is
+    evaluated again in each filter on it that is moved below."""
+    return F.arrow_udf(function, kind).asNondeterministic()
+
+
 def best_sentences(buckets: np.ndarray, ends: np.ndarray, weight: np.ndarray) -> list[int]:
     """The numbers of the sentences of a summary, in text order.
 
@@ -119,7 +126,7 @@ def scored_summary(text: Column, counts: DataFrame) -> Column:
         return pa.array(chosen, pa.list_(pa.int32()))
 
     said = sentences(text)
-    numbers = F.arrow_udf(choose, "array<int>")(F.transform(said, term_buckets))
+    numbers = _once(choose, "array<int>")(F.transform(said, term_buckets))
     return bind(
         F.struct(said.alias("said"), numbers.alias("numbers")),
         lambda x: F.array_join(F.transform(x["numbers"], lambda i: F.trim(F.get(x["said"], i))), " "),
@@ -148,13 +155,14 @@ def text_embedder(
         bucket = pairs % BUCKETS
         at = pairs // BUCKETS * dimensions + bucket % dimensions
         out = np.bincount(at, weights=times * weight[bucket], minlength=len(lengths) * dimensions)
-        out = out.reshape(-1, dimensions)
+        # Counts of nothing come as whole numbers.
+        out = out.reshape(-1, dimensions).astype(float)
         norm = np.sqrt(np.einsum("ij,ij->i", out, out))
         out /= np.where(norm > 0, norm, 1.0)[:, None]
         ends = np.arange(0, out.size + 1, dimensions, dtype=np.int32)
         return pa.ListArray.from_arrays(ends, pa.array(out.ravel().astype(np.float32)))
 
     def embed(df: DataFrame, column: str, output: str) -> DataFrame:
-        return df.withColumn(output, F.arrow_udf(vectors, "array<float>")(term_buckets(F.col(column))))
+        return df.withColumn(output, _once(vectors, "array<float>")(term_buckets(F.col(column))))
 
     return embed

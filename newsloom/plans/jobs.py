@@ -34,7 +34,7 @@ from newsloom.operators.tasks import (
 from newsloom.operators.topics import assign_topics, project
 from newsloom.operators.validation import has_payload, validate
 from newsloom.schemas import CRAWLED, SEARCHED
-from newsloom.session import compute_once, store
+from newsloom.session import compute_once, spread, store
 
 @dataclass
 class Outcome:
@@ -62,7 +62,7 @@ def extract_articles(
     pages: DataFrame, run_id: str, crawled_at: str, task: Task, predictor: Predictor
 ) -> Outcome:
     """Articles linked from the crawled pages."""
-    requests = build_requests(pages, task, F.lit(run_id), F.col("name"), F.col("raw_content"))
+    requests = build_requests(spread(pages), task, F.lit(run_id), F.col("name"), F.col("raw_content"))
     links, rejected = parse_links(predictor(requests))
     articles = links.withColumn("crawled_at", F.lit(crawled_at)).withColumn(
         "article_id",
@@ -153,13 +153,13 @@ def keep_valid(
     """Content without what the model calls no article. With `chars` the model is shown only
     so many characters of each; the stored content stays whole."""
     seen = F.col("content") if chars is None else F.substring("content", 1, chars)
-    requests = build_requests(content, task, F.lit(run_id), F.col("article_id"), seen)
+    requests = build_requests(spread(content), task, F.lit(run_id), F.col("article_id"), seen)
     verdicts, rejected = parse_validity(predictor(requests))
     return Outcome(drop_invalid(content, verdicts), rejected)
 
 
 def summarize(content: DataFrame, run_id: str, task: Task, predictor: Predictor) -> Outcome:
-    requests = build_requests(content, task, F.lit(run_id), F.col("article_id"), F.col("content"))
+    requests = build_requests(spread(content), task, F.lit(run_id), F.col("article_id"), F.col("content"))
     return Outcome(*parse_summaries(predictor(requests)))
 
 

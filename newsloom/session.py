@@ -94,6 +94,22 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*fields))))
 
 
+# A table with fewer bytes for each core is dealt out by `spread`.
+SPREAD_BYTES = 64 << 20
+
+
+def spread(df: DataFrame, bytes_per_core: int = SPREAD_BYTES) -> DataFrame:
+    """Deal the rows of a small table out to all cores before costly work on each row.
+
+    A table in one file with one row group is read by one task, however many cores there
+    are. Larger tables, by the planner's size, have splits enough and stay as they are.
+    """
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if size < cores * bytes_per_core else df
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to a scratch table and read it back.
 
