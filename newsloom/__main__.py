@@ -3,7 +3,7 @@
 usage: python -m newsloom --workspace DIR --personas personas.json --keywords keywords.json
                           [--runid RUNID_7] [--resume_step STEP] [--run_location NAME]
                           [--sources urls.txt] [--pages pages.json] [--hits hits.json]
-                          [--batch_model NAME]
+                          [--batch_model NAME] [--search TEXT]
 
 Without --runid it names the last run and its status. personas.json is a list of objects with
 name and role; keywords.json maps a name to a list of keywords. --sources
@@ -12,7 +12,7 @@ hits, each a JSON array.
 
 With --batch_model requests are written as files under exchange/requests of the workspace; the
 run ends as waiting, and goes on with --resume_step open once answer files lie under
-exchange/answers. The exit code then is 3.
+exchange/answers. The exit code then is 3. --search prints the articles nearest to a text.
 """
 
 import argparse
@@ -41,6 +41,7 @@ def main() -> int:
     parser.add_argument("--pages")
     parser.add_argument("--hits")
     parser.add_argument("--batch_model")
+    parser.add_argument("--search")
     args = parser.parse_args()
 
     logging.basicConfig(level=logging.WARNING)
@@ -49,6 +50,11 @@ def main() -> int:
     ws = curation.Workspace(spark, args.workspace)
     if args.sources:
         curation.register_sources(ws, args.sources)
+    if args.search:
+        query = spark.createDataFrame([(1, args.search)], "query_id int, text string")
+        for row in curation.search(ws, query).orderBy("rank").collect():
+            print(f"{row['rank']}. {row['article_title']} ({row['distance']:.3f}) {row['article_url']}")
+        return 0
     if args.runid is None:
         ledger = ws.read("runs_metadata", schemas.RUNS_METADATA, required=False)
         last = latest_run(ledger.withColumn("ord", F.col("pipeline_finish_time")), "ord").first()
@@ -66,7 +72,8 @@ def main() -> int:
     else:
         with open(args.keywords, encoding="utf-8-sig") as f:
             keywords = json.load(f)
-        models = curation.baseline_models(people, {name: keywords.get(name, []) for name, _ in people})
+        own = {name: keywords.get(name, []) for name, _ in people}
+        models = curation.baseline_models(people, own, curation.past_counts(ws, args.runid))
     if args.pages:
         ws.ingest("source_raw_content", args.pages, schemas.SOURCE_RAW_CONTENT, args.runid)
     if args.hits:

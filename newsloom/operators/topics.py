@@ -46,8 +46,13 @@ def project(df: DataFrame, vector: str = "embedding", k: int = COMPONENTS) -> Da
     """Add the first three principal components as x, y, z. Signs are arbitrary.
 
     Vectors are centred first, since MLlib's projection does not do it. The driver holds
-    one matrix of dimension x dimension, whatever the number of rows.
+    one matrix of dimension x dimension, whatever the number of rows. A single row, or rows
+    that are all the same, lie at the origin.
     """
+    digest = F.xxhash64(vector)
+    ends = df.agg(F.min(digest).alias("low"), F.max(digest).alias("high")).first()
+    if ends["low"] == ends["high"]:
+        return df.withColumns({name: F.lit(0.0) for _, name in zip(range(k), ("x", "y", "z"))})
     features = df.withColumn("__raw", array_to_vector(F.col(vector)))
     pipeline = Pipeline(
         stages=[

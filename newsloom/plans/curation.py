@@ -14,7 +14,7 @@ from newsloom import schemas
 from newsloom.operators import baselines, posts, tasks
 from newsloom.operators.batching import assign_batches
 from newsloom.operators.tasks import Predictor, Task, request_json
-from newsloom.operators.terms import add_counts, document_counts, text_embedder
+from newsloom.operators.terms import COUNTS, add_counts, document_counts, text_embedder
 from newsloom.operators.validation import validate
 from newsloom.plans import jobs
 from newsloom.plans.exchange import Exchange, Waiting
@@ -53,13 +53,16 @@ class Models:
     posts: tuple[str, Predictor] | None = None
 
 
-def baseline_models(personas: Sequence[tuple[str, str]], keywords: Mapping[str, Sequence[str]]) -> Models:
+def baseline_models(
+    personas: Sequence[tuple[str, str]], keywords: Mapping[str, Sequence[str]], counts: DataFrame | None = None
+) -> Models:
+    """The built-in models; `counts` as from `past_counts`, for the rarity of words in summaries."""
     name = baselines.NAME
     return Models(
         (tasks.link_task(name), baselines.links_predictor()),
         (tasks.relevance_task(name, personas), baselines.relevance_predictor(keywords)),
         (tasks.validity_task(name), baselines.validity_predictor()),
-        (tasks.summary_task(name), baselines.summary_predictor()),
+        (tasks.summary_task(name), baselines.scored_summary_predictor(counts)),
     )
 
 
@@ -152,6 +155,7 @@ def run_curation(
         "summaries": lambda: _summaries(ws, run_id, models),
         "embeddings": lambda: _embeddings(ws, run_id, models),
         "analysis": lambda: _analysis(ws, run_id, personas),
+        "topics": lambda: _topics(ws, run_id),
     }
     if models.posts:
         steps["posts"] = lambda: _posts(ws, run_id, models)
@@ -247,6 +251,38 @@ def _content(ws: Workspace, run_id: str) -> None:
 def _validity(ws: Workspace, run_id: str, models: Models) -> None:
     content = ws.read("article_content", schemas.ARTICLE_CONTENT + RUN, run_id)
     ws.write_outcome("valid_content", jobs.keep_valid(content, run_id, *models.validity), run_id)
+    valid = ws.read("valid_content", schemas.ARTICLE_CONTENT, run_id)
+    ws.write("term_counts", document_counts(valid, "content"), run_id)
+
+
+def past_counts(ws: Workspace, run_id: str | None = None) -> DataFrame:
+    """How many valid texts of all runs, but for `run_id`, hold each term. A run adds its own
+    counts, and replaces them when it is done again."""
+    counts = ws.read("term_counts", COUNTS, required=False)
+    return add_counts(counts if run_id is None else counts.where(F.col("run_id") != run_id))
+
+
+def search(ws: Workspace, queries: DataFrame, k: int = 5) -> DataFrame:
+    """The k articles of all runs nearest to each query (query_id, text): query_id, article_id,
+    distance, rank, article_title, article_url."""
+    found = jobs.search_summaries(ws.read("summaries", schemas.SUMMARIES), queries, past_counts(ws), k)
+    known = ws.read("relevant_articles", schemas.RELEVANT_ARTICLES)
+    named = known.groupBy("article_id").agg(
+        F.max(F.struct("run_id", "article_title", "article_url")).alias("a")
+    )
+    return found.join(named, "article_id", "left").select(
+        "query_id", "article_id", "distance", "rank", "a.article_title", "a.article_url"
+    )
+
+
+def _topics(ws: Workspace, run_id: str) -> None:
+    """The run's articles with their topic and place on the map, and the most central ones."""
+    analysed = ws.spark.read.parquet(f"{ws.location('analysis')}/run_id={run_id}")
+    frame = store(analysed.select("article_id", "summary_embedding"), "frame")
+    if frame.isEmpty():
+        return
+    ws.write("topics", jobs.topics_and_map(frame).drop("summary_embedding"), run_id)
+    ws.write("central_articles", jobs.central_articles(frame), run_id)
 
 
 def _summaries(ws: Workspace, run_id: str, models: Models) -> None:
@@ -299,7 +335,10 @@ def _posts(ws: Workspace, run_id: str, models: Models) -> None:
     summaries = ws.read("summaries", schemas.SUMMARIES, run_id).select("article_id", "summary")
     articles = relevant.join(summaries, "article_id")
     personas = ws.spark.read.schema(schemas.PERSONAS).parquet(ws.location("personas"))
-    past = ws.read("past_posts", schemas.PAST_POSTS, required=False).withColumn("post_id", F.sha2("copy", 256))
+    past = ws.read("past_posts", schemas.PAST_POSTS, required=False)
+    for table, profile in jobs.profile_past_posts(past).items():
+        ws.write(f"profile_{table}", profile, run_id)
+    past = past.withColumn("post_id", F.sha2("copy", 256))
     prompts = posts.post_prompts(articles, personas, past, "post_id")
     good, rejected = posts.generate_posts(prompts, predictor, name)
     unlisted = posts.unlisted_pairs(articles, personas)

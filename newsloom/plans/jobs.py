@@ -31,6 +31,7 @@ from newsloom.operators.tasks import (
     parse_summaries,
     parse_validity,
 )
+from newsloom.operators.terms import text_embedder
 from newsloom.operators.topics import assign_topics, project
 from newsloom.operators.validation import has_payload, validate
 from newsloom.schemas import CRAWLED, SEARCHED
@@ -214,6 +215,20 @@ def search(frame: DataFrame, queries: DataFrame, k: int = 5, vector: str = "summ
     return nearest(frame, queries, "article_id", "query_id", vector, "query", k)
 
 
+def search_summaries(
+    summaries: DataFrame, queries: DataFrame, counts: DataFrame | None = None, k: int = 5
+) -> DataFrame:
+    """The k articles whose summaries are nearest to each query (query_id, text).
+
+    Both are embedded here, with the words' rarity by `counts`: stored vectors of several
+    runs could only be compared without it.
+    """
+    embed = text_embedder(counts=counts)
+    corpus = embed(spread(summaries), "summary", "vector").select("article_id", "vector")
+    asked = embed(queries, "text", "query").select("query_id", "query")
+    return nearest(corpus, asked, "article_id", "query_id", "vector", "query", k)
+
+
 def central_articles(frame: DataFrame, k: int = 5, vector: str = "summary_embedding") -> DataFrame:
     return nearest_to_centroid(frame, "article_id", vector, k)
 

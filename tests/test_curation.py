@@ -117,6 +117,16 @@ def test_two_runs(spark, ws):
         ws.read("embeddings", schemas.EMBEDDINGS), ws.read("relevant_articles", schemas.RELEVANT_ARTICLES),
         ws.read("summaries", schemas.SUMMARIES), ws.read("valid_content", schemas.ARTICLE_CONTENT), NAMES,
     )
+    topics = spark.read.parquet(ws.location("topics"))
+    assert {"article_id", "topic", "x", "y", "z", "run_id"} == set(topics.columns)
+    assert rows(topics.select("article_id")) == rows(frame.select("article_id"))
+    assert spark.read.parquet(f"{ws.location('central_articles')}/run_id=RUNID_1").count() == 2
+    # Counts of terms grow with the runs; done again, a run replaces its own.
+    assert curation.past_counts(ws).where("bucket = -1").first()["n_texts"] == 3
+    assert curation.past_counts(ws, "RUNID_2").where("bucket = -1").first()["n_texts"] == 2
+    asked = spark.createDataFrame([(1, "frase con sentido")], "query_id int, text string")
+    found = curation.search(ws, asked, 2).orderBy("rank").collect()
+    assert [r["rank"] for r in found] == [1, 2] and all(r["article_title"] and r["article_url"] for r in found)
     assert frame.count() == 3
     assert {(r["ANA"], r["LUC"]) for r in frame.collect()} == {(2, 0), (0, 2), (1, 2)}
     assert jobs.central_articles(frame, 2).count() == 2
@@ -209,6 +219,8 @@ def test_a_run_on_stored_answers_up_to_post_files(spark, ws, tmp_path):
     first = results()
     assert [(p, t) for p, _, t in first[0]] == [("ANA", "Datos e inteligencia")] and len(first[1]) == 2
     assert ws.read("generated_posts_rejected", "reject_reason string", "RUNID_1").first()[0] == "persona is not listed"
+    assert rows(spark.read.parquet(f"{ws.location('past_posts')}").select("perfil", "copy")) == [("ANA", "An old post")]
+    assert spark.read.parquet(f"{ws.location('profile_sources')}/run_id=RUNID_1").count() >= 0
     lines = [r[0] for r in spark.read.text(f"{ws.location('post_files')}/run_id=RUNID_1/perfil=ANA").collect()]
     assert "Title: Datos e inteligencia" in lines
     header = spark.read.option("header", True).csv(f"{ws.location('selection')}/run_id=RUNID_1")
