@@ -2,7 +2,7 @@
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +18,14 @@ SHARED = 7.0
 # Vectors that a filter is expected to hold. Those that are alone in a filter are left out there
 # before any vector is sent, so that less than one saves more than it costs.
 FILLED = 0.5
-# Independent codes; each has its own rotation. Directions of one code are not independent, so
-# that many small codes miss fewer pairs than few large ones.
+# Of a hundred pairs right at the threshold, how many may share no filter.
+MISSED = 0.015
+# Codes that the filters are counted for at first; each has its own rotation. Directions of one
+# code are not independent, so that many small codes miss fewer pairs than few large ones, and
+# what a code finds is measured: on so many codes and simulated pairs.
 CODES = 32
+_TRIED_CODES = 16
+_TRIED_PAIRS = 500
 # Codewords of a block above which a code gets one more block.
 MOST_WORDS = 2000
 # Fewer dimensions are filled up with zeros, which leaves cosines as they are.
@@ -40,11 +45,12 @@ class Code:
     blocks: int
     words: int
     seed: int
+    codes: int = CODES
 
     def parts(self) -> list[tuple[np.ndarray, list[np.ndarray]]]:
         """Per code a rotation and the unit codewords of each block."""
         made = []
-        for code in range(CODES):
+        for code in range(self.codes):
             rng = np.random.default_rng([self.seed, code, self.dims])
             rotation, _ = np.linalg.qr(rng.standard_normal((self.dims, self.dims)))
             words = []
@@ -85,7 +91,7 @@ class Code:
                     break
                 row, number, total = (np.concatenate(x) for x in zip(*found, strict=True))
             rows.append(row)
-            filters.append(number * CODES + code)
+            filters.append(number * self.codes + code)
         return np.concatenate(rows), np.concatenate(filters)
 
 
@@ -113,9 +119,34 @@ def _shares(dims: int, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return levels, tail(order_one), tail(order_two)
 
 
-def choose_code(n: int, dims: int, cosine: float = MIN_COSINE, shared: float = SHARED, seed: int = 11) -> Code:
+def found_by_each(code: Code, cosine: float, pairs: int = _TRIED_PAIRS, seed: int = 5) -> np.ndarray:
+    """Which simulated pairs right at the threshold share a filter in each code: (pairs, codes)."""
+    rng = np.random.default_rng([seed, code.dims])
+    x, z = rng.standard_normal((2, pairs, code.dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= np.einsum("ij,ij->i", z, x)[:, None] * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    both = np.concatenate([x, cosine * x + math.sqrt(1 - cosine * cosine) * z]).astype(np.float32)
+    found = np.zeros((pairs, code.codes), bool)
+    for c, part in enumerate(code.parts()):
+        row, name = code.decode(both, [part])
+        key = name * pairs + row % pairs
+        found[np.intersect1d(key[row < pairs], key[row >= pairs]) % pairs, c] = True
+    return found
+
+
+def choose_code(
+    n: int, dims: int, cosine: float = MIN_COSINE, shared: float = SHARED, missed: float = MISSED, seed: int = 11
+) -> Code:
     """A code for `n` vectors: filters narrow enough that each holds about FILLED of vectors
-    without neighbours, and so many that two vectors at the threshold share `shared`."""
+    without neighbours, and as many codes as it takes for a share of at most `missed` of the
+    pairs at the threshold to share no filter.
+
+    CODES codes would have filters enough for `shared` common ones if directions were
+    independent. They are not, the less the more blocks a code has: what one code finds
+    is measured on simulated pairs. Codes have their own rotations, so that what several
+    miss is what one misses, multiplied.
+    """
     dims = max(dims, LEAST_DIMS)
     levels, one, two = _shares(dims, cosine)
     at = int(np.argmin(np.abs(np.log(np.maximum(one, 1e-300) / min(0.05, FILLED / max(n, 1))))))
@@ -123,7 +154,10 @@ def choose_code(n: int, dims: int, cosine: float = MIN_COSINE, shared: float = S
     blocks = 2
     while (words := math.ceil((filters / CODES) ** (1 / blocks))) > MOST_WORDS:
         blocks += 1
-    return Code(dims, float(levels[at]), blocks, max(2, words), seed)
+    tried = Code(dims, float(levels[at]), blocks, max(2, words), seed, _TRIED_CODES)
+    hit = found_by_each(tried, cosine).mean()
+    hit = min(max(hit, 1e-4), 1 - 1e-9)
+    return replace(tried, codes=max(1, math.ceil(math.log(missed) / math.log1p(-hit))))
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -318,16 +352,16 @@ def near_duplicates(
     shared: float = SHARED,
     block: int = BLOCK,
     seed: int = 11,
+    missed: float = MISSED,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
     Vectors of equal components are one node with a count, so that copies are not compared.
     Each node goes to all filter directions near it; within a filter all is verified by the
     cosine in double precision, and nothing below `cosine` is linked. A link is counted in
-    the first filter that both ends share. A pair at the threshold shares `shared` filters on
-    average; with the defaults, 64 dimensions and 10 thousand to a million vectors, 2 to 3 in
-    100 such pairs share none, and so do 1 in 100 pairs at 0.92 and 1 in 200 at 0.95
-    (simulated). A filter with more than `block` vectors is compared in pairs of blocks.
+    the first filter that both ends share. As many codes are used as it takes for `missed` of
+    the pairs right at the threshold to share no filter, which is measured on simulated pairs
+    for the number and length of the vectors; nearer pairs share more. A filter with more than `block` vectors is compared in pairs of blocks.
 
     Vectors that are null or zero, or hold null or non-finite components, link with nothing,
     nor do vectors of different length. Rows of equal vec_id are vectors of their own; a
@@ -343,7 +377,7 @@ def near_duplicates(
     )
     nodes = store(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
     sizes = nodes.groupBy(F.size("embedding").alias("dims")).count().collect()
-    codes = {r["dims"]: choose_code(r["count"], r["dims"], cosine, shared, seed) for r in sizes}
+    codes = {r["dims"]: choose_code(r["count"], r["dims"], cosine, shared, missed, seed) for r in sizes}
     members = store(_memberships(nodes, codes), "members")
     counts = members.select(F.explode("filters").alias("filter")).groupBy("filter").agg(F.count("*").alias("n"))
     live = store(counts.where("n > 1").select("filter", F.ceil(F.col("n") / block).cast("int").alias("parts")), "live")

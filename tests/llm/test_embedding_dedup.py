@@ -69,9 +69,9 @@ def test_decoding_finds_all_filters_above_the_level():
     for k, (turn, (one, two)) in enumerate(parts):
         directions = np.concatenate([np.repeat(one, len(two), 0), np.tile(two, (len(one), 1))], axis=1) / np.sqrt(2)
         scores = x @ turn @ directions.T
-        sure = {(int(i), int(j) * e.CODES + k) for i, j in zip(*np.nonzero(scores >= code.level + 1e-5), strict=True)}
-        maybe = {(int(i), int(j) * e.CODES + k) for i, j in zip(*np.nonzero(scores >= code.level - 1e-5), strict=True)}
-        mine = {f for f in found if f[1] % e.CODES == k}
+        sure = {(int(i), int(j) * code.codes + k) for i, j in zip(*np.nonzero(scores >= code.level + 1e-5), strict=True)}
+        maybe = {(int(i), int(j) * code.codes + k) for i, j in zip(*np.nonzero(scores >= code.level - 1e-5), strict=True)}
+        mine = {f for f in found if f[1] % code.codes == k}
         assert sure <= mine <= maybe
 
 
@@ -82,3 +82,12 @@ def test_three_blocks():
     turn, words = code.parts()[0]
     grid = np.array([[*a, *b, *c] for a in words[0] for b in words[1] for c in words[2]]) / np.sqrt(3)
     assert len(row) == (x @ turn @ grid.T >= 0.5).sum() and len(row) > 0
+
+
+@pytest.mark.parametrize("n, dims", [(10**4, 64), (10**6, 64), (10**9, 64), (10**6, 384), (10**8, 384), (10**8, 768)])
+def test_few_pairs_at_the_threshold_are_missed(n, dims):
+    """Other pairs than those that the number of codes was measured with."""
+    code = e.choose_code(n, dims)
+    found = e.found_by_each(code, e.MIN_COSINE, 300, seed=77).any(axis=1)
+    assert found.mean() >= 0.95
+    assert e.found_by_each(code, 0.93, 200, seed=78).any(axis=1).mean() >= 0.98
