@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -18,6 +19,9 @@ from newsloom.llm.url_filters import url_host
 MIN_PAGES = 3
 MIN_SHARE = 0.2
 MANY_PAGES = 100
+# Inside main elements and articles it takes this share of the host's pages, however many they are:
+# a list or table that some articles have in common is text.
+INNER_SHARE = 0.5
 # A page that would lose more than this share of its text is much like other pages. What recurs
 # mostly on such pages is a copied article and no template.
 MOST_LOST = 0.9
@@ -49,23 +53,60 @@ _SIBLINGS = {
     "th": ({"td", "th"}, {"tr", "table"}),
 }
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-# Whole names of a class or id: each part between hyphens is one of these or says where or what
-# kind of box it is, and one at least is of these.
-_NAME = (
-    r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|breadcrumbs?|"
-    r"comments?(?:list|section|area|form|box|thread)?|disqus\w*|"
-    r"respond|replies|cookies?\w*|consent|gdpr|notices?|alert|popup|modal|overlay|navbar|nav|navigation|menu|"
-    r"sidebar|side[_-]?bar|rail|footer|masthead|topbar|toolbar|widgets?|newsletter|subscribe|signup|login|"
-    r"share|sharing|social|related|recommended|pagination|pager|skip[_-]?link)"
+# Names of a class or id are read in parts, cut at signs and capitals. A part of these says that the
+# box is none of the text, whatever stands beside it,
+_NOISE = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense adsbygoogle breadcrumb breadcrumbs "
+    "comment comments commentlist commentform commentbox disqus consent cookie cookies cookiebar footer gdpr login "
+    "masthead nav navbar navigation newsletter newsletters pager pagination popup popups replies sidebar sidebars "
+    "signin signup skiplink skiplinks sponsor sponsored sponsors subscribe subscription topbar".split()
 )
-_BESIDE = (
-    r"(?:left|right|top|bottom|upper|lower|site|page|global|primary|secondary|main|post|posts|articles?|stories|"
-    r"items?|links?|buttons?|icons?|media|slots?|units?|box|bar|block|list|area|section|wrap|wrapper|container|"
-    r"inner|outer|panel|row|form|sticky|floating|mobile|desktop|[0-9]+)"
+# unless one of these says otherwise: it is there or not, or names what the text is about.
+_OTHERWISE = frozenset(
+    "allowed category closed count disabled enabled format free has hidden hide no non off on open postid status tag "
+    "toggled topic topics type with without".split()
 )
-_NAMES = re.compile(
-    rf"(?:^|\s)(?:{_BESIDE}[_-]+)*+{_NAME}(?:[_-]+(?:{_NAME}|{_BESIDE}))*+(?:$|\s)", re.IGNORECASE
+# Boxes whose contents are no text even where there is no other.
+_NEVER = frozenset(
+    "ad ads advert adverts advertisement advertisements adsbygoogle comment comments commentlist consent cookie cookies "
+    "cookiebar disqus footer gdpr login replies signin signup".split()
 )
+# Weaker words: all parts must be of these, of those above, or say where or what kind of box it is.
+_WEAK = frozenset(
+    "alert banner menu modal notice notices overlay promo promos promotion rail recommended related respond share "
+    "sharing social toolbar widget widgets".split()
+)
+_BESIDE = frozenset(
+    "article articles bar block bottom box button buttons container desktop floating form global icon icons inner item "
+    "items left link links list lower main media mobile outer page panel post posts primary right row secondary "
+    "section area site slot slots sticky stories top unit units upper wrap wrapper".split()
+)
+# A class such as content-sidebar-wrap holds both.
+_WRAPPERS = frozenset("container inner layout wrap wrapper".split())
+_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
+# Longer names are no words of their authors.
+_MOST_NAME = 200
+
+
+@lru_cache(maxsize=1 << 16)
+def _noise(name: str) -> tuple[bool, bool]:
+    """Whether one name of a class or id says that the box is none of the text, and whether it
+    never is."""
+    if len(name) > _MOST_NAME:
+        return False, False
+    parts = [x.lower() for x in _PART.findall(name) if not x.isdigit()]
+    if not parts or not _OTHERWISE.isdisjoint(parts):
+        return False, False
+    if parts[0] in ("content", "main") and parts[-1] in _WRAPPERS:
+        return False, False
+    pairs = {f"{a}{b}" for a, b in zip(parts, parts[1:], strict=False)}
+    own = pairs.union(parts)
+    if not _NOISE.isdisjoint(own):
+        return True, not _NEVER.isdisjoint(own)
+    weak = not _WEAK.isdisjoint(parts) and all(x in _WEAK or x in _BESIDE for x in parts)
+    return weak, False
+
+
 _HEADERS = re.compile(r"(?:^|\s)(?:(?:site|page|top|main|global|blog)[_-]?)?header(?:$|\s)", re.IGNORECASE)
 # Links in a list or box, and their share of its text, from which it is a menu.
 MENU_LINKS = 3
@@ -87,14 +128,16 @@ _MOST_DEPTH = 512
 
 class _Element:
     __slots__ = (
-        "dropped", "gone", "hash", "held", "holds_main", "in_main", "inner", "linked", "links", "number", "parent",
-        "size", "tag",
+        "dropped", "gone", "hash", "held", "holds_main", "in_main", "inner", "linked", "links", "never", "number",
+        "parent", "size", "tag",
     )
 
     def __init__(self, tag: str, dropped: bool, in_main: bool, parent: "_Element | None", gone: bool = False, number: int = 0):
         self.tag, self.dropped, self.in_main, self.parent = tag, dropped, in_main, parent
         # Dropped whatever it holds; and the place among all start tags.
         self.gone, self.number = gone, number
+        # Dropped by a name that stands for no text at all.
+        self.never = False
         # Characters that are not in links, in what is dropped by name too.
         self.held = 0
         self.holds_main = tag == "main" and not gone
@@ -125,6 +168,8 @@ class _Page:
         self.named: list[_Element] = []
         self.largest: _Element | None = None
         self.main_held = 0
+        # Characters that are neither in links nor in anything that is dropped.
+        self.kept = 0
         root = _Element("", False, False, None)
         self.stack = [root]
         self.open: Counter[str] = Counter()
@@ -177,17 +222,18 @@ class _Page:
                 at = sign + 1
 
     def wrongly_named(self) -> frozenset[int]:
-        """The elements dropped by name that hold a main element or the largest article, or, where
-        neither has text elsewhere, most of the text that is not in links."""
+        """The elements dropped by name that hold a main element, or the largest article, or, where
+        all of the text is in such boxes, most of it. Boxes of comments, cookies, adverts,
+        footers and logins are wrongly named only if they hold a main element."""
         inside, element = set(), self.largest
         while element is not None:
             inside.add(element.number)
             element = element.parent
         total = self.stack[0].held
-        elsewhere = self.main_held > 0 or (self.largest is not None and self.largest.held > 0)
+        elsewhere = self.kept > 0 or self.main_held > 0 or (self.largest is not None and self.largest.held > 0)
         return frozenset(
             e.number for e in self.named
-            if e.holds_main or e.number in inside or (not elsewhere and 2 * e.held > total)
+            if e.holds_main or (not e.never and (e.number in inside or (not elsewhere and 2 * e.held > total)))
         )
 
     def text(self, data: str) -> None:
@@ -196,6 +242,7 @@ class _Page:
         element.held += plain
         if not element.dropped:
             self.owner = element
+            self.kept += plain
             data = unescape(data) if "&" in data else data
             self.parts.append(data)
             self.plain += plain
@@ -264,14 +311,15 @@ class _Page:
         parent = self.stack[-1]
         self.started += 1
         gone = parent.gone or tag in _DROPPED or (tag == "header" and not parent.in_main)
-        named = tag in _FORMS
+        named, never = tag in _FORMS, False
         if not gone and attributes and tag not in ("html", "body"):
-            gone, by_name = _is_dropped(attributes, parent.in_main)
+            gone, by_name, never = _is_dropped(attributes, parent.in_main)
             named = named or by_name
         named = named and not gone
         dropped = gone or parent.dropped or (named and self.started not in self.spared)
         element = _Element(tag, dropped, parent.in_main or (tag in _MAIN and not gone), parent, gone, self.started)
         if named:
+            element.never = never
             self.named.append(element)
         element.links = int(tag == "a")
         self.stack.append(element)
@@ -297,8 +345,9 @@ class _Page:
                     return
 
 
-def _is_dropped(attributes: str, in_main: bool) -> tuple[bool, bool]:
-    """Whether an element's attributes say that it is no part of the text: hidden, and by name."""
+def _is_dropped(attributes: str, in_main: bool) -> tuple[bool, bool, bool]:
+    """Whether an element's attributes say that it is no part of the text: hidden, by name, and by
+    a name that never is."""
     values: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(attributes):
         values.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
@@ -306,11 +355,11 @@ def _is_dropped(attributes: str, in_main: bool) -> tuple[bool, bool]:
     hidden = (
         "hidden" in values or values.get("aria-hidden") == "true" or bool(_HIDDEN.search(values.get("style", "")))
     )
+    said = [_noise(part) for name in names for part in name.split()]
+    named = any(noise for noise, _ in said)
     return hidden, (
-        values.get("role", "").lower() in _ROLES
-        or any(_NAMES.search(n) for n in names)
-        or (not in_main and any(_HEADERS.search(n) for n in names))
-    )
+        values.get("role", "").lower() in _ROLES or named or (not in_main and any(_HEADERS.search(n) for n in names))
+    ), any(never for _, never in said)
 
 
 def _read(html: str) -> _Page:
@@ -370,15 +419,16 @@ def _candidates(page: _Page) -> list[tuple[str, list[_Element]]]:
     return found
 
 
-def subtrees(html: str) -> tuple[int, int, dict[int, int]]:
+def subtrees(html: str) -> tuple[int, int, dict[tuple[int, bool], int]]:
     """Hash of the whole page, its characters, and the hashes of the subtrees that may be a
-    template, each with the characters of the blocks that have no such subtree further inside."""
+    template, with whether they lie in a main element or article, and the characters of the
+    blocks that have no such subtree further inside."""
     found = _candidates(_read(html))
     whole = xxhash.xxh64_intdigest("\n".join(t for t, _ in found).encode("utf-8", "surrogatepass")) >> 1
-    trees: Counter[int] = Counter()
+    trees: Counter[tuple[int, bool]] = Counter()
     for text, trail in found:
         for i, e in enumerate(trail):
-            trees[e.hash] += 0 if i else len(text)
+            trees[e.hash, e.in_main] += 0 if i else len(text)
     return whole, sum(len(t) for t, _ in found), dict(trees)
 
 
@@ -398,13 +448,13 @@ def page_templates(
     subtree that recurs is none either if more than half of its pages would lose nearly all
     of their text, unless it stands on many pages and on more than half of the host's.
     """
-    schema = "host string, k1 bigint, k2 bigint, whole bigint, size bigint, trees array<struct<tree: bigint, own: bigint>>"
-    trees_type = pa.list_(pa.struct([("tree", pa.int64()), ("own", pa.int64())]))
+    schema = "host string, k1 bigint, k2 bigint, whole bigint, size bigint, trees array<struct<tree: bigint, inner: boolean, own: bigint>>"
+    trees_type = pa.list_(pa.struct([("tree", pa.int64()), ("inner", pa.bool_()), ("own", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [subtrees(body.as_py() or "") for body in batch.column(3)]
-            trees = [[{"tree": t, "own": n} for t, n in trees.items()] for _, _, trees in found]
+            trees = [[{"tree": t, "inner": m, "own": n} for (t, m), n in trees.items()] for _, _, trees in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:3], pa.array([f[0] for f in found], pa.int64()),
@@ -419,9 +469,11 @@ def page_templates(
     found = store(one_per_key(slim.mapInArrow(run, schema), keys), "subtrees")
     different = found.groupBy("host").agg(F.countDistinct("whole").alias("pages"))
     trees = found.select(*keys, "whole", "size", F.explode("trees").alias("x")).select(*keys, "whole", "size", "x.*")
-    counted = trees.groupBy("host", "tree").agg(F.countDistinct("whole").alias("n")).where(F.col("n") >= min_pages)
+    counted = trees.groupBy("host", "tree").agg(F.countDistinct("whole").alias("n"), F.max("inner").alias("inner"))
+    counted = counted.where(F.col("n") >= min_pages)
     enough = F.least(F.lit(float(many_pages)), min_share * F.col("pages"))
-    recurring = store(counted.join(different, "host").where(F.col("n") >= enough), "recurring")
+    enough = F.when(F.col("inner"), F.greatest(enough, INNER_SHARE * F.col("pages"))).otherwise(enough)
+    recurring = store(counted.join(different, "host").where(F.col("n") >= enough).drop("inner"), "recurring")
     hits = store(trees.join(recurring, ["host", "tree"]), "hits")
     lost = hits.groupBy(*keys).agg((F.sum("own") > MOST_LOST * F.first("size")).alias("lost"))
     judged = hits.join(lost, keys).groupBy("host", "tree").agg(
@@ -446,7 +498,9 @@ def extract_text(
 
     Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and hidden
     parts go by tag, role and name, but nothing goes by role, name or as a form that holds a
-    main element, the largest article or, on pages with neither, most of the text; where main elements, or else the largest article,
+    main element, the largest article or, on pages whose text is all in such boxes, most of it;
+    comments, cookie notices, adverts, footers and logins go unless they hold a main element. Elements
+    deeper than 512 are read as part of the one at that depth. Where main elements, or else the largest article,
     hold most of the text that is not in links, only that counts, elsewhere boxes of links go too. Element subtrees
     that recur over the pages of a host go too, whatever their name; see `page_templates`. Character references are decoded, white space in a block becomes one space, blocks
     are joined by an empty line. Null html and pages without text give an empty text; pages

@@ -91,7 +91,7 @@ def test_articles_and_mains_that_hold_the_page():
 def test_names_around_each_other_take_no_longer():
     start = time.perf_counter()
     assert h._read("<div class='sidebar'>x" * 20_000 + "<main>y").blocks
-    assert h._NAMES.search("left-" * 20_000 + "x") is None
+    assert h.main_text(f"<div class='{'left-' * 20_000}x'>y</div>") == "y"
     assert time.perf_counter() - start < 5
 
 
@@ -130,6 +130,41 @@ def test_recurring_subtrees_go(spark):
     assert found[90] == found[91] == "Our site since 1990\n\nMenu of all\n\n" + article.format(0)
 
 
+NOISE = [
+    "related-posts", "comments-wrapper", "ad-wrapper", "footer-navigation", "sidebar-posts", "reader-comments", "user-comments",
+    "fb-comments", "comment-body", "google-ads", "adsbygoogle", "cookie-law", "siteFooter", "leftSidebar", "newsletterBox",
+    "side-bar", "skip-link", "AdSlot", "promo-box", "login_form",
+]
+LONG = "<p>" + "Much more text than the page itself has to say of its matter. " * 9 + "</p>"
+
+
+@pytest.mark.parametrize("attribute", ["class", "id"])
+@pytest.mark.parametrize("name", NOISE)
+def test_noise_goes_by_parts_of_its_name(name, attribute):
+    box = f"<div {attribute}='x1 {name}'>{LONG}</div>" if attribute == "class" else f"<div id='{name}'>{LONG}</div>"
+    for around in ("<main>{}</main>", "<article>{}</article>", "<div>{}</div>"):
+        assert h.main_text(around.format("<h1>Title</h1><p>A short note.</p>" + box)) == "Title\n\nA short note."
+        assert h.main_text(around.format("<p>A short note.</p>") + box) == "A short note."
+
+
+@pytest.mark.parametrize("name", ["post social-science", "ad-free", "comments-open", "has-sidebar", "category-advertising", "share-price", "menu-of-the-day", "no-comments", "loading adding"])
+def test_names_that_say_otherwise_stay(name):
+    assert h.main_text(f"<div><p>One.</p><div class='{name}'><p>Two.</p></div></div>") == "One.\n\nTwo."
+
+
+def test_comments_with_articles_of_their_own_are_not_the_page():
+    comments = f"<div id='comments'><article>{LONG}</article><article>{LONG}</article></div>"
+    assert h.main_text(f"<div><p>A short note.</p></div>{comments}") == "A short note."
+    assert h.main_text(f"<div class='cookie-page'><main><p>A short note.</p></main></div>{comments}") == "A short note."
+
+
+def test_lists_that_some_articles_share_stay(spark):
+    shared = "<ul><li>200 g of flour</li><li>two eggs</li></ul>"
+    rows = [(i, "http://a.org/x", f"<article><h1>Cake {i}</h1>{_own(i)}{shared if i < 3 else ''}</article>") for i in range(12)]
+    found = {r.page_id: r.text for r in h.extract_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(("flour" in found[i]) == (i < 3) for i in range(12))
+
+
 def _own(k):
     return "".join(f"<p>Own part {j} of text {k}, which is long enough to tell.</p>" for j in range(3))
 
