@@ -24,6 +24,8 @@ ARCHIVE_BYTES = 256 << 20
 # are no more than this.
 MAX_GAP = 64 << 10
 RANGE_BYTES = 8 << 20
+# Bytes of records that a task reads.
+TASK_BYTES = 64 << 20
 # Of all records; the pages have no time of their own.
 DATE = "1970-01-01T00:00:00Z"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
@@ -190,7 +192,12 @@ def read_records(
                 yield pa.RecordBatch.from_pylist([_checked(r, data, start) for r in rows[:n]], _SCHEMA)
                 rows = rows[n:]
 
-    placed = index.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # By the bytes of the records: the index itself is small, and adaptive execution, which joins
+    # small partitions of a number that is not given, would read all of it in few tasks.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-total // TASK_BYTES), min(cores, total // RANGE_BYTES))
+    placed = index.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return placed.mapInArrow(read, _RECORDS)
 
 
