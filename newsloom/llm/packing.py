@@ -3,7 +3,6 @@
 import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Sequence
-from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -15,9 +14,12 @@ from newsloom.llm.common import texts_of
 LENGTHS = (512, 1024, 2048, 4096)
 # What a sequence costs beside its length, in words.
 OVERHEAD = 64
-# Bytes of text that a task packs, and words that are packed together.
-TASK_BYTES = 16 << 20
+# Bytes of text that a task packs, and words that are packed together. While there are fewer tasks
+# than this for each core, a task packs less.
+TASK_BYTES = 512 << 20
+BLOCK_BYTES = 16 << 20
 BLOCK_WORDS = 4 << 20
+TASKS_PER_CORE = 16
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -44,26 +46,38 @@ def best_fit(
 
     An item goes to the open bin that it leaves least room in. If none has room, a bin is
     opened: of the lengths that hold the item, that with the least cost per word, where a
-    bin costs its length and `overhead`, and is taken to be filled with what is still to
-    come and small enough for the room beside the item; of equals the shorter. At the end
-    each bin gets the shortest length that holds its contents.
+    bin costs its length and `overhead`, and is taken to be filled with what best fit would
+    place in the room beside the item of the sizes still to come, the largest that fits
+    first; of equals the shorter. So a long bin is opened only where the sizes that are left
+    fill it. At the end each bin gets the shortest length that holds its contents.
     """
     lengths = sorted(lengths)
     smaller = [-s for s in sizes]
-    words_from = list(accumulate(reversed(sizes), initial=0))[::-1]
     room: list[tuple[int, int]] = []
     bins: list[list[int]] = []
     used: list[int] = []
+
+    def filled(left: int, after: int) -> int:
+        """Words that go into a room of `left` words, of the sizes from the place `after` on."""
+        start, at = left, after
+        while left and (at := bisect_left(smaller, -left, at)) < len(sizes):
+            size = sizes[at]
+            # As many of the same size as there are and fit.
+            same = bisect_left(smaller, 1 - size, at) - at
+            left -= size * min(same, left // size)
+            at += same
+        return start - left
+
     for i, size in enumerate(sizes):
         at = bisect_left(room, (size, -1))
         if at < len(room):
             left, chosen = room.pop(at)
         else:
-            def cost(length: int, size: int = size, i: int = i) -> float:
-                fits = max(i + 1, bisect_left(smaller, size - length))
-                return (length + overhead) / (size + min(length - size, words_from[fits]))
-
-            left = min((x for x in lengths if x >= size), key=lambda x: (cost(x), x))
+            costs = [
+                ((length + overhead) / (size + filled(length - size, i + 1)), length)
+                for length in lengths if length >= size
+            ]
+            left = min(costs)[1]
             chosen = len(bins)
             bins.append([])
             used.append(0)
@@ -93,8 +107,8 @@ def pack(
     an empty line.
 
     A document longer than the longest sequence is cut into pieces of that length and a rest.
-    Pieces are dealt out evenly, whatever their document or source, to tasks that each pack
-    theirs, `block_words` at a time. A word is in exactly one sequence. Texts without words
+    Pieces are dealt out evenly, whatever their document or source, to tasks of `task_bytes` that
+    each pack theirs, `block_words` at a time. A word is in exactly one sequence. Texts without words
     are in none; a null doc_id stays null; repeated rows are packed as often as they come.
     Other columns are not read.
     """
@@ -146,4 +160,6 @@ def pack(
             yield bins(held, next_id)
 
     dealt = slim.mapInArrow(pieces, "doc_id bigint, first_word bigint, n int, text string")
-    return dealt.repartition(max(1, -(-total // task_bytes))).mapInArrow(fill, _BINS)
+    cores = documents.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-total // task_bytes), min(cores * TASKS_PER_CORE, -(-total // BLOCK_BYTES)))
+    return dealt.repartition(tasks).mapInArrow(fill, _BINS)

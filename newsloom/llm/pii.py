@@ -33,6 +33,10 @@ MIN_TEXTS = 3
 # Share of an entity's information from which a term that discloses it is made general or removed.
 GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
+# Of the texts that hold a term, the share that hold it near the entity, from which it can disclose
+# that entity. Without it the bound would fall as the corpus grows: a rare entity has much
+# information, of which a word of hundreds of texts holds most.
+MIN_GIVEN = 0.5
 # Terms that a task counts before it hands its counts on.
 _HELD_TERMS = 300_000
 # Marks, by hash, of the terms that disclose; a task looks up the words of its texts in them.
@@ -162,7 +166,7 @@ def _find(documents: DataFrame, window: int) -> DataFrame:
     return documents.mapInArrow(run, _FOUND)
 
 
-def _strong(found: DataFrame, min_texts: int, generalise_at: float) -> DataFrame:
+def _strong(found: DataFrame, min_texts: int, generalise_at: float, min_given: float) -> DataFrame:
     """(term, share) of the terms that disclose an entity, with the greatest of their shares.
 
     share is the pointwise mutual information of term and entity, log2 P(e|t) / P(e), over the
@@ -183,7 +187,8 @@ def _strong(found: DataFrame, min_texts: int, generalise_at: float) -> DataFrame
     )
     # An entity of all documents has no information to disclose.
     strong = pairs.join(n_entity, "entity").join(n_term, "term").where(F.col("n_entity") < total)
-    strong = strong.select("term", share.alias("share")).where(F.col("share") >= generalise_at)
+    given = F.col("n_both") / F.col("n_term")
+    strong = strong.where(given >= min_given).select("term", share.alias("share")).where(F.col("share") >= generalise_at)
     return store(strong.groupBy("term").agg(F.max("share").alias("share")), "strong")
 
 
@@ -241,11 +246,11 @@ def _with_digest(documents: DataFrame, text: str) -> DataFrame:
     return documents.select("*", F.sha2(body, 256).alias("digest"))
 
 
-def _analyse(documents, text, doc_id, window, min_texts, generalise_at) -> tuple[DataFrame, DataFrame]:
+def _analyse(documents, text, doc_id, window, min_texts, generalise_at, min_given) -> tuple[DataFrame, DataFrame]:
     slim = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     slim = _with_digest(slim, "text")
     found = store(_find(slim, window), "found")
-    return found.where("term IS NULL"), _flagged(slim, _strong(found, min_texts, generalise_at))
+    return found.where("term IS NULL"), _flagged(slim, _strong(found, min_texts, generalise_at, min_given))
 
 
 def find_personal_data(
@@ -255,18 +260,20 @@ def find_personal_data(
     window: int = WINDOW,
     min_texts: int = MIN_TEXTS,
     generalise_at: float = GENERALISE_AT,
+    min_given: float = MIN_GIVEN,
 ) -> DataFrame:
     """(doc_id, spans: array<struct<start, kind, end>>) of every row, spans in order; kind is
     the place in KINDS, start and end count code points.
 
     Base spans come from patterns. Corpus co-occurrence adds terms: words within `window`
     words of a protected entity in at least `min_texts` different texts, that disclose at
-    least the share `generalise_at` of its information. The window is for the estimate only:
+    least the share `generalise_at` of its information, and stand near it in `min_given` of the texts
+    that hold them. The window is for the estimate only:
     such a term is a span wherever it stands outside base spans, in every document. Documents count with their copies in
     all probabilities, but copies are one text. A null text is empty and has no spans; a row
     comes out as often as it comes in; no rows give no rows.
     """
-    docs, flagged = _analyse(documents, text, doc_id, window, min_texts, generalise_at)
+    docs, flagged = _analyse(documents, text, doc_id, window, min_texts, generalise_at, min_given)
     terms = F.expr("transform(terms, x -> struct(x.start as start, x.kind as kind, x.end as end))")
     both = F.sort_array(F.concat("spans", F.coalesce(terms, F.expr(f"cast(array() as {_SPANS})"))))
     return docs.select("doc_id", "digest", "spans").join(flagged, "digest", "left").select("doc_id", both.alias("spans"))
@@ -292,13 +299,14 @@ def sanitise(
     min_texts: int = MIN_TEXTS,
     generalise_at: float = GENERALISE_AT,
     remove_at: float = REMOVE_AT,
+    min_given: float = MIN_GIVEN,
 ) -> DataFrame:
     """All rows and columns, with the spans of `find_personal_data` taken out of `text`.
 
     A base span becomes the name of its kind in brackets; a term becomes [TERM], or nothing
     from `remove_at` on. Of spans that overlap the first decides. Null stays null.
     """
-    _, flagged = _analyse(documents, text, doc_id, window, min_texts, generalise_at)
+    _, flagged = _analyse(documents, text, doc_id, window, min_texts, generalise_at, min_given)
     key, terms, found_key = unused_names(documents, "digest", "terms", "found_digest")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     marked = documents.withColumn(key, F.sha2(body, 256)).join(

@@ -137,23 +137,18 @@ BASE_RULES = (
     Rule("repeated_words", lambda t: 100 * t.n_repeat_words > 20 * t.n_words),
 )
 # Beside the base: texts of symbols, of capitals, of words said twice, of lines said twice, and
-# of no words in the usual sense. These are the rules of the SQL of op10; its limits for symbols
-# and the length of words reject some clean texts as well, see PIPELINE_RULES.
+# of no words in the usual sense. Signs count by the characters of the text, where signs of
+# figures and bars of tables count for none; long words may be sentences of a script without spaces.
 RULES = BASE_RULES + (
-    Rule("symbols", lambda t: 10 * t.n_symbols > t.n_words),
+    Rule("symbols", lambda t: 10 * t.odd_signs > t.word_chars),
     Rule("capitals", lambda t: t.capitals[1] >= 20 and 10 * t.capitals[0] > 6 * t.capitals[1]),
     Rule("stutter", lambda t: 10 * t.n_stutters > 3 * t.n_words),
     Rule("repeated_lines", lambda t: len(t.lines) >= 4 and 2 * t.n_dup_lines > len(t.lines)),
-    Rule("word_length", lambda t: not 2 * t.n_words <= t.word_chars <= 25 * t.n_words),
+    Rule("word_length", lambda t: t.word_chars < 2 * t.n_words or (t.word_chars > 25 * t.n_words and not t.n_spaceless)),
 )
-# What the pipeline drops by: the same, but signs count by the characters of the text, where signs
-# of figures and bars of tables count for none, and scripts without spaces by their letters.
-_LOOSER = {
-    "few_words": lambda t: t.n_words < 10 and t.n_spaceless < 20,
-    "symbols": lambda t: 10 * t.odd_signs > t.word_chars,
-    "word_length": lambda t: t.word_chars < 2 * t.n_words or (t.word_chars > 25 * t.n_words and not t.n_spaceless),
-}
-PIPELINE_RULES = tuple(Rule(r.name, _LOOSER.get(r.name, r.rejects)) for r in RULES)
+# What the pipeline drops by: the same, but that few words do if they are of a script with spaces.
+# In the query few words always fail the base.
+PIPELINE_RULES = (Rule("few_words", lambda t: t.n_words < 10 and t.n_spaceless < 20), *RULES[1:])
 # Texts that the order of the rules is estimated on, about.
 SAMPLE_ROWS = 2000
 

@@ -303,17 +303,21 @@ counted AS (
          len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
          (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l) AS n_lines,
          coalesce(n, 0)::BIGINT AS n_repeat_words,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) - len(regexp_extract_all(t, '\$[0-9]')) - len(regexp_extract_all(t, '[0-9]%'))
+           - coalesce(list_sum(list_transform(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*\|')),
+                                              lambda x: len(regexp_extract_all(x, '\|')))), 0) AS odd_signs,
+         len(regexp_extract_all(t, '[\x{0e00}-\x{0fff}\x{1000}-\x{109f}\x{1780}-\x{17ff}\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{20000}-\x{3ffff}]')) AS alone,
          len(regexp_extract_all(t, '[A-Z]')) AS upper_letters,
          len(regexp_extract_all(t, '[A-Za-z]')) AS letters,
          len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_stutters
   FROM d JOIN lined USING (r) LEFT JOIN covered USING (r)),
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR 10 * n_symbols > n_words
+       NOT (base_failed OR 10 * odd_signs > word_chars
             OR (letters >= 20 AND 10 * upper_letters > 6 * letters)
             OR 10 * n_stutters > 3 * n_words
             OR (n_lines >= 4 AND 2 * n_dup_lines > n_lines)
-            OR NOT (word_chars BETWEEN 2 * n_words AND 25 * n_words)) AS kept
+            OR word_chars < 2 * n_words OR (word_chars > 25 * n_words AND 2 * alone <= word_chars)) AS kept
 FROM judged""",
     # START, MESSAGE and END of the template have 9, 11 and 7 characters; each control string has one more.
     "op13_chat_formatting": r"""

@@ -32,16 +32,26 @@ def quality(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered), failed
 
 
-def good(text):
+SPACELESS = "[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]"
+
+
+def good(text, pipeline=False):
+    """Whether no rule rejects a text; the pipeline takes few words of scripts without spaces."""
     text = text or ""
-    n, chars, symbols, dup, _, failed = quality(text)
+    n, chars, symbols, dup, repeated, failed = quality(text)
     w = words(text)
     lines = [x for x in text.split("\n") if WORD.search(x)]
     upper, letters = len(re.findall("[A-Z]", text)), len(re.findall("[A-Za-z]", text))
     stutters = sum(a == b for a, b in zip(w, w[1:], strict=False))
+    bars = sum(x.count("|") for x in lines if re.match(r"[\x20\x09-\x0D]*\|", x))
+    odd = symbols - bars - len(re.findall(r"\$(?=[0-9])|(?<=[0-9])%", text))
+    letters_alone = len(re.findall(SPACELESS, text))
+    letters_alone = letters_alone if 2 * letters_alone > chars else 0
+    if pipeline:
+        failed = (n < 10 and letters_alone < 20) or 100 * repeated > 20 * n
     return not (
-        failed or symbols * 10 > n or (letters >= 20 and upper * 10 > letters * 6) or stutters * 10 > n * 3
-        or (len(lines) >= 4 and dup * 2 > len(lines)) or not 2 * n <= chars <= 25 * n
+        failed or odd * 10 > chars or (letters >= 20 and upper * 10 > letters * 6) or stutters * 10 > n * 3
+        or (len(lines) >= 4 and dup * 2 > len(lines)) or chars < 2 * n or (chars > 25 * n and not letters_alone)
     )
 
 
@@ -100,40 +110,35 @@ def personal(text):
     return sorted(found)
 
 
-def disclosing(texts, window=8, min_texts=3, at=0.8):
-    """Per text (start, end, share) of the terms that disclose a protected entity."""
+def disclosing(texts, window=8, min_texts=3, at=0.8, given=0.5):
+    """Per text (start, end, share) of the terms that disclose a protected entity, wherever they stand."""
     texts = [t or "" for t in texts]
-    near, holds, entities = [], Counter(), Counter()
+    near, words, holds, entities = [], [], Counter(), Counter()
     for text in texts:
         spans = personal(text)
         free = [m for m in re.finditer(r"[^\W_]{3,}", text) if not any(s < m.end() and m.start() < e for s, _, e in spans)]
-        found = []
+        found = set()
         for s, k, e in spans:
             value = text[s:e].lower() if k < 2 else re.sub("[^0-9]", "", text[s:e])
             before = [m for m in free if m.start() < s][-window:]
             after = [m for m in free if m.start() >= s][:window]
-            found += [((k, value), m[0].lower(), m.start(), m.end()) for m in before + after]
+            found |= {((k, value), m[0].lower()) for m in before + after}
         near.append(found)
+        words.append(free)
         holds.update(set(re.findall(r"[^\W_]{3,}", text.lower())))
-        entities.update({f[0] for f in found})
+        entities.update({e for e, _ in found})
     both, seen = Counter(), defaultdict(set)
     for text, found in zip(texts, near, strict=True):
-        for pair in {(f[0], f[1]) for f in found}:
-            both[pair] += 1
+        both.update(found)
+        for pair in found:
             seen[pair].add(text)
-    n = len(texts)
-    share = {}
+    n, share = len(texts), {}
     for (e, t), k in both.items():
-        if len(seen[e, t]) >= min_texts and entities[e] < n:
-            share[e, t] = math.log2(k * n / (holds[t] * entities[e])) / math.log2(n / entities[e])
-    out = []
-    for found in near:
-        best = {}
-        for e, t, s, end in found:
-            if share.get((e, t), -1) >= at:
-                best[s, end] = max(best.get((s, end), -1), share[e, t])
-        out.append(sorted((s, e, x) for (s, e), x in best.items()))
-    return out
+        if len(seen[e, t]) >= min_texts and entities[e] < n and k / holds[t] >= given:
+            bits = math.log2(k * n / (holds[t] * entities[e])) / math.log2(n / entities[e])
+            if bits >= at:
+                share[t] = max(share.get(t, 0), bits)
+    return [[(m.start(), m.end(), share[m[0].lower()]) for m in free if m[0].lower() in share] for free in words]
 
 
 def cleaned(text, terms, remove_at=0.95):
@@ -193,8 +198,10 @@ def packed(sizes, lengths, overhead):
             costs = []
             for length in sorted(lengths):
                 if length >= size:
-                    fill = sum(s for s in sizes[i + 1 :] if s <= length - size)
-                    costs.append(((length + overhead) / (size + min(length - size, fill)), length))
+                    filled = size
+                    for s in sizes[i + 1 :]:
+                        filled += s if filled + s <= length else 0
+                    costs.append(((length + overhead) / filled, length))
             bins.append([min(costs)[1], []])
             k = len(bins) - 1
         bins[k][0] -= size

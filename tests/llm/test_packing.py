@@ -18,6 +18,22 @@ def test_best_fit_agrees_with_brute_force(seed):
     assert packing.best_fit([]) == []
 
 
+def test_shorter_bins_are_opened_where_the_rest_fills_them_better():
+    """Plain best fit opens the longest bins and shortens them at the end; here bins differ."""
+    sizes = [900, 900, *[90] * 14]
+    lengths = (1000, 1500)
+    found = packing.best_fit(sizes, lengths, 64)
+    plain = packing.best_fit(sizes, (1500,), 64)
+    assert sorted(map(sorted, (i for _, i in found))) != sorted(map(sorted, (i for _, i in plain)))
+    assert found[0] == (1000, [0, 2]) and found[1] == (1000, [1, 3])
+    # Halves of the longest wait for each other; a long bin is opened for them.
+    assert packing.best_fit([900, 500, 500], lengths, 64) == [(1500, [0, 1]), (1000, [2])]
+    draw = random.Random(7)
+    drawn = sorted((min(4096, int(draw.lognormvariate(6.5, 0.8)) + 1) for _ in range(5000)), reverse=True)
+    lengths_used = {length for length, _ in packing.best_fit(drawn)}
+    assert len(lengths_used) > 1
+
+
 def _check(table, bins, lengths):
     texts = Counter()
     for r in table.collect():

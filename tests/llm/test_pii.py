@@ -76,6 +76,17 @@ def test_terms_go_wherever_they_stand(documents):
     assert not any("zorblat " in text.lower() for _, text in clean)
 
 
+def test_terms_of_many_other_texts_stay_however_rare_the_entity(documents):
+    """At any size of the corpus a term must be near the entity in half of its texts."""
+    near = [(i, f"word{i} zorblat writes from jane.doe@mail.example.org") for i in range(3)]
+    far = [(10 + i, f"zorblat number{i} stands alone here") for i in range(7)]
+    table = documents(*near, *far, *[(100 + i, f"other{i}") for i in range(3000)])
+    # Of its ten texts three are near the entity, though it says most of the entity's bits.
+    for given, tagged in ((0.5, 0), (0.0, 7)):
+        found = pii.find_personal_data(table, min_given=given).collect()
+        assert sum(any(s.kind == 4 for s in r.spans) for r in found if 10 <= r.doc_id < 17) == tagged
+
+
 def test_empty_table(documents):
     none = documents(*_corpus()).limit(0)
     assert pii.find_personal_data(none).count() == 0

@@ -32,7 +32,7 @@ def test_stages_agree_with_brute_force(spark, tmp_path):
         if k < 4:
             assert docs.columns == COLUMNS
         if k == 0:
-            assert sorted(after) == sorted(r for r in before if brute.good(r.text))
+            assert sorted(after) == sorted(r for r in before if brute.good(r.text, pipeline=True))
         if k == 1:
             assert sorted(after) == sorted(_deduplicated(before))
         if k == 2:
@@ -55,6 +55,12 @@ def test_stages_agree_with_brute_force(spark, tmp_path):
             assert found == +words
 
 
+def test_quality_stage_at_a_larger_scale(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.quality(spark, docs, "").select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.collect() if brute.good(r.text, pipeline=True)}
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
 
@@ -90,4 +96,4 @@ def test_queries_agree_with_sql(spark, db, name):
 
 def test_every_operator_has_a_query():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
