@@ -73,7 +73,7 @@ OPERATORS = {
     "A5": ["distinct_sources"],
     "A6": ["row_counts", "test_two_runs"],
     "A7": ["centroid"],
-    "A8": ["batch_status", "open_batches"],
+    "A8": ["batch_status", "waiting_batches"],
     "A9": ["last_wins", "upserted_run"],
     "A10": ["duplicate_report", "later_copies", "repeated_source_names"],
     "A11": ["distinct_values"],
@@ -132,5 +132,5 @@ OPERATORS = {
     "Q9": ["assign_topics", "project", "search_texts", "nearest_to_centroid"],
     "Q10": ["post_prompts", "generated_posts", "post_files"],
     "Q11": ["source_profile", "profiles_with_repeats", "distinct_sources", "test_past_posts"],
-    "Q12": ["batch_status", "latest_run", "run_ledger", "saved_bodies", "open_batches", "resumed_run"],
+    "Q12": ["batch_status", "latest_run", "run_ledger", "saved_bodies", "waiting_batches", "resumed_run"],
 }

@@ -91,7 +91,7 @@ def answers_in_two_polls(spark, sf):
          CASE WHEN batch_no > 0 AND count(*) FILTER (WHERE lang = 'de') > 0 THEN 'running' ELSE 'completed' END AS status
        FROM sent GROUP BY batch_no"""
 )
-def open_batches(spark, sf):
+def waiting_batches(spark, sf):
     """Where the batches stand once all but the German answers have landed, and the first batch
     has been reported as expired."""
     task = tasks.validity_task("m1")
