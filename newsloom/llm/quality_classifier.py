@@ -1,20 +1,26 @@
 """A quality classifier on random-indexing word vectors."""
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import added_columns, store, texts_of, unused_names
-
-# Words share this many context vectors by hash, so that the table of them has a fixed size.
-BUCKETS = 1 << 14
-DIMS = 32
-# Entries of an index vector that are not zero, half of them 1, half -1.
+from newsloom.llm.common import added_columns, store, texts_of
+
+# A word that makes up at least this part of all words has a context vector of its own. No
+# corpus has more than HEAD of them, so that their table has a bound.
+HEAD = 1 << 15
+# Rarer words share these context vectors by hash.
+SHARED = 1 << 14
+ROWS = HEAD + SHARED
+SHAPES = 1 << 14
+DIMS = 64
+# Entries of an index vector that are not zero: one is 1, one is -1.
 NONZERO = 2
 # Words on each side that make up the context of a word.
 WINDOW = 2
@@ -25,27 +31,47 @@ CALIBRATE_EVERY = 5
 HIDDEN = 32
 EPOCHS = 40
 _HELD_WORDS = 1 << 18
-_KNOWN_WORDS = 200_000
-# Signs that are no part of the letters of a word, and what stands for a byte in its shape.
-_SIGNS = bytes(c for c in range(128) if not chr(c).isalnum())
-_SHAPE = bytes(
-    ord("A") if chr(c).isupper() else ord("9") if chr(c).isdigit() else ord("a") if chr(c).isalpha() else c for c in range(128)
-) + b"a" * 128
-_RUN = re.compile(rb"(.)\1+", re.DOTALL)
+_KNOWN_WORDS = 400_000
+_OTHER = regex.compile(r"[^\p{L}\p{M}\p{N}]+")
+_CAPITALS = regex.compile(r"[\p{Lu}\p{Lt}]+")
+_LETTERS = regex.compile(r"(?:(?!A)[\p{L}\p{M}])+")
+_DIGITS = regex.compile(r"\p{N}+")
+_RUN = regex.compile(r"(.)\1+", regex.DOTALL)
+
+
+def cleaned(word: str) -> str:
+    """The letters, marks and digits of a word, in small letters."""
+    return _OTHER.sub("", word).lower()
+
+
+def shape(word: str) -> str:
+    """One sign for each run of capitals (A), other letters (a) or digits (9), and for each run
+    of another sign that sign."""
+    return _RUN.sub(r"\1", _DIGITS.sub("9", _LETTERS.sub("a", _CAPITALS.sub("A", word))))
+
+
+def word_hash(word: str) -> int:
+    """63 bits of a cleaned word."""
+    return xxhash.xxh64_intdigest(word.encode()) >> 1
 
 
 class Words(dict):
-    """Word and shape numbers of words, kept for those that come again."""
-
-    def __missing__(self, word: bytes) -> int:
-        """Bucket of the letters of a word, times BUCKETS, plus that of its shape: a sign for
-        each run of capitals, small letters (all beyond ASCII among them) or digits, and for
-        each run of another sign that sign."""
-        letters = word.translate(None, _SIGNS).lower()
-        shape = _RUN.sub(rb"\1", word.translate(_SHAPE))
-        found = zlib.crc32(letters) % BUCKETS * BUCKETS + zlib.crc32(shape, 1) % BUCKETS
+    """Numbers of words, kept for those that come again: hashes of the cleaned words; or, if
+    the frequent ones are given, row of the vector times SHAPES plus that of the shape."""
+
+    def __init__(self, head: np.ndarray | None = None):
+        self.rows = None if head is None else {h: i for i, h in enumerate(head.tolist())}
+
+    def __missing__(self, raw: bytes) -> int:
+        word = raw.decode("utf-8", "replace")
+        found = word_hash(cleaned(word))
+        if self.rows is not None:
+            row = self.rows.get(found)
+            if row is None:
+                row = HEAD + found % SHARED
+            found = row * SHAPES + zlib.crc32(shape(word).encode()) % SHAPES
         if len(self) < _KNOWN_WORDS:
-            self[word] = found
+            self[raw] = found
         return found
 
     def numbers(self, text: bytes) -> np.ndarray:
@@ -54,71 +80,93 @@ class Words(dict):
 
 
 def index_vectors(seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of the entries of each bucket's index vector that are not zero."""
+    """Places and signs of the entries of the index vector of each row that are not zero."""
     rng = np.random.default_rng(seed)
-    places = np.argsort(rng.random((BUCKETS, DIMS)), axis=1)[:, :NONZERO]
-    signs = np.tile(np.array([1.0, -1.0] * NONZERO)[:NONZERO], (BUCKETS, 1))
+    first = rng.integers(0, DIMS, ROWS)
+    places = np.stack([first, (first + rng.integers(1, DIMS, ROWS)) % DIMS], axis=1)
+    signs = np.tile([1.0, -1.0], (ROWS, 1))
     return places, signs
 
 
-def context_vectors(documents: DataFrame, text: str = "text") -> np.ndarray:
-    """(BUCKETS, DIMS): for each bucket the sum of the index vectors of the words around its
-    words in all of the corpus, to unit length.
+def _pieces(
+    batches: Iterator[pa.RecordBatch], words: Words, held_words: int = _HELD_WORDS
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of words, and of the document that each is in, of many texts at a time."""
+    held, n = [], 0
+    for batch in batches:
+        for body in texts_of(batch.column(0)):
+            held.append(words.numbers(body))
+            n += len(held[-1])
+            if n >= held_words:
+                yield np.concatenate(held), np.repeat(np.arange(len(held)), [len(x) for x in held])
+                held, n = [], 0
+    if held:
+        yield np.concatenate(held), np.repeat(np.arange(len(held)), [len(x) for x in held])
+
+
+def frequent_words(documents: DataFrame, text: str = "text") -> np.ndarray:
+    """Hashes, in order, of the words that have a vector of their own, by counts over the whole
+    corpus: at most HEAD of them."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for numbers, _ in _pieces(batches, Words(), 4 * _HELD_WORDS):
+            found, n = np.unique(numbers, return_counts=True)
+            for i in range(0, len(found), 1 << 16):
+                some = slice(i, i + (1 << 16))
+                yield pa.RecordBatch.from_arrays([pa.array(found[some]), pa.array(n[some])], ["word", "n"])
+
+    parts = documents.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "word bigint, n bigint")
+    counts = store(parts.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    head = counts.where(F.col("n") * HEAD >= total).select("word").toArrow()
+    return np.sort(head.column(0).to_numpy())
+
+
+def context_vectors(documents: DataFrame, head: np.ndarray, text: str = "text") -> np.ndarray:
+    """(ROWS, DIMS): for each row the sum of the index vectors of the words around its words in
+    all of the corpus, to unit length.
 
     Each task adds up its own table, of a fixed size, and hands on the rows it has touched;
-    these are summed per bucket. What comes to the driver is the table alone.
+    these are summed per row, in whole numbers. What comes to the driver is the table alone.
     """
     places, signs = index_vectors()
-
-    def add(table: np.ndarray, ids: np.ndarray, document: np.ndarray) -> None:
-        for step in range(1, WINDOW + 1):
-            same = document[step:] == document[:-step]
-            a, b = ids[:-step][same], ids[step:][same]
-            for target, near in ((a, b), (b, a)):
-                for k in range(NONZERO):
-                    at = target * DIMS + places[near, k]
-                    table += np.bincount(at, signs[near, k], minlength=BUCKETS * DIMS)
+    shared = documents.sparkSession.sparkContext.broadcast(head)  # HEAD numbers at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, table = Words(), np.zeros(BUCKETS * DIMS)
-        held, n = [], 0
-
-        def flush() -> None:
-            nonlocal held, n
-            if held:
-                add(table, np.concatenate(held), np.repeat(np.arange(len(held)), [len(x) for x in held]))
-            held, n = [], 0
-
-        for batch in batches:
-            for body in texts_of(batch.column(0)):
-                ids = words.numbers(body) // BUCKETS
-                held.append(ids)
-                n += len(ids)
-                if n >= _HELD_WORDS:
-                    flush()
-        flush()
-        rows = table.reshape(BUCKETS, DIMS)
+        sums = np.zeros(ROWS * DIMS)
+        for numbers, document in _pieces(batches, Words(shared.value)):
+            at, by = [], []
+            ids = numbers // SHAPES
+            for step in range(1, WINDOW + 1):
+                same = document[step:] == document[:-step]
+                a, b = ids[:-step][same], ids[step:][same]
+                for target, near in ((a, b), (b, a)):
+                    for k in range(NONZERO):
+                        at.append(target * DIMS + places[near, k])
+                        by.append(signs[near, k])
+            sums += np.bincount(np.concatenate(at), np.concatenate(by), minlength=ROWS * DIMS)
+        rows = sums.reshape(ROWS, DIMS)
         used = np.flatnonzero(rows.any(axis=1))
         for i in range(0, len(used), 4096):
             some = used[i : i + 4096]
+            own = rows[some].astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(some), *(pa.array(rows[some, d].astype(np.float32)) for d in range(DIMS))],
-                ["bucket", *(f"d{d}" for d in range(DIMS))],
+                [pa.array(some), *(pa.array(own[:, d]) for d in range(DIMS))], ["row", *(f"d{d}" for d in range(DIMS))]
             )
 
     columns = [f"d{d}" for d in range(DIMS)]
     parts = documents.select(F.col(text).cast("string").alias("text")).mapInArrow(
-        run, "bucket bigint, " + ", ".join(f"{c} float" for c in columns)
+        run, "row bigint, " + ", ".join(f"{c} bigint" for c in columns)
     )
-    found = parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in columns]).toArrow()
-    table = np.zeros((BUCKETS, DIMS))
+    found = parts.groupBy("row").agg(*[F.sum(c).alias(c) for c in columns]).toArrow()
+    table = np.zeros((ROWS, DIMS))
     if found.num_rows:
-        table[found.column("bucket").to_numpy()] = np.stack([found.column(c).to_numpy() for c in columns], axis=1)
+        table[found.column("row").to_numpy()] = np.stack([found.column(c).to_numpy() for c in columns], axis=1)
     return (table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
 # Mean and spread of the word vectors, mean of the shapes' index vectors, and three figures: how
-# alike neighbouring words are by their context vectors and by their index vectors, and length.
+# alike neighbouring words are by their context vectors, how many are in the same row, and length.
 FEATURES = 3 * DIMS + 3
 
 
@@ -128,7 +176,7 @@ def pool(numbers: np.ndarray, table: np.ndarray, places: np.ndarray, signs: np.n
     n = len(numbers)
     if n == 0:
         return out
-    ids, shapes = numbers // BUCKETS, numbers % BUCKETS
+    ids, shapes = numbers // SHAPES, numbers % SHAPES
     total = np.zeros(DIMS)
     square = np.zeros(DIMS)
     alike = 0.0
@@ -136,35 +184,48 @@ def pool(numbers: np.ndarray, table: np.ndarray, places: np.ndarray, signs: np.n
         rows = table[ids[i : i + (1 << 15) + 1]]
         own = rows[: 1 << 15]
         total += own.sum(axis=0)
-        square += (own * own).sum(axis=0)
-        alike += float((rows[1:] * rows[:-1]).sum())
+        square += np.einsum("ij,ij->j", own, own)
+        alike += float(np.einsum("ij,ij->", rows[1:], rows[:-1]))
     mean = total / n
     out[:DIMS] = mean
     out[DIMS : 2 * DIMS] = np.sqrt(np.maximum(square / n - mean * mean, 0))
     for k in range(NONZERO):
         out[2 * DIMS : 3 * DIMS] += np.bincount(places[shapes, k], signs[shapes, k], minlength=DIMS) / n
     out[3 * DIMS] = alike / max(n - 1, 1)
-    # Index vectors of different words are close to orthogonal.
     out[3 * DIMS + 1] = (ids[1:] == ids[:-1]).sum() / max(n - 1, 1)
     out[3 * DIMS + 2] = np.log1p(n)
     return out
 
 
-def pooled(documents: DataFrame, table: np.ndarray, name: str, text: str = "text") -> DataFrame:
-    """All rows, with the document's vector (float32 in bytes) in the column `name` for `text`."""
-    shared = documents.sparkSession.sparkContext.broadcast(table)  # BUCKETS * DIMS, whatever the corpus
-    at = documents.columns.index(text)
+class Pooling:
+    """From texts to vectors, in tasks. The table of ROWS vectors goes to every task."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, vectors = Words(), shared.value
+    def __init__(self, documents: DataFrame, text: str = "text"):
+        head = frequent_words(documents, text)
+        table = context_vectors(documents, head, text)
+        self.shared = documents.sparkSession.sparkContext.broadcast((head, table))
+
+    def vectors(self, batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        """Each batch with the vectors of the texts in its column `at`."""
+        head, table = self.shared.value
+        words = Words(head)
         places, signs = index_vectors()
         for batch in batches:
-            found = [pool(words.numbers(b), vectors, places, signs).tobytes() for b in texts_of(batch.column(at))]
-            columns = [c for i, c in enumerate(batch.columns) if i != at]
-            names = [c for i, c in enumerate(batch.schema.names) if i != at]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.binary())], [*names, name])
+            found = [pool(words.numbers(b), table, places, signs) for b in texts_of(batch.column(at))]
+            yield batch, np.array(found, np.float32).reshape(-1, FEATURES)
 
-    return documents.mapInArrow(run, added_columns(documents.drop(text), f"`{name}` binary"))
+    def pooled(self, documents: DataFrame, name: str, text: str = "text") -> DataFrame:
+        """All rows, with the document's vector (float32 in bytes) in the column `name` for `text`."""
+        at = documents.columns.index(text)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, found in self.vectors(batches, at):
+                columns = [c for i, c in enumerate(batch.columns) if i != at]
+                names = [c for i, c in enumerate(batch.schema.names) if i != at]
+                column = pa.array([v.tobytes() for v in found], pa.binary())
+                yield pa.RecordBatch.from_arrays([*columns, column], [*names, name])
+
+        return documents.mapInArrow(run, added_columns(documents.drop(text), f"`{name}` binary"))
 
 
 class Network:
@@ -240,34 +301,37 @@ def score_quality(
 
     Words get vectors from their contexts in the whole corpus, documents the pooled vectors of
     all their words. A network of two layers learns from at most `train_rows` labelled rows,
-    drawn by hash, none of which is held out: crc32 of the doc_id as text is 0 modulo
-    `folds`. Nothing but the text goes into a score. A null text is an empty one and scored
-    like any other; a null doc_id is not held out and has no label. Labels that are
-    neither 0 nor 1 are left out, repeated ones count as often as they come. With labels of
-    one kind only, all scores are the share of label 1, without any 0.5.
+    drawn by hash from those whose document is there, none of which is held out: crc32 of the
+    doc_id as text is 0 modulo `folds`. Nothing but the text goes into a score. A null text is
+    an empty one and scored like any other; a null doc_id is not held out and has no label.
+    Labels that are neither 0 nor 1 are left out, repeated ones and repeated documents count
+    as often as they come. With labels of one kind only, all scores are the share of label 1,
+    without any 0.5.
     """
-    table = context_vectors(documents, text)
     slim = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    (vector,) = unused_names(slim, "vector")
-    vectors = store(pooled(slim, table, vector), "vectors")
+    pooling = Pooling(slim)
     fold = F.crc32(F.col("doc_id").cast("string")) % folds
     marked = labels.select(F.col(doc_id).cast("bigint").alias("labelled"), F.col(label).cast("int").alias("y"))
     learned = F.crc32(F.col("labelled").cast("string")) % folds != 0
-    drawn = marked.where(learned & F.col("y").isin(0, 1)).orderBy(F.xxhash64("labelled"), "labelled", "y").limit(train_rows)
+    present = slim.select(F.col("doc_id").alias("labelled"))
+    drawn = (
+        marked.where(learned & F.col("y").isin(0, 1)).join(present, "labelled", "left_semi")
+        .orderBy(F.xxhash64("labelled"), "labelled", "y").limit(train_rows)
+    )
     # At most `train_rows` pairs of numbers go to every task.
-    train = vectors.join(F.broadcast(store(drawn, "drawn")), F.col("doc_id") == F.col("labelled"))
-    drawn = train.orderBy("doc_id", "y", vector).select(vector, "y").toArrow()
-    x = np.frombuffer(b"".join(drawn.column(0).to_pylist()), np.float32).reshape(-1, FEATURES)
-    network = Network(x.astype(np.float64), drawn.column(1).to_numpy())
+    train = slim.join(F.broadcast(store(drawn, "drawn")), F.col("doc_id") == F.col("labelled")).drop("labelled")
+    order = [F.xxhash64("doc_id"), "doc_id", "y", "vector"]
+    rows = pooling.pooled(train, "vector").orderBy(*order).limit(train_rows).select("vector", "y").toArrow()
+    x = np.frombuffer(b"".join(rows.column(0).to_pylist()), np.float32).reshape(-1, FEATURES)
+    network = Network(x.astype(np.float64), rows.column(1).to_numpy())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float32).reshape(-1, FEATURES)
-            scores = network.scores(rows.astype(np.float64))
+        for batch, found in pooling.vectors(batches, 2):
+            scores = network.scores(found.astype(np.float64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"],
             )
 
-    ready = vectors.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), vector)
+    ready = slim.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "text")
     return ready.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")

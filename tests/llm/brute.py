@@ -11,6 +11,7 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
+from newsloom.llm import quality_classifier as q
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -294,3 +295,44 @@ def chat_digests(rows):
         digests = [hashlib.sha256(x.encode()).hexdigest() for x in (spoken, trained)]
         out.append((conv, len(said), digests[0], len(trained), digests[1], chars))
     return out
+
+
+def pooled_vectors(texts):
+    """(hashes of frequent words, table, vectors of the texts) of the quality classifier, word by word."""
+    places, signs = q.index_vectors()
+
+    def index(row):
+        vector = np.zeros(q.DIMS)
+        vector[places[row]] = signs[row]
+        return vector
+
+    split = [(t or "").split() for t in texts]
+    counts = Counter(q.word_hash(q.cleaned(w)) for words in split for w in words)
+    head = sorted(w for w, n in counts.items() if n * q.HEAD >= sum(counts.values()))
+
+    place = {key: i for i, key in enumerate(head)}
+
+    def row(word):
+        key = q.word_hash(q.cleaned(word))
+        return place.get(key, q.HEAD + key % q.SHARED)
+
+    table = np.zeros((q.ROWS, q.DIMS))
+    for words in split:
+        for i, word in enumerate(words):
+            for j in range(max(0, i - q.WINDOW), min(len(words), i + q.WINDOW + 1)):
+                if i != j:
+                    table[row(word)] += index(row(words[j]))
+    table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)
+    vectors = []
+    for words in split:
+        if not words:
+            vectors.append(np.zeros(q.FEATURES))
+            continue
+        rows = [row(w) for w in words]
+        own = table[rows]
+        shapes = np.mean([index(zlib.crc32(q.shape(w).encode()) % q.SHAPES) for w in words], axis=0)
+        pairs = list(zip(rows, rows[1:]))
+        n = max(len(pairs), 1)
+        figures = [sum(table[a] @ table[b] for a, b in pairs) / n, sum(a == b for a, b in pairs) / n, np.log1p(len(words))]
+        vectors.append(np.concatenate([own.mean(axis=0), own.std(axis=0), shapes, figures]))
+    return head, table, vectors

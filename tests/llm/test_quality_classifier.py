@@ -49,22 +49,38 @@ def test_labels_of_one_kind(spark, small, rows, score):
     assert {r.score for r in q.score_quality(small, spark.createDataFrame(rows, LABELS)).collect()} == {score}
 
 
-def test_context_vectors_count_neighbours(documents):
-    table = q.context_vectors(documents((1, "aa bb cc"), (2, None), (3, "aa")).repartition(2))
-    places, signs = q.index_vectors()
-    a, b, c = (int(q.Words()[w] // q.BUCKETS) for w in (b"aa", b"bb", b"cc"))
-
-    def index(k):
-        row = np.zeros(q.DIMS)
-        row[places[k]] = signs[k]
-        return row
-
-    want = np.zeros((q.BUCKETS, q.DIMS))
-    for x, y in ((a, b), (a, c), (b, c)):
-        want[x] += index(y)
-        want[y] += index(x)
-    norm = np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9)
-    assert np.allclose(table, want / norm, atol=1e-6)
+def test_words_beyond_ascii():
+    words = q.Words()
+    same = [("word", "\u201cword\u201d", "word\u2014", "WORD"), ("\u00c9cole", "\u00e9cole", "\u00ab\u00e9cole\u00bb"), ("\u0939\u093f\u0902\u0926\u0940", "\u0939\u093f\u0902\u0926\u0940\u0964")]
+    for group in same:
+        assert len({words[w.encode()] for w in group}) == 1
+    assert len({words[group[0].encode()] for group in same}) == 3
+    assert [q.shape(w) for w in ("\u00c9cole", "ABC-12!!", "a1B", "\u201cword\u201d", "\u65e5\u672c\u8a9e")] == ["Aa", "A-9!", "a9A", "\u201ca\u201d", "a"]
+
+
+def test_vectors_equal_plain_ones(spark):
+    # Of some 40,000 words those that come once have no row of their own.
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"W{x}" for x in rng.zipf(1.3, 1000)) for _ in range(40)] + ["one", "", None, "\u201cQu\u00e9\u201d w1 W1!"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    head = q.frequent_words(table)
+    want_head, want_table, want = brute.pooled_vectors(texts)
+    assert 0 < len(head) < len(set(" ".join(filter(None, texts)).split())) / 2 and head.tolist() == want_head
+    assert np.allclose(q.context_vectors(table, head), want_table, atol=1e-6)
+    found = {r.doc_id: np.frombuffer(r.v, np.float32) for r in q.Pooling(table).pooled(table, "v").collect()}
+    assert len(found) == len(texts)
+    for i, v in enumerate(want):
+        assert np.allclose(found[i], v, atol=1e-4)
+
+
+def test_labels_without_a_document_take_no_place(spark, small):
+    labels = [(i, int(i < 40), 0) for i in range(60)]
+    with_more = labels + [(i, 1, 0) for i in range(1000, 3000)]
+    a, b = (
+        sorted([(r.doc_id, r.score) for r in q.score_quality(small, spark.createDataFrame(x, LABELS), train_rows=40).collect()], key=repr)
+        for x in (labels, with_more)
+    )
+    assert a == b
 
 
 def test_temperature_calibrates():
