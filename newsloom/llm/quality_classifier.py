@@ -1,6 +1,8 @@
 """A quality classifier on random-indexing word vectors."""
 
+import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,23 +38,36 @@ _OTHER = regex.compile(r"[^\p{L}\p{M}\p{N}]+")
 _CAPITALS = regex.compile(r"[\p{Lu}\p{Lt}]+")
 _LETTERS = regex.compile(r"(?:(?!A)[\p{L}\p{M}])+")
 _DIGITS = regex.compile(r"\p{N}+")
-_RUN = regex.compile(r"(.)\1+", regex.DOTALL)
+_RUN = re.compile(r"(.)\1+", re.DOTALL)
+# The same for words of ASCII signs only, byte by byte.
+_ASCII_OTHER = bytes(c for c in range(128) if not chr(c).isalnum())
+_ASCII_SIGNS = bytes(
+    ord("A") if chr(c).isupper() else ord("9") if chr(c).isdigit() else ord("a") if chr(c).isalpha() else c for c in range(128)
+) + bytes(range(128, 256))
 
 
-def cleaned(word: str) -> str:
+def cleaned(word: bytes) -> bytes:
     """The letters, marks and digits of a word, in small letters."""
-    return _OTHER.sub("", word).lower()
+    if word.isascii():
+        return word.translate(None, _ASCII_OTHER).lower()
+    return _OTHER.sub("", word.decode("utf-8", "replace")).lower().encode()
 
 
-def shape(word: str) -> str:
-    """One sign for each run of capitals (A), other letters (a) or digits (9), and for each run
-    of another sign that sign."""
-    return _RUN.sub(r"\1", _DIGITS.sub("9", _LETTERS.sub("a", _CAPITALS.sub("A", word))))
+def signs(word: bytes) -> bytes:
+    """Capitals as A, other letters as a, digits as 9; other signs stay. Runs may be one sign."""
+    if word.isascii():
+        return word.translate(_ASCII_SIGNS)
+    return _DIGITS.sub("9", _LETTERS.sub("a", _CAPITALS.sub("A", word.decode("utf-8", "replace")))).encode()
 
 
-def word_hash(word: str) -> int:
+def shape(signs: bytes) -> int:
+    """The number of a word's signs, where a run of one sign counts as one."""
+    return zlib.crc32(_RUN.sub(r"\1", signs.decode()).encode()) % SHAPES
+
+
+def word_hash(word: bytes) -> int:
     """63 bits of a cleaned word."""
-    return xxhash.xxh64_intdigest(word.encode()) >> 1
+    return xxhash.xxh64_intdigest(word) >> 1
 
 
 class Words(dict):
@@ -61,17 +76,23 @@ class Words(dict):
 
     def __init__(self, head: np.ndarray | None = None):
         self.rows = None if head is None else {h: i for i, h in enumerate(head.tolist())}
+        self.shapes = {}
 
-    def __missing__(self, raw: bytes) -> int:
-        word = raw.decode("utf-8", "replace")
+    def __missing__(self, word: bytes) -> int:
         found = word_hash(cleaned(word))
         if self.rows is not None:
             row = self.rows.get(found)
             if row is None:
                 row = HEAD + found % SHARED
-            found = row * SHAPES + zlib.crc32(shape(word).encode()) % SHAPES
+            form = signs(word)
+            number = self.shapes.get(form)
+            if number is None:
+                number = shape(form)
+                if len(self.shapes) < _KNOWN_WORDS:
+                    self.shapes[form] = number
+            found = row * SHAPES + number
         if len(self) < _KNOWN_WORDS:
-            self[raw] = found
+            self[word] = found
         return found
 
     def numbers(self, text: bytes) -> np.ndarray:
@@ -88,16 +109,14 @@ def index_vectors(seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return places, signs
 
 
-def _pieces(
-    batches: Iterator[pa.RecordBatch], words: Words, held_words: int = _HELD_WORDS
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pieces(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Numbers of words, and of the document that each is in, of many texts at a time."""
     held, n = [], 0
     for batch in batches:
         for body in texts_of(batch.column(0)):
             held.append(words.numbers(body))
             n += len(held[-1])
-            if n >= held_words:
+            if n >= _HELD_WORDS:
                 yield np.concatenate(held), np.repeat(np.arange(len(held)), [len(x) for x in held])
                 held, n = [], 0
     if held:
@@ -108,12 +127,23 @@ def frequent_words(documents: DataFrame, text: str = "text") -> np.ndarray:
     """Hashes, in order, of the words that have a vector of their own, by counts over the whole
     corpus: at most HEAD of them."""
 
+    def counted(held: Counter, words: Words) -> Iterator[pa.RecordBatch]:
+        numbers = np.fromiter(map(words.__getitem__, held), np.int64, len(held))
+        found, at = np.unique(numbers, return_inverse=True)
+        n = np.bincount(at, np.fromiter(held.values(), np.float64, len(held)), minlength=len(found)).astype(np.int64)
+        for i in range(0, len(found), 1 << 16):
+            some = slice(i, i + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(found[some]), pa.array(n[some])], ["word", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for numbers, _ in _pieces(batches, Words(), 4 * _HELD_WORDS):
-            found, n = np.unique(numbers, return_counts=True)
-            for i in range(0, len(found), 1 << 16):
-                some = slice(i, i + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(found[some]), pa.array(n[some])], ["word", "n"])
+        held, words = Counter(), Words()
+        for batch in batches:
+            for body in texts_of(batch.column(0)):
+                held.update(body.split())
+                if len(held) >= _KNOWN_WORDS:
+                    yield from counted(held, words)
+                    held.clear()
+        yield from counted(held, words)
 
     parts = documents.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "word bigint, n bigint")
     counts = store(parts.groupBy("word").agg(F.sum("n").alias("n")), "words")

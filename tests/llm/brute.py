@@ -306,7 +306,7 @@ def pooled_vectors(texts):
         vector[places[row]] = signs[row]
         return vector
 
-    split = [(t or "").split() for t in texts]
+    split = [(t or "").encode().split() for t in texts]
     counts = Counter(q.word_hash(q.cleaned(w)) for words in split for w in words)
     head = sorted(w for w, n in counts.items() if n * q.HEAD >= sum(counts.values()))
 
@@ -330,7 +330,7 @@ def pooled_vectors(texts):
             continue
         rows = [row(w) for w in words]
         own = table[rows]
-        shapes = np.mean([index(zlib.crc32(q.shape(w).encode()) % q.SHAPES) for w in words], axis=0)
+        shapes = np.mean([index(q.shape(q.signs(w))) for w in words], axis=0)
         pairs = list(zip(rows, rows[1:]))
         n = max(len(pairs), 1)
         figures = [sum(table[a] @ table[b] for a, b in pairs) / n, sum(a == b for a, b in pairs) / n, np.log1p(len(words))]
