@@ -6,7 +6,8 @@ usage: python -m newsloom --workspace DIR --personas personas.json --keywords ke
                           [--batch_model NAME] [--search TEXT]
 
 Without --runid it names the last run and its status. personas.json is a list of objects with
-name and role; keywords.json maps a name to a list of keywords. --sources
+name and role; keywords.json maps a name to a list of keywords (or
+--keyword_table: Parquet with persona and keyword). --sources
 registers the URLs of a text file, --pages and --hits take in the run's crawled pages and search
 hits, each a JSON array.
 
@@ -34,6 +35,7 @@ def main() -> int:
     parser.add_argument("--workspace", required=True)
     parser.add_argument("--personas")
     parser.add_argument("--keywords")
+    parser.add_argument("--keyword_table")
     parser.add_argument("--runid")
     parser.add_argument("--resume_step")
     parser.add_argument("--run_location", default="local")
@@ -60,8 +62,8 @@ def main() -> int:
         last = latest_run(ledger.withColumn("ord", F.col("pipeline_finish_time")), "ord").first()
         print("no runs yet" if last is None else f"last run: {last['RUNID']}, {last['status']}")
         return 2
-    if not (args.personas and (args.keywords or args.batch_model)):
-        parser.error("--personas, and --keywords or --batch_model, are needed for a run")
+    if not (args.personas and (args.keywords or args.keyword_table or args.batch_model)):
+        parser.error("--personas, and --keywords, --keyword_table or --batch_model, are needed for a run")
     # One row per person, as many as the task can name in its instructions.
     people = [
         (p["name"], p["role"] or "")
@@ -70,9 +72,12 @@ def main() -> int:
     if args.batch_model:
         models = curation.batch_models(ws, args.runid, people, args.batch_model)
     else:
-        with open(args.keywords, encoding="utf-8-sig") as f:
-            keywords = json.load(f)
-        own = {name: keywords.get(name, []) for name, _ in people}
+        if args.keyword_table:
+            own = spark.read.schema(schemas.KEYWORDS).parquet(args.keyword_table)
+        else:
+            with open(args.keywords, encoding="utf-8-sig") as f:
+                keywords = json.load(f)
+            own = {name: keywords.get(name, []) for name, _ in people}
         models = curation.baseline_models(people, own, curation.past_counts(ws, args.runid))
     if args.pages:
         ws.ingest("source_raw_content", args.pages, schemas.SOURCE_RAW_CONTENT, args.runid)

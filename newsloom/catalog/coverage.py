@@ -65,7 +65,7 @@ OPERATORS = {
     "J6": ["nearest_to_queries", "nearest_of_all", "nearest_by_cells", "nearest_among_faulty"],
     "J7": ["embedding_calls"],
     "J8": ["relevant_pairs", "post_messages", "post_prompts"],
-    "J9": ["keyword_fanout"],
+    "J9": ["keyword_fanout", "keyword_phrases"],
     "A1": ["consolidate_hits", "consolidate_hits_in_parts", "article_searches"],
     "A2": ["value_counts"],
     "A3": ["count_present"],
@@ -110,7 +110,7 @@ OPERATORS = {
     "M3": ["validity_answers", "relevance_answers"],
     "M4": ["extract_links", "crawled_articles"],
     "M5": ["page_text", "read_content", "read_content_of_copies"],
-    "M6": ["keyword_relevance", "score_articles"],
+    "M6": ["keyword_relevance", "score_articles", "keyword_phrases"],
     "M7": ["validity_rules", "keep_valid"],
     "M8": ["scored_summaries", "lead_summary", "summarize"],
     "M9": ["embed_texts", "term_counts", "embedding_calls"],

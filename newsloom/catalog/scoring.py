@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from newsloom.catalog.registry import query, table
 from newsloom.functions.scores import any_relevant, contract_error, recode, score_columns
 from newsloom.functions.text import escape_newlines
-from newsloom.operators import baselines, joins, posts, tasks
+from newsloom.operators import baselines, joins, phrases, posts, tasks
 from newsloom.operators.batching import assign_batches
 from newsloom.operators.validation import REASON
 from newsloom.plans import jobs
@@ -319,6 +319,30 @@ def keyword_relevance(spark, sf):
     )
 
 
+_CLEANED_SQL = r"trim(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+
+
+@query(
+    f"""WITH k AS (
+         SELECT 'PAIRS' AS persona, array_to_string(string_split(text, ' ')[3:4], ' ') AS keyword FROM documents
+         UNION ALL
+         SELECT lang, array_to_string(string_split(text, ' ')[6:8], ' ') FROM documents),
+       p AS (SELECT DISTINCT persona, {_CLEANED_SQL.format("keyword")} AS phrase FROM k),
+       t AS (SELECT doc_id, ' ' || {_CLEANED_SQL.format("text")} || ' ' AS w FROM documents)
+       SELECT doc_id, persona, count(*) AS n_keywords
+       FROM t JOIN p ON phrase <> '' AND contains(w, ' ' || phrase || ' ')
+       WHERE persona IS NOT NULL GROUP BY doc_id, persona"""
+)
+def keyword_phrases(spark, sf):
+    """Two keywords from each document, of two and of three words, looked for in all of them."""
+    docs = table(spark, sf, "documents")
+    words = F.split("text", " ")
+    keywords = docs.select(F.lit("PAIRS").alias("persona"), F.array_join(F.slice(words, 3, 2), " ").alias("keyword")).union(
+        docs.select("lang", F.array_join(F.slice(words, 6, 3), " "))
+    )
+    return phrases.phrase_hits(docs, keywords, "doc_id", "text")
+
+
 @query(
     rf"""SELECT * FROM (
          SELECT doc_id AS article_id, source AS source_name, 'es' AS article_language, 'RUNID_1' AS run_id,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.scores import LANGUAGE_KEY, LANGUAGES
 from newsloom.functions.text import SENTENCE, bind, sentences
 from newsloom.functions.web import ERROR_BODY, page_links
+from newsloom.operators.phrases import phrase_scores
 from newsloom.operators.tasks import Predictor, expression_predictor
 from newsloom.operators.terms import add_counts, document_counts, scored_summary
 
@@ -112,6 +113,31 @@ def relevance_predictor(
     return expression_predictor(content, NAME)
 
 
+def phrase_relevance_predictor(keywords: DataFrame, personas: Sequence[str], language: str = "es") -> Predictor:
+    """As `relevance_predictor`, with a table (persona, keyword) of any number of rows."""
+
+    def run(requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        article = F.from_json("user_content", "article_title string, article_info string, article_language string")
+        texts = requests.select(
+            "custom_id", F.concat_ws(" ", article["article_title"], article["article_info"]).alias("text")
+        )
+        scores = phrase_scores(texts, keywords, "custom_id", "text", personas).withColumnRenamed("custom_id", "__id")
+        known = F.when(article["article_language"].isin(*LANGUAGES), article["article_language"])
+        # The texts are not exchanged for the join.
+        asked = requests.select("custom_id", F.coalesce(known, F.lit(language)).alias("__language"), *keep)
+        joined = asked.join(scores, F.col("custom_id").eqNullSafe(F.col("__id")), "left")
+        fields = [F.coalesce(F.col("scores")[p], F.lit(0)).alias(p) for p in personas]
+        return joined.select(
+            "custom_id",
+            F.lit(NAME).alias("model"),
+            F.to_json(F.struct(*fields, F.col("__language").alias(LANGUAGE_KEY))).alias("content"),
+            F.lit(None).cast("string").alias("error"),
+            *keep,
+        )
+
+    return run
+
+
 def validity_predictor() -> Predictor:
     return expression_predictor(
         lambda text: F.to_json(F.struct(is_article(text).alias("validity"))), NAME

@@ -54,13 +54,20 @@ class Models:
 
 
 def baseline_models(
-    personas: Sequence[tuple[str, str]], keywords: Mapping[str, Sequence[str]], counts: DataFrame | None = None
+    personas: Sequence[tuple[str, str]],
+    keywords: Mapping[str, Sequence[str]] | DataFrame,
+    counts: DataFrame | None = None,
 ) -> Models:
-    """The built-in models; `counts` as from `past_counts`, for the rarity of words in summaries."""
+    """The built-in models; `keywords` as lists by persona, or as a table (persona, keyword);
+    `counts` as from `past_counts`, for the rarity of words in summaries."""
     name = baselines.NAME
+    if isinstance(keywords, DataFrame):
+        relevance = baselines.phrase_relevance_predictor(keywords, [p for p, _ in personas])
+    else:
+        relevance = baselines.relevance_predictor(keywords)
     return Models(
         (tasks.link_task(name), baselines.links_predictor()),
-        (tasks.relevance_task(name, personas), baselines.relevance_predictor(keywords)),
+        (tasks.relevance_task(name, personas), relevance),
         (tasks.validity_task(name), baselines.validity_predictor()),
         (tasks.summary_task(name), baselines.scored_summary_predictor(counts)),
     )

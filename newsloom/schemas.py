@@ -2,6 +2,8 @@
 
 SOURCES = "source_name string, url string"
 
+KEYWORDS = "persona string, keyword string"
+
 SOURCE_RAW_CONTENT = "url string, name string, raw_content string, crawl_time string"
 
 RAW_ARTICLES_CRAWLED = (
