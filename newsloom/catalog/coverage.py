@@ -56,7 +56,7 @@ OPERATORS = {
     "F10": ["repeated_source_names", "profiles_with_repeats"],
     "F11": ["valid_content"],
     "F12": ["one_run", "dedupe_history"],
-    "F13": ["contract_check", "relevance_answers"],
+    "F13": ["contract_faults", "contract_check", "relevance_answers"],
     "J1": ["dedupe_history"],
     "J2": ["dedupe_title"],
     "J3": ["relevant_articles", "unmatched_outputs"],
@@ -107,7 +107,7 @@ OPERATORS = {
     "V3": ["project", "test_projection", "projection_properties"],
     "M1": ["request_lines", "request_files"],
     "M2": ["apply_predictor", "stored_answers", "answers_in_two_polls", "test_changed_requests_go_out_again"],
-    "M3": ["validity_answers", "relevance_answers"],
+    "M3": ["contract_faults", "validity_answers", "relevance_answers"],
     "M4": ["extract_links", "crawled_articles"],
     "M5": ["page_text", "read_content", "read_content_of_copies"],
     "M6": ["keyword_relevance", "score_articles", "keyword_phrases"],

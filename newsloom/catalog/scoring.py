@@ -7,6 +7,7 @@ from newsloom.functions.scores import any_relevant, contract_error, recode, scor
 from newsloom.functions.text import escape_newlines
 from newsloom.operators import baselines, joins, phrases, posts, tasks
 from newsloom.operators.batching import assign_batches
+from newsloom.operators.contracts import contract_fault
 from newsloom.operators.validation import REASON
 from newsloom.plans import jobs
 from newsloom.session import spread
@@ -319,6 +320,58 @@ def keyword_relevance(spark, sf):
     )
 
 
+@query(
+    """SELECT doc_id,
+         CASE WHEN doc_id % 9 = 0 THEN '$: no JSON'
+              WHEN doc_id % 9 = 1 THEN '$.article_links_list: no array'
+              WHEN doc_id % 9 = 2 THEN '$.article_links_list[' || doc_id % 3 || '].url: missing'
+              WHEN doc_id % 9 = 3 THEN '$.article_links_list[0].n' || doc_id || ': unknown key'
+              WHEN doc_id % 9 = 4 AND source = 'src0' THEN '$.article_links_list[0].language: no string'
+              WHEN doc_id % 9 = 5 THEN '$.article_links_list: missing'
+              WHEN doc_id % 9 = 6 THEN '$.article_links_list[0].keywords[1]: no string'
+         END AS link_fault,
+         CASE WHEN quality + length(text) % 4 > 2 THEN '$.QUALITY: unknown value'
+              WHEN toxic = 1 THEN '$.TOXICITY: no integer'
+              WHEN lang NOT IN ('es', 'ca', 'en') THEN '$.article_language: unknown value' END AS score_fault
+       FROM documents JOIN labels USING (doc_id)"""
+)
+def contract_faults(spark, sf):
+    """Links and scores made from documents, with faults of all kinds, held to the tasks' contracts."""
+    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    kind = F.col("doc_id") % 9
+    text, url = F.col("text").alias("title"), F.col("source").alias("url")
+    language = F.col("lang").alias("language")
+    words = F.slice(F.split("text", " "), 1, 2).alias("keywords")
+    right = F.to_json(F.struct(text, url, words, language))
+    without_url = F.to_json(F.struct(text, words, language))
+    number = F.when(F.col("source") == "src0", F.lit("1")).otherwise(F.lit('"en"'))
+    entry = (
+        F.when(kind == 3, F.concat(F.lit("{"), F.lit('"n'), "doc_id", F.lit('": 0, '), F.substr(right, F.lit(2))))
+        .when(kind == 4, F.concat(F.substr(F.to_json(F.struct(text, url, words)), F.lit(1), F.length(F.to_json(F.struct(text, url, words))) - 1),
+                                  F.lit(', "language": '), number, F.lit("}")))
+        .when(kind == 6, F.concat(F.lit('{"title": "", "url": "", "language": "", "keywords": ["a", true]}')))
+        .otherwise(right)
+    )
+    entries = F.when(
+        kind == 2, F.concat_ws(", ", F.array_repeat(right, (F.col("doc_id") % 3).cast("int")), without_url)
+    ).otherwise(F.concat_ws(", ", entry, right))
+    links = (
+        F.when(kind == 0, "no links").when(kind == 1, '{"article_links_list": "none"}').when(kind == 5, "{}")
+        .otherwise(F.concat(F.lit('{"article_links_list": ['), entries, F.lit("]}")))
+    )
+    scores = F.concat(
+        F.lit('{"QUALITY": '), (F.col("quality") + F.length("text") % 4).cast("string"),
+        F.lit(', "TOXICITY": '), F.when(F.col("toxic") == 1, '"1"').otherwise("0"),
+        F.lit(', "article_language": "'), "lang", F.lit('"}'),
+    )
+    people = [(p, "") for p in PERSONAS]
+    return docs.select(
+        "doc_id",
+        contract_fault(links, tasks.link_task("m1").contract).alias("link_fault"),
+        contract_fault(scores, tasks.relevance_task("m1", people).contract).alias("score_fault"),
+    )
+
+
 _CLEANED_SQL = r"trim(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
 
 

@@ -1,7 +1,7 @@
 """Model tasks: request rows, a predictor over them, and its parsed answers."""
 
 import json
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -18,6 +18,7 @@ from newsloom.functions.scores import (
     without_language,
 )
 from newsloom.functions.text import bind, escape_newlines, readable_key, split_key
+from newsloom.operators.contracts import contract_fault
 from newsloom.operators.validation import REASON
 from newsloom.session import spread, store
 
@@ -364,20 +365,30 @@ def _parse(responses: DataFrame, parsed: Column, problem: Column) -> tuple[DataF
     return parsed_rows.where(F.col(REASON).isNull()), rejected
 
 
-def parse_links(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _contract_problem(content: Column, contract: Mapping | None) -> Column:
+    """Null without a contract."""
+    fault = F.lit(None).cast("string") if contract is None else contract_fault(content, contract)
+    return F.concat(F.lit("contract: "), fault)
+
+
+def parse_links(responses: DataFrame, contract: Mapping | None = None) -> tuple[DataFrame, DataFrame]:
     """One row per extracted link (before ids and stamps), and the rejected answers.
 
-    No answer at all counts as an empty list of links.
+    No answer at all counts as an empty list of links. With the `contract` of the task an
+    answer that breaks it anywhere is rejected; without one, fields that are missing or of
+    another type are empty and further keys are let through.
     """
     schema = (
         "article_links_list array<struct<title: string, url: string, "
         "keywords: array<string>, language: string>>"
     )
-    content = F.coalesce(F.nullif("content", F.lit("")), F.lit("{}"))
+    given = F.nullif("content", F.lit(""))
     good, rejected = _parse(
         responses,
-        F.from_json(content, f"{schema}, _corrupt_record string"),
-        F.when(F.col("answer._corrupt_record").isNotNull(), "content is not JSON"),
+        F.from_json(F.coalesce(given, F.lit("{}")), f"{schema}, _corrupt_record string"),
+        F.when(F.col("answer._corrupt_record").isNotNull(), "content is not JSON").when(
+            given.isNotNull(), _contract_problem(given, contract)
+        ),
     )
     links = good.select(
         "model", "key", F.posexplode("answer.article_links_list").alias("link_no", "link")
@@ -424,12 +435,15 @@ def parse_relevance(responses: DataFrame, personas: Sequence[str]) -> tuple[Data
     )
 
 
-def parse_validity(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(verdicts, rejected answers)."""
+def parse_validity(responses: DataFrame, contract: Mapping | None = None) -> tuple[DataFrame, DataFrame]:
+    """(verdicts, rejected answers); with the `contract` of the task also those that break it
+    beside their verdict."""
     good, rejected = _parse(
         responses,
         F.from_json("content", "validity boolean"),
-        F.when(F.col("answer.validity").isNull(), "no verdict"),
+        F.when(F.col("answer.validity").isNull(), "no verdict").otherwise(
+            _contract_problem(F.col("content"), contract)
+        ),
     )
     return (
         good.select(

@@ -64,7 +64,7 @@ def extract_articles(
 ) -> Outcome:
     """Articles linked from the crawled pages."""
     requests = build_requests(spread(pages), task, F.lit(run_id), F.col("name"), F.col("raw_content"))
-    links, rejected = parse_links(predictor(requests))
+    links, rejected = parse_links(predictor(requests), task.contract)
     articles = links.withColumn("crawled_at", F.lit(crawled_at)).withColumn(
         "article_id",
         surrogate_id(
@@ -155,7 +155,7 @@ def keep_valid(
     so many characters of each; the stored content stays whole."""
     seen = F.col("content") if chars is None else F.substring("content", 1, chars)
     requests = build_requests(spread(content), task, F.lit(run_id), F.col("article_id"), seen)
-    verdicts, rejected = parse_validity(predictor(requests))
+    verdicts, rejected = parse_validity(predictor(requests), task.contract)
     return Outcome(drop_invalid(content, verdicts), rejected)
 
 
