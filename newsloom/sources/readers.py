@@ -11,6 +11,7 @@ from newsloom.functions.scores import any_relevant
 from newsloom.operators.positions import global_positions
 from newsloom.schemas import TASK_RESPONSE
 from newsloom.session import compute_once
+from newsloom.sources.json_arrays import json_records
 
 CORRUPT = "_corrupt_record"
 
@@ -48,39 +49,20 @@ def read_json_array(
     """Files that each hold one JSON array (or one object) of records; a byte-order mark is
     accepted. With `ordinal` a column `ord` numbers the records by file name and place.
 
-    A file that is no such JSON, a cut-off one say, fails the read with its name. Such a file
-    cannot be split, so a table kept this way is read once and stored.
+    A file that is no such JSON, a cut-off one say, fails the read with its name. Files of any
+    size are read, in as many tasks as they have splits.
     """
-    records = _records(spark, path, schema)
+    records = json_records(spark, path, schema)
     if not ordinal:
         return records.select("row.*")
     placed = global_positions(records.select("file", "place", "row"), ["file", "place"], "ord")
     return placed.select("ord", "row.*")
 
 
-def _records(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """(file, place, row) of each record of JSON array files."""
-    text = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^﻿", "").alias("value")
-    )
-    rows = F.from_json("value", _rows_type(schema))
-    damaged = F.raise_error(F.concat(F.lit("no JSON array of records: "), "file"))
-    checked = F.when(rows.isNull() | F.exists(rows, lambda r: r.isNull()), damaged.cast(_rows_type(schema))).otherwise(rows)
-    return text.select("file", F.posexplode(checked).alias("place", "row"))
-
-
-def _rows_type(schema: str) -> str:
-    return f"array<struct<{_struct_fields(schema)}>>"
-
-
-def _struct_fields(schema: str) -> str:
-    return T.StructType.fromDDL(schema).simpleString()[len("struct<"):-1]
-
-
 def read_json_runs(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All runs' JSON files, with the run id of the file name (`<run>--<table>.json`) as RUNID."""
     name = F.regexp_extract("file", r"([^/]+)$", 1)
-    return _records(spark, path, schema).select(
+    return json_records(spark, path, schema).select(
         "row.*", F.split(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), "--")[0].alias("RUNID")
     )
 
