@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from newsloom.session import store
 from newsloom.sources import json_arrays, readers
 
 SCHEMA = "n int, t string, o struct<a: array<int>, b: struct<c: string>>, l array<struct<k: string>>"
@@ -93,8 +94,8 @@ def test_damaged_files_are_seen(spark, tmp_path, small_splits, monkeypatch):
         (tmp_path / f"{i}.json").write_text(text)
     # All faults at once: they do not end the read.
     monkeypatch.setattr(json_arrays, "_unless", lambda fault, keep=True: F.lit(keep) if keep is True else keep)
-    pieces = json_arrays._pieces(spark, str(tmp_path))
-    starts = json_arrays._split_starts(pieces)
+    pieces = store(json_arrays._pieces(spark, str(tmp_path)), "pieces")
+    starts = store(json_arrays._split_starts(pieces), "starts")
     by_piece = spark.sql(json_arrays._RECORDS, pieces=pieces, starts=starts).where("fault").select("file")
     texts = json_arrays._record_texts(pieces, starts)
     by_text = json_arrays._parsed(texts, SCHEMA).where(~F.col("sound")).select("file")
