@@ -4,6 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
@@ -18,8 +19,13 @@ MAX_QUERY_BYTES = 64 << 20
 # Beside its vector, what a query's id may take.
 ID_BYTES = 64
 # Bytes of query and of corpus vectors that meet in one task beyond that.
-QUERY_BLOCK_BYTES = 64 << 20
-CORPUS_BLOCK_BYTES = 128 << 20
+QUERY_BLOCK_BYTES = 32 << 20
+CORPUS_BLOCK_BYTES = 64 << 20
+# Multiplications, pairs times the length of a vector, of one task: some ten seconds.
+BLOCK_WORK = 1 << 36
+# Rows of either side that are multiplied at a time, and pairs that get their distance at a time.
+QUERY_PIECE, CORPUS_PIECE = 256, 4096
+PAIRS = 1 << 16
 
 
 def centroid(df: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -104,14 +110,19 @@ def _top(best: DataFrame, k: int, query_id: str, id_col: str) -> DataFrame:
     )
 
 
+def _one(column: pa.ChunkedArray) -> pa.Array:
+    """The column as one array; copied only if it is of several."""
+    return column.chunk(0) if column.num_chunks == 1 else column.combine_chunks()
+
+
 def _usable(ids, vectors, length: int) -> tuple[pa.Array, np.ndarray]:
     """The ids and the matrix of the vectors that `vector_fault` finds nothing wrong with."""
     if isinstance(vectors, pa.ChunkedArray):
-        ids, vectors = ids.combine_chunks(), vectors.combine_chunks()
+        ids, vectors = _one(ids), _one(vectors)
     rows = np.flatnonzero(vectors.value_lengths().fill_null(-1).to_numpy() == length)
     if len(rows) < len(vectors):
         ids, vectors = ids.take(pa.array(rows)), vectors.take(pa.array(rows))
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     matrix = flat.reshape(len(vectors), length)
     # Nulls are NaN here.
     finite = np.isfinite(matrix).all(axis=1)
@@ -122,72 +133,120 @@ def _usable(ids, vectors, length: int) -> tuple[pa.Array, np.ndarray]:
 
 def _matrix(column) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        column = _one(column)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return flat.reshape(len(column), -1)
 
 
 class _Best:
     """The k best corpus rows of each query so far; the lower id first where distances are equal.
 
-    A matrix product ranks all pairs of a block up to rounding. Only rows that may be among
-    the k best of the block, and no worse than the k best before, get their distance by
-    the sum of squares, so the product decides nothing; queries without such rows cost nothing.
+    A matrix product ranks all pairs of a piece up to rounding. Only rows that may be among
+    the k best so far get their distance by the sum of squares, so the product decides
+    nothing. The first piece is ranked; in later ones a row only has to beat the k-th.
     """
 
     def __init__(self, queries: np.ndarray, k: int):
         self.queries, self.k = queries, k
         self.norms = np.einsum("ij,ij->i", queries, queries)
-        self.pairs: list[list] = [[] for _ in queries]
-        self.bound = np.full(len(queries), np.inf)
+        # Ids, and by query the distance and the place among the ids; a place of -1 is free.
+        self.ids: pa.Array | None = None
+        self.distance = np.full((len(queries), k), np.inf)
+        self.place = np.full((len(queries), k), -1, np.int64)
 
     def add(self, ids: pa.Array, vectors: np.ndarray) -> None:
         if not len(vectors) or not len(self.queries):
             return
+        held = 0
+        if self.ids is not None:
+            # Only ids that are still among the best are kept.
+            used = np.unique(self.place[self.place >= 0])
+            held, kept = len(used), self.ids.take(pa.array(used))
+            taken = self.place >= 0
+            self.place[taken] = np.searchsorted(used, self.place[taken])
+            ids = pa.concat_arrays([kept, ids.cast(kept.type)])
+        # By their order, ids compare as numbers.
+        order = pc.array_sort_indices(ids, null_placement="at_start").to_numpy()
+        ranks = np.empty(len(ids), np.int64)
+        ranks[order] = np.arange(len(ids))
+        taken = self.place >= 0
+        self.place[taken] = ranks[self.place[taken]]
+        self.ids = ids.take(pa.array(order))
         norms = np.einsum("ij,ij->i", vectors, vectors)
-        slack = 1e-9 * (1.0 + norms.max())
-        kth = min(self.k, len(vectors)) - 1
-        # Products of at most some 64 MB at a time.
-        step = max(1, (8 << 20) // len(vectors))
-        for start in range(0, len(self.queries), step):
-            own = slice(start, start + step)
-            rough = norms - 2.0 * (self.queries[own] @ vectors.T)
-            limits = np.partition(rough, kth, axis=1)[:, kth]
-            limits = np.minimum(limits, self.bound[own] - self.norms[own])
-            limits += slack + 1e-9 * self.norms[own]
-            for i in np.flatnonzero(rough.min(axis=1) <= limits).tolist():
-                rows = np.flatnonzero(rough[i] <= limits[i])
-                gaps = vectors[rows] - self.queries[start + i]
-                found = ids.take(pa.array(rows)).to_pylist()
-                new = zip(np.einsum("ij,ij->i", gaps, gaps).tolist(), found, strict=True)
-                best = sorted([*self.pairs[start + i], *new])[: self.k]
-                self.pairs[start + i] = best
-                if len(best) == self.k:
-                    self.bound[start + i] = best[-1][0]
+        slack = 1e-9 * (1.0 + norms.max()) + 1e-9 * self.norms
+        # One buffer for all products.
+        buffer = np.empty(min(QUERY_PIECE, len(self.queries)) * min(CORPUS_PIECE, len(vectors)))
+        for start in range(0, len(self.queries), QUERY_PIECE):
+            own = slice(start, min(start + QUERY_PIECE, len(self.queries)))
+            twice = -2.0 * self.queries[own]
+            for first in range(0, len(vectors), CORPUS_PIECE):
+                piece = slice(first, first + CORPUS_PIECE)
+                n = len(norms[piece])
+                rough = np.matmul(twice, vectors[piece].T, out=buffer[: len(twice) * n].reshape(-1, n))
+                rough += norms[piece]
+                limits = self.distance[own, -1] - self.norms[own]
+                if np.isinf(limits).any():
+                    if n >= self.k:
+                        limits = np.minimum(limits, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1])
+                query, row = np.divmod(np.flatnonzero(rough <= (limits + slack[own])[:, None]), n)
+                # Where many are as near, some at a time.
+                for i in range(0, len(row), PAIRS):
+                    self._merge(start + query[i : i + PAIRS], first + row[i : i + PAIRS], vectors, ranks[held:])
+
+    def _merge(self, query: np.ndarray, row: np.ndarray, vectors: np.ndarray, ranks: np.ndarray) -> None:
+        """Put rows among the best of their queries, `query` in rising order."""
+        gaps = vectors[row] - self.queries[query]
+        asked = np.unique(query)
+        old = self.place[asked] >= 0
+        query = np.concatenate([query, np.repeat(asked, self.k)[old.ravel()]])
+        distance = np.concatenate([np.einsum("ij,ij->i", gaps, gaps), self.distance[asked][old]])
+        place = np.concatenate([ranks[row], self.place[asked][old]])
+        order = np.lexsort((place, distance, query))
+        query, distance, place = query[order], distance[order], place[order]
+        opens = np.flatnonzero(np.diff(query, prepend=-1))
+        rank = np.arange(len(query)) - np.repeat(opens, np.diff(opens, append=len(query)))
+        good = rank < self.k
+        self.distance[query[good], rank[good]] = distance[good]
+        self.place[query[good], rank[good]] = place[good]
+
+    def candidates(self, query_ids: pa.Array, schema: T.StructType) -> pa.RecordBatch:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(schema)
+        query, rank = np.nonzero(self.place >= 0)
+        if not len(query):
+            return pa.RecordBatch.from_arrays([pa.array([], f.type) for f in arrow], schema=arrow)
+        columns = [
+            query_ids.take(pa.array(query)), self.ids.take(pa.array(self.place[query, rank])),
+            pa.array(self.distance[query, rank]),
+        ]
+        return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
 
 def _scan(query_ids: list, query_vectors: list, k: int, schema: T.StructType):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
         if not query_ids:
             return
         queries = np.asarray(query_vectors, dtype=np.float64)
         best = _Best(queries, k)
         for batch in batches:
             best.add(*_usable(batch.column(0), batch.column(1), queries.shape[1]))
-        yield _candidates(zip(query_ids, best.pairs), schema)
+        yield best.candidates(pa.array(query_ids, to_arrow_schema(schema).field(0).type), schema)
 
     return scan
 
 
-def _candidates(found, schema: T.StructType) -> pa.RecordBatch:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    rows = [(query, row, distance) for query, pairs in found for distance, row in pairs]
-    columns = list(zip(*rows)) or [(), (), ()]
-    arrow = to_arrow_schema(schema)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow
-    )
+def block_counts(n_queries: int, n_rows: int, length: int, query_bytes: int, row_bytes: int) -> tuple[int, int]:
+    """(blocks of queries, blocks of corpus rows), so that no task exceeds these bytes or BLOCK_WORK."""
+    queries = max(1, min(n_queries, query_bytes // (8 * max(1, length))))
+    rows = max(1, min(n_rows, row_bytes // (8 * max(1, length))))
+    # Both sides are cut alike, so that few copies of the vectors are exchanged.
+    over = (queries * rows * length / BLOCK_WORK) ** 0.5
+    if over > 1:
+        queries, rows = max(1, int(queries / over)), max(1, int(rows / over))
+    return max(1, -(-n_queries // queries)), max(1, -(-n_rows // rows))
 
 
 def _nearest_by_block(
@@ -200,7 +259,7 @@ def _nearest_by_block(
     """
     size = corpus.agg(F.sum(F.coalesce(F.size("__v"), F.lit(0)).cast("bigint") * 8)).first()[0] or 0
     one = F.lit(0)
-    blocks = [(0, max(1, -(-n * length * 8 // QUERY_BLOCK_BYTES)), max(1, -(-size // CORPUS_BLOCK_BYTES)))]
+    blocks = [(0, *block_counts(n, -(-size // (8 * max(1, length))), length, QUERY_BLOCK_BYTES, CORPUS_BLOCK_BYTES))]
     return _compare(corpus.withColumn("cell", one), queries.withColumn("cell", one), blocks, length, k, schema)
 
 
@@ -229,11 +288,13 @@ def _compare(
     )
 
     def compare(q: pa.Table, c: pa.Table) -> pa.Table:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
         if not q.num_rows or not c.num_rows:
-            return pa.Table.from_batches([_candidates([], schema)])
+            return pa.Table.from_batches([], to_arrow_schema(schema))
         best = _Best(_matrix(q["__q"]), k)
         best.add(*_usable(c["__id"], c["__v"], length))
-        return pa.Table.from_batches([_candidates(zip(q["__qid"].to_pylist(), best.pairs), schema)])
+        return pa.Table.from_batches([best.candidates(_one(q["__qid"]), schema)])
 
     key = ["cell", "__qb", "__cb"]
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(compare, schema)

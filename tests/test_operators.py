@@ -341,6 +341,29 @@ def test_nearest(spark, limit, monkeypatch):
     assert {tuple(r) for r in found.collect()} == nearest_by_hand(corpus, queries, 5)
 
 
+def test_tasks_of_an_all_pairs_search_are_bounded(spark, monkeypatch):
+    """Neither many vectors nor long ones make a task longer; the smaller blocks find the same."""
+    for n, length in ((100_000, 64), (600_000, 64), (600_000, 768), (50, 8)):
+        q, c = neighbours.block_counts(n, n, length, neighbours.QUERY_BLOCK_BYTES, neighbours.CORPUS_BLOCK_BYTES)
+        assert (n / q) * (n / c) * length <= 1.1 * neighbours.BLOCK_WORK
+        assert (n / q) * length * 8 <= 1.1 * neighbours.QUERY_BLOCK_BYTES
+    assert (q, c) == (1, 1)
+    draw = np.random.default_rng(3)
+    data = [(f"v{i:03d}", row) for i, row in enumerate(draw.integers(0, 3, (300, 4)).astype(float).tolist())]
+    df = spark.createDataFrame(data, "id string, v array<double>")
+    queries = df.select(F.col("id").alias("q"), "v")
+    monkeypatch.setattr(neighbours, "BLOCK_WORK", 4 * 5000)
+    monkeypatch.setattr(neighbours, "QUERY_PIECE", 7)
+    monkeypatch.setattr(neighbours, "CORPUS_PIECE", 11)
+    assert min(neighbours.block_counts(300, 300, 4, 1 << 20, 1 << 20)) > 2
+    found = {tuple(r) for r in neighbours.nearest(df, queries, "id", "q", "v", k=6, max_query_bytes=0).collect()}
+    want = set()
+    for name, q in data:
+        best = sorted((sum((a - b) ** 2 for a, b in zip(q, v)), i) for i, v in data)[:6]
+        want |= {(name, i, d, rank) for rank, (d, i) in enumerate(best, 1)}
+    assert found == want
+
+
 def test_nearest_with_few_rows_or_no_queries(spark):
     c = spark.createDataFrame([(1, [0.0, 0.0]), (2, [3.0, 4.0])], "id int, embedding array<float>")
     q = spark.createDataFrame([(1, [0.0, 0.0])], "qid int, q array<double>")
