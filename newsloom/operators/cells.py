@@ -17,6 +17,7 @@ from newsloom.operators.neighbours import (
     _compare,
     _matrix,
     _top,
+    block_counts,
     vector_fault,
 )
 from newsloom.session import store
@@ -26,6 +27,8 @@ from newsloom.session import store
 MAX_CELLS = 1024
 FIT_ROWS = 65_536
 SEED = 42
+# Bytes of query vectors that leave a task at a time.
+LOOK_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -179,10 +182,13 @@ def nearest_in_cells(
                     reach = (np.sqrt(bound) * (1 + 1e-9) + 1e-9)[:, None]
                     nearest = np.maximum(gaps - high, low - gaps)
                     chosen = ~first & (nearest <= reach + 1e-9 * gaps)
-                row, cell = np.nonzero(chosen)
-                take = pa.array(row)
-                found = [batch.column(0).take(take), batch.column(1).take(take), pa.array(np.array(numbers)[cell], pa.int32())]
-                yield pa.RecordBatch.from_arrays(found, ["__qid", "__q", "cell"])
+                rows_, cells_ = np.nonzero(chosen)
+                # A query may look into every cell: some copies of the vectors at a time.
+                step = max(1, LOOK_BYTES // (8 * length))
+                for i in range(0, len(rows_), step):
+                    take, cell = pa.array(rows_[i : i + step]), np.array(numbers)[cells_[i : i + step]]
+                    found = [batch.column(0).take(take), batch.column(1).take(take), pa.array(cell, pa.int32())]
+                    yield pa.RecordBatch.from_arrays(found, ["__qid", "__q", "cell"])
 
         return cells
 
@@ -195,7 +201,7 @@ def nearest_in_cells(
             return None
         size = dict(zip(numbers, index.rows, strict=True))
         blocks = [
-            (c, max(1, -(-n * length * 8 // QUERY_BLOCK_BYTES)), max(1, -(-size[c] * length * 8 // CORPUS_BLOCK_BYTES)))
+            (c, *block_counts(n, size[c], length, QUERY_BLOCK_BYTES, CORPUS_BLOCK_BYTES))
             for c, n in counts.items()
         ]
         return _compare(index.read(sorted(counts)), asked, blocks, length, k, schema)

@@ -65,3 +65,24 @@ def test_a_crowded_cell_is_cut_into_blocks(spark, tmp_path, monkeypatch):
     queries = corpus.where("id LIKE 'v%'").select(F.col("id").alias("q"), "v")
     found = cells.nearest_in_cells(index, queries, "id", "q", "v", 4)
     assert rows(found) == rows(neighbours.nearest(corpus, queries, "id", "q", "v", k=4))
+
+
+def test_vectors_for_many_cells_leave_in_small_batches(spark, tmp_path, monkeypatch):
+    """Queries that look into every cell are not copied for all of them at once."""
+    monkeypatch.setattr(cells, "LOOK_BYTES", 10 * 8 * 6)
+    seen = []
+    plain = type(spark.range(1)).mapInArrow
+
+    def counted(self, fn, schema, *rest):
+        if getattr(fn, "__name__", "") == "cells":
+            out = list(fn(iter([self.toArrow().combine_chunks().to_batches()[0]])))
+            seen.extend(b.num_rows for b in out)
+        return plain(self, fn, schema, *rest)
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", counted)
+    corpus = vectors(spark, 400, 30.0)
+    index = cells.build_cells(corpus, "id", "v", str(tmp_path / "index"), cells=8)
+    queries = corpus.where("id LIKE 'v%'").select(F.col("id").alias("q"), "v")
+    found = cells.nearest_in_cells(index, queries, "id", "q", "v", 4)
+    assert len(seen) > 40 and max(seen) <= 10
+    assert rows(found) == rows(neighbours.nearest(corpus, queries, "id", "q", "v", k=4))
