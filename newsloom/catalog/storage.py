@@ -141,7 +141,7 @@ def polled_bodies(spark, sf):
     for poll, batches in (("first", events), ("again", events.where("batch_id % 2 = 0"))):
         bodies = batches.select("batch_id", F.concat_ws(" ", "event_id", F.lit(poll)).alias("body"))
         writers.write_saved_bodies(bodies, none, path)
-    return spark.read.schema("batch_id bigint, line string").parquet(f"{path}/output")
+    return readers.read_saved_lines(spark, path, "output", "bigint")
 
 
 @query(
@@ -290,7 +290,7 @@ def saved_bodies(spark, sf):
     outputs = readers.read_saved_responses(spark, path, "bigint").select(
         F.lit("output").alias("kind"), "batch_id", F.col("custom_id").alias("line")
     )
-    errors = spark.read.schema("batch_id bigint, line string").parquet(f"{path}/error")
+    errors = readers.read_saved_lines(spark, path, "error", "bigint")
     return outputs.unionByName(errors.withColumn("kind", F.lit("error")))
 
 

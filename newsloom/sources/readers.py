@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from newsloom.functions.scores import any_relevant
 from newsloom.operators.positions import global_positions
 from newsloom.schemas import TASK_RESPONSE
-from newsloom.session import compute_once
+from newsloom.session import compute_once, store
 from newsloom.sources.json_arrays import json_records
 
 CORRUPT = "_corrupt_record"
@@ -103,9 +103,28 @@ def read_responses(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     )
 
 
+def read_saved_lines(spark: SparkSession, path: str, kind: str, batch_type: str = "string") -> DataFrame:
+    """(batch_id, line) of all saved batches, each with the lines of the last poll that brought it;
+    `kind` is output or error."""
+    lines = spark.read.schema("batch_id string, line string, poll bigint").parquet(f"{path}/{kind}")
+    lines = lines.withColumn("batch_id", F.col("batch_id").cast(batch_type))
+    if _single_poll(spark, f"{path}/{kind}"):
+        return lines.select("batch_id", "line")
+    # One row per batch and poll; stored, so that the planner knows how few they are.
+    last = store(lines.groupBy(F.col("batch_id").alias("__batch")).agg(F.max("poll").alias("__last")), "polls")
+    same = F.col("batch_id").eqNullSafe(F.col("__batch")) & (F.col("poll") == F.col("__last"))
+    return lines.join(last, same, "left_semi").select("batch_id", "line")
+
+
+def _single_poll(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return sum(f.getPath().getName().startswith("poll=") for f in found) == 1
+
+
 def read_saved_responses(spark: SparkSession, path: str, batch_type: str = "string") -> DataFrame:
     """Response lines of all saved batches, from the table of outputs."""
-    lines = spark.read.schema(f"batch_id {batch_type}, line string").parquet(f"{path}/output")
+    lines = read_saved_lines(spark, path, "output", batch_type)
     return lines.select("batch_id", F.from_json("line", TASK_RESPONSE).alias("r")).select("batch_id", "r.*")
 
 

@@ -108,19 +108,21 @@ def append_ledger(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_request_files(requests: DataFrame, path: str, line: Column, replace: bool = True) -> None:
+def write_request_files(
+    requests: DataFrame, path: str, line: Column, replace: bool = True, dealt: bool = False
+) -> None:
     """One JSONL file per batch, under run_id=/task_name=/batch_no=.
 
     `requests` holds run_id, task_name, batch_no and pos. Rows are exchanged by batch, so
     that each batch is written by one task, in order, and a task writes many batches; one
     write for all of them. With `replace` the folder of a run's task is replaced as a
     whole, so that no batch of an earlier, longer write stays; else only the batches that
-    `requests` holds are.
+    `requests` holds are. `dealt`: each batch is in one partition already.
     """
     batch = ["run_id", "task_name", "batch_no"]
+    rows = requests.select(*batch, "pos", line.alias("value"))
     lines = (
-        requests.select(*batch, "pos", line.alias("value"))
-        .repartition(*batch)
+        (rows if dealt else rows.repartition(*batch))
         .sortWithinPartitions(*batch, "pos")
         .drop("pos")
         .write.partitionBy(*batch)
@@ -140,17 +142,20 @@ def write_request_files(requests: DataFrame, path: str, line: Column, replace: b
 def write_saved_bodies(outputs: DataFrame, errors: DataFrame, path: str) -> None:
     """Lines of the outputs and of the errors of batches, in tables of their own.
 
-    Each batch has a folder, which a later poll replaces; batches that it does not bring stay.
+    Each call is a poll with a folder of its own, however many batches it brings. A batch has
+    the lines of the last poll that brought it, and batches that a poll does not bring stay:
+    `readers.read_saved_lines`.
     """
     for kind, bodies in (("output", outputs), ("error", errors)):
-        lines = bodies.select("batch_id", F.explode(F.split("body", "\n")).alias("line"))
-        (
-            lines.hint("rebalance", "batch_id")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(f"{path}/{kind}")
-        )
+        # A batch without a body has no lines, and leaves what it had.
+        lines = bodies.select(F.col("batch_id").cast("string").alias("batch_id"), F.explode(F.split("body", "\n")).alias("line"))
+        fs, folder = _file_system(bodies.sparkSession, f"{path}/{kind}")
+        polls = [p.getPath().getName() for p in fs.listStatus(folder)] if fs.exists(folder) else []
+        last = max((int(p.removeprefix("poll=")) for p in polls if p.startswith("poll=")), default=-1)
+        # Written aside, so that a poll is there as a whole or not at all.
+        staged = _aside(f"{path}/{kind}")
+        lines.write.parquet(staged)
+        _swap_in(bodies.sparkSession, staged, f"{path}/{kind}/poll={last + 1}")
 
 
 def selection(frame: DataFrame, personas: Sequence[str], names: Mapping[str, str] = EXPORT_NAMES) -> DataFrame:

@@ -4,6 +4,7 @@ import os
 import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from newsloom import schemas
 from newsloom.sources import readers, writers
@@ -177,6 +178,19 @@ def test_a_later_poll_leaves_other_batches(spark, tmp_path):
     assert rows(found) == [("b1", "x"), ("b2", "w"), ("b3", "z")]
 
 
+def test_saved_batches_take_no_folder_each(spark, tmp_path):
+    """A poll is one folder, with any number of batches; a null batch is one too."""
+    many = spark.range(500).select(F.col("id").cast("string").alias("batch_id"), F.lit("a\nb").alias("body"))
+    few = spark.createDataFrame([("3", "c"), (None, "d"), ("4", None)], "batch_id string, body string")
+    path = str(tmp_path / "bodies")
+    for poll in (many, few, few.where("batch_id IS NULL")):
+        writers.write_saved_bodies(poll, many.limit(0), path)
+    assert sorted(n for n in os.listdir(f"{path}/output") if n[0] not in "._") == ["poll=0", "poll=1", "poll=2"]
+    found = rows(readers.read_saved_lines(spark, path, "output"))
+    assert found == sorted([(str(i), x) for i in range(500) if i != 3 for x in "ab"] + [("3", "c"), (None, "d")], key=repr)
+    assert readers.read_saved_lines(spark, path, "error").count() == 0
+
+
 def test_upsert_touches_only_its_runs(spark, tmp_path):
     path, schema = str(tmp_path / "t"), "id string, run_id string"
     writers.write_run(spark.createDataFrame([("a", "R1"), ("b", "R2")], schema), path)
