@@ -68,11 +68,12 @@ def answers_in_two_polls(spark, sf):
         F.concat(F.lit(f"{RUN_ID}--{task.name}--"), F.col("doc_id").cast("string")).alias("custom_id"), "lang"
     )
     waits = int(_ask(exchange, requests) is None)
-    sent = _sent(exchange).join(lang, "custom_id")
-    _land(exchange, sent.where("lang = 'en'"), _long())
+    # The model's answers, not the texts, meet the languages.
+    sent = _sent(exchange).select("custom_id", _long().alias("said"), (F.length("text") < 1000).alias("short")).join(lang, "custom_id")
+    _land(exchange, sent.where("lang = 'en'"), F.col("said"))
     waits += int(_ask(exchange, requests) is None)
-    _land(exchange, sent.where("lang <> 'en'"), _long(), F.when(F.col("lang") == "fr", "out of tokens"))
-    _land(exchange, sent.where("lang = 'en' AND length(text) < 1000"), F.lit('{"validity": false}'))
+    _land(exchange, sent.where("lang <> 'en'"), F.col("said"), F.when(F.col("lang") == "fr", "out of tokens"))
+    _land(exchange, sent.where("lang = 'en' AND short"), F.lit('{"validity": false}'))
     verdicts, rejected = tasks.parse_validity(_ask(exchange, requests))
     none = F.lit(None)
     lost = rejected.select(
@@ -99,8 +100,9 @@ def waiting_batches(spark, sf):
     requests = _requests(spark, sf, task)
     _ask(exchange, requests)
     lang = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang")
-    sent = _sent(exchange).withColumn("id", F.substring_index("custom_id", "--", -1)).join(lang, "id")
-    _land(exchange, sent.where("lang <> 'de'"), _long(), F.when(F.col("lang") == "fr", "out of tokens"))
+    sent = _sent(exchange).select("custom_id", _long().alias("said"), F.substring_index("custom_id", "--", -1).alias("id"))
+    sent = sent.join(lang, "id")
+    _land(exchange, sent.where("lang <> 'de'"), F.col("said"), F.when(F.col("lang") == "fr", "out of tokens"))
     report = spark.range(1).select(F.lit('{"batch_no": 0, "status": "expired"}').alias("value"))
     report.write.mode("append").text(exchange.folder("answers"))
     _ask(exchange, requests)

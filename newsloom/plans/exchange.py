@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.operators.batching import assign_batches
@@ -15,6 +15,8 @@ from newsloom.streaming.answers import take_in, taken_in
 
 # What a batch can be reported as when no more answers will come for it.
 ENDED = ("failed", "expired", "cancelled")
+# Stretches of batches that requests are dealt out by.
+STRETCHES = 256
 SENT = "custom_id string, digest string, batch_no bigint, after bigint"
 
 
@@ -63,15 +65,16 @@ class Exchange:
         last = F.max(F.struct("wave", "digest", "batch_no", "after")).alias("s")
         return waves.groupBy("custom_id").agg(last).select("custom_id", "s.digest", "s.batch_no", "s.after")
 
-    def send(self, requests: DataFrame) -> None:
-        """Write request files for what has not been sent as it is.
+    def send(self, requests: DataFrame, asked: DataFrame | None = None) -> None:
+        """Write request files for what has not been sent as it is; `asked` are the custom_id and
+        digest of the requests, if they are known.
 
-        The list of a wave is written after its files: a send that failed in between writes
-        the same files again.
+        What to send and its batches are found by the digests; texts are exchanged once, and not
+        at all if nothing is to be sent. The list of a wave is written after its files: a
+        send that failed in between writes the same files again.
         """
-        lines = requests.select("custom_id", request_json(self.task).alias("line"))
-        lines = lines.withColumn("digest", F.sha2("line", 256))
-        fresh = store(lines.join(self.sent(), ["custom_id", "digest"], "left_anti"), "unsent")
+        asked = (requests.select("custom_id", self.digest()) if asked is None else asked).select("custom_id", "digest")
+        fresh = store(asked.join(self.sent(), ["custom_id", "digest"], "left_anti"), "unsent")
         if fresh.isEmpty():
             return
         waves = self.spark.read.schema(f"{SENT}, wave bigint").parquet(self.folder("sent"))
@@ -81,14 +84,37 @@ class Exchange:
         # Answers that have been read by now are not to these requests.
         read = taken_in(self.spark, self.folder("taken")).agg(F.max("epoch").alias("epoch")).first()["epoch"]
         batched = assign_batches(fresh, ["custom_id"]).withColumn("batch_no", F.col("batch_no") + before["batches"])
-        batched = store(
-            batched.withColumns({"run_id": F.lit(self.run_id), "task_name": F.lit(self.task.name)}), "batched"
-        )
-        write_request_files(batched, f"{self.path}/requests", F.col("line"), replace=False)
+        batched = store(batched, "batched")
+        rows = Observation()
+        lines = self._in_batches(requests, batched).observe(rows, F.count(F.lit(1)).alias("n"))
+        lines = lines.withColumns({"run_id": F.lit(self.run_id), "task_name": F.lit(self.task.name)})
+        write_request_files(lines, f"{self.path}/requests", F.col("line"), replace=False, dealt=True)
+        if rows.get["n"] != batched.count():
+            raise RuntimeError(f"{self.task.name}: requests changed while they were sent")
         batched.select(
             "custom_id", "digest", "batch_no", F.lit(-1 if read is None else read).cast("bigint").alias("after")
         ).write.mode("overwrite").parquet(f"{self.folder('sent')}/wave={before['wave']}")
 
+    def digest(self) -> Column:
+        return F.sha2(request_json(self.task), 256).alias("digest")
+
+    def _in_batches(self, requests: DataFrame, batched: DataFrame) -> DataFrame:
+        """The lines of the requests in `batched`, with batch_no and pos, each batch in one partition.
+
+        Batches follow on one another by custom_id. So a request's stretch of batches is found
+        by the first id of each, and texts meet their batch where its file is written.
+        """
+        ends = batched.agg(F.min("batch_no").alias("low"), F.max("batch_no").alias("high")).first()
+        size = -(-(ends["high"] - ends["low"] + 1) // STRETCHES)
+        placed = batched.withColumn("stretch", F.floor((F.col("batch_no") - ends["low"]) / size).cast("int"))
+        firsts = placed.groupBy("stretch").agg(F.min("custom_id").alias("id")).orderBy("stretch").collect()
+        known = F.array(*[F.lit(r.id) for r in firsts])
+        stretch = F.size(F.filter(known, lambda first: first <= F.col("custom_id"))) - 1
+        lines = requests.select("custom_id", request_json(self.task).alias("line"), stretch.alias("stretch"))
+        lines = lines.withColumn("digest", F.sha2("line", 256))
+        n = len(firsts)
+        return lines.repartition(n, "stretch").join(placed.repartition(n, "stretch"), ["stretch", "custom_id", "digest"])
+
     def answers(self) -> DataFrame:
         """Every request sent (custom_id, batch_no), with model, content and error of its answer,
         and whether there is one (`answered`) or the batch has ended without (`ended`)."""
@@ -134,19 +160,19 @@ class Exchange:
     def __call__(self, requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """The predictor; raises `Waiting` while answers to these requests are missing, and
         RuntimeError if all batches ended with nothing but errors."""
-        requests = store(requests, "asked")
-        if requests.isEmpty():
-            return self.spark.createDataFrame([], f"{RESPONSE}").join(requests.select("custom_id", *keep), "custom_id")
+        # Texts stay where they are: what is known of a request is its digest.
+        asked = store(requests.select("custom_id", F.col("model").alias("__model"), self.digest(), *keep), "asked")
+        if asked.isEmpty():
+            return self.spark.createDataFrame([], f"{RESPONSE}").join(asked.select("custom_id", *keep), "custom_id")
         self.poll()
-        self.send(requests)
-        own = requests.select("custom_id").distinct()
+        self.send(requests, asked)
+        own = asked.select("custom_id").distinct()
         answers = store(self.answers().join(own, "custom_id", "left_semi"), "answers")
         state = batch_status(self.batches(answers)).first()
         if state["status"] == "WAIT":
             raise Waiting(self.task.name, state["n_running"], state["wait_time"])
         if state["status"] == "ALL_ERROR_END":
             raise RuntimeError(f"{self.task.name}: all batches ended with errors")
-        asked = requests.select("custom_id", F.col("model").alias("__model"), *keep)
-        return asked.join(answers, "custom_id", "left").select(
+        return asked.select("custom_id", "__model", *keep).join(answers, "custom_id", "left").select(
             "custom_id", F.coalesce("model", "__model").alias("model"), "content", "error", *keep
         )

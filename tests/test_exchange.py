@@ -11,6 +11,7 @@ from test_curation import BODY, KEYWORDS, NAMES, PERSONAS, land, page
 from newsloom import schemas
 from newsloom.operators import tasks
 from newsloom.plans import curation
+from newsloom.plans import exchange as exchange_plan
 from newsloom.plans.exchange import Exchange, Waiting
 from newsloom.sources import writers
 
@@ -80,6 +81,30 @@ def test_changed_requests_go_out_again(spark, exchange):
     assert [r[2] for r in rows(exchange(asked(spark, ("c", "new"))))] == ["to new"]
 
 
+def test_texts_are_not_stored_and_stay_while_nothing_goes_out(spark, exchange, monkeypatch):
+    """Neither the requests nor their lines are stored aside, and a later poll has only digests."""
+    stored = []
+    whole = exchange_plan.store
+    monkeypatch.setattr(exchange_plan, "store", lambda df, label: (stored.append((label, df.columns)), whole(df, label))[1])
+    requests = asked(spark, *[(f"{i:04d}", f"text {i}") for i in range(450)])
+    for _ in range(2):
+        with pytest.raises(Waiting):
+            exchange(requests)
+    assert [label for label, _ in stored] == ["asked", "unsent", "batched", "answers", "asked", "unsent", "answers"]
+    assert not {"line", "user_content", "system_content"} & {c for _, columns in stored for c in columns}
+    assert request_files(exchange) == [(i // 200, f"{i:04d}") for i in range(450)]
+    folders = [f"{exchange.folder('requests')}/batch_no={b}" for b in range(3)]
+    assert [sum(n.startswith("part") for n in os.listdir(f)) for f in folders] == [1, 1, 1]
+
+
+def test_requests_that_change_while_they_are_sent(spark, exchange):
+    requests = asked(spark, ("a", "one"), ("b", "two"))
+    digests = requests.select("custom_id", exchange.digest())
+    exchange.poll()
+    with pytest.raises(RuntimeError, match="changed"):
+        exchange.send(asked(spark, ("a", "one"), ("b", "other")), digests)
+
+
 def test_batches_that_ended(spark, exchange):
     requests = asked(spark, ("a", "one"), ("b", "two"))
     with pytest.raises(Waiting):
