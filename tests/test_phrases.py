@@ -91,3 +91,19 @@ def test_predictor_equals_the_one_by_lists(spark):
     one = baselines.relevance_predictor(lists)(requests, ["user_content"])
     other = baselines.phrase_relevance_predictor(table, list(lists))(requests, ["user_content"])
     assert one.columns == other.columns and rows(one) == rows(other)
+
+
+def test_only_runs_that_may_be_keywords_leave_a_task(spark, monkeypatch):
+    """Of some 60,000 runs; texts are cut in small pieces, and lie in slices of batches."""
+    monkeypatch.setattr(phrases, "TEXT_BYTES", 100)
+    texts = [(i, " ".join(f"w{(i * 31 + j * j) % 997}é" for j in range(i % 150))) for i in range(300)]
+    words = [t.split() for _, t in texts]
+    keywords = [("P", " ".join(w[3 : 3 + n])) for n in (1, 2, 5) for w in words[40:60]] + [("Q", "none such"), ("Q", "W5É")]
+    frame = spark.createDataFrame(texts, "id long, text string")
+    table = spark.createDataFrame(keywords, "persona string, keyword string")
+    assert rows(phrases.phrase_hits(frame, table, "id", "text")) == plain(texts, keywords)
+    clean = frame.select(F.col("id").alias("__key"), phrases.clean_text(F.col("text")).alias("__clean"))
+    left = rows(phrases._candidates(clean, [1, 2, 5], phrases._bloom(phrases.phrase_table(table))))
+    known = {k.lower() for _, k in keywords}
+    assert len(left) == len(set(left)) and len(left) < 20_000
+    assert sum(p not in known for _, p in left) <= 5
