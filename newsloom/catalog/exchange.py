@@ -8,7 +8,7 @@ from newsloom.catalog.registry import query, table
 from newsloom.operators import tasks
 from newsloom.plans import curation
 from newsloom.plans.exchange import Exchange, Waiting
-from newsloom.session import scratch_path
+from newsloom.session import scratch_path, store
 
 RUN_ID = "RUNID_1"
 
@@ -68,8 +68,10 @@ def answers_in_two_polls(spark, sf):
         F.concat(F.lit(f"{RUN_ID}--{task.name}--"), F.col("doc_id").cast("string")).alias("custom_id"), "lang"
     )
     waits = int(_ask(exchange, requests) is None)
-    # The model's answers, not the texts, meet the languages.
-    sent = _sent(exchange).select("custom_id", _long().alias("said"), (F.length("text") < 1000).alias("short")).join(lang, "custom_id")
+    # The model's answers, not the texts, meet the languages. They land in three parts; the
+    # request files are read once.
+    sent = _sent(exchange).select("custom_id", _long().alias("said"), (F.length("text") < 1000).alias("short"))
+    sent = store(sent.join(lang, "custom_id"), "said")
     _land(exchange, sent.where("lang = 'en'"), F.col("said"))
     waits += int(_ask(exchange, requests) is None)
     _land(exchange, sent.where("lang <> 'en'"), F.col("said"), F.when(F.col("lang") == "fr", "out of tokens"))

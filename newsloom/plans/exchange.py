@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.operators.batching import assign_batches
@@ -102,7 +102,9 @@ class Exchange:
         """The lines of the requests in `batched`, with batch_no and pos, each batch in one partition.
 
         Batches follow on one another by custom_id. So a request's stretch of batches is found
-        by the first id of each, and texts meet their batch where its file is written.
+        by the first id of each, and texts meet their batch where its file is written. They meet
+        in a window, which takes the rows as the stretches deal them out: a join of large tables
+        is exchanged by all its keys, and would leave a piece of each batch in every task.
         """
         ends = batched.agg(F.min("batch_no").alias("low"), F.max("batch_no").alias("high")).first()
         size = -(-(ends["high"] - ends["low"] + 1) // STRETCHES)
@@ -112,8 +114,10 @@ class Exchange:
         stretch = F.size(F.filter(known, lambda first: first <= F.col("custom_id"))) - 1
         lines = requests.select("custom_id", request_json(self.task).alias("line"), stretch.alias("stretch"))
         lines = lines.withColumn("digest", F.sha2("line", 256))
-        n = len(firsts)
-        return lines.repartition(n, "stretch").join(placed.repartition(n, "stretch"), ["stretch", "custom_id", "digest"])
+        both = lines.unionByName(placed, allowMissingColumns=True).repartition(len(firsts), "stretch")
+        same = Window.partitionBy("stretch", "custom_id", "digest")
+        met = both.withColumns({c: F.max(c).over(same) for c in ("batch_no", "pos")})
+        return met.where(F.col("line").isNotNull() & F.col("batch_no").isNotNull())
 
     def answers(self) -> DataFrame:
         """Every request sent (custom_id, batch_no), with model, content and error of its answer,

@@ -97,6 +97,40 @@ def test_texts_are_not_stored_and_stay_while_nothing_goes_out(spark, exchange, m
     assert [sum(n.startswith("part") for n in os.listdir(f)) for f in folders] == [1, 1, 1]
 
 
+@pytest.fixture
+def no_broadcasts(spark):
+    """Tables meet as large ones do."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_batch_is_one_file_in_order_of_its_requests(spark, exchange, no_broadcasts):
+    ids = [f"{i:04d}" for i in range(1900)]
+    with pytest.raises(Waiting):
+        exchange(asked(spark, *[(i, f"text {i}") for i in reversed(ids)]))
+    found = []
+    for batch in range(10):
+        folder = f"{exchange.folder('requests')}/batch_no={batch}"
+        [name] = [n for n in os.listdir(folder) if n.startswith("part")]
+        with open(f"{folder}/{name}", encoding="utf-8") as f:
+            found.append([json.loads(line)["custom_id"].split("--")[2] for line in f])
+    assert found == [ids[i : i + 200] for i in range(0, 1900, 200)]
+
+
+def test_only_what_is_new_goes_out_of_many(spark, exchange, no_broadcasts):
+    first = [(f"{i:04d}", "text") for i in range(450)]
+    with pytest.raises(Waiting):
+        exchange(asked(spark, *first))
+    changed = [(i, "other" if int(i) % 2 else text) for i, text in first]
+    with pytest.raises(Waiting):
+        exchange(asked(spark, *changed, ("0450", "new")))
+    odd = [i for i, text in changed if text == "other"]
+    assert request_files(exchange) == sorted(
+        [(n // 200, i) for n, (i, _) in enumerate(first)] + [(3 + n // 200, i) for n, i in enumerate([*odd, "0450"])]
+    )
+
+
 def test_requests_that_change_while_they_are_sent(spark, exchange):
     requests = asked(spark, ("a", "one"), ("b", "two"))
     digests = requests.select("custom_id", exchange.digest())
