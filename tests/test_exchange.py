@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from test_curation import BODY, KEYWORDS, NAMES, PERSONAS, land, page
 
 from newsloom import schemas
+from newsloom.catalog import QUERIES
+from newsloom.catalog import exchange as exchange_queries
 from newsloom.operators import tasks
 from newsloom.plans import curation
 from newsloom.plans import exchange as exchange_plan
@@ -118,6 +120,20 @@ def test_a_batch_is_one_file_in_order_of_its_requests(spark, exchange, no_broadc
     assert found == [ids[i : i + 200] for i in range(0, 1900, 200)]
 
 
+@pytest.mark.parametrize("name, n_batches", [("waiting_batches", [3])])
+def test_queries_write_a_file_per_batch(spark, tmp_path, no_broadcasts, monkeypatch, name, n_batches):
+    """As many batches per task as `n_batches` has."""
+    documents = [(i, f"text {i} " * 100, ("en", "fr", "de")[i % 3]) for i in range(450)]
+    spark.createDataFrame(documents, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(exchange_queries, "scratch_path", lambda spark, label: str(tmp_path / label))
+    assert QUERIES[name](spark, str(tmp_path)).count() > 0
+    files = {}
+    for folder, _, names in os.walk(tmp_path):
+        if "/requests/" in folder and "batch_no=" in folder:
+            files.setdefault(os.path.dirname(folder), []).append(sum(n.startswith("part") for n in names))
+    assert sorted(files.values()) == [[1] * n for n in n_batches]
+
+
 def test_only_what_is_new_goes_out_of_many(spark, exchange, no_broadcasts):
     first = [(f"{i:04d}", "text") for i in range(450)]
     with pytest.raises(Waiting):
