@@ -14,8 +14,11 @@ def term_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def term_buckets(text: Column) -> Column:
+def word_buckets(words: Column) -> Column:
     """The bucket of each word: the first digits of its MD5. Any engine finds the same ones."""
-    return F.transform(
-        term_words(text), lambda word: F.conv(F.substring(F.md5(word), 1, DIGITS), 16, 10).cast("int")
-    )
+    return F.transform(words, lambda word: F.conv(F.substring(F.md5(word), 1, DIGITS), 16, 10).cast("int"))
+
+
+def term_buckets(text: Column) -> Column:
+    """The buckets of a text's words, in order, repeats included."""
+    return word_buckets(term_words(text))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.terms import BUCKETS, term_buckets
+from newsloom.functions.terms import BUCKETS, term_buckets, term_words, word_buckets
 from newsloom.functions.text import bind, sentences
 from newsloom.session import spread
 
@@ -28,10 +28,12 @@ SHORT = 10
 def document_counts(texts: DataFrame, text: str) -> DataFrame:
     """(bucket, n_texts): how many texts hold a word of the bucket; bucket -1 counts all texts.
 
-    Null texts count as texts without words. Tasks add up before anything is exchanged.
+    Null texts count as texts without words. A text's words are hashed once each. Tasks add up
+    before anything is exchanged.
     """
+    buckets = word_buckets(F.array_distinct(term_words(F.col(text))))
     held = F.array_union(
-        F.array_distinct(F.coalesce(term_buckets(F.col(text)), F.array().cast("array<int>"))), F.array(F.lit(ALL_TEXTS))
+        F.array_distinct(F.coalesce(buckets, F.array().cast("array<int>"))), F.array(F.lit(ALL_TEXTS))
     )
     return spread(texts.select(text)).select(F.explode(held).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n_texts"))
 

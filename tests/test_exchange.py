@@ -120,7 +120,7 @@ def test_a_batch_is_one_file_in_order_of_its_requests(spark, exchange, no_broadc
     assert found == [ids[i : i + 200] for i in range(0, 1900, 200)]
 
 
-@pytest.mark.parametrize("name, n_batches", [("waiting_batches", [3])])
+@pytest.mark.parametrize("name, n_batches", [("waiting_batches", [3]), ("resumed_run", [3, 3])])
 def test_queries_write_a_file_per_batch(spark, tmp_path, no_broadcasts, monkeypatch, name, n_batches):
     """As many batches per task as `n_batches` has."""
     documents = [(i, f"text {i} " * 100, ("en", "fr", "de")[i % 3]) for i in range(450)]
